@@ -130,3 +130,34 @@ def meta_text(text, title, use_title: bool = False) -> Column:
     if use_title:
         return F.concat(F.coalesce(_col(title), F.lit("")), F.lit(" . "), t)
     return t
+
+
+def _gram_struct(k: int):
+    def make(g, i):
+        return F.struct(i.cast("bigint").alias("start"), F.lit(k).cast("bigint").alias("n"), g.alias("gram"))
+    return make
+
+
+# --- N9 / N10 -----------------------------------------------------------------------------------
+def token_ngrams(tokens, n: int = 2, keep=None) -> Column:
+    """All n-grams of length 1..n as ``array<struct<start, n, gram>>``.
+
+    Grams of one length are built with ``zip_with`` over shifted slices (linear in the array;
+    no lambda indexes the token array).  ``keep`` is an optional predicate on the gram struct
+    (the reference's ``filter_fn`` negated).  Sort the exploded rows by (start, n) for the
+    reference's order.
+    """
+    t = _col(tokens)
+    size = F.size(t)
+    parts = []
+    prev = t
+    for k in range(1, n + 1):
+        if k > 1:
+            m = F.greatest(size - k + 1, F.lit(0))
+            prev = F.when(m > 0, F.zip_with(F.slice(prev, 1, F.greatest(m, F.lit(1))),
+                                            F.slice(t, k, F.greatest(m, F.lit(1))),
+                                            lambda a, b: F.concat_ws(" ", a, b))
+                          ).otherwise(F.array().cast("array<string>"))
+        parts.append(F.transform(prev, _gram_struct(k)))
+    out = F.concat(*parts) if len(parts) > 1 else parts[0]
+    return F.filter(out, keep) if keep is not None else out

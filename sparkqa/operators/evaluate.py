@@ -111,9 +111,8 @@ def match_from_meta(results_with_text: DataFrame, questions: DataFrame, match_ty
     r = results_with_text.withColumn("_mt", meta_text("text", "title", use_title))
     if match_type == "string":
         ans = questions.select("qid", _answer_keys(F.coalesce("answers", F.array().cast("array<string>"))).alias("_ak"))
-        j = r.join(ans, "qid", "left")
-        hit = F.coalesce(has_answer_string(match_key(tokenize_unicode(normalize_nfd("_mt"))), F.col("_ak")),
-                         F.lit(False))
+        j = r.withColumn("_tkey", match_key(tokenize_unicode(normalize_nfd("_mt")))).join(ans, "qid", "left")
+        hit = F.coalesce(has_answer_string(F.col("_tkey"), F.col("_ak")), F.lit(False))
         return j.select("qid", "rank", "doc_id", hit.alias("has_answer"))
     if match_type == "regex":
         j = r.select("qid", "rank", "doc_id", F.col("_mt")).join(questions.select("qid", "answers"), "qid", "left")

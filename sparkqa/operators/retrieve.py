@@ -102,7 +102,8 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
     """
     qv = broadcast_if_small(tfidf_query_vectors(questions, index, stop_words, ngram_max), broadcast_rows)
     cand = index.weights.join(qv, "term")
-    scored = cand.groupBy("qid", "row_no", "id").agg(F.sum(F.col("wq") * F.col("w")).alias("score"))
+    scored = cand.groupBy("qid", "row_no", "id").agg(
+        F.sum(F.col("wq").cast("double") * F.col("w").cast("double")).alias("score"))
     order = [F.round("score", TIE_DECIMALS).desc(), F.col("row_no")]
     ranked = _rank(scored, topk, order).select("qid", "rank", "row_no", F.col("id").alias("doc_id"), "score")
     if not pad:

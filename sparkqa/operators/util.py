@@ -25,13 +25,19 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "row_no", sta
 
     Range-partition and sort, then number rows inside each partition and add the running
     count of the partitions before it.  The per-partition counts are one row per partition,
-    so broadcasting them has a proven bound.  ``order_cols`` must be a unique key, which makes
-    the range partitioning and local order deterministic on recomputation.
+    so broadcasting them has a proven bound.  ``order_cols`` must be a unique key.
+
+    The tagged rows are checkpointed (reliably, to ``spark.checkpoint.dir``) before they are
+    counted: range bounds come from sampling, so a recomputation could place rows in other
+    partitions and the counts would not fit the ids.
     """
+    from sparkqa.session import checkpoint_root
+
     spark = df.sparkSession
+    checkpoint_root(spark)
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
                    .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

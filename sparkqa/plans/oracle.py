@@ -7,6 +7,8 @@ dependencies by ``sql(...)``, so every oracle query is one self-contained statem
 
 from __future__ import annotations
 
+from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
+
 TOPK = 20  # k used by the ranked-result fixture (Fx-results)
 
 UNI_TOKENS = r"[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]"
@@ -44,6 +46,19 @@ def uni_key(expr: str) -> str:
             f"'{UNI_TOKENS}'), lambda x: lower(x)), ' ') || ' ')")
 
 
+def nfd_sql(expr: str) -> str:
+    """Unicode NFD for the Latin letters (U+00C0-U+024F), generated from the Unicode database:
+    one ``replace`` per precomposed letter.  DuckDB has no NFD function."""
+    import unicodedata
+    out = expr
+    for cp in range(0xC0, 0x250):
+        c = chr(cp)
+        d = unicodedata.normalize("NFD", c)
+        if d != c:
+            out = f"replace({out}, '{c}', '{d}')"
+    return out
+
+
 # --- fixtures --------------------------------------------------------------------------------------
 cte("corpus", "SELECT CAST(doc_id AS VARCHAR) AS id, text, source AS title, CAST(doc_id AS BIGINT) AS row_no "
               "FROM documents")
@@ -79,16 +94,105 @@ cte("ptext", "SELECT id, arg_max(text, row_no) AS text, arg_max(title, row_no) A
     ["corpus"])
 cte("akeys", "SELECT qid, list_transform(answers, lambda a: {'n': len(regexp_extract_all(a, '"
              + UNI_TOKENS + "')), 'key': " + uni_key("a") + "}) AS ak FROM questions", ["questions"])
-cte("hits", "SELECT r.qid, r.rank, r.doc_id, coalesce(CASE WHEN p.text IS NULL THEN false ELSE "
-            "len(list_filter(k.ak, lambda a: a.n = 0 OR instr(" + uni_key("p.text") + ", a.key) > 0)) > 0 END, false) "
-            "AS has_answer FROM results r LEFT JOIN ptext p ON p.id = r.doc_id LEFT JOIN akeys k ON k.qid = r.qid",
-    ["results", "ptext", "akeys"])
-cte("recall", "SELECT g.k, CAST(count(f.first_hit) AS BIGINT) AS hits, "
-              "count(f.first_hit) / (SELECT count(*) FROM questions) AS recall FROM "
-              f"(SELECT CAST(range AS BIGINT) AS k FROM range(1, {TOPK} + 1)) g LEFT JOIN "
-              "(SELECT q.qid, min(CASE WHEN h.has_answer THEN h.rank END) AS first_hit FROM questions q "
-              "LEFT JOIN hits h USING (qid) GROUP BY q.qid) f ON f.first_hit <= g.k GROUP BY g.k",
-    ["hits", "questions"])
+
+
+def hits_and_recall(suffix: str, results: str, max_k: int = TOPK) -> None:
+    cte("hits" + suffix,
+        "SELECT r.qid, r.rank, r.doc_id, coalesce(CASE WHEN p.text IS NULL THEN false ELSE "
+        "len(list_filter(k.ak, lambda a: a.n = 0 OR instr(" + uni_key("p.text") + ", a.key) > 0)) > 0 END, false) "
+        f"AS has_answer FROM {results} r LEFT JOIN ptext p ON p.id = r.doc_id LEFT JOIN akeys k ON k.qid = r.qid",
+        [results, "ptext", "akeys"])
+    cte("recall" + suffix,
+        "SELECT g.k, CAST(count(f.first_hit) AS BIGINT) AS hits, "
+        "count(f.first_hit) / (SELECT count(*) FROM questions) AS recall FROM "
+        f"(SELECT CAST(range AS BIGINT) AS k FROM range(1, {max_k} + 1)) g LEFT JOIN "
+        "(SELECT q.qid, min(CASE WHEN h.has_answer THEN h.rank END) AS first_hit FROM questions q "
+        f"LEFT JOIN hits{suffix} h USING (qid) GROUP BY q.qid) f ON f.first_hit <= g.k GROUP BY g.k",
+        ["hits" + suffix, "questions"])
+
+
+hits_and_recall("", "results")
+
+# --- TF-IDF (N6, N9, A5, X3) -----------------------------------------------------------------------
+STOP_LIST = "[" + ", ".join("'" + w + "'" for w in sorted(ENGLISH_STOP_WORDS)) + "]"
+MAX_FEATURES = 200_000
+Q = "'"  # a single quote, for SQL literals built in Python
+
+
+def words(expr: str) -> str:
+    return (f"list_filter(regexp_extract_all(lower(coalesce({expr}, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}'), "
+            f"lambda x: NOT list_contains({STOP_LIST}, x))")
+
+
+def grams(tk: str) -> str:
+    return f"{tk} || list_transform(range(1, len({tk})), lambda i: {tk}[i] || ' ' || {tk}[i + 1])"
+
+
+cte("twords", "SELECT row_no, " + words("trim(coalesce(title, '') || ' ' || coalesce(text, ''))")
+    + " AS tk FROM corpus", ["corpus"])
+cte("ttf", f"SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest({grams('tk')}) AS term FROM twords) "
+           "GROUP BY row_no, term", ["twords"])
+cte("tvocab", "SELECT term, df, ctf, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM "
+              "(SELECT term, count(*) AS df, sum(tf) AS ctf, row_number() OVER (ORDER BY sum(tf) DESC, term ASC) AS vr "
+              f"FROM ttf GROUP BY term), (SELECT count(*) AS n FROM corpus) WHERE vr <= {MAX_FEATURES}",
+    ["ttf", "corpus"])
+cte("tweights", "SELECT term, row_no, CAST(raw / norm AS FLOAT) AS w FROM "
+                "(SELECT term, row_no, tf * idf AS raw, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY row_no)) AS norm "
+                "FROM ttf JOIN tvocab USING (term))", ["ttf", "tvocab"])
+cte("tqv", "SELECT qid, term, CAST(raw / norm AS FLOAT) AS wq FROM "
+           "(SELECT qid, term, tf * idf AS raw, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY qid)) AS norm FROM "
+           f"(SELECT qid, term, count(*) AS tf FROM (SELECT qid, unnest({grams('tk')}) AS term FROM "
+           f"(SELECT qid, {words('question')} AS tk FROM questions)) GROUP BY qid, term) JOIN tvocab USING (term))",
+    ["questions", "tvocab"])
+cte("tranked", "SELECT * FROM (SELECT qid, row_no, id AS doc_id, score, row_number() OVER "
+               "(PARTITION BY qid ORDER BY round(score, 9) DESC, row_no) AS rank FROM "
+               "(SELECT qid, w.row_no, c.id, sum(CAST(wq AS DOUBLE) * CAST(w AS DOUBLE)) AS score "
+               "FROM tqv JOIN tweights w USING (term) JOIN corpus c ON c.row_no = w.row_no GROUP BY qid, w.row_no, c.id)) "
+               f"WHERE rank <= {TOPK}", ["tqv", "tweights", "corpus"])
+cte("tresults", "SELECT qid, CAST(rank AS BIGINT) AS rank, doc_id, score FROM tranked UNION ALL "
+                "SELECT qid, CAST(rank AS BIGINT), doc_id, score FROM ("
+                "SELECT m.qid, m.m + row_number() OVER (PARTITION BY m.qid ORDER BY f.row_no) AS rank, f.id AS doc_id, "
+                "0.0 AS score FROM (SELECT q.qid, count(r.qid) AS m FROM questions q LEFT JOIN tranked r USING (qid) "
+                f"GROUP BY q.qid) m, (SELECT row_no, id FROM corpus ORDER BY row_no LIMIT {TOPK}) f "
+                f"WHERE m.m < {TOPK} AND NOT EXISTS (SELECT 1 FROM tranked r WHERE r.qid = m.qid AND r.row_no = f.row_no)) "
+                f"WHERE rank <= {TOPK}", ["tranked", "questions", "corpus"])
+hits_and_recall("_t", "tresults")
+
+# --- X2: Fx-bad-ids ---------------------------------------------------------------------------------
+cte("badcorpus", "SELECT 'd' || id AS id, row_no FROM corpus", ["corpus"])
+cte("badresults", "SELECT qid, rank, CASE rank % 4 WHEN 1 THEN 'd' || doc_id WHEN 2 THEN doc_id "
+                  "WHEN 3 THEN 'x' || doc_id ELSE CAST(CAST(doc_id AS BIGINT) + 1000000 AS VARCHAR) END AS doc_id, "
+                  "score FROM results", ["results"])
+cte("fixedids", "SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY rank) AS BIGINT) AS rank, "
+                "coalesce(k.id, p.id) AS doc_id, score FROM badresults r "
+                "LEFT JOIN (SELECT DISTINCT id FROM badcorpus) k ON k.id = r.doc_id "
+                "LEFT JOIN badcorpus p ON k.id IS NULL AND p.row_no = TRY_CAST(r.doc_id AS BIGINT) "
+                "WHERE coalesce(k.id, p.id) IS NOT NULL", ["badresults", "badcorpus"])
+
+# --- E2 / E3 / E4 ----------------------------------------------------------------------------------
+cte("rhits", "SELECT r.qid, r.rank, r.doc_id, coalesce(regexp_matches(" + nfd_sql("p.text") + ", '(?i)t[a-z]{2}e'), false) AS has_answer "
+             "FROM results r LEFT JOIN ptext p ON p.id = r.doc_id", ["results", "ptext"])
+WS = r"[\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}]"
+
+
+def n4(expr: str) -> str:
+    """Answer normalisation with Unicode word boundaries emulated (RE2 has only ASCII \\b)."""
+    x = f"regexp_replace(lower({expr}), '[!-/:-@\\[-`{{-~]', '', 'g')"
+    art = "'(^|[^\\pL\\pN\\pM_])(a|an|the)([^\\pL\\pN\\pM_]|$)'"
+    x = f"regexp_replace(regexp_replace({x}, {art}, '\\1 \\3', 'g'), {art}, '\\1 \\3', 'g')"
+    return f"trim(regexp_replace({x}, '{WS}+', ' ', 'g'))"
+
+
+cte("khits", f"SELECT r.qid, r.rank, r.doc_id, coalesce(len(list_filter(q.answers, lambda a: "
+             f"instr({n4('p.text')}, {n4('a')}) > 0)) > 0, false) AS has_answer FROM results r "
+             "LEFT JOIN ptext p ON p.id = r.doc_id LEFT JOIN questions q ON q.qid = r.qid",
+    ["results", "ptext", "questions"])
+cte("mhits", "SELECT r.qid, r.rank, r.doc_id, coalesce(len(list_filter(k.ak, lambda a: a.n = 0 OR instr("
+             + uni_key("coalesce(p.title, '') || ' . ' || coalesce(p.text, '')")
+             + ", a.key) > 0)) > 0, false) AS has_answer FROM results r LEFT JOIN ptext p ON p.id = r.doc_id "
+             "LEFT JOIN akeys k ON k.qid = r.qid", ["results", "ptext", "akeys"])
+
+GOLD_SUFFIX = f"{Q}The {Q} || text || {Q} !{Q}"
 
 ORACLE: dict[str, str] = {
     "a1_term_frequencies": sql("SELECT row_no, term, CAST(tf AS BIGINT) AS tf FROM post", ["post"]),
@@ -99,4 +203,35 @@ ORACLE: dict[str, str] = {
     "x1_bm25_topk": sql("SELECT qid, rank, doc_id, round(score, 6) AS score FROM results", ["results"]),
     "e1_match_string": sql("SELECT qid, rank, doc_id, has_answer FROM hits", ["hits"]),
     "e5_hit_at_k": sql("SELECT k, hits, round(recall, 6) AS recall FROM recall", ["recall"]),
+    "n6_tokenize_words": sql("SELECT row_no, array_to_string(tk, ' ') AS tokens FROM twords", ["twords"]),
+    "a5_tfidf_vocab": sql("SELECT term, CAST(df AS BIGINT) AS df, CAST(ctf AS BIGINT) AS ctf, round(idf, 6) AS idf "
+                          "FROM tvocab", ["tvocab"]),
+    "a5_tfidf_weights": sql("SELECT term, row_no, round(w, 5) AS w FROM tweights", ["tweights"]),
+    "x3_tfidf_topk": sql("SELECT qid, rank, doc_id, round(score, 5) AS score FROM tresults", ["tresults"]),
+    "e6_validate_tfidf": sql("SELECT k, hits, round(recall, 6) AS recall FROM recall_t", ["recall_t"]),
+    "e8_compare_models": sql("SELECT b.k, round(b.recall, 6) AS bm25, round(t.recall, 6) AS tfidf FROM recall b "
+                             "JOIN recall_t t USING (k) WHERE b.k IN (1, 5, 10, 20)", ["recall", "recall_t"]),
+    "x2_normalize_doc_ids": sql("SELECT qid, rank, doc_id, round(score, 6) AS score FROM fixedids", ["fixedids"]),
+    "x4_passage_lookup": sql("SELECT r.qid, r.rank, r.doc_id, p.title, CAST(length(p.text) AS BIGINT) AS text_len, "
+                             "p.id IS NOT NULL AS found FROM results r LEFT JOIN ptext p ON p.id = r.doc_id",
+                             ["results", "ptext"]),
+    "e2_match_regex": sql("SELECT qid, rank, doc_id, has_answer FROM rhits", ["rhits"]),
+    "e3_match_kilt": sql("SELECT qid, rank, doc_id, has_answer FROM khits", ["khits"]),
+    "e4_match_from_meta": sql("SELECT qid, rank, doc_id, has_answer FROM mhits", ["mhits"]),
+    "n1_normalize_question": sql("SELECT qid, CASE WHEN suffix(q, '?') THEN q ELSE q || '?' END AS question FROM "
+                                 f"(SELECT qid, replace(question, '’', {Q}{Q}{Q}{Q}) AS q FROM questions)",
+                                 ["questions"]),
+    "n2_normalize_passage": sql("SELECT row_no, regexp_replace(regexp_replace(replace(replace(text, chr(10), ' '), "
+                                f"'’', {Q}{Q}{Q}{Q}), '^\"', ''), '\"$', '') AS text FROM corpus", ["corpus"]),
+    "n4_normalize_answer": sql(f"SELECT conv_id, turn, {n4('text')} AS norm FROM conversations", []),
+    "n14_exact_match": sql(f"SELECT conv_id, turn, {n4('text')} = {n4(GOLD_SUFFIX)} AS em FROM conversations", []),
+    "n5_tokenize_alnum": sql("SELECT row_no, array_to_string(tk, ' ') AS tokens, CAST(len(tk) AS BIGINT) AS n "
+                             "FROM dtok", ["dtok"]),
+    "n7_tokenize_unicode": sql("SELECT row_no, array_to_string(list_transform(regexp_extract_all(coalesce(text, ''), '"
+                               + UNI_TOKENS + "'), lambda x: lower(x)), ' ') AS tokens FROM corpus", ["corpus"]),
+    "n9_token_ngrams": sql("SELECT row_no, CAST(s AS BIGINT) AS start, CAST(n AS BIGINT) AS n, gram FROM ("
+                           "SELECT row_no, unnest(range(len(tk))) AS s, 1 AS n, unnest(tk) AS gram FROM dtok "
+                           "UNION ALL SELECT row_no, unnest(range(len(tk) - 1)) AS s, 2 AS n, "
+                           "unnest(list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1])) AS gram "
+                           "FROM dtok WHERE len(tk) > 1)", ["dtok"]),
 }

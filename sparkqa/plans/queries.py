@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkqa.functions import text as tx
 from sparkqa.operators import evaluate as ev
 from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
@@ -74,3 +75,134 @@ def e5(spark, sf_dir):
     qs = fx.questions(spark, sf_dir)
     hits = ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), qs)
     return ev.hit_at_k(hits, qs, TOPK).select("k", "hits", F.round("recall", 6).alias("recall"))
+
+
+def tfidf_results(spark: SparkSession, sf_dir: str, topk: int = TOPK) -> DataFrame:
+    corpus = fx.corpus(spark, sf_dir)
+    index = ix.build_tfidf_index(corpus)
+    return rt.tfidf_topk(fx.questions(spark, sf_dir), index, corpus, topk)
+
+
+@query("n6_tokenize_words")
+def n6(spark, sf_dir):
+    c = fx.corpus(spark, sf_dir)
+    return c.select("row_no", F.array_join(ix.tfidf_tokens(ix.tfidf_text(c)), " ").alias("tokens"))
+
+
+@query("a5_tfidf_vocab")
+def a5v(spark, sf_dir):
+    v = ix.build_tfidf_index(fx.corpus(spark, sf_dir)).vocab
+    return v.select("term", "df", "ctf", F.round("idf", 6).alias("idf"))
+
+
+@query("a5_tfidf_weights")
+def a5w(spark, sf_dir):
+    w = ix.build_tfidf_index(fx.corpus(spark, sf_dir)).weights
+    return w.select("term", "row_no", F.round(F.col("w").cast("double"), 5).alias("w"))
+
+
+@query("x3_tfidf_topk")
+def x3(spark, sf_dir):
+    return tfidf_results(spark, sf_dir).select("qid", "rank", "doc_id", F.round("score", 5).alias("score"))
+
+
+@query("e6_validate_tfidf")
+def e6(spark, sf_dir):
+    qs = fx.questions(spark, sf_dir)
+    _, recall = ev.validate(tfidf_results(spark, sf_dir), fx.corpus(spark, sf_dir), qs, "string", TOPK)
+    return recall.select("k", "hits", F.round("recall", 6).alias("recall"))
+
+
+@query("e8_compare_models")
+def e8(spark, sf_dir):
+    qs, corpus = fx.questions(spark, sf_dir), fx.corpus(spark, sf_dir)
+    recalls = {m: ev.validate(r, corpus, qs, "string", TOPK)[1]
+               for m, r in (("bm25", bm25_results(spark, sf_dir)), ("tfidf", tfidf_results(spark, sf_dir)))}
+    cmp = ev.compare_models(recalls, ks=(1, 5, 10, 20))
+    return cmp.select("k", F.round("bm25", 6).alias("bm25"), F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("x2_normalize_doc_ids")
+def x2(spark, sf_dir):
+    """Fx-bad-ids: corpus ids 'd'+id; result ids by rank mod 4 kept / row number / junk / out of range."""
+    c = fx.corpus(spark, sf_dir)
+    bad_corpus = c.select(F.concat(F.lit("d"), "id").alias("id"), "row_no")
+    r = bm25_results(spark, sf_dir)
+    m = F.col("rank") % 4
+    bad = r.withColumn("doc_id", F.when(m == 1, F.concat(F.lit("d"), "doc_id"))
+                       .when(m == 2, F.col("doc_id"))
+                       .when(m == 3, F.concat(F.lit("x"), "doc_id"))
+                       .otherwise((F.col("doc_id").cast("bigint") + 1_000_000).cast("string")))
+    out = rt.normalize_doc_ids(bad, bad_corpus)
+    return out.select("qid", "rank", "doc_id", F.round(F.col("score").cast("double"), 6).alias("score"))
+
+
+@query("x4_passage_lookup")
+def x4(spark, sf_dir):
+    out = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir))
+    return out.select("qid", "rank", "doc_id", "title", F.length("text").cast("bigint").alias("text_len"), "found")
+
+
+@query("e2_match_regex")
+def e2(spark, sf_dir):
+    return ev.match_regex(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.regex_questions(spark, sf_dir))
+
+
+@query("e3_match_kilt")
+def e3(spark, sf_dir):
+    return ev.match_kilt(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir))
+
+
+@query("e4_match_from_meta")
+def e4(spark, sf_dir):
+    r = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir))
+    return ev.match_from_meta(r, fx.questions(spark, sf_dir), "string", use_title=True)
+
+
+# --- text functions ------------------------------------------------------------------------------
+@query("n1_normalize_question")
+def n1(spark, sf_dir):
+    return fx.questions(spark, sf_dir).select("qid", tx.normalize_question("question", "?").alias("question"))
+
+
+@query("n2_normalize_passage")
+def n2(spark, sf_dir):
+    return fx.corpus(spark, sf_dir).select("row_no", tx.normalize_passage("text").alias("text"))
+
+
+@query("n3_normalize_nfd")
+def n3(spark, sf_dir):
+    c = fx.corpus(spark, sf_dir)
+    t = c.select("row_no", "text", tx.normalize_nfd("text").alias("nfd"))
+    return t.select("row_no", F.length("nfd").cast("bigint").alias("nfd_len"),
+                    (F.col("nfd") != F.col("text")).alias("changed"))
+
+
+@query("n4_normalize_answer")
+def n4(spark, sf_dir):
+    return fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.normalize_answer("text").alias("norm"))
+
+
+@query("n14_exact_match")
+def n14(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations")
+    gold = F.concat(F.lit("The "), F.col("text"), F.lit(" !"))
+    return c.select("conv_id", "turn", tx.exact_match("text", gold).alias("em"))
+
+
+@query("n5_tokenize_alnum")
+def n5(spark, sf_dir):
+    t = fx.corpus(spark, sf_dir).select("row_no", tx.tokenize_alnum("text").alias("tk"))
+    return t.select("row_no", F.array_join("tk", " ").alias("tokens"), F.size("tk").cast("bigint").alias("n"))
+
+
+@query("n7_tokenize_unicode")
+def n7(spark, sf_dir):
+    return fx.corpus(spark, sf_dir).select("row_no", F.array_join(tx.tokenize_unicode("text"), " ").alias("tokens"))
+
+
+@query("n9_token_ngrams")
+def n9(spark, sf_dir):
+    t = fx.corpus(spark, sf_dir).select("row_no", tx.tokenize_alnum("text").alias("tk"))
+    g = t.select("row_no", F.explode(tx.token_ngrams("tk", 2)).alias("g"))
+    return g.select("row_no", "g.start", "g.n", "g.gram")
