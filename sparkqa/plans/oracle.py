@@ -235,3 +235,91 @@ ORACLE: dict[str, str] = {
                            "unnest(list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1])) AS gram "
                            "FROM dtok WHERE len(tk) > 1)", ["dtok"]),
 }
+
+# --- tables (Fx-pages / Fx-dirty, T1-T7, T13, A6, K5) ------------------------------------------------
+NL = "chr(10)"
+cte("fpages", "SELECT CAST(c_custkey AS BIGINT) AS page_id, c_custkey, c_name AS title, c_acctbal < 0 AS issues "
+              "FROM customer UNION ALL SELECT CAST(c_custkey + 1000000 AS BIGINT), c_custkey, c_name, c_acctbal < 0 "
+              "FROM customer WHERE c_mktsegment = 'BUILDING'")
+cte("forders", "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, "
+               "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders QUALIFY r <= 2")
+# one row per (page, row): row 0 is the header
+cte("frows", "SELECT p.page_id, 0 AS row, ['order', 'status', 'priority'] AS vals FROM fpages p UNION ALL "
+             "SELECT p.page_id, o.r AS row, [CAST(o.o_orderkey AS VARCHAR), o.o_orderstatus, "
+             "array_to_string(string_split(o.o_orderpriority, ' '), ' ')] FROM fpages p "
+             "JOIN forders o ON o.o_custkey = p.c_custkey", ["fpages", "forders"])
+cte("ftables", "SELECT p.page_id, p.title AS caption, p.issues, count(*) AS n_rows, "
+               f"'<T>: ' || p.title || {NL} || ' rows:' || {NL} || string_agg(' row #' || r.row || ': ' || "
+               f"array_to_string(r.vals, '| ') || {NL}, '' ORDER BY r.row) AS key, "
+               "string_agg(array_to_string(r.vals, ' . '), '' ORDER BY r.row) || ' . ' AS table_text "
+               "FROM fpages p JOIN frows r USING (page_id) GROUP BY p.page_id, p.title, p.issues",
+    ["fpages", "frows"])
+cte("fclean", "SELECT CAST(row_number() OVER (ORDER BY page_id) AS BIGINT) AS table_id, * FROM "
+              "(SELECT arg_min(page_id, page_id) AS page_id, arg_min(caption, page_id) AS caption, key, "
+              "arg_min(table_text, page_id) AS table_text FROM ftables WHERE NOT issues AND n_rows > 1 GROUP BY key)",
+    ["ftables"])
+cte("fclean_rows", "SELECT c.table_id, c.caption, r.row, r.vals FROM fclean c JOIN frows r USING (page_id)",
+    ["fclean", "frows"])
+cte("flin", "SELECT table_id, caption, row, array_to_string(vals, ', ') AS lin, "
+            "list_sum(list_transform(vals, lambda v: len(string_split(v, ' ')))) AS n FROM fclean_rows",
+    ["fclean_rows"])
+
+
+def chunk_oracle(name: str, max_len: int) -> None:
+    """T7 as a recursive walk over each table's rows (the fold the Spark side does per table)."""
+    cte(name + "_h", "SELECT table_id, caption, min(row) AS h FROM flin WHERE length(lin) > 1 GROUP BY ALL", ["flin"])
+    cte(name + "_w",
+        "SELECT * FROM (WITH RECURSIVE walk(table_id, i, cur, n, chunks, emitted) AS ("
+        "SELECT h.table_id, h.h + 1, [l.lin], l.n, []::VARCHAR[], NULL::VARCHAR FROM "
+        f"{name}_h h JOIN flin l ON l.table_id = h.table_id AND l.row = h.h "
+        "UNION ALL SELECT w.table_id, w.i + 1, "
+        f"CASE WHEN s.n2 >= {max_len} THEN [hd.lin] ELSE s.cur2 END, "
+        f"CASE WHEN s.n2 >= {max_len} THEN hd.n ELSE s.n2 END, w.chunks, "
+        f"CASE WHEN s.n2 >= {max_len} THEN array_to_string(s.cur2, {NL}) || {NL} END "
+        "FROM walk w JOIN flin r ON r.table_id = w.table_id AND r.row = w.i "
+        f"JOIN {name}_h h ON h.table_id = w.table_id JOIN flin hd ON hd.table_id = w.table_id AND hd.row = h.h, "
+        "LATERAL (SELECT CASE WHEN length(r.lin) > 1 THEN list_append(w.cur, r.lin) ELSE w.cur END AS cur2, "
+        "w.n + CASE WHEN length(r.lin) > 1 THEN r.n ELSE 0 END AS n2) s"
+        ") SELECT * FROM walk)", [name + "_h", "flin"])
+    cte(name, "SELECT CAST(row_number() OVER (ORDER BY table_id, ord) - 1 AS BIGINT) AS id, text, caption AS title, "
+              "CAST(table_id - 1 AS BIGINT) AS table_no FROM ("
+              f"SELECT w.table_id, w.i AS ord, w.emitted AS text, h.caption FROM {name}_w w JOIN {name}_h h USING (table_id) "
+              "WHERE w.emitted IS NOT NULL UNION ALL "
+              f"SELECT w.table_id, 1e9 AS ord, array_to_string(w.cur, {NL}) || {NL}, h.caption FROM {name}_w w "
+              f"JOIN {name}_h h USING (table_id) WHERE len(w.cur) > 1 AND w.i = "
+              f"(SELECT max(i) FROM {name}_w x WHERE x.table_id = w.table_id))", [name + "_w", name + "_h"])
+
+
+chunk_oracle("fchunks", 100)
+chunk_oracle("fchunks5", 5)
+
+ORACLE.update({
+    "t1_extract_tables": sql(
+        "SELECT page_id, CAST(CASE WHEN issues THEN -1 ELSE 0 END AS BIGINT) AS table_no, CAST(-1 AS BIGINT) AS parent_no, "
+        "CASE WHEN issues THEN NULL ELSE caption END AS caption, "
+        "CAST(CASE WHEN issues THEN NULL ELSE n_rows END AS BIGINT) AS n_rows, "
+        "CASE WHEN issues THEN NULL ELSE key END AS key, "
+        "CASE WHEN issues THEN 'content before any table' END AS error FROM ftables", ["ftables"]),
+    "t2_clean_tables": sql("SELECT table_id, page_id, caption, key FROM fclean", ["fclean"]),
+    "a6_table_stats": sql(
+        "SELECT CAST(count(*) FILTER (WHERE issues) AS BIGINT) AS pages_with_issues, "
+        "CAST(count(*) FILTER (WHERE NOT issues AND n_rows <= 1) AS BIGINT) AS single_row_tables, "
+        "CAST(0 AS BIGINT) AS nested_tables, "
+        "CAST(count(*) FILTER (WHERE NOT issues AND n_rows > 1) AS BIGINT) AS regular_tables, "
+        "CAST(count(*) FILTER (WHERE NOT issues) AS BIGINT) AS total_tables, "
+        "CAST(coalesce(sum(n_rows) FILTER (WHERE NOT issues AND n_rows > 1), 0) AS BIGINT) AS total_rows FROM ftables",
+        ["ftables"]),
+    "t4_to_nested_json": sql("SELECT table_id, caption, CAST(row AS BIGINT) AS row, CAST(c - 1 AS BIGINT) AS col, "
+                             "vals[c] AS value FROM (SELECT *, unnest(range(1, len(vals) + 1)) AS c FROM fclean_rows)",
+                             ["fclean_rows"]),
+    "k5_table_passages": sql("SELECT table_id AS id, table_text, caption FROM fclean", ["fclean"]),
+    "t6_linearize_row": sql("SELECT table_id, CAST(row AS BIGINT) AS row, lin, CAST(n AS BIGINT) AS n_words FROM flin",
+                            ["flin"]),
+    "t7_chunk_tables": sql("SELECT id, text, title, table_no FROM fchunks", ["fchunks"]),
+    "t7_chunk_tables_small": sql("SELECT id, text, title, table_no FROM fchunks5", ["fchunks5"]),
+    "t13_long_answer_training": sql(
+        "SELECT page_id, caption, CAST(count(*) AS BIGINT) AS n_rows, "
+        f"string_agg(array_to_string(vals, '|'), {NL} ORDER BY row) AS rows_text FROM "
+        "(SELECT p.page_id, p.title AS caption, r.row, r.vals FROM fpages p JOIN frows r USING (page_id) "
+        "WHERE NOT p.issues) GROUP BY page_id, caption", ["fpages", "frows"]),
+})

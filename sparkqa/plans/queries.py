@@ -16,6 +16,8 @@ from sparkqa.functions import text as tx
 from sparkqa.operators import evaluate as ev
 from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
+from sparkqa.operators import tables as tb
+from sparkqa.sinks import writers as wr
 from sparkqa.plans.oracle import TOPK
 from sparkqa.sources import fixtures as fx
 
@@ -206,3 +208,85 @@ def n9(spark, sf_dir):
     t = fx.corpus(spark, sf_dir).select("row_no", tx.tokenize_alnum("text").alias("tk"))
     g = t.select("row_no", F.explode(tx.token_ngrams("tk", 2)).alias("g"))
     return g.select("row_no", "g.start", "g.n", "g.gram")
+
+
+# --- tables --------------------------------------------------------------------------------------
+def parsed_tables(spark, sf_dir):
+    """Fx-pages without the marked pages (skipped before parsing, as the reference does)."""
+    pages = fx.table_pages(spark, sf_dir)
+    return pages, tb.extract_tables(pages.filter(~tb.page_has_issues(pages)))
+
+
+def clean_table_frame(spark, sf_dir):
+    pages, tables = parsed_tables(spark, sf_dir)
+    return tb.clean_tables(pages, tables)
+
+
+def tables_json(spark, sf_dir):
+    return clean_table_frame(spark, sf_dir).select("table_id", "page_id", tb.to_nested_json().alias("t"))
+
+
+@query("t1_extract_tables")
+def t1(spark, sf_dir):
+    t = tb.extract_tables(fx.table_pages(spark, sf_dir))
+    return t.select("page_id", F.col("table_no").cast("bigint").alias("table_no"),
+                    F.col("parent_no").cast("bigint").alias("parent_no"), "caption",
+                    F.when(F.col("rows").isNotNull(), F.size("rows")).cast("bigint").alias("n_rows"),
+                    F.when(F.col("rows").isNotNull(), tb.table_key()).alias("key"), "error")
+
+
+@query("t2_clean_tables")
+def t2(spark, sf_dir):
+    return clean_table_frame(spark, sf_dir).select("table_id", "page_id", "caption", tb.table_key().alias("key"))
+
+
+@query("a6_table_stats")
+def a6(spark, sf_dir):
+    pages = fx.table_pages(spark, sf_dir)
+    return tb.table_stats(pages, tb.extract_tables(pages.filter(~tb.page_has_issues(pages))))
+
+
+@query("t4_to_nested_json")
+def t4(spark, sf_dir):
+    j = tables_json(spark, sf_dir)
+    r = j.select("table_id", "t.caption", F.explode("t.rows").alias("r"))
+    c = r.select("table_id", "caption", F.col("r.row").cast("bigint").alias("row"), F.explode("r.columns").alias("c"))
+    return c.select("table_id", "caption", "row", F.col("c.col").cast("bigint").alias("col"),
+                    F.col("c.value").alias("value"))
+
+
+@query("k5_table_passages")
+def k5(spark, sf_dir):
+    t = clean_table_frame(spark, sf_dir).select(
+        (F.col("table_id") - 1).alias("table_no"), tb.table_text().alias("table_text"), "caption")
+    return wr.table_passages(t)
+
+
+@query("t6_linearize_row")
+def t6(spark, sf_dir):
+    r = tables_json(spark, sf_dir).select("table_id", F.explode("t.rows").alias("r"))
+    lin, n = tb.linearize_row(F.col("r.columns"))
+    return r.select("table_id", F.col("r.row").cast("bigint").alias("row"), lin.alias("lin"),
+                    n.cast("bigint").alias("n_words"))
+
+
+@query("t7_chunk_tables")
+def t7(spark, sf_dir):
+    return tb.chunk_tables(tables_json(spark, sf_dir), 100).select(
+        "id", "text", "title", F.col("table_no").cast("bigint").alias("table_no"))
+
+
+@query("t7_chunk_tables_small")
+def t7s(spark, sf_dir):
+    return tb.chunk_tables(tables_json(spark, sf_dir), 5).select(
+        "id", "text", "title", F.col("table_no").cast("bigint").alias("table_no"))
+
+
+@query("t13_long_answer_training")
+def t13(spark, sf_dir):
+    _, tables = parsed_tables(spark, sf_dir)
+    first = tables.filter(F.col("table_no") == 0).select("page_id", tb.to_nested_json().alias("t"))
+    return first.select("page_id", F.col("t.caption").alias("caption"),
+                        F.size("t.rows").cast("bigint").alias("n_rows"),
+                        F.array_join(F.transform("t.rows", lambda r: F.array_join(
+                            F.transform(r["columns"], lambda c: c["value"]), "|")), "\n").alias("rows_text"))

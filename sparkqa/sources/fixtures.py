@@ -48,3 +48,48 @@ def regex_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fx-questions-regex: the same questions with answers ``['t[a-z]{2}e', '(']``."""
     return questions(spark, sf_dir).select(
         "qid", "question", F.array(F.lit("t[a-z]{2}e"), F.lit("(")).alias("answers"))
+
+
+# --- table pages (Fx-pages, Fx-dirty) --------------------------------------------------------------
+# The tags and header of the generated pages.
+TABLE_TAGS = ["<Table>", "</Table>", "<Tr>", "</Tr>", "<Td>", "</Td>"]
+PAGE_HEADER = ["order", "status", "priority"]
+ISSUES_TOKENS = ["(", "hide", ")", "This", "section", "has", "multiple", "issues"]
+COPY_OFFSET = 1_000_000
+
+
+def _cell(tokens):
+    return F.concat(F.array(F.lit("<Td>")), tokens, F.array(F.lit("</Td>")))
+
+
+def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fx-pages with Fx-dirty: ``page_id, page_no, title, tokens, html_mask``.
+
+    One page per customer (title = c_name): a table with a header row and the customer's first
+    two orders by o_orderkey (key, status, priority split on spaces).  Customers of the
+    BUILDING segment get a second copy of their page (page_id + 1,000,000, dedupe); customers
+    with a negative balance get the issues marker as leading text (skipped pages).
+    """
+    from pyspark.sql import Window
+    o = table(spark, sf_dir, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    first2 = o.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 2)
+    row_toks = F.concat(F.array(F.lit("<Tr>")), _cell(F.array(F.col("o_orderkey").cast("string"))),
+                        _cell(F.array(F.col("o_orderstatus"))), _cell(F.split("o_orderpriority", " ")),
+                        F.array(F.lit("</Tr>")))
+    per_c = first2.groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", row_toks.alias("t")))).alias("_rows"))
+    header = F.concat(F.array(F.lit("<Table>"), F.lit("<Tr>")),
+                      *[_cell(F.array(F.lit(h))) for h in PAGE_HEADER], F.array(F.lit("</Tr>")))
+    c = table(spark, sf_dir, "customer").join(per_c, F.col("c_custkey") == F.col("o_custkey"), "left")
+    body = F.flatten(F.transform(F.coalesce("_rows", F.array().cast(per_c.schema["_rows"].dataType)),
+                                 lambda r: r["t"]))
+    toks = F.concat(header, body, F.array(F.lit("</Table>")))
+    toks = F.when(F.col("c_acctbal") < 0, F.concat(F.array(*[F.lit(t) for t in ISSUES_TOKENS]), toks)).otherwise(toks)
+    pages = c.select(F.col("c_custkey").cast("bigint").alias("page_id"), F.col("c_name").alias("title"),
+                     toks.alias("tokens"), "c_mktsegment")
+    copies = pages.filter(F.col("c_mktsegment") == "BUILDING") \
+        .withColumn("page_id", F.col("page_id") + COPY_OFFSET)
+    allp = pages.unionByName(copies).drop("c_mktsegment")
+    return allp.select("page_id", F.col("page_id").alias("page_no"), "title", "tokens",
+                       F.transform("tokens", lambda t: t.isin(TABLE_TAGS)).alias("html_mask"))
