@@ -323,3 +323,96 @@ ORACLE.update({
         "(SELECT p.page_id, p.title AS caption, r.row, r.vals FROM fpages p JOIN frows r USING (page_id) "
         "WHERE NOT p.issues) GROUP BY page_id, caption", ["fpages", "frows"]),
 })
+
+# --- table search, mining, gold, assembly, linearisation (T8-T12, E7) ----------------------------------
+cte("ftq", "SELECT CAST(n_nationkey * 2 AS BIGINT) AS q, n_nationkey, 'orders in ' || n_name AS question, "
+           "['1-URGENT'] AS answers, '1-urgent' AS ans FROM nation UNION ALL "
+           "SELECT CAST(n_nationkey * 2 + 1 AS BIGINT), n_nationkey, 'orders in ' || n_name || ' none', "
+           "['9-NONE'], '9-none' FROM nation")
+cte("fnt", "SELECT c.table_id, c.page_id, c.caption, cu.c_custkey, cu.c_nationkey AS n_nationkey FROM fclean c "
+           "JOIN customer cu ON c.page_id = cu.c_custkey", ["fclean"])
+
+
+def search_oracle(name: str, k: int, desc: bool) -> None:
+    order = "DESC" if desc else ""
+    cte(name, "SELECT q.q, q.ans, t.table_id, t.page_id, t.caption, CAST(row_number() OVER "
+              f"(PARTITION BY q.q ORDER BY t.c_custkey {order}) AS BIGINT) AS rank FROM ftq q JOIN fnt t USING (n_nationkey) "
+              f"QUALIFY rank <= {k}", ["ftq", "fnt"])
+    cte(name + "_loc", "SELECT s.q, s.table_id, s.page_id, s.caption, s.rank, "
+                       "string_agg(r.row || ':2', ',' ORDER BY r.row) AS answer_pos, list(r.row ORDER BY r.row) "
+                       "FILTER (WHERE r.row IS NOT NULL) AS arows FROM " + name + " s LEFT JOIN frows r "
+                       "ON r.page_id = s.page_id AND r.row > 0 AND list_contains(string_split(lower(r.vals[3]), ' '), s.ans) "
+                       "GROUP BY s.q, s.table_id, s.page_id, s.caption, s.rank", [name, "frows"])
+
+
+search_oracle("fsearch", 60, False)
+search_oracle("fgold", 5, True)
+cte("fmined", "SELECT * FROM (SELECT *, answer_pos IS NOT NULL AS is_positive, "
+              "coalesce(sum(CASE WHEN answer_pos IS NOT NULL THEN 1 ELSE 0 END) OVER w, 0) AS p, "
+              "coalesce(sum(CASE WHEN answer_pos IS NULL THEN 1 ELSE 0 END) OVER w, 0) AS n FROM fsearch_loc "
+              "WINDOW w AS (PARTITION BY q ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) "
+              "WHERE NOT ((p >= 10 AND n >= 10) OR n >= 30)", ["fsearch_loc"])
+cte("finj", "SELECT q, rank, table_id, page_id, caption, answer_pos, arows, is_positive, false AS gold_match FROM fmined "
+            "UNION ALL SELECT q, CAST(-1 AS BIGINT), table_id, page_id, caption, answer_pos, arows, true, true FROM "
+            "(SELECT *, row_number() OVER (PARTITION BY q ORDER BY rank) AS rr FROM fgold_loc WHERE answer_pos IS NOT NULL) "
+            "WHERE rr = 1", ["fmined", "fgold_loc"])
+cte("fgoldpage", "SELECT t.q, p.page_id, p.title AS caption, "
+                 "string_agg(r.row || ':2', ',' ORDER BY r.row) AS answer_pos, list(r.row ORDER BY r.row) AS arows "
+                 "FROM ftq t JOIN (SELECT c_nationkey, min(c_custkey) AS k FROM customer GROUP BY c_nationkey) g "
+                 "ON g.c_nationkey = t.n_nationkey JOIN fpages p ON p.page_id = g.k AND NOT p.issues "
+                 "JOIN frows r ON r.page_id = p.page_id AND r.row > 0 AND "
+                 "list_contains(string_split(lower(r.vals[3]), ' '), t.ans) GROUP BY t.q, p.page_id, p.title",
+    ["ftq", "fpages", "frows"])
+cte("fctx", "SELECT q, 'positive' AS kind, o, page_id, caption, gm, answer_pos, arows FROM ("
+            "SELECT q, CAST(rank AS DOUBLE) AS o, page_id, caption, CASE WHEN gold_match THEN 1 ELSE 0 END AS gm, "
+            "answer_pos, arows FROM finj WHERE is_positive UNION ALL "
+            "SELECT q, 1e9, page_id, caption, 0, answer_pos, arows FROM fgoldpage) UNION ALL "
+            "SELECT q, 'hard_negative', rank, page_id, caption, 0, answer_pos, arows FROM finj WHERE NOT is_positive",
+    ["finj", "fgoldpage"])
+
+
+def linearize_oracle(name: str, max_len: int) -> None:
+    cte(name, "SELECT q, string_agg(lin, chr(10) ORDER BY phase, ord) || chr(10) AS text FROM ("
+              "SELECT *, coalesce(sum(n) OVER (PARTITION BY q ORDER BY phase, ord ROWS BETWEEN UNBOUNDED PRECEDING "
+              "AND 1 PRECEDING), 0) AS prior FROM ("
+              "SELECT f.q, r.row, array_to_string(r.vals, ', ') AS lin, "
+              "list_sum(list_transform(r.vals, lambda v: len(string_split(v, ' ')))) AS n, "
+              "CASE WHEN r.row = 0 THEN 0 WHEN list_contains(f.arows, r.row) THEN 1 ELSE 2 END AS phase, "
+              "CASE WHEN list_contains(f.arows, r.row) THEN list_position(f.arows, r.row) ELSE r.row END AS ord, "
+              "r.row = f.arows[1] AS first_ap FROM "
+              "(SELECT * FROM fctx WHERE kind = 'positive' QUALIFY row_number() OVER (PARTITION BY q ORDER BY o) = 1) f "
+              "JOIN frows r ON r.page_id = f.page_id)) "
+              f"WHERE phase = 0 OR (phase = 1 AND (first_ap OR prior < {max_len})) OR (phase = 2 AND prior < {max_len}) "
+              "GROUP BY q", ["fctx", "frows"])
+
+
+linearize_oracle("flin5", 5)
+linearize_oracle("flin100", 100)
+
+cte("fe7res", "SELECT q.q AS qid, q.ans, c.id, c.table_no, c.text, "
+              "CAST(row_number() OVER (PARTITION BY q.q ORDER BY t.c_custkey, c.id) AS BIGINT) AS rank "
+              "FROM fchunks5 c JOIN fnt t ON t.table_id = c.table_no + 1 JOIN ftq q USING (n_nationkey) "
+              f"QUALIFY rank <= {TOPK}", ["fchunks5", "fnt", "ftq"])
+cte("fe7hit", "SELECT r.qid, r.rank, instr(" + uni_key("r.text") + ", " + uni_key("r.ans") + ") > 0 AS chunk_hit, "
+              "EXISTS (SELECT 1 FROM fchunks5 c2 WHERE c2.table_no = r.table_no AND instr("
+              + uni_key("c2.text") + ", " + uni_key("r.ans") + ") > 0) AS table_hit FROM fe7res r",
+    ["fe7res", "fchunks5"])
+cte("fe7", "SELECT g.k, CAST(count(f.ch) FILTER (WHERE f.ch <= g.k) AS BIGINT) AS chunk_hits, "
+           "CAST(count(f.th) FILTER (WHERE f.th <= g.k) AS BIGINT) AS table_hits, "
+           "(SELECT count(*) FROM ftq) AS nq FROM "
+           f"(SELECT CAST(range AS BIGINT) AS k FROM range(1, {TOPK} + 1)) g, "
+           "(SELECT q.q, min(CASE WHEN h.chunk_hit THEN h.rank END) AS ch, min(CASE WHEN h.table_hit THEN h.rank END) AS th "
+           "FROM ftq q LEFT JOIN fe7hit h ON h.qid = q.q GROUP BY q.q) f GROUP BY g.k", ["fe7hit", "ftq"])
+
+ORACLE.update({
+    "t9_locate_answers": sql("SELECT q, table_id, answer_pos FROM fsearch_loc", ["fsearch_loc"]),
+    "t10_mine_contexts": sql("SELECT q, rank, table_id, is_positive FROM fmined", ["fmined"]),
+    "t11_inject_gold": sql("SELECT q, rank, table_id, is_positive, gold_match FROM finj", ["finj"]),
+    "t12_assemble_table_training": sql(
+        "SELECT q, kind, CAST(row_number() OVER (PARTITION BY q, kind ORDER BY o) - 1 AS BIGINT) AS ord, caption, "
+        "CAST(gm AS BIGINT) AS gold_match, answer_pos FROM fctx", ["fctx"]),
+    "t8_linearize_table": sql("SELECT q, text FROM flin5", ["flin5"]),
+    "t8_linearize_table_long": sql("SELECT q, text FROM flin100", ["flin100"]),
+    "e7_match_table_chunks": sql("SELECT k, chunk_hits, round(chunk_hits / nq, 6) AS chunk_recall, table_hits, "
+                                 "round(table_hits / nq, 6) AS table_recall FROM fe7", ["fe7"]),
+})

@@ -290,3 +290,108 @@ def t13(spark, sf_dir):
                         F.size("t.rows").cast("bigint").alias("n_rows"),
                         F.array_join(F.transform("t.rows", lambda r: F.array_join(
                             F.transform(r["columns"], lambda c: c["value"]), "|")), "\n").alias("rows_text"))
+
+
+def table_mining(spark, sf_dir):
+    clean = clean_table_frame(spark, sf_dir)
+    search = fx.table_search(spark, sf_dir, clean, 60)
+    located = tb.locate_answers(clean.select("table_id", "rows"), search).join(
+        search.select("q", "table_id", "rank"), ["q", "table_id"])
+    return clean, search, located
+
+
+def answer_pos_text(c="answer_pos"):
+    return F.array_join(F.transform(F.col(c), lambda p: F.concat_ws(":", p[0].cast("string"), p[1].cast("string"))),
+                        ",")
+
+
+@query("t9_locate_answers")
+def t9(spark, sf_dir):
+    _, _, located = table_mining(spark, sf_dir)
+    return located.select("q", "table_id", answer_pos_text().alias("answer_pos"))
+
+
+@query("t10_mine_contexts")
+def t10(spark, sf_dir):
+    _, _, located = table_mining(spark, sf_dir)
+    return tb.mine_contexts(located).select("q", "rank", "table_id", "is_positive")
+
+
+def mined_with_gold(spark, sf_dir):
+    clean, _, located = table_mining(spark, sf_dir)
+    gold = fx.table_search(spark, sf_dir, clean, 5, descending=True)
+    gold_loc = tb.locate_answers(clean.select("table_id", "rows"), gold).join(
+        gold.select("q", "table_id", "rank"), ["q", "table_id"])
+    return clean, tb.inject_gold(tb.mine_contexts(located), gold_loc)
+
+
+@query("t11_inject_gold")
+def t11(spark, sf_dir):
+    _, m = mined_with_gold(spark, sf_dir)
+    return m.select("q", "rank", "table_id", "is_positive", "gold_match")
+
+
+def table_training(spark, sf_dir):
+    """T12 on Fx-table-search; the gold page of a question is its nation's smallest-key page."""
+    from pyspark.sql import Window
+    clean, m = mined_with_gold(spark, sf_dir)
+    tq = fx.table_questions(spark, sf_dir)
+    cust = fx.table(spark, sf_dir, "customer")
+    gold_page = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.min("c_custkey").alias("page_id"))
+    _, parsed = parsed_tables(spark, sf_dir)
+    pt = tq.join(gold_page, "n_nationkey").join(parsed.filter(F.col("table_no") >= 0), "page_id") \
+        .select("q", "answers", F.col("table_no").alias("ord"),
+                (F.col("page_id") * 1000 + F.col("table_no")).alias("table_id"), "rows", "caption")
+    loc = tb.locate_answers(pt.select("table_id", "rows").dropDuplicates(["table_id"]),
+                            pt.select("q", "table_id", "answers"))
+    pp = pt.join(loc, ["q", "table_id"]).filter(F.col("answer_pos").isNotNull()) \
+        .select("q", "ord", tb.to_nested_json().alias("t"), "answer_pos")
+    tj = clean.select("table_id", tb.to_nested_json().alias("t"))
+    return tb.assemble_table_training(m, pp, tq.select("q", "question", "id", "answers"), tj)
+
+
+@query("t12_assemble_table_training")
+def t12(spark, sf_dir):
+    s = table_training(spark, sf_dir)
+    pos = s.select("q", F.posexplode("positive_ctxs").alias("ord", "c")).withColumn("kind", F.lit("positive"))
+    neg = s.select("q", F.posexplode("hard_negative_ctxs").alias("ord", "c")).withColumn("kind", F.lit("hard_negative"))
+    u = pos.unionByName(neg)
+    return u.select("q", "kind", F.col("ord").cast("bigint").alias("ord"), F.col("c.caption").alias("caption"),
+                    F.coalesce(F.col("c.gold_match"), F.lit(0)).cast("bigint").alias("gold_match"),
+                    answer_pos_text("c.answer_pos").alias("answer_pos"))
+
+
+def linearized(spark, sf_dir, max_len):
+    s = table_training(spark, sf_dir)
+    first_pos = s.filter(F.size("positive_ctxs") > 0).select(F.col("q").alias("sample_id"),
+                                                             F.get(F.col("positive_ctxs"), 0).alias("t"))
+    return tb.linearize_tables(first_pos, max_len=max_len, is_positive=True)
+
+
+@query("t8_linearize_table")
+def t8(spark, sf_dir):
+    return linearized(spark, sf_dir, 5).select(F.col("sample_id").alias("q"), "text")
+
+
+@query("t8_linearize_table_long")
+def t8l(spark, sf_dir):
+    return linearized(spark, sf_dir, 100).select(F.col("sample_id").alias("q"), "text")
+
+
+@query("e7_match_table_chunks")
+def e7(spark, sf_dir):
+    from pyspark.sql import Window
+    clean = clean_table_frame(spark, sf_dir)
+    chunks = tb.chunk_tables(clean.select("table_id", tb.to_nested_json().alias("t")), 5) \
+        .select(F.col("id").cast("string").alias("id"), "text", "title", (F.col("table_no") + 1).alias("table_id"))
+    nt = fx.nation_tables(spark, sf_dir, clean)
+    cand = chunks.join(nt, "table_id").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy("c_custkey", F.col("id").cast("bigint")))
+        .cast("bigint")).filter(F.col("rank") <= TOPK)
+    tq = fx.table_questions(spark, sf_dir)
+    results = tq.select("q", "n_nationkey").join(cand, "n_nationkey").select(
+        F.col("q").alias("qid"), "rank", F.col("id").alias("doc_id"))
+    qs = tq.select(F.col("q").alias("qid"), "question", "answers")
+    ch, tb_hits = ev.match_table_chunks(results, chunks, qs, TOPK)
+    return ch.select("k", F.col("hits").alias("chunk_hits"), F.round("recall", 6).alias("chunk_recall")).join(
+        tb_hits.select("k", F.col("hits").alias("table_hits"), F.round("recall", 6).alias("table_recall")), "k")

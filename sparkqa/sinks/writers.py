@@ -140,7 +140,7 @@ def ctx_match_shards(training: DataFrame, shard_size: int = 3000) -> DataFrame:
     by `` . ``, rows appended with no separator) + `` . ``; id = running index over samples in
     order; shard = id // shard_size.  Write with ``.write.partitionBy('shard')``."""
     has = training.filter(F.size("positive_ctxs") > 0)
-    first = F.col("positive_ctxs")[0]
+    first = F.get(F.col("positive_ctxs"), 0)
     rows_txt = F.array_join(F.transform(F.array_sort(first["rows"]),
                                         lambda r: F.array_join(F.transform(F.array_sort(r["columns"]),
                                                                            lambda c: c["value"]), " . ")), "")

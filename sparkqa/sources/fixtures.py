@@ -93,3 +93,34 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     allp = pages.unionByName(copies).drop("c_mktsegment")
     return allp.select("page_id", F.col("page_id").alias("page_no"), "title", "tokens",
                        F.transform("tokens", lambda t: t.isin(TABLE_TAGS)).alias("html_mask"))
+
+
+def table_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fx-table-search questions: per nation ``orders in <n_name>`` with answers ['1-URGENT']
+    (q = 2 * nationkey) and ``orders in <n_name> none`` with ['9-NONE'] (q = 2 * nationkey + 1)."""
+    n = table(spark, sf_dir, "nation")
+    a = n.select((F.col("n_nationkey") * 2).cast("bigint").alias("q"), "n_nationkey",
+                 F.concat(F.lit("orders in "), "n_name").alias("question"),
+                 F.array(F.lit("1-URGENT")).alias("answers"))
+    b = n.select((F.col("n_nationkey") * 2 + 1).cast("bigint").alias("q"), "n_nationkey",
+                 F.concat(F.lit("orders in "), "n_name", F.lit(" none")).alias("question"),
+                 F.array(F.lit("9-NONE")).alias("answers"))
+    return a.unionByName(b).withColumn("id", F.concat(F.lit("q"), F.col("q").cast("string")))
+
+
+def nation_tables(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
+    """Cleaned tables with their customer's nation and key: ``table_id, c_custkey, n_nationkey``."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    return clean.join(c, clean["page_id"] == c["c_custkey"]).select("table_id", "c_custkey", "n_nationkey")
+
+
+def table_search(spark: SparkSession, sf_dir: str, clean: DataFrame, k: int = 60, descending: bool = False
+                 ) -> DataFrame:
+    """Fx-table-search candidates ``q, rank, table_id, answers``: the tables of the nation's
+    customers by c_custkey (descending for the gold list), top ``k``."""
+    from pyspark.sql import Window
+    nt = nation_tables(spark, sf_dir, clean)
+    order = F.col("c_custkey").desc() if descending else F.col("c_custkey")
+    nt = nt.withColumn("rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy(order)).cast("bigint")) \
+        .filter(F.col("rank") <= k)
+    return table_questions(spark, sf_dir).join(nt, "n_nationkey").select("q", "rank", "table_id", "answers")
