@@ -416,3 +416,88 @@ ORACLE.update({
     "e7_match_table_chunks": sql("SELECT k, chunk_hits, round(chunk_hits / nq, 6) AS chunk_recall, table_hits, "
                                  "round(table_hits / nq, 6) AS table_recall FROM fe7", ["fe7"]),
 })
+
+# --- sources and sinks (S1-S13, K1-K8): the file round trip must be the identity ----------------------
+JOIN_ANS = "array_to_string(answers, '|')"
+
+
+def n1(expr: str, suffix: str = "") -> str:
+    x = f"replace({expr}, '’', {Q}{Q}{Q}{Q})"
+    return f"CASE WHEN suffix({x}, '{suffix}') THEN {x} ELSE {x} || '{suffix}' END" if suffix else x
+
+
+def n2(expr: str) -> str:
+    return (f"regexp_replace(regexp_replace(replace(replace({expr}, chr(10), ' '), '’', {Q}{Q}{Q}{Q}), "
+            "'^\"', ''), '\"$', '')")
+
+
+cte("thits", "SELECT h.qid, h.rank, h.doc_id, h.has_answer, p.text, p.title FROM hits h "
+             "LEFT JOIN ptext p ON p.id = h.doc_id", ["hits", "ptext"])
+cte("tsamples", "SELECT q.qid, q.question || '’' AS question, "
+                "coalesce(count(*) FILTER (WHERE t.has_answer), 0) AS n_pos, "
+                "coalesce(count(*) FILTER (WHERE NOT t.has_answer), 0) AS n_hard, "
+                "coalesce(string_agg(t.doc_id, '|' ORDER BY t.rank) FILTER (WHERE t.has_answer), '') AS pos_ids "
+                "FROM questions q LEFT JOIN thits t USING (qid) GROUP BY q.qid, q.question", ["questions", "thits"])
+cte("gold_in", "SELECT q.qid, q.question, replace(q.question, ' ', '  ') AS question_tokens, "
+               "lower(coalesce(upper(c.title), 'NONE')) AS title, b.text AS context, CAST(q.qid AS VARCHAR) AS example_id "
+               "FROM questions q JOIN benchmark b ON b.item_id = q.qid LEFT JOIN "
+               "(SELECT qid, min(rank) AS rank FROM hits WHERE has_answer GROUP BY qid) f USING (qid) "
+               "LEFT JOIN results r ON r.qid = f.qid AND r.rank = f.rank LEFT JOIN corpus c ON c.id = r.doc_id",
+    ["questions", "hits", "results", "corpus"])
+
+ORACLE.update({
+    "s1_read_corpus": sql("SELECT id, coalesce(text, '') AS text, coalesce(title, '') AS title, row_no FROM corpus",
+                          ["corpus"]),
+    "s2_read_contexts": sql(f"SELECT 'wiki:' || id AS id, {n2(chr(39) + chr(34) + chr(39) + ' || text || ' + chr(39) + chr(34) + chr(39))} AS text, title FROM corpus".replace(
+        "regexp_replace(regexp_replace(replace(replace('\"' || text || '\"'",
+        "regexp_replace(regexp_replace(replace(replace(trim('\"' || text || '\"', '\"')"), ["corpus"]),
+    "s3_read_qa_csv": sql(f"SELECT qid, question, {JOIN_ANS} AS answers, false AS parse_error FROM questions",
+                          ["questions"]),
+    "s4_read_qa_json": sql(f"SELECT question, {JOIN_ANS} AS answers, CAST(qid AS VARCHAR) AS entity FROM questions",
+                           ["questions"]),
+    "s5_read_qa_jsonl": sql(f"SELECT CAST(qid AS VARCHAR) AS id, {n1('question || ' + Q + '’s' + Q)} AS question, "
+                            f"CASE WHEN len(answers) >= 2 THEN {JOIN_ANS} ELSE '' END AS answers FROM questions",
+                            ["questions"]),
+    "s6_read_kilt_qa": sql(f"SELECT CAST(qid AS VARCHAR) AS id, question, {JOIN_ANS} AS answers FROM questions",
+                           ["questions"]),
+    "s7_join_transcripts": sql(f"SELECT qid, lower(question) AS question, CAST(length(question) + 1 AS BIGINT) "
+                               f"AS marker_pos, {JOIN_ANS} AS answers FROM questions", ["questions"]),
+    "s8_read_datasets": sql("SELECT dataset, CAST(n AS BIGINT) AS n FROM (SELECT 'webq-test' AS dataset, count(*) AS n "
+                            "FROM questions UNION ALL SELECT 'trivia-dev', count(*) FROM questions)", ["questions"]),
+    "s9_read_training_json": sql("SELECT question, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_hard AS BIGINT) AS n_hard, "
+                                 "pos_ids FROM tsamples WHERE n_pos > 0", ["tsamples"]),
+    "s10_read_training_jsonl": sql("SELECT question, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_hard AS BIGINT) AS n_hard, "
+                                   "pos_ids FROM tsamples", ["tsamples"]),
+    "s11_read_table_pages": sql(
+        "SELECT page_id, CAST(CASE WHEN issues THEN -1 ELSE 0 END AS BIGINT) AS table_no, "
+        "CASE WHEN issues THEN NULL ELSE caption END AS caption, CASE WHEN issues THEN NULL ELSE key END AS key, "
+        "CASE WHEN issues THEN 'content before any table' END AS error FROM ftables", ["ftables"]),
+    "s12_read_search_results": sql("SELECT t.question, s.rank, CAST(100.0 - s.rank AS DOUBLE) AS score, s.table_id, false AS truncated "
+                                   "FROM fsearch s JOIN ftq t USING (q)", ["fsearch", "ftq"]),
+    "s13_read_gold_passages": sql(
+        "SELECT key, arg_max(question, qid) AS question, arg_max(title, qid) AS title, arg_max(context, qid) AS context, "
+        "arg_max(example_id, qid) AS example_id FROM (SELECT question AS key, * FROM gold_in UNION ALL "
+        "SELECT question_tokens AS key, * FROM gold_in) GROUP BY key", ["gold_in"]),
+    "k1_result_report": sql(
+        "SELECT q.qid, q.question, min(t.rank) FILTER (WHERE t.has_answer) AS hit_min_rank, "
+        "coalesce(string_agg(CAST(t.rank AS VARCHAR), ',' ORDER BY t.rank) FILTER (WHERE t.has_answer), '') AS all_hits, "
+        "CAST(count(t.rank) AS BIGINT) AS n_ctxs, coalesce(string_agg(t.doc_id, ',' ORDER BY t.rank), '') AS ctx_ids, "
+        "CAST(coalesce(sum(length(coalesce(t.text, ''))), 0) AS BIGINT) AS text_len "
+        "FROM questions q LEFT JOIN thits t USING (qid) GROUP BY q.qid, q.question", ["questions", "thits"]),
+    "k2_write_recall": sql("SELECT k, round(recall, 6) AS recall FROM recall", ["recall"]),
+    "k3_save_results": sql("SELECT qid, rank, doc_id, round(score, 6) AS score FROM results", ["results"]),
+    "k4_index_round_trip": sql("SELECT qid, rank, doc_id, round(score, 6) AS score FROM results", ["results"]),
+    "k6_qa_jsonl_to_tsv": sql("SELECT question, CASE WHEN q % 2 = 0 THEN '[''1-URGENT'']' ELSE '[]' END AS answers "
+                              "FROM ftq", ["ftq"]),
+    "k7_ctx_match_shards": sql(
+        "SELECT CAST(row_number() OVER (ORDER BY q) - 1 AS BIGINT) AS id, "
+        "CAST((row_number() OVER (ORDER BY q) - 1) // 10 AS BIGINT) AS shard, question, text FROM ("
+        "SELECT f.q, t.question, f.caption || ' . ' || string_agg(array_to_string(r.vals, ' . '), '' ORDER BY r.row) "
+        "|| ' . ' AS text FROM (SELECT * FROM fctx WHERE kind = 'positive' "
+        "QUALIFY row_number() OVER (PARTITION BY q ORDER BY o) = 1) f JOIN ftq t USING (q) "
+        "JOIN frows r ON r.page_id = f.page_id GROUP BY f.q, t.question, f.caption)", ["fctx", "ftq", "frows"]),
+    "k8_kilt_provenance": sql(
+        "SELECT q.qid, 'k' || q.qid AS id, q.question AS input, coalesce(string_agg((CAST(r.doc_id AS BIGINT) // 10) "
+        "|| ':' || (CAST(r.doc_id AS BIGINT) % 10), ',' ORDER BY r.rank), '') AS provenance, CAST(0 AS BIGINT) AS missing "
+        "FROM questions q LEFT JOIN results r USING (qid) GROUP BY q.qid, q.question", ["questions", "results"]),
+})

@@ -18,6 +18,7 @@ from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
 from sparkqa.operators import tables as tb
 from sparkqa.sinks import writers as wr
+from sparkqa.sources import files as fs
 from sparkqa.plans.oracle import TOPK
 from sparkqa.sources import fixtures as fx
 
@@ -395,3 +396,243 @@ def e7(spark, sf_dir):
     ch, tb_hits = ev.match_table_chunks(results, chunks, qs, TOPK)
     return ch.select("k", F.col("hits").alias("chunk_hits"), F.round("recall", 6).alias("chunk_recall")).join(
         tb_hits.select("k", F.col("hits").alias("table_hits"), F.round("recall", 6).alias("table_recall")), "k")
+
+
+# --- sources and sinks (file round trips in the shared scratch folder) ----------------------------
+def _scratch(spark, name):
+    from sparkqa.session import scratch_path
+    return scratch_path(spark, name)
+
+
+def _joined(c):
+    return F.array_join(F.col(c), "|")
+
+
+@query("s1_read_corpus")
+def s1(spark, sf_dir):
+    path = _scratch(spark, "corpus-tsv")
+    wr.write_tsv(fx.corpus(spark, sf_dir).orderBy("row_no").select("id", "text", "title"), path, header=True)
+    return fs.read_corpus(spark, path).select("id", "text", "title", "row_no")
+
+
+@query("s2_read_contexts")
+def s2(spark, sf_dir):
+    path = _scratch(spark, "contexts-tsv")
+    c = fx.corpus(spark, sf_dir).select("id", F.concat(F.lit('"'), "text", F.lit('"')).alias("text"), "title")
+    wr.write_tsv(c, path, header=True)
+    return fs.read_contexts(spark, path, id_prefix="wiki:", normalize=True).select("id", "text", "title")
+
+
+@query("s3_read_qa_csv")
+def s3(spark, sf_dir):
+    path = _scratch(spark, "qa-csv")
+    q = fx.questions(spark, sf_dir).orderBy("qid")
+    wr.write_tsv(q.select("question", wr.py_list_literal("answers").alias("answers")), path)
+    out = fs.read_qa_csv(spark, path)
+    return out.select("qid", "question", _joined("answers").alias("answers"), "parse_error")
+
+
+@query("s4_read_qa_json")
+def s4(spark, sf_dir):
+    path = _scratch(spark, "qa-json")
+    q = fx.questions(spark, sf_dir)
+    wr.write_json_arrays(q.select("question", "answers", F.col("qid").cast("string").alias("entity")), path)
+    return fs.read_qa_json(spark, path).select("question", _joined("answers").alias("answers"), "entity")
+
+
+@query("s5_read_qa_jsonl")
+def s5(spark, sf_dir):
+    path = _scratch(spark, "qa-jsonl")
+    q = fx.questions(spark, sf_dir).select(
+        F.concat("question", F.lit("’s")).alias("question"),
+        F.when(F.size("answers") >= 2, F.col("answers")).alias("answers"), F.col("qid").cast("string").alias("id"))
+    q.write.mode("overwrite").json(path)
+    return fs.read_qa_jsonl(spark, path).select("id", "question", _joined("answers").alias("answers"))
+
+
+@query("s6_read_kilt_qa")
+def s6(spark, sf_dir):
+    path = _scratch(spark, "kilt-jsonl")
+    q = fx.questions(spark, sf_dir)
+    out = F.concat(F.transform("answers", lambda a: F.struct(a.alias("answer"))),
+                   F.array(F.struct(F.lit(None).cast("string").alias("answer"))))
+    q.select(F.col("qid").cast("string").alias("id"), F.col("question").alias("input"), out.alias("output")) \
+        .write.mode("overwrite").json(path)
+    return fs.read_kilt_qa(spark, path).select("id", "question", _joined("answers").alias("answers"))
+
+
+@query("s7_join_transcripts")
+def s7(spark, sf_dir):
+    path = _scratch(spark, "transcripts")
+    q = fx.questions(spark, sf_dir)
+    lines = q.select(F.concat(F.upper("question"), F.lit(" (None-"), F.col("qid").cast("string"), F.lit(")")).alias("line"))
+    wr.write_tsv(lines, path)
+    t = fs.read_tsv(spark, path, ["line"])
+    out = fs.join_transcripts(q, t)
+    return out.select("qid", "question", "marker_pos", _joined("answers").alias("answers"))
+
+
+@query("s8_read_datasets")
+def s8(spark, sf_dir):
+    root = _scratch(spark, "datasets")
+    q = fx.questions(spark, sf_dir)
+    wr.write_tsv(q.select("question", wr.py_list_literal("answers").alias("answers")), f"{root}/webq.test.csv")
+    wr.write_json_arrays(q.select("question", "answers"), f"{root}/trivia.dev.json")
+    ds = fs.read_datasets(spark, f"{root}/*.csv,{root}/*.json")
+    return fs.dataset_counts(ds)
+
+
+def training_samples(spark, sf_dir):
+    """Fx-training: per question, positives = string-match hits of Fx-results (``score`` only
+    on odd ranks), hard negatives = the other results; questions without hits have none."""
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    hits = ev.match_string(r, corpus, qs).join(r.select("qid", "rank", "score"), ["qid", "rank"])
+    p = rt.passage_lookup(hits, corpus)
+    ctx = F.struct(F.col("rank"), F.col("text"), F.col("title"),
+                   F.when(F.col("rank") % 2 == 1, F.col("score")).alias("score"), F.col("doc_id").alias("passage_id"))
+    agg = p.groupBy("qid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("has_answer"), ctx))).alias("_pos"),
+        F.array_sort(F.collect_list(F.when(~F.col("has_answer"), ctx))).alias("_neg"))
+    strip = lambda c: F.transform(c, lambda x: F.struct(x["text"].alias("text"), x["title"].alias("title"),
+                                                         x["score"].alias("score"), x["passage_id"].alias("passage_id")))
+    s = qs.join(agg, "qid", "left")
+    return s.select("qid", F.concat(F.col("question"), F.lit("’")).alias("question"), "answers",
+                    strip(F.coalesce("_pos", F.array())).alias("positive_ctxs"),
+                    F.array().cast(fs.CTX).alias("negative_ctxs"),
+                    strip(F.coalesce("_neg", F.array())).alias("hard_negative_ctxs"))
+
+
+def _training_summary(df):
+    return df.select("question", F.size("positive_ctxs").cast("bigint").alias("n_pos"),
+                     F.size("hard_negative_ctxs").cast("bigint").alias("n_hard"),
+                     F.array_join(F.transform("positive_ctxs", lambda c: c["passage_id"]), "|").alias("pos_ids"))
+
+
+@query("s9_read_training_json")
+def s9(spark, sf_dir):
+    path = _scratch(spark, "train-json")
+    wr.write_json_arrays(training_samples(spark, sf_dir).drop("qid"), path)
+    return _training_summary(fs.read_training_json(spark, path))
+
+
+@query("s10_read_training_jsonl")
+def s10(spark, sf_dir):
+    path = _scratch(spark, "train-jsonl")
+    training_samples(spark, sf_dir).drop("qid").write.mode("overwrite").json(path)
+    return _training_summary(fs.read_training_jsonl(spark, path))
+
+
+@query("s11_read_table_pages")
+def s11(spark, sf_dir):
+    path = _scratch(spark, "pages-jsonl")
+    fx.table_pages(spark, sf_dir).select("page_id", "title", "tokens", "html_mask").write.mode("overwrite").json(path)
+    pages = fs.read_table_pages(spark, path)
+    t = tb.extract_tables(pages)
+    return t.select("page_id", F.col("table_no").cast("bigint").alias("table_no"), "caption",
+                    F.when(F.col("rows").isNotNull(), tb.table_key()).alias("key"), "error")
+
+
+@query("s12_read_search_results")
+def s12(spark, sf_dir):
+    path = _scratch(spark, "search-tsv")
+    clean = clean_table_frame(spark, sf_dir)
+    search = fx.table_search(spark, sf_dir, clean, 60)
+    tq = fx.table_questions(spark, sf_dir)
+    lines = search.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
+        .join(tq, "q").select("q", F.concat_ws("\t", "question", wr.py_list_literal("answers"), F.array_join(
+            F.transform("c", lambda x: F.concat(F.format_string("%.1f", (F.lit(100.0) - x["rank"])), F.lit(","),
+                                                x["table_id"].cast("string"))), "\t")).alias("line"))
+    lines.orderBy("q").select("line").write.mode("overwrite").text(path)
+    out = fs.read_search_results(spark, path, 100)
+    return out.select("question", "rank", "score", "table_id", "truncated")
+
+
+@query("s13_read_gold_passages")
+def s13(spark, sf_dir):
+    path = _scratch(spark, "gold-json")
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    first_hit = ev.match_string(r, corpus, qs).filter("has_answer").groupBy("qid").agg(F.min("rank").alias("rank"))
+    titled = first_hit.join(r, ["qid", "rank"]).join(corpus.select(F.col("id").alias("doc_id"), "title"), "doc_id")
+    b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("context"))
+    g = qs.join(titled.select("qid", "title"), "qid", "left").join(b, "qid").select(
+        "question", F.regexp_replace("question", " ", "  ").alias("question_tokens"),
+        F.upper(F.coalesce("title", F.lit("none"))).alias("title"), "context",
+        F.col("qid").cast("string").alias("example_id"))
+    g.groupBy(F.spark_partition_id().alias("_p")).agg(F.to_json(F.struct(F.collect_list(F.struct(*g.columns))
+                                                                           .alias("data"))).alias("v")) \
+        .select("v").write.mode("overwrite").text(path)
+    return fs.read_gold_passages(spark, path).select("key", "question", "title", "context", "example_id")
+
+
+@query("k1_result_report")
+def k1(spark, sf_dir):
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    rep = wr.result_report(r, qs, corpus, ev.match_string(r, corpus, qs))
+    path = _scratch(spark, "report-json")
+    wr.write_result_report(rep, path)
+    back = spark.read.schema(rep.schema).json(path)
+    return back.select("qid", "question", "hit_min_rank",
+                       F.array_join(F.transform("all_hits", lambda x: x.cast("string")), ",").alias("all_hits"),
+                       F.size("ctxs").cast("bigint").alias("n_ctxs"),
+                       F.array_join(F.transform("ctxs", lambda c: c["id"]), ",").alias("ctx_ids"),
+                       F.aggregate("ctxs", F.lit(0).cast("bigint"), lambda a, c: a + F.length(c["text"])).alias("text_len"))
+
+
+@query("k2_write_recall")
+def k2(spark, sf_dir):
+    path = _scratch(spark, "recall-csv")
+    wr.write_recall(e5(spark, sf_dir), path)
+    back = spark.read.schema("k bigint, recall double").csv(path)
+    return back.select("k", F.round("recall", 6).alias("recall"))
+
+
+@query("k3_save_results")
+def k3(spark, sf_dir):
+    path = _scratch(spark, "results-parquet")
+    wr.save_results(bm25_results(spark, sf_dir), path)
+    return wr.load_results(spark, path).select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("k4_index_round_trip")
+def k4(spark, sf_dir):
+    root = _scratch(spark, "index")
+    params = {"k1": 1.2, "b": 0.75, "min_df": 2, "max_df_ratio": 0.3}
+    path = wr.index_path(root, "bm25", params, "documents")
+    idx = wr.load_or_build_bm25(spark, fx.corpus(spark, sf_dir), path, **params)
+    r = rt.bm25_topk(fx.questions(spark, sf_dir), idx, TOPK)
+    return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("k6_qa_jsonl_to_tsv")
+def k6(spark, sf_dir):
+    tq = fx.table_questions(spark, sf_dir).select(
+        "question", F.when(F.col("q") % 2 == 0, F.col("answers")).alias("short_answers"))
+    path = _scratch(spark, "qa-tsv")
+    wr.write_tsv(wr.qa_jsonl_to_tsv(tq), path)
+    return fs.read_tsv(spark, path, ["question", "answers"])
+
+
+@query("k7_ctx_match_shards")
+def k7(spark, sf_dir):
+    s = table_training(spark, sf_dir).withColumnRenamed("q", "sample_no")
+    out = wr.ctx_match_shards(s, 10)
+    path = _scratch(spark, "ctx-shards")
+    out.write.mode("overwrite").partitionBy("shard").json(path)
+    return spark.read.schema("id bigint, question string, text string, shard bigint").json(path) \
+        .select("id", "shard", "question", "text")
+
+
+@query("k8_kilt_provenance")
+def k8(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    mapping = docs.select(F.col("doc_id").alias("ctx_id"), (F.col("doc_id") / 10).cast("bigint").alias("wikipedia_id"),
+                          (F.col("doc_id") % 10).alias("end_paragraph_id"))
+    gold = fx.questions(spark, sf_dir).select("qid", F.concat(F.lit("k"), F.col("qid").cast("string")).alias("id"),
+                                             F.col("question").alias("input"))
+    out = wr.to_kilt_provenance(bm25_results(spark, sf_dir), mapping, gold)
+    return out.select("qid", "id", "input", F.array_join(F.transform("provenance", lambda p: F.concat_ws(
+        ":", p["wikipedia_id"].cast("string"), p["end_paragraph_id"].cast("string"))), ",").alias("provenance"),
+        "missing")

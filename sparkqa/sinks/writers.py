@@ -18,7 +18,16 @@ from sparkqa.sources.files import TSV_OPTIONS
 
 def write_tsv(df: DataFrame, path: str, header: bool = False, sep: str = "\t", mode: str = "overwrite") -> None:
     """Tab CSV with standard quoting (doubled quotes), readable by ``read_tsv``."""
-    df.write.mode(mode).options(**{**TSV_OPTIONS, "sep": sep, "header": str(header).lower()}).csv(path)
+    df.write.mode(mode).options(**{**TSV_OPTIONS, "sep": sep, "header": str(header).lower(),
+                                   "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                                   "quoteAll": "false"}).csv(path)
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """One JSON array file per partition (the layout of JSON-array inputs); each file holds
+    only its partition's rows."""
+    arr = df.groupBy(F.spark_partition_id().alias("_p")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("v"))
+    arr.select("v").write.mode("overwrite").text(path)
 
 
 def py_list_literal(c) -> F.Column:

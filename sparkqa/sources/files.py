@@ -51,7 +51,8 @@ def read_corpus(spark: SparkSession, path, dedup: str | None = None) -> DataFram
     raw = read_tsv(spark, path, ["id", "text", "title"])
     raw = raw.select(_strip_bom(F.col("id")).alias("id"), F.coalesce("text", F.lit("")).alias("text"),
                      F.coalesce("title", F.lit("")).alias("title"))
-    df = with_file_order(raw).filter(F.col("id").isNull() | (F.col("id") != "id"))
+    # header rows are dropped before numbering: row_no is the position among passages
+    df = with_file_order(raw.filter(F.col("id").isNull() | (F.col("id") != "id")))
     if dedup == "last":
         from sparkqa.operators.retrieve import passages_last_wins
         df = passages_last_wins(df)
@@ -64,7 +65,7 @@ def read_contexts(spark: SparkSession, path, id_col: int = 0, text_col: int = 1,
     """Like S1 with configurable columns; optional id prefix; text stripped of every leading
     and trailing ``"``; optional N2; the last duplicate id wins."""
     cols = [f"c{i}" for i in range(max(n_cols, id_col + 1, text_col + 1, title_col + 1))]
-    raw = with_file_order(read_tsv(spark, path, cols)).filter(F.col(f"c{id_col}") != "id")
+    raw = with_file_order(read_tsv(spark, path, cols).filter(F.col(f"c{id_col}") != "id"))
     sid = F.col(f"c{id_col}")
     if id_prefix:
         sid = F.concat(F.lit(id_prefix), sid)
@@ -185,21 +186,31 @@ def join_transcripts(qa: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 
 # --- S8 ------------------------------------------------------------------------------------------
+def dataset_name(path_col) -> F.Column:
+    """File stem with ``.`` replaced by ``-``; a Spark part file is named by its folder."""
+    parts = F.split(path_col, "/")
+    leaf = F.element_at(parts, -1)
+    name = F.when(leaf.startswith("part-"), F.element_at(parts, -2)).otherwise(leaf)
+    stem = F.regexp_replace(name, r"\.[^.]*$", "")
+    return F.replace(stem, F.lit("."), F.lit("-"))
+
+
 def read_datasets(spark: SparkSession, patterns: str, catalog: dict | None = None) -> DataFrame:
     """Comma-separated paths/globs (or catalog names) to one question table with a
-    ``dataset`` column = file stem with ``.`` replaced by ``-``; ``.csv`` files are question
-    CSVs, others JSON arrays."""
-    import glob
-    import os
-    files: list[str] = []
-    for p in patterns.split(","):
-        p = (catalog or {}).get(p, p)
-        files.extend(sorted(glob.glob(p)) or [p])
+    ``dataset`` column (file stem, ``.`` to ``-``).  Patterns ending in ``.csv`` are question
+    CSVs, others JSON arrays; Spark expands the globs, one scan per format."""
+    pats = [(catalog or {}).get(p, p) for p in patterns.split(",") if p]
+    csvs = [p for p in pats if p.rstrip("/").endswith(".csv")]
+    jsons = [p for p in pats if p not in csvs]
     frames = []
-    for f in files:
-        df = read_qa_csv(spark, f) if f.endswith(".csv") else read_qa_json(spark, f)
-        stem = os.path.splitext(os.path.basename(f))[0].replace(".", "-")
-        frames.append(df.select(F.lit(stem).alias("dataset"), "qid", "question", "answers"))
+    if csvs:
+        raw = read_tsv(spark, csvs, ["c0", "c1"]).filter(F.col("c1").isNotNull())
+        frames.append(raw.select(dataset_name(F.col("_metadata.file_path")).alias("dataset"),
+                                 F.col("c0").alias("question"), parse_answer_literal("c1").alias("answers")))
+    if jsons:
+        raw = spark.read.schema(QA_JSON_SCHEMA).json(jsons, multiLine=True)
+        frames.append(raw.select(dataset_name(F.col("_metadata.file_path")).alias("dataset"),
+                                 "question", "answers", "entity"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
