@@ -161,3 +161,52 @@ def token_ngrams(tokens, n: int = 2, keep=None) -> Column:
         parts.append(F.transform(prev, _gram_struct(k)))
     out = F.concat(*parts) if len(parts) > 1 else parts[0]
     return F.filter(out, keep) if keep is not None else out
+
+
+# --- N8 -------------------------------------------------------------------------------------------
+# A token followed by the separators up to the next token (its "text with whitespace").
+TOKEN_WS_PATTERN = r"(?:[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}])[\p{Z}\p{C}]*"
+
+
+def token_spans(df, key: str, text_col: str = "text"):
+    """Long table ``key, pos, token, start, end, text_ws`` (offsets in characters, end
+    exclusive; the last token's ``text_ws`` has no trailing separators).
+
+    Pieces of token + following separators come from one regex pass; offsets are the length
+    of the leading separators plus a running sum of piece lengths over the document's pieces.
+    """
+    from pyspark.sql import Window
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    pieces = df.select(key, F.length(F.regexp_extract(t, r"^[\p{Z}\p{C}]*", 0)).alias("_lead"),
+                       F.posexplode(F.regexp_extract_all(t, F.lit(TOKEN_WS_PATTERN), 0)).alias("pos", "_piece"))
+    tok = F.regexp_extract("_piece", r"^(?:[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}])", 0)
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    wl = Window.partitionBy(key)
+    p = pieces.withColumn("token", tok) \
+        .withColumn("start", (F.col("_lead") + F.coalesce(F.sum(F.length("_piece")).over(w), F.lit(0))).cast("bigint")) \
+        .withColumn("_last", F.col("pos") == F.max("pos").over(wl))
+    return p.select(key, F.col("pos").cast("bigint").alias("pos"), "token", "start",
+                    (F.col("start") + F.length("token")).cast("bigint").alias("end"),
+                    F.when(F.col("_last"), F.col("token")).otherwise(F.col("_piece")).alias("text_ws"))
+
+
+def untokenize(spans_df, key: str):
+    """``untokenize``: the document's ``text_ws`` pieces in order, joined and stripped."""
+    agg = spans_df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "text_ws"))).alias("_p"))
+    return agg.select(key, F.trim(F.array_join(F.transform("_p", lambda x: x["text_ws"]), "")).alias("text"))
+
+
+# --- N10 ------------------------------------------------------------------------------------------
+def entity_groups(tagged, key: str, pos: str, token: str, tag: str, non_entity: str = "O"):
+    """Runs of consecutive tokens with the same tag (other than ``non_entity``) as
+    ``key, group_no, text, tag, start, n`` (gaps and islands over the key's token order)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(key).orderBy(pos)
+    s = tagged.withColumn("_new", (F.lag(tag).over(w).isNull() | (F.lag(tag).over(w) != F.col(tag))).cast("int"))
+    s = s.withColumn("_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    g = s.filter(F.col(tag) != non_entity).groupBy(key, "_isl", tag).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(token).alias("t")))).alias("_toks"),
+        F.min(pos).alias("start"), F.count(F.lit(1)).alias("n"))
+    return g.select(key, (F.col("_isl") - 1).cast("bigint").alias("group_no"),
+                    F.array_join(F.transform("_toks", lambda x: x["t"]), " ").alias("text"), tag,
+                    F.col("start").cast("bigint").alias("start"), F.col("n").cast("bigint").alias("n"))

@@ -501,3 +501,145 @@ ORACLE.update({
         "|| ':' || (CAST(r.doc_id AS BIGINT) % 10), ',' ORDER BY r.rank), '') AS provenance, CAST(0 AS BIGINT) AS missing "
         "FROM questions q LEFT JOIN results r USING (qid) GROUP BY q.qid, q.question", ["questions", "results"]),
 })
+
+# --- training-set preparation (R1-R8, N8, N10-N12, N15, A7, X5) ----------------------------------------
+SPANS = ("flatten(list_transform(atk, lambda a: list_transform(list_filter(range(0, greatest(len(tokens) - len(a) + 1, 0)), "
+         "lambda i: len(a) > 0 AND tokens[i + 1:i + len(a)] = a), lambda i: {'s': i, 'e': i + len(a) - 1})))")
+
+
+def spans_str(expr: str, shift: str = "0") -> str:
+    return f"array_to_string(list_transform({expr}, lambda x: (x.s + {shift}) || '-' || (x.e + {shift})), ',')"
+
+
+cte("rgold", "SELECT key, arg_max(title, qid) AS title FROM (SELECT question AS key, * FROM gold_in UNION ALL "
+             "SELECT question_tokens AS key, * FROM gold_in) GROUP BY key", ["gold_in"])
+cte("rctx", f"SELECT h.qid, h.rank, h.doc_id, p.title, h.has_answer, {alnum('p.text')} AS tokens FROM hits h "
+            "LEFT JOIN ptext p ON p.id = h.doc_id", ["hits", "ptext"])
+cte("rq", f"SELECT qid, question, list_transform(answers, lambda a: {alnum('a')}) AS atk, "
+          f"{alnum('question')} AS qtk FROM questions", ["questions"])
+cte("rpos", f"SELECT * FROM (SELECT c.*, q.question, {SPANS} AS spans FROM rctx c JOIN rq q USING (qid) "
+            "WHERE c.has_answer) WHERE len(spans) > 0", ["rctx", "rq"])
+cte("rsel", "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY rank) - 1 AS BIGINT) AS ord "
+            "FROM (SELECT *, max(CAST(gold AS INT)) OVER (PARTITION BY qid) AS anyg FROM "
+            "(SELECT p.*, coalesce(lower(p.title) = g.title, false) AS gold FROM rpos p LEFT JOIN rgold g "
+            "ON g.key = p.question)) WHERE anyg = 0 OR gold) WHERE anyg = 1 OR ord < 20", ["rpos", "rgold"])
+cte("rneg", "SELECT * FROM (SELECT c.*, n.np, CAST(row_number() OVER (PARTITION BY c.qid ORDER BY c.rank) - 1 AS BIGINT) "
+            "AS ord FROM rctx c JOIN (SELECT qid, count(*) AS np FROM rsel GROUP BY qid) n USING (qid) "
+            "WHERE NOT c.has_answer) WHERE ord < least(greatest(np * 10, 50), 150)", ["rctx", "rsel"])
+cte("rall", "SELECT qid, 'positive' AS kind, ord, doc_id, rank, title, spans FROM rsel UNION ALL "
+            "SELECT qid, 'negative', ord, doc_id, rank, title, [] FROM rneg", ["rsel", "rneg"])
+cte("rseq", f"SELECT a.*, 3 + len(q.qtk) + len({alnum('a.title')}) AS off, len(c.tokens) AS plen FROM rall a "
+            "JOIN rq q USING (qid) JOIN rctx c ON c.qid = a.qid AND c.rank = a.rank", ["rall", "rq", "rctx"])
+cte("lg", "SELECT vec_id AS pid, embedding AS s, list_reverse(embedding) AS e, len(embedding) AS n FROM embeddings")
+cte("lcand", "SELECT pid, i, j, CAST(s[i + 1] AS DOUBLE) + CAST(e[j + 1] AS DOUBLE) AS score, n FROM "
+             "(SELECT pid, s, e, n, i, unnest(range(i, least(i + 10, n))) AS j FROM "
+             "(SELECT *, unnest(range(n)) AS i FROM lg))", ["lg"])
+
+
+def epoch_oracle(name: str, strict: bool) -> None:
+    iters = "ceil(sps / 16)" if strict else "floor(sps / 16)"
+    cte(name + "_p", "SELECT doc_id, p, sps, CAST(floor(p / sps) AS BIGINT) AS shard, CAST(p - floor(p / sps) * sps AS BIGINT) AS inn "
+                     "FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('8:' || doc_id), doc_id) - 1 AS p, "
+                     "CAST(ceil(count(*) OVER () / 3) AS BIGINT) AS sps FROM documents)")
+    cte(name + "_g", f"SELECT shard, greatest(least(sps, n - shard * sps), 0) AS len, sps, CAST({iters} AS BIGINT) AS iters "
+                     f"FROM (SELECT range AS shard FROM range(3)), (SELECT count(*) AS n, max(sps) AS sps FROM {name}_p)",
+        [name + "_p"])
+    fill = (f" UNION ALL SELECT p.shard, nb - 1, last + p.inn, p.doc_id FROM {name}_p p JOIN "
+            f"(SELECT shard, CAST(ceil(len / 16) AS BIGINT) AS nb, len - (CAST(ceil(len / 16) AS BIGINT) - 1) * 16 AS last "
+            f"FROM {name}_g WHERE len > 0) g USING (shard) WHERE last < 16 AND p.inn < 16 - last") if strict else ""
+    cte(name, f"SELECT shard, CAST(floor(inn / 16) AS BIGINT) AS batch, CAST(inn % 16 AS BIGINT) AS slot, doc_id "
+              f"FROM {name}_p{fill} UNION ALL SELECT p.shard, b.batch, p.inn, p.doc_id FROM {name}_p p JOIN "
+              f"(SELECT shard, unnest(range(CAST(ceil(len / 16) AS BIGINT), iters)) AS batch FROM {name}_g) b "
+              "USING (shard) WHERE p.inn < 16", [name + "_p", name + "_g"])
+
+
+epoch_oracle("ep", False)
+epoch_oracle("eps", True)
+cte("mixsrc", "SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY md5('5:' || doc_id), doc_id) - 1 "
+              "AS BIGINT) AS pos, count(*) OVER (PARTITION BY lang) AS n FROM documents")
+cte("mixplan", "SELECT lang, n, CAST(floor(floor(n / 16) * CASE lang WHEN 'en' THEN 1.0 WHEN 'fr' THEN 0.5 "
+               "WHEN 'de' THEN 0.5 WHEN 'es' THEN 0.5 ELSE 0.0 END) AS BIGINT) AS its FROM "
+               "(SELECT lang, max(n) AS n FROM mixsrc GROUP BY lang)", ["mixsrc"])
+cte("mixsteps", "SELECT lang, CAST(step AS BIGINT) AS step, CAST(row_number() OVER (PARTITION BY lang ORDER BY step) - 1 "
+                "AS BIGINT) AS batch FROM (SELECT lang, row_number() OVER (ORDER BY md5('5:' || lang || ':' || j), lang, j) "
+                "- 1 AS step FROM (SELECT lang, unnest(range(its)) AS j FROM mixplan WHERE its > 0))", ["mixplan"])
+cte("mix", "SELECT s.step, g.lang AS source, g.batch, CAST(g.slot AS BIGINT) AS slot, m.doc_id FROM "
+           "(SELECT lang, n, batch, unnest(range(16)) AS slot FROM (SELECT lang, n, unnest(range(its)) AS batch "
+           "FROM mixplan WHERE its > 0)) g JOIN mixsrc m ON m.lang = g.lang AND m.pos = (g.batch * 16 + g.slot) % g.n "
+           "JOIN mixsteps s ON s.lang = g.lang AND s.batch = g.batch", ["mixplan", "mixsrc", "mixsteps"])
+TOKWS = r"(?:[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}])[\p{Z}\p{C}]*"
+cte("nspans", "SELECT tid, CAST(pos AS BIGINT) AS pos, regexp_extract(piece, '^(?:[\\p{L}\\p{N}\\p{M}]+|[^\\p{Z}\\p{C}])') "
+              "AS token, piece, lead, last FROM (SELECT tid, lead, unnest(pcs) AS piece, "
+              "unnest(range(len(pcs))) AS pos, len(pcs) - 1 AS last FROM (SELECT conv_id * 1000 + turn AS tid, "
+              "length(regexp_extract(coalesce(text, ''), '^[\\p{Z}\\p{C}]*')) AS lead, "
+              f"regexp_extract_all(coalesce(text, ''), '{TOKWS}') AS pcs FROM conversations))")
+cte("nspans2", "SELECT tid, pos, token, CAST(lead + coalesce(sum(length(piece)) OVER (PARTITION BY tid ORDER BY pos "
+               "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, "
+               "CASE WHEN pos = last THEN token ELSE piece END AS text_ws FROM nspans", ["nspans"])
+cte("ev", "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type AS tag "
+          "FROM events")
+cte("evisl", "SELECT *, sum(CASE WHEN prev IS NULL OR prev <> tag THEN 1 ELSE 0 END) OVER (PARTITION BY user_id "
+             "ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM "
+             "(SELECT *, lag(tag) OVER (PARTITION BY user_id ORDER BY pos) AS prev FROM ev)", ["ev"])
+
+ORACLE.update({
+    "n12_answer_positions": sql(f"SELECT qid, rank, doc_id, {spans_str('spans')} AS spans FROM "
+                                f"(SELECT c.qid, c.rank, c.doc_id, {SPANS} AS spans FROM rctx c JOIN rq q USING (qid) "
+                                "WHERE c.has_answer)", ["rctx", "rq"]),
+    "r3_select_reader_passages": sql(f"SELECT qid, kind, ord, doc_id, rank, {spans_str('spans')} AS spans FROM rall",
+                                     ["rall"]),
+    "r3_select_reader_passages_eval": sql("SELECT qid, 'negative' AS kind, CAST(rank - 1 AS BIGINT) AS ord, doc_id, rank "
+                                          "FROM results WHERE rank <= 10", ["results"]),
+    "r4_reader_sequences": sql(f"SELECT qid, kind, ord, doc_id, CAST(off AS BIGINT) AS passage_offset, "
+                               f"CAST(off + plen AS BIGINT) AS seq_len, off > 1 AS offset_ok, "
+                               f"{spans_str('spans', 'off')} AS answer_spans FROM rseq", ["rseq"]),
+    "r8_prepare_reader_data": sql("SELECT q.qid, q.question, CAST(count(*) FILTER (WHERE kind = 'positive') AS BIGINT) "
+                                  "AS n_pos, CAST(count(*) FILTER (WHERE kind = 'negative') AS BIGINT) AS n_neg, "
+                                  "min(doc_id) FILTER (WHERE kind = 'positive' AND ord = 0) AS first_positive "
+                                  "FROM rall a JOIN questions q USING (qid) GROUP BY q.qid, q.question",
+                                  ["rall", "questions"]),
+    "r1_retriever_examples": sql(
+        f"SELECT q.qid, {n1('q.question || ' + Q + '’' + Q, '?')} AS query, "
+        "CAST(CASE WHEN count(*) FILTER (WHERE t.has_answer AND t.rank % 2 = 1) > 0 "
+        "THEN count(*) FILTER (WHERE t.has_answer AND t.rank % 2 = 1) ELSE count(*) FILTER (WHERE t.has_answer) END "
+        "AS BIGINT) AS n_pos, CAST(count(*) FILTER (WHERE NOT t.has_answer) AS BIGINT) AS n_hard, "
+        "CAST(coalesce(CASE WHEN count(*) FILTER (WHERE t.has_answer AND t.rank % 2 = 1) > 0 "
+        f"THEN sum(length({n2('t.text')})) FILTER (WHERE t.has_answer AND t.rank % 2 = 1) "
+        f"ELSE sum(length({n2('t.text')})) FILTER (WHERE t.has_answer) END, 0) AS BIGINT) AS pos_chars "
+        "FROM questions q LEFT JOIN thits t USING (qid) GROUP BY q.qid, q.question", ["questions", "thits"]),
+    "r2_table_examples": sql(
+        "SELECT p.q, t.question, l.text AS pos_text, p.caption AS pos_title, coalesce(n.titles, '') AS neg_titles, "
+        "CAST(coalesce(n.chars, 0) AS BIGINT) AS neg_chars FROM "
+        "(SELECT * FROM fctx WHERE kind = 'positive' QUALIFY row_number() OVER (PARTITION BY q ORDER BY o) = 1) p "
+        "JOIN ftq t USING (q) JOIN flin100 l USING (q) LEFT JOIN (SELECT q, string_agg(caption, '|' ORDER BY o) AS titles, "
+        "sum(chars) AS chars FROM (SELECT f.q, f.o, f.caption, (SELECT sum(length(array_to_string(r.vals, ', ')) + 1) "
+        "FROM frows r WHERE r.page_id = f.page_id) AS chars FROM fctx f WHERE kind = 'hard_negative' "
+        "QUALIFY row_number() OVER (PARTITION BY q ORDER BY o) <= 2) GROUP BY q) n USING (q)",
+        ["fctx", "ftq", "flin100", "frows"]),
+    "r5_best_spans": sql(
+        "SELECT pid, CAST(coalesce(list_max(list_filter(range(0, i + 1), lambda k: k % 3 <> 2)), 0) AS BIGINT) AS start, "
+        "CAST(coalesce(list_min(list_filter(range(j, n), lambda k: k = n - 1 OR (k + 1) % 3 <> 2)), j) AS BIGINT) AS \"end\", "
+        "round(score, 5) AS score FROM lcand QUALIFY row_number() OVER (PARTITION BY pid ORDER BY score DESC, i, j) = 1",
+        ["lcand"]),
+    "r6_epoch_shards": sql("SELECT shard, batch, slot, doc_id FROM ep", ["ep"]),
+    "r6_epoch_shards_strict": sql("SELECT shard, batch, slot, doc_id FROM eps", ["eps"]),
+    "r7_mix_sources": sql("SELECT step, source, batch, slot, doc_id FROM mix", ["mix"]),
+    "a7_question_overlap": sql(
+        "SELECT (SELECT count(DISTINCT question) FROM questions) AS tab_questions, "
+        "(SELECT count(DISTINCT question) FROM questions WHERE len(answers) = 2 OR length(question) > 30) AS reg_questions, "
+        "(SELECT count(DISTINCT question) FROM questions WHERE len(answers) = 2 OR length(question) > 30) AS overlap",
+        ["questions"]),
+    "x5_lookup_by_question": sql("SELECT q.qid, q.question, g.title AS gold_title FROM questions q "
+                                 "LEFT JOIN rgold g ON g.key = q.question", ["questions", "rgold"]),
+    "n8_token_spans": sql("SELECT tid, pos, token, start, start + length(token) AS \"end\", text_ws FROM nspans2",
+                          ["nspans2"]),
+    "n8_untokenize": sql("SELECT tid, trim(string_agg(text_ws, '' ORDER BY pos)) AS text FROM nspans2 GROUP BY tid",
+                         ["nspans2"]),
+    "n10_entity_groups": sql("SELECT user_id, CAST(isl - 1 AS BIGINT) AS group_no, string_agg(tag, ' ' ORDER BY pos) "
+                             "AS text, tag, CAST(min(pos) AS BIGINT) AS start, CAST(count(*) AS BIGINT) AS n "
+                             "FROM evisl WHERE tag <> 'error' GROUP BY user_id, isl, tag", ["evisl"]),
+    "n11_token_position": sql("SELECT row_no, CAST(greatest(coalesce(list_position(tk, 'and'), 0) - 1, 0) AS BIGINT) "
+                              "AS pos FROM dtok", ["dtok"]),
+    "n15_prepare_answers": sql("SELECT conv_id, turn, array_to_string(string_split(lower(" + nfd_sql("text")
+                               + "), ' '), '|') AS tokens FROM conversations", []),
+})

@@ -17,6 +17,7 @@ from sparkqa.operators import evaluate as ev
 from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
 from sparkqa.operators import tables as tb
+from sparkqa.operators import training as tr
 from sparkqa.sinks import writers as wr
 from sparkqa.sources import files as fs
 from sparkqa.plans.oracle import TOPK
@@ -636,3 +637,202 @@ def k8(spark, sf_dir):
     return out.select("qid", "id", "input", F.array_join(F.transform("provenance", lambda p: F.concat_ws(
         ":", p["wikipedia_id"].cast("string"), p["end_paragraph_id"].cast("string"))), ",").alias("provenance"),
         "missing")
+
+
+# --- training-set preparation --------------------------------------------------------------------
+def gold_passages(spark, sf_dir):
+    """Fx-gold without the file: ``key, question, title`` (title = source of the first hit)."""
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    first_hit = ev.match_string(r, corpus, qs).filter("has_answer").groupBy("qid").agg(F.min("rank").alias("rank"))
+    titled = first_hit.join(r, ["qid", "rank"]).join(corpus.select(F.col("id").alias("doc_id"), "title"), "doc_id")
+    g = qs.join(titled.select("qid", "title"), "qid", "left").select(
+        "qid", "question", F.regexp_replace("question", " ", "  ").alias("question_tokens"),
+        F.lower(F.coalesce("title", F.lit("none"))).alias("title"))
+    keys = g.select(F.col("question").alias("key"), "qid", "question", "title").unionByName(
+        g.select(F.col("question_tokens").alias("key"), "qid", "question", "title"))
+    return keys.groupBy("key").agg(F.max_by(F.struct("question", "title"), F.col("qid")).alias("g")) \
+        .select("key", "g.question", "g.title")
+
+
+def reader_inputs(spark, sf_dir):
+    """Fx-reader: Fx-results with has_answer, title and BM25 tokens of passage and answers."""
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    hits = ev.match_string(r, corpus, qs)
+    ctx = rt.passage_lookup(hits, corpus).select("qid", "rank", "doc_id", "title", "has_answer",
+                                                 tx.tokenize_alnum("text").alias("tokens"))
+    q = qs.select("qid", "question", F.transform("answers", lambda a: tx.tokenize_alnum(a)).alias("answer_tokens"),
+                  tx.tokenize_alnum("question").alias("question_tokens"))
+    return ctx, q
+
+
+def spans_text(c="spans"):
+    return F.array_join(F.transform(F.col(c), lambda s: F.concat_ws("-", s["start"].cast("string"),
+                                                                  s["end"].cast("string"))), ",")
+
+
+@query("n12_answer_positions")
+def n12(spark, sf_dir):
+    ctx, q = reader_inputs(spark, sf_dir)
+    j = ctx.filter("has_answer").join(q, "qid")
+    sp = F.flatten(F.transform("answer_tokens", lambda a: tx.answer_positions("tokens", a)))
+    return j.select("qid", "rank", "doc_id", sp.alias("spans")).select("qid", "rank", "doc_id",
+                                                                       spans_text().alias("spans"))
+
+
+@query("r3_select_reader_passages")
+def r3(spark, sf_dir):
+    ctx, q = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True)
+    return sel.select("qid", "kind", "ord", "doc_id", "rank", spans_text().alias("spans"))
+
+
+@query("r3_select_reader_passages_eval")
+def r3e(spark, sf_dir):
+    ctx, q = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, None, is_train=False, eval_passages=10)
+    return sel.select("qid", "kind", "ord", "doc_id", "rank")
+
+
+@query("r4_reader_sequences")
+def r4(spark, sf_dir):
+    ctx, q = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True) \
+        .withColumn("title_tokens", tx.tokenize_alnum("title"))
+    seq = tr.reader_sequences(sel, q)
+    return seq.select("qid", "kind", "ord", "doc_id", F.col("passage_offset").cast("bigint").alias("passage_offset"),
+                      F.size("sequence").cast("bigint").alias("seq_len"), "offset_ok",
+                      spans_text("answer_spans").alias("answer_spans"))
+
+
+@query("r8_prepare_reader_data")
+def r8(spark, sf_dir):
+    ctx, q = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True) \
+        .withColumn("title_tokens", tx.tokenize_alnum("title"))
+    prepared = tr.prepare_reader_data(sel, q)
+    path = _scratch(spark, "reader-samples")
+    wr.write_reader_samples(prepared, path)
+    back = wr.read_reader_samples(spark, path)
+    return back.select("qid", "question", F.size("positive_passages").cast("bigint").alias("n_pos"),
+                       F.size("negative_passages").cast("bigint").alias("n_neg"),
+                       F.get(F.col("positive_passages"), 0)["doc_id"].alias("first_positive"))
+
+
+@query("r1_retriever_examples")
+def r1(spark, sf_dir):
+    ex = tr.retriever_examples(training_samples(spark, sf_dir), normalize=True, exclude_gold=True, suffix="?")
+    return ex.select("qid", "query", F.size("positive_passages").cast("bigint").alias("n_pos"),
+                     F.size("hard_negative_passages").cast("bigint").alias("n_hard"),
+                     F.aggregate("positive_passages", F.lit(0).cast("bigint"),
+                                 lambda a, p: a + F.length(p["text"])).alias("pos_chars"))
+
+
+@query("r2_table_examples")
+def r2(spark, sf_dir):
+    s = table_training(spark, sf_dir)
+    pos = s.select(F.posexplode("positive_ctxs").alias("i", "t"), "q") \
+        .select((F.col("q") * 1000 + F.col("i")).alias("sample_id"), "t")
+    neg = s.select(F.posexplode("hard_negative_ctxs").alias("i", "t"), "q") \
+        .select((F.col("q") * 1000 + F.col("i")).alias("sample_id"), "t")
+    lp = tb.linearize_tables(pos, max_len=100, is_positive=True)
+    ln = tb.linearize_tables(neg, max_len=100, is_positive=False)
+    ex = tr.table_examples(s, lp, ln, max_negatives=2)
+    return ex.select("q", "question", F.col("positive.text").alias("pos_text"), F.col("positive.title").alias("pos_title"),
+                     F.array_join(F.transform("hard_negatives", lambda x: x["title"]), "|").alias("neg_titles"),
+                     F.aggregate("hard_negatives", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x["text"]))
+                     .alias("neg_chars"))
+
+
+def logits_fixture(spark, sf_dir):
+    """Fx-logits: start = embedding, end = reversed embedding, every third token a sub-word."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("pid"), F.col("embedding").alias("start_logits"),
+                    F.reverse("embedding").alias("end_logits"),
+                    F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: i % 3 == 2).alias("is_sub_word"))
+
+
+@query("r5_best_spans")
+def r5(spark, sf_dir):
+    b = tr.best_spans(logits_fixture(spark, sf_dir), 10, 1)
+    return b.select("pid", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"),
+                    F.round("score", 5).alias("score"))
+
+
+@query("r5_best_spans_top3")
+def r5t(spark, sf_dir):
+    b = tr.best_spans(logits_fixture(spark, sf_dir), 10, 3)
+    return b.select("pid", "span_rank", F.col("start").cast("bigint").alias("start"),
+                    F.col("end").cast("bigint").alias("end"), F.round("score", 5).alias("score"))
+
+
+def _epoch(spark, sf_dir, strict):
+    d = fx.table(spark, sf_dir, "documents").select("doc_id")
+    return tr.epoch_shards(d, "doc_id", num_shards=3, batch_size=16, seed=7, epoch=1, strict=strict)
+
+
+@query("r6_epoch_shards")
+def r6(spark, sf_dir):
+    return _epoch(spark, sf_dir, False).select("shard", "batch", "slot", "doc_id")
+
+
+@query("r6_epoch_shards_strict")
+def r6s(spark, sf_dir):
+    return _epoch(spark, sf_dir, True).select("shard", "batch", "slot", "doc_id")
+
+
+@query("r7_mix_sources")
+def r7(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return tr.mix_sources(d, "doc_id", "lang", {"en": 1.0, "fr": 0.5, "de": 0.5, "es": 0.5}, 16, seed=3, epoch=2)
+
+
+@query("a7_question_overlap")
+def a7(spark, sf_dir):
+    qs = fx.questions(spark, sf_dir)
+    tab = qs.unionByName(qs)
+    reg = qs.filter(F.size("answers") == 2)
+    dev = qs.filter(F.length("question") > 30)
+    return tr.question_overlap(tab, reg, dev)
+
+
+@query("x5_lookup_by_question")
+def x5(spark, sf_dir):
+    g = gold_passages(spark, sf_dir).select(F.col("key").alias("question"), F.col("title").alias("gold_title"))
+    return rt.lookup_by_question(fx.questions(spark, sf_dir).select("qid", "question"), g)
+
+
+@query("n8_token_spans")
+def n8(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("tid"), "text")
+    return tx.token_spans(c, "tid", "text")
+
+
+@query("n8_untokenize")
+def n8u(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("tid"), "text")
+    return tx.untokenize(tx.token_spans(c, "tid", "text"), "tid")
+
+
+@query("n10_entity_groups")
+def n10(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "events")
+    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("user_id").orderBy("ts", "event_id")
+    t = e.select("user_id", F.row_number().over(w).alias("pos"), F.col("event_type").alias("token"),
+                 F.col("event_type").alias("tag"))
+    return tx.entity_groups(t, "user_id", "pos", "token", "tag", non_entity="error")
+
+
+@query("n11_token_position")
+def n11(spark, sf_dir):
+    t = fx.corpus(spark, sf_dir).select("row_no", tx.tokenize_alnum("text").alias("tk"))
+    return t.select("row_no", tx.token_position("tk", "and").alias("pos"))
+
+
+@query("n15_prepare_answers")
+def n15(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.array_join(tx.prepare_answer_tokens("text"), "|").alias("tokens"))
