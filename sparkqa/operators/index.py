@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sparkqa.functions.text import tokenize_alnum, tokenize_words
 from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
-from sparkqa.operators.util import global_row_number
+from sparkqa.operators.util import global_row_number, materialize, spread
 
 
 # --- A1 ------------------------------------------------------------------------------------------
@@ -33,7 +33,9 @@ def term_frequencies(corpus: DataFrame, tokens_col=None) -> DataFrame:
     marks the posting of the document's first token, exactly one per document.
     """
     toks = tokens_col if tokens_col is not None else tokenize_alnum("text")
-    tk = corpus.select("row_no", "id", toks.alias("tk")).filter(F.size("tk") > 0)
+    # no size filter here: it would be pushed below the projection and tokenise twice; an
+    # empty token array simply explodes to no rows
+    tk = spread(corpus).select("row_no", "id", toks.alias("tk"))
     ex = tk.select("row_no", "id", F.size("tk").alias("dl"), F.col("tk")[0].alias("first"),
                    F.explode("tk").alias("term"))
     return (ex.groupBy("row_no", "id", "dl", "term")
@@ -75,21 +77,29 @@ class Bm25Index:
 
 
 def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df: int = 2,
-                     max_df_ratio: float = 0.3) -> Bm25Index:
+                     max_df_ratio: float = 0.3, persist: bool = True) -> Bm25Index:
     """A4: BM25 index over the ``text`` column (title is not indexed).
 
     idf = ln(1 + (n - df + 0.5) / (df + 0.5)).  Postings keep every term; the pruned
     vocabulary is applied at query time (query terms are joined to it first), so building
-    the index never shuffles the postings by term.
+    the index never shuffles the postings by term.  With ``persist`` the postings are written
+    once (Parquet in the shared folder) and statistics, document frequencies and queries read
+    that table, so the corpus is scanned and tokenised once.
     """
     tf = term_frequencies(corpus)
+    if persist:
+        tf = materialize(tf, "bm25-postings")
     stats = corpus_stats(tf).select(
         "n_docs", "avgdl", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"),
         F.lit(int(min_df)).alias("min_df"), F.lit(float(max_df_ratio)).alias("max_df_ratio"))
+    if persist:
+        stats = materialize(stats.coalesce(1), "bm25-stats")
     df = document_frequency(tf)
     vocab = prune_vocabulary(df, stats, min_df, max_df_ratio) \
         .crossJoin(F.broadcast(stats.select("n_docs"))) \
         .select("term", "df", F.log(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    if persist:
+        vocab = materialize(vocab, "bm25-vocab")
     return Bm25Index(tf.select("row_no", "id", "dl", "term", "tf"), vocab, stats)
 
 
@@ -149,30 +159,57 @@ def tfidf_text(corpus: DataFrame):
                            F.coalesce(F.col("text"), F.lit(""))))
 
 
+def top_terms(by_term: DataFrame, max_features: int) -> DataFrame:
+    """The ``max_features`` terms with the largest corpus count, ties at the cut by term.
+
+    A histogram of corpus counts (one row per distinct count, at most sqrt(2 * tokens) rows)
+    gives the threshold count; every term above it is kept, and only the terms exactly at the
+    threshold are numbered (distributed range sort) to fill the remaining places.
+    """
+    hist = by_term.groupBy("ctf").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(F.col("ctf").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cum = hist.withColumn("_cum", F.sum("_n").over(w))
+    cut = cum.filter(F.col("_cum") >= max_features).orderBy(F.col("ctf").desc()).limit(1).collect()
+    if not cut:                       # fewer distinct terms than max_features: keep all
+        return by_term
+    t_star, cum_at = cut[0]["ctf"], cut[0]["_cum"]
+    n_at = cum.filter(F.col("ctf") == t_star).first()["_n"]
+    above = cum_at - n_at
+    keep_above = by_term.filter(F.col("ctf") > t_star)
+    level = global_row_number(by_term.filter(F.col("ctf") == t_star), [F.col("term").asc()], "_r")
+    return keep_above.unionByName(level.filter(F.col("_r") < max_features - above).drop("_r"))
+
+
 def build_tfidf_index(corpus: DataFrame, max_features: int = 200_000, ngram_max: int = 2,
-                      stop_words=ENGLISH_STOP_WORDS) -> TfidfIndex:
+                      stop_words=ENGLISH_STOP_WORDS, persist: bool = True) -> TfidfIndex:
     """A5: 1..ngram_max-gram TF-IDF with a top-``max_features`` vocabulary by corpus count.
 
     idf = ln((1 + n) / (1 + df)) + 1 with n = all documents (empty ones too); weights are
-    L2-normalised per document.  The vocabulary cut numbers the distinct terms by
-    (corpus count desc, term asc) with a distributed range sort, so a tie at the cut-off
-    keeps terms in ascending order and no single task sees the whole vocabulary.
+    L2-normalised per document.  A tie at the vocabulary cut-off keeps terms in ascending
+    order.  With ``persist`` the document terms, the vocabulary and the weights (the sparse
+    document matrix) are written once to the shared folder, so queries only scan weights.
     """
-    docs = corpus.select("row_no", tfidf_text(corpus).alias("_t"))
+    docs = spread(corpus).select("row_no", tfidf_text(corpus).alias("_t"))
     tf = tfidf_doc_terms(docs, "row_no", F.col("_t"), stop_words, ngram_max)
+    if persist:
+        tf = materialize(tf, "tfidf-doc-terms")
     n_docs = corpus.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
     by_term = tf.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("df"),
                                      F.sum("tf").cast("bigint").alias("ctf"))
-    numbered = global_row_number(by_term, [F.col("ctf").desc(), F.col("term").asc()], "_vrank")
-    vocab = numbered.filter(F.col("_vrank") < int(max_features)).drop("_vrank") \
-        .crossJoin(F.broadcast(n_docs)).select(
-            "term", "df", "ctf", (F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    if persist:
+        by_term = materialize(by_term, "tfidf-terms")
+    vocab = top_terms(by_term, int(max_features)).crossJoin(F.broadcast(n_docs)).select(
+        "term", "df", "ctf", (F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    if persist:
+        vocab = materialize(vocab, "tfidf-vocab")
     raw = tf.join(vocab.select("term", "idf"), "term").select(
         "term", "row_no", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = raw.groupBy("row_no").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     ids = corpus.select("row_no", "id")
     weights = raw.join(norm, "row_no").join(ids, "row_no").select(
         "term", "row_no", "id", (F.col("raw") / F.col("norm")).cast("float").alias("w"))
+    if persist:
+        weights = materialize(weights, "tfidf-weights")
     stats = n_docs.crossJoin(vocab.agg(F.count(F.lit(1)).cast("bigint").alias("n_terms"))) \
         .withColumn("ngram_max", F.lit(int(ngram_max)))
     return TfidfIndex(weights, vocab, stats)

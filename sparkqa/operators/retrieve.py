@@ -45,10 +45,13 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
     still split for skew.
     """
     q = bm25_query_terms(questions)
+    # the size check counts the question side only (never the index); joining the vocabulary
+    # can only shrink it
+    small = q.count() <= broadcast_rows
     st = index.stats.select("n_docs", F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("avgdl"),
                             "k1", "b")
     qv = q.join(index.vocab.select("term", "idf"), "term").crossJoin(F.broadcast(st))
-    qv = broadcast_if_small(qv, broadcast_rows)
+    qv = F.broadcast(qv) if small else qv
     cand = index.postings.join(qv, "term")
     w = F.col("idf") * (F.col("tf") * (F.col("k1") + 1.0)) / (
         F.col("tf") + F.col("k1") * (1.0 - F.col("b") + F.col("b") * (F.col("dl") / F.col("avgdl"))))
@@ -100,7 +103,10 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
     first k corpus rows (those hold at least k - m unmatched documents).  The k-row frame is
     the only thing crossed with questions, never the corpus.
     """
-    qv = broadcast_if_small(tfidf_query_vectors(questions, index, stop_words, ngram_max), broadcast_rows)
+    qt = tfidf_doc_terms(questions.select("qid", "question"), "qid", F.col("question"), stop_words, ngram_max)
+    small = qt.count() <= broadcast_rows
+    qv = tfidf_query_vectors(questions, index, stop_words, ngram_max)
+    qv = F.broadcast(qv) if small else qv
     cand = index.weights.join(qv, "term")
     scored = cand.groupBy("qid", "row_no", "id").agg(
         F.sum(F.col("wq").cast("double") * F.col("w").cast("double")).alias("score"))

@@ -47,3 +47,26 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "row_no", sta
     out = tagged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_local") + F.lit(start)).cast("bigint")) \
               .drop("_mid", "_pid", "_local", "_off")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than the cluster has
+    task slots (a single-row-group file is one scan task).  Large inputs already arrive in
+    thousands of splits and pass through untouched, so raw text is never shuffled at scale.
+    The check is plan-time only (no job)."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Used where several consumers read one expensive result (e.g. postings feed statistics,
+    document frequencies and the query join): the tokenising scan runs once, lineage is cut,
+    and readers still get column pruning and filter push-down, which a checkpoint would not.
+    """
+    from sparkqa.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -643,3 +643,8 @@ ORACLE.update({
     "n15_prepare_answers": sql("SELECT conv_id, turn, array_to_string(string_split(lower(" + nfd_sql("text")
                                + "), ' '), '|') AS tokens FROM conversations", []),
 })
+
+ORACLE.update({
+    "n3_normalize_nfd": sql("SELECT row_no, CAST(length(nfd) AS BIGINT) AS nfd_len, nfd <> text AS changed FROM "
+                            "(SELECT row_no, text, " + nfd_sql("text") + " AS nfd FROM corpus)", ["corpus"]),
+})
