@@ -36,7 +36,7 @@ def term_frequencies(corpus: DataFrame, tokens_col=None) -> DataFrame:
     # no size filter here: it would be pushed below the projection and tokenise twice; an
     # empty token array simply explodes to no rows
     tk = spread(corpus).select("row_no", "id", toks.alias("tk"))
-    ex = tk.select("row_no", "id", F.size("tk").alias("dl"), F.col("tk")[0].alias("first"),
+    ex = tk.select("row_no", "id", F.size("tk").alias("dl"), F.get(F.col("tk"), 0).alias("first"),
                    F.explode("tk").alias("term"))
     return (ex.groupBy("row_no", "id", "dl", "term")
               .agg(F.count(F.lit(1)).alias("tf"),

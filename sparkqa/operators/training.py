@@ -170,32 +170,43 @@ def best_spans(logits: DataFrame, max_answer_length: int = 10, top_spans: int =
     """Best span(s) per passage, extended to whole words.
 
     Candidates are ordered by score, then start, then end (the reference's stable sort).  With
-    ``top_spans = 1`` this is a native ``row_number``; for more, the greedy rule (skip a span that
-    contains or is inside a chosen one) runs per passage in ``applyInPandas`` over that
-    passage's candidates only.
+    ``top_spans = 1`` this is a native ``row_number`` and the winner is extended.  For more, a
+    candidate is skipped when it contains or lies inside an already chosen *extended* span;
+    that greedy walk runs per passage in a ``cogroup``-ed ``applyInPandas`` that sees only the
+    passage's own candidates and sub-word flags.
     """
     cand = span_candidates(logits, max_answer_length)
-    w = Window.partitionBy("pid").orderBy(F.col("score").desc(), "start", "end")
     if top_spans == 1:
+        w = Window.partitionBy("pid").orderBy(F.col("score").desc(), "start", "end")
         best = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r") \
             .withColumn("span_rank", F.lit(0).cast("bigint"))
-    else:
-        def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["score", "start", "end"], ascending=[False, True, True], kind="stable")
-            chosen, rows = [], []
-            for st, en, sc in zip(pdf["start"], pdf["end"], pdf["score"]):
-                if any(st <= ps <= pe <= en or ps <= st <= en <= pe for ps, pe in chosen):
-                    continue
-                chosen.append((st, en))
-                rows.append((pdf["pid"].iloc[0], st, en, sc, len(rows)))
-                if len(rows) == top_spans:
-                    break
-            return pd.DataFrame(rows, columns=["pid", "start", "end", "score", "span_rank"])
-        best = cand.groupBy("pid").applyInPandas(
-            greedy, "pid long, start int, end int, score double, span_rank long")
-    j = best.join(logits.select("pid", "is_sub_word"), "pid")
-    ext = extend_span("start", "end", "is_sub_word")
-    return j.select("pid", "span_rank", "score", ext["start"].alias("start"), ext["end"].alias("end"))
+        j = best.join(logits.select("pid", "is_sub_word"), "pid")
+        ext = extend_span("start", "end", "is_sub_word")
+        return j.select("pid", "span_rank", "score", ext["start"].alias("start"), ext["end"].alias("end"))
+
+    def greedy(cands: pd.DataFrame, lg: pd.DataFrame) -> pd.DataFrame:
+        cols = ["pid", "span_rank", "score", "start", "end"]
+        if cands.empty or lg.empty:
+            return pd.DataFrame([], columns=cols)
+        sub = list(lg["is_sub_word"].iloc[0])
+        n = len(sub)
+        cands = cands.sort_values(["score", "start", "end"], ascending=[False, True, True], kind="stable")
+        chosen, rows = [], []
+        for st, en, sc in zip(cands["start"], cands["end"], cands["score"]):
+            if any(st <= ps <= pe <= en or ps <= st <= en <= pe for ps, pe in chosen):
+                continue
+            while st > 0 and sub[st]:
+                st -= 1
+            while en < n - 1 and sub[en + 1]:
+                en += 1
+            chosen.append((st, en))
+            rows.append((int(cands["pid"].iloc[0]), len(rows), float(sc), int(st), int(en)))
+            if len(rows) == top_spans:
+                break
+        return pd.DataFrame(rows, columns=cols)
+
+    return cand.groupBy("pid").cogroup(logits.select("pid", "is_sub_word").groupBy("pid")).applyInPandas(
+        greedy, "pid long, span_rank long, score double, start int, end int")
 
 
 # --- R6 / R7 -------------------------------------------------------------------------------------
