@@ -49,8 +49,13 @@ def normalize_passage(t) -> Column:
 
 # --- N3 ----------------------------------------------------------------------------------------
 def normalize_nfd(t) -> Column:
-    """Unicode NFD through an Arrow-batched UDF (ASCII values are returned untouched)."""
-    return nfd(_col(t))
+    """Unicode NFD through an Arrow-batched UDF.
+
+    Spark evaluates a Python UDF for every row of its projection, so ASCII rows (unchanged by
+    NFD) are handed to it as null - nothing to transfer - and keep their own value.
+    """
+    c = _col(t)
+    return F.coalesce(nfd(F.when(c.rlike("[^\\x00-\\x7F]"), c)), c)
 
 
 # --- N4 / N14 ---------------------------------------------------------------------------------
@@ -199,14 +204,28 @@ def untokenize(spans_df, key: str):
 # --- N10 ------------------------------------------------------------------------------------------
 def entity_groups(tagged, key: str, pos: str, token: str, tag: str, non_entity: str = "O"):
     """Runs of consecutive tokens with the same tag (other than ``non_entity``) as
-    ``key, group_no, text, tag, start, n`` (gaps and islands over the key's token order)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(pos)
-    s = tagged.withColumn("_new", (F.lag(tag).over(w).isNull() | (F.lag(tag).over(w) != F.col(tag))).cast("int"))
-    s = s.withColumn("_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = s.filter(F.col(tag) != non_entity).groupBy(key, "_isl", tag).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(token).alias("t")))).alias("_toks"),
-        F.min(pos).alias("start"), F.count(F.lit(1)).alias("n"))
-    return g.select(key, (F.col("_isl") - 1).cast("bigint").alias("group_no"),
-                    F.array_join(F.transform("_toks", lambda x: x["t"]), " ").alias("text"), tag,
-                    F.col("start").cast("bigint").alias("start"), F.col("n").cast("bigint").alias("n"))
+    ``key, group_no, text, tag, start, n``; ``group_no`` counts the key's earlier runs of any tag.
+
+    Gaps and islands without a per-key window (a key may hold a third of all rows): two
+    distributed global numberings, by (key, pos) and by (key, tag, pos), minus each group's
+    first number give the row's rank in its key and in its (key, tag); their difference is
+    constant along a run.  A third numbering over the run starts gives ``group_no``.  Only the
+    per-key / per-(key, tag) minimums are aggregated (map-side partial).
+    """
+    from sparkqa.operators.util import global_row_number
+    base = tagged.select(key, pos, token, tag)
+    a = global_row_number(base, [key, pos], "_ga")
+    a = a.join(a.groupBy(key).agg(F.min("_ga").alias("_ma")), key).withColumn("_ra", F.col("_ga") - F.col("_ma"))
+    b = global_row_number(a.select(key, pos, token, tag, "_ra"), [key, tag, pos], "_gb")
+    b = b.join(b.groupBy(key, tag).agg(F.min("_gb").alias("_mb")), [key, tag]) \
+        .withColumn("_isl", F.col("_ra") - (F.col("_gb") - F.col("_mb")))
+    runs = b.groupBy(key, tag, "_isl").agg(
+        F.min(pos).alias("start"), F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(token).alias("t")))).alias("_toks"))
+    numbered = global_row_number(runs.select(key, "start", tag, "_isl"), [key, "start"], "_gr")
+    numbered = numbered.join(numbered.groupBy(key).agg(F.min("_gr").alias("_mr")), key) \
+        .select(key, tag, "_isl", (F.col("_gr") - F.col("_mr")).alias("group_no"))
+    out = runs.filter(F.col(tag) != non_entity).join(numbered, [key, tag, "_isl"])
+    return out.select(key, F.col("group_no").cast("bigint").alias("group_no"),
+                      F.array_join(F.transform("_toks", lambda x: x["t"]), " ").alias("text"), tag,
+                      F.col("start").cast("bigint").alias("start"), F.col("n").cast("bigint").alias("n"))

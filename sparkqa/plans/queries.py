@@ -834,9 +834,12 @@ def n8u(spark, sf_dir):
 
 @query("n10_entity_groups")
 def n10(spark, sf_dir):
-    e = fx.table(spark, sf_dir, "events")
-    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("user_id").orderBy("ts", "event_id")
-    t = e.select("user_id", F.row_number().over(w).alias("pos"), F.col("event_type").alias("token"),
+    from sparkqa.operators.util import global_row_number
+    e = fx.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    # 1-based position in the user's (ts, event_id) order, without a per-user window
+    g = global_row_number(e, ["user_id", "ts", "event_id"], "_g")
+    g = g.join(g.groupBy("user_id").agg(F.min("_g").alias("_m")), "user_id")
+    t = g.select("user_id", (F.col("_g") - F.col("_m") + 1).alias("pos"), F.col("event_type").alias("token"),
                  F.col("event_type").alias("tag"))
     return tx.entity_groups(t, "user_id", "pos", "token", "tag", non_entity="error")
 
