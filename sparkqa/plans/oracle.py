@@ -648,3 +648,5 @@ ORACLE.update({
     "n3_normalize_nfd": sql("SELECT row_no, CAST(length(nfd) AS BIGINT) AS nfd_len, nfd <> text AS changed FROM "
                             "(SELECT row_no, text, " + nfd_sql("text") + " AS nfd FROM corpus)", ["corpus"]),
 })
+
+ORACLE["x1_bm25_topk_stream"] = ORACLE["x1_bm25_topk"]

@@ -854,3 +854,16 @@ def n11(spark, sf_dir):
 def n15(spark, sf_dir):
     c = fx.table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", F.array_join(tx.prepare_answer_tokens("text"), "|").alias("tokens"))
+
+
+@query("x1_bm25_topk_stream")
+def x1s(spark, sf_dir):
+    """X1 run as a stream over question files (one file per partition of the questions)."""
+    from sparkqa.streaming.questions import read_stream_results, start_retrieval_stream
+    root = _scratch(spark, "stream")
+    fx.questions(spark, sf_dir).repartition(4).write.mode("overwrite").json(f"{root}/in")
+    q = start_retrieval_stream(spark, f"{root}/in", cached_index(spark, sf_dir, "bm25"), f"{root}/out",
+                               f"{root}/ckpt", topk=TOPK, available_now=True)
+    q.awaitTermination()
+    r = read_stream_results(spark, f"{root}/out")
+    return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))

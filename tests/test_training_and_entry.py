@@ -88,3 +88,4 @@ def test_every_query_has_an_oracle_or_is_declared(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"r5_best_spans_top3"}
+    assert len(q) >= 80
