@@ -71,9 +71,10 @@ def prune_vocabulary(df: DataFrame, stats: DataFrame, min_df: int = 2, max_df_ra
 # --- A4 ------------------------------------------------------------------------------------------
 @dataclass
 class Bm25Index:
-    postings: DataFrame   # row_no, id, dl, term, tf
+    postings: DataFrame   # row_no, id, dl, term, tf  (+ term_bucket when saved by K4)
     vocab: DataFrame      # term, df, idf   (pruned)
     stats: DataFrame      # one row: n_docs, avgdl, k1, b, min_df, max_df_ratio
+    n_buckets: int | None = None   # postings partitioned by pmod(xxhash64(term), n_buckets)
 
 
 def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df: int = 2,

@@ -51,8 +51,17 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
     st = index.stats.select("n_docs", F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("avgdl"),
                             "k1", "b")
     qv = q.join(index.vocab.select("term", "idf"), "term").crossJoin(F.broadcast(st))
+    keys, postings = ["term"], index.postings
+    if index.n_buckets and "term_bucket" in postings.columns:
+        # a saved index is partitioned by term bucket: read only the buckets of the query terms
+        # (at most n_buckets small integers reach the driver) - partition pruning at the scan
+        bucket = F.pmod(F.xxhash64("term"), F.lit(index.n_buckets)).cast("int")
+        wanted = [r[0] for r in q.select(bucket.alias("b")).distinct().collect()]
+        postings = postings.filter(F.col("term_bucket").isin(wanted))
+        qv = qv.withColumn("term_bucket", bucket)
+        keys = ["term_bucket", "term"]
     qv = F.broadcast(qv) if small else qv
-    cand = index.postings.join(qv, "term")
+    cand = postings.join(qv, keys)
     w = F.col("idf") * (F.col("tf") * (F.col("k1") + 1.0)) / (
         F.col("tf") + F.col("k1") * (1.0 - F.col("b") + F.col("b") * (F.col("dl") / F.col("avgdl"))))
     scored = cand.groupBy("qid", "row_no", "id").agg(F.sum(F.col("qtf") * w).alias("score"),

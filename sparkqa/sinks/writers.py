@@ -89,6 +89,10 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def term_bucket(term, n_buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
+
+
 # --- K4 ------------------------------------------------------------------------------------------
 def index_path(root: str, model: str, params: dict, corpus_id: str) -> str:
     """Model, parameters and corpus identity in the path, so two models never share a path."""
@@ -96,21 +100,31 @@ def index_path(root: str, model: str, params: dict, corpus_id: str) -> str:
     return f"{root.rstrip('/')}/{model}/{p}/{corpus_id}"
 
 
-def save_bm25_index(index: Bm25Index, path: str, n_files: int | None = None) -> None:
-    """K4: postings (pruned to the vocabulary) range-partitioned and sorted by (term, row_no), so
-    a hot term spreads over several files; vocab and the one-row stats beside them."""
-    spark = index.postings.sparkSession
-    n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    post = index.postings.join(index.vocab.select("term"), "term", "left_semi")
-    post.repartitionByRange(n, "term", "row_no").sortWithinPartitions("term", "row_no") \
-        .write.mode("overwrite").parquet(f"{path}/postings")
+def save_bm25_index(index: Bm25Index, path: str, n_buckets: int = 64) -> None:
+    """K4: postings pruned to the vocabulary, stored partitioned by ``term_bucket`` (a hash of
+    the term) and sorted by (term, row_no) inside each bucket; vocab and the one-row stats
+    beside them.
+
+    A query joins on (term_bucket, term), so dynamic partition pruning reads only the buckets
+    of the query terms; a hot term's postings stay in one bucket folder but are split across
+    files by the range sort on (term, row_no).
+    """
+    post = index.postings.join(index.vocab.select("term"), "term", "left_semi") \
+        .withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+    post.repartitionByRange("term_bucket", "term", "row_no").sortWithinPartitions("term", "row_no") \
+        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
     index.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    index.stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    index.stats.withColumn("n_buckets", F.lit(n_buckets)).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def load_bm25_index(spark: SparkSession, path: str) -> Bm25Index:
     return Bm25Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab"),
-                     spark.read.parquet(f"{path}/stats"))
+                     spark.read.parquet(f"{path}/stats"), n_buckets=_bucket_count(spark, path))
+
+
+def _bucket_count(spark: SparkSession, path: str) -> int | None:
+    st = spark.read.parquet(f"{path}/stats")
+    return int(st.first()["n_buckets"]) if "n_buckets" in st.columns else None
 
 
 def load_or_build_bm25(spark: SparkSession, corpus: DataFrame, path: str, force_rebuild: bool = False,
