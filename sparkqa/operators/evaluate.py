@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sparkqa.functions.text import match_key, normalize_answer, normalize_nfd, tokenize_unicode
 from sparkqa.functions.unicode import nfd_array
-from sparkqa.operators.retrieve import passages_last_wins
+from sparkqa.operators.retrieve import result_bound, retrieved_passages
 
 
 def _answer_keys(answers_col) -> F.Column:
@@ -33,16 +33,16 @@ def has_answer_string(text_key, ans_keys) -> F.Column:
     return F.exists(ans_keys, lambda a: (a["n"] == 0) | (F.instr(text_key, a["key"]) > 0))
 
 
-def _retrieved_passages(results: DataFrame, corpus: DataFrame) -> DataFrame:
-    p = passages_last_wins(corpus)
-    ids = results.select(F.col("doc_id").alias("id")).distinct()
-    return p.join(ids, "id", "left_semi")
+def _retrieved_passages(results: DataFrame, corpus: DataFrame, questions: DataFrame, max_k: int | None):
+    return retrieved_passages(results, corpus, result_bound(questions, max_k))
 
 
 # --- E1 / E2 / E3 --------------------------------------------------------------------------------
-def match_string(results: DataFrame, corpus: DataFrame, questions: DataFrame) -> DataFrame:
-    """Token-run answer match (NFD, Unicode tokens, lower-cased)."""
-    texts = _retrieved_passages(results, corpus).select(
+def match_string(results: DataFrame, corpus: DataFrame, questions: DataFrame, max_k: int | None = None
+                 ) -> DataFrame:
+    """Token-run answer match (NFD, Unicode tokens, lower-cased).  ``max_k`` (results per
+    question) lets the retrieved ids be broadcast so the corpus is never shuffled."""
+    texts = _retrieved_passages(results, corpus, questions, max_k).select(
         F.col("id").alias("doc_id"), F.col("text").isNull().alias("_null"),
         match_key(tokenize_unicode(normalize_nfd("text"))).alias("_tkey"))
     ans = questions.select("qid", _answer_keys(F.coalesce("answers", F.array().cast("array<string>"))).alias("_ak"))
@@ -77,20 +77,22 @@ def _regex_hits(pdf_iter, text_col: str, answers_col: str):
         yield pd.DataFrame({"qid": pdf["qid"], "rank": pdf["rank"], "doc_id": pdf["doc_id"], "has_answer": out})
 
 
-def match_regex(results: DataFrame, corpus: DataFrame, questions: DataFrame) -> DataFrame:
+def match_regex(results: DataFrame, corpus: DataFrame, questions: DataFrame, max_k: int | None = None
+                ) -> DataFrame:
     """Each answer is a pattern searched anywhere (ignore-case, multi-line) in the NFD text;
     an invalid pattern is no match.  Runs in ``mapInPandas`` with a per-batch pattern cache
     because column patterns that fail to compile would fail a native ``rlike``."""
-    texts = _retrieved_passages(results, corpus).select(F.col("id").alias("doc_id"), "text")
+    texts = _retrieved_passages(results, corpus, questions, max_k).select(F.col("id").alias("doc_id"), "text")
     j = results.select("qid", "rank", "doc_id").join(texts, "doc_id", "left") \
         .join(questions.select("qid", "answers"), "qid", "left")
     schema = "qid bigint, rank bigint, doc_id string, has_answer boolean"
     return j.mapInPandas(lambda it: _regex_hits(it, "text", "answers"), schema)
 
 
-def match_kilt(results: DataFrame, corpus: DataFrame, questions: DataFrame) -> DataFrame:
+def match_kilt(results: DataFrame, corpus: DataFrame, questions: DataFrame, max_k: int | None = None
+               ) -> DataFrame:
     """Normalised answer is a plain substring of the normalised passage."""
-    texts = _retrieved_passages(results, corpus).select(
+    texts = _retrieved_passages(results, corpus, questions, max_k).select(
         F.col("id").alias("doc_id"), normalize_answer("text").alias("_nt"))
     ans = questions.select("qid", F.transform(F.coalesce("answers", F.array().cast("array<string>")),
                                               lambda a: normalize_answer(a)).alias("_na"))
@@ -146,7 +148,7 @@ def hit_at_k(hits: DataFrame, questions: DataFrame, max_k: int) -> DataFrame:
 def validate(results: DataFrame, corpus: DataFrame, questions: DataFrame, match_type: str = "string",
              max_k: int = 100) -> tuple[DataFrame, DataFrame]:
     """(hits, recall-at-k) for one ranked result set."""
-    hits = MATCHERS[match_type](results, corpus, questions)
+    hits = MATCHERS[match_type](results, corpus, questions, max_k)
     return hits, hit_at_k(hits, questions, max_k)
 
 
@@ -169,7 +171,7 @@ def match_table_chunks(results: DataFrame, chunks: DataFrame, questions: DataFra
     on any chunk of the same table (the per-chunk hits are aggregated per (question, table)).
     """
     corpus = chunks.select("id", "text", "title", F.lit(0).cast("bigint").alias("row_no"))
-    chunk_hits = match_string(results, corpus, questions)
+    chunk_hits = match_string(results, corpus, questions, max_k)
     tbl = chunks.select(F.col("id").alias("_cid"), "table_id")
     # every chunk of every table that appears in a question's results
     r_tables = results.join(tbl, results["doc_id"] == tbl["_cid"]).select("qid", "rank", "table_id")

@@ -93,14 +93,10 @@ def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df
     stats = corpus_stats(tf).select(
         "n_docs", "avgdl", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"),
         F.lit(int(min_df)).alias("min_df"), F.lit(float(max_df_ratio)).alias("max_df_ratio"))
-    if persist:
-        stats = materialize(stats.coalesce(1), "bm25-stats")
     df = document_frequency(tf)
     vocab = prune_vocabulary(df, stats, min_df, max_df_ratio) \
         .crossJoin(F.broadcast(stats.select("n_docs"))) \
         .select("term", "df", F.log(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    if persist:
-        vocab = materialize(vocab, "bm25-vocab")
     return Bm25Index(tf.select("row_no", "id", "dl", "term", "tf"), vocab, stats)
 
 

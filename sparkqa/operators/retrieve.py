@@ -147,11 +147,30 @@ def passages_last_wins(corpus: DataFrame) -> DataFrame:
     return last.select("id", "_p.text", "_p.title", "_p.row_no")
 
 
-def passage_lookup(results: DataFrame, corpus: DataFrame) -> DataFrame:
+def retrieved_passages(results: DataFrame, corpus: DataFrame, max_results: int | None = None) -> DataFrame:
+    """The corpus rows whose id appears in ``results``, last duplicate winning.
+
+    The corpus is filtered *before* the dedupe.  When the number of result rows has a proven
+    bound (``max_results`` = k x number of questions) under the broadcast limit, the distinct
+    result ids are broadcast and the corpus is filtered map-side: no passage text is shuffled.
+    Without a bound the semi-join is a shuffle join (AQE may still broadcast it at run time).
+    """
+    ids = results.select(F.col("doc_id").alias("id")).distinct()
+    if max_results is not None and max_results <= DEFAULT_BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return passages_last_wins(corpus.join(ids, "id", "left_semi"))
+
+
+def result_bound(questions: DataFrame, max_k: int | None) -> int | None:
+    """Upper bound on result rows: k per question (one cheap count of the question table)."""
+    return None if max_k is None else int(max_k) * questions.count()
+
+
+def passage_lookup(results: DataFrame, corpus: DataFrame, max_results: int | None = None) -> DataFrame:
     """Results with ``text`` and ``title`` (left join; unknown ids keep null text and are
     flagged with ``found = false`` instead of failing the job)."""
-    p = passages_last_wins(corpus).select(F.col("id").alias("doc_id"), "text", "title",
-                                          F.lit(True).alias("found"))
+    p = retrieved_passages(results, corpus, max_results).select(
+        F.col("id").alias("doc_id"), "text", "title", F.lit(True).alias("found"))
     out = results.join(p, "doc_id", "left")
     return out.withColumn("found", F.coalesce("found", F.lit(False)))
 

@@ -87,13 +87,13 @@ def x1(spark, sf_dir):
 
 @query("e1_match_string")
 def e1(spark, sf_dir):
-    return ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir))
+    return ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir), TOPK)
 
 
 @query("e5_hit_at_k")
 def e5(spark, sf_dir):
     qs = fx.questions(spark, sf_dir)
-    hits = ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), qs)
+    hits = ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), qs, TOPK)
     return ev.hit_at_k(hits, qs, TOPK).select("k", "hits", F.round("recall", 6).alias("recall"))
 
 
@@ -158,24 +158,27 @@ def x2(spark, sf_dir):
 
 @query("x4_passage_lookup")
 def x4(spark, sf_dir):
-    out = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir))
+    bound = rt.result_bound(fx.questions(spark, sf_dir), TOPK)
+    out = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), bound)
     return out.select("qid", "rank", "doc_id", "title", F.length("text").cast("bigint").alias("text_len"), "found")
 
 
 @query("e2_match_regex")
 def e2(spark, sf_dir):
-    return ev.match_regex(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.regex_questions(spark, sf_dir))
+    return ev.match_regex(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.regex_questions(spark, sf_dir),
+                          TOPK)
 
 
 @query("e3_match_kilt")
 def e3(spark, sf_dir):
-    return ev.match_kilt(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir))
+    return ev.match_kilt(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir), TOPK)
 
 
 @query("e4_match_from_meta")
 def e4(spark, sf_dir):
-    r = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir))
-    return ev.match_from_meta(r, fx.questions(spark, sf_dir), "string", use_title=True)
+    qs = fx.questions(spark, sf_dir)
+    r = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), rt.result_bound(qs, TOPK))
+    return ev.match_from_meta(r, qs, "string", use_title=True)
 
 
 # --- text functions ------------------------------------------------------------------------------
@@ -503,8 +506,8 @@ def training_samples(spark, sf_dir):
     on odd ranks), hard negatives = the other results; questions without hits have none."""
     corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
     r = bm25_results(spark, sf_dir)
-    hits = ev.match_string(r, corpus, qs).join(r.select("qid", "rank", "score"), ["qid", "rank"])
-    p = rt.passage_lookup(hits, corpus)
+    hits = ev.match_string(r, corpus, qs, TOPK).join(r.select("qid", "rank", "score"), ["qid", "rank"])
+    p = rt.passage_lookup(hits, corpus, rt.result_bound(qs, TOPK))
     ctx = F.struct(F.col("rank"), F.col("text"), F.col("title"),
                    F.when(F.col("rank") % 2 == 1, F.col("score")).alias("score"), F.col("doc_id").alias("passage_id"))
     agg = p.groupBy("qid").agg(
@@ -569,7 +572,8 @@ def s13(spark, sf_dir):
     path = _scratch(spark, "gold-json")
     corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
     r = bm25_results(spark, sf_dir)
-    first_hit = ev.match_string(r, corpus, qs).filter("has_answer").groupBy("qid").agg(F.min("rank").alias("rank"))
+    first_hit = ev.match_string(r, corpus, qs, TOPK).filter("has_answer").groupBy("qid").agg(
+        F.min("rank").alias("rank"))
     titled = first_hit.join(r, ["qid", "rank"]).join(corpus.select(F.col("id").alias("doc_id"), "title"), "doc_id")
     b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("context"))
     g = qs.join(titled.select("qid", "title"), "qid", "left").join(b, "qid").select(
@@ -586,7 +590,7 @@ def s13(spark, sf_dir):
 def k1(spark, sf_dir):
     corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
     r = bm25_results(spark, sf_dir)
-    rep = wr.result_report(r, qs, corpus, ev.match_string(r, corpus, qs))
+    rep = wr.result_report(r, qs, corpus, ev.match_string(r, corpus, qs, TOPK), max_k=TOPK)
     path = _scratch(spark, "report-json")
     wr.write_result_report(rep, path)
     back = spark.read.schema(rep.schema).json(path)
@@ -655,11 +659,12 @@ def k8(spark, sf_dir):
 
 
 # --- training-set preparation --------------------------------------------------------------------
-def gold_passages(spark, sf_dir):
+def gold_passages(spark, sf_dir, results=None, hits=None):
     """Fx-gold without the file: ``key, question, title`` (title = source of the first hit)."""
     corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
-    r = bm25_results(spark, sf_dir)
-    first_hit = ev.match_string(r, corpus, qs).filter("has_answer").groupBy("qid").agg(F.min("rank").alias("rank"))
+    r = results if results is not None else bm25_results(spark, sf_dir)
+    h = hits if hits is not None else ev.match_string(r, corpus, qs, TOPK)
+    first_hit = h.filter("has_answer").groupBy("qid").agg(F.min("rank").alias("rank"))
     titled = first_hit.join(r, ["qid", "rank"]).join(corpus.select(F.col("id").alias("doc_id"), "title"), "doc_id")
     g = qs.join(titled.select("qid", "title"), "qid", "left").select(
         "qid", "question", F.regexp_replace("question", " ", "  ").alias("question_tokens"),
@@ -671,15 +676,16 @@ def gold_passages(spark, sf_dir):
 
 
 def reader_inputs(spark, sf_dir):
-    """Fx-reader: Fx-results with has_answer, title and BM25 tokens of passage and answers."""
+    """Fx-reader: Fx-results with has_answer, title and BM25 tokens of passage and answers;
+    also the Fx-gold lookup built from the same results."""
     corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
     r = bm25_results(spark, sf_dir)
-    hits = ev.match_string(r, corpus, qs)
-    ctx = rt.passage_lookup(hits, corpus).select("qid", "rank", "doc_id", "title", "has_answer",
+    hits = ev.match_string(r, corpus, qs, TOPK)
+    ctx = rt.passage_lookup(hits, corpus, rt.result_bound(qs, TOPK)).select("qid", "rank", "doc_id", "title", "has_answer",
                                                  tx.tokenize_alnum("text").alias("tokens"))
     q = qs.select("qid", "question", F.transform("answers", lambda a: tx.tokenize_alnum(a)).alias("answer_tokens"),
                   tx.tokenize_alnum("question").alias("question_tokens"))
-    return ctx, q
+    return ctx, q, gold_passages(spark, sf_dir, r, hits)
 
 
 def spans_text(c="spans"):
@@ -689,7 +695,7 @@ def spans_text(c="spans"):
 
 @query("n12_answer_positions")
 def n12(spark, sf_dir):
-    ctx, q = reader_inputs(spark, sf_dir)
+    ctx, q, _ = reader_inputs(spark, sf_dir)
     j = ctx.filter("has_answer").join(q, "qid")
     sp = F.flatten(F.transform("answer_tokens", lambda a: tx.answer_positions("tokens", a)))
     return j.select("qid", "rank", "doc_id", sp.alias("spans")).select("qid", "rank", "doc_id",
@@ -698,22 +704,22 @@ def n12(spark, sf_dir):
 
 @query("r3_select_reader_passages")
 def r3(spark, sf_dir):
-    ctx, q = reader_inputs(spark, sf_dir)
-    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True)
+    ctx, q, gold = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold, is_train=True)
     return sel.select("qid", "kind", "ord", "doc_id", "rank", spans_text().alias("spans"))
 
 
 @query("r3_select_reader_passages_eval")
 def r3e(spark, sf_dir):
-    ctx, q = reader_inputs(spark, sf_dir)
+    ctx, q, _ = reader_inputs(spark, sf_dir)
     sel = tr.select_reader_passages(ctx, q, None, is_train=False, eval_passages=10)
     return sel.select("qid", "kind", "ord", "doc_id", "rank")
 
 
 @query("r4_reader_sequences")
 def r4(spark, sf_dir):
-    ctx, q = reader_inputs(spark, sf_dir)
-    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True) \
+    ctx, q, gold = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold, is_train=True) \
         .withColumn("title_tokens", tx.tokenize_alnum("title"))
     seq = tr.reader_sequences(sel, q)
     return seq.select("qid", "kind", "ord", "doc_id", F.col("passage_offset").cast("bigint").alias("passage_offset"),
@@ -723,8 +729,8 @@ def r4(spark, sf_dir):
 
 @query("r8_prepare_reader_data")
 def r8(spark, sf_dir):
-    ctx, q = reader_inputs(spark, sf_dir)
-    sel = tr.select_reader_passages(ctx, q, gold_passages(spark, sf_dir), is_train=True) \
+    ctx, q, gold = reader_inputs(spark, sf_dir)
+    sel = tr.select_reader_passages(ctx, q, gold, is_train=True) \
         .withColumn("title_tokens", tx.tokenize_alnum("title"))
     prepared = tr.prepare_reader_data(sel, q)
     path = _scratch(spark, "reader-samples")

@@ -45,14 +45,15 @@ def py_list_literal(c) -> F.Column:
 
 # --- K1 ------------------------------------------------------------------------------------------
 def result_report(results: DataFrame, questions: DataFrame, corpus: DataFrame, hits: DataFrame,
-                  no_text: bool = False) -> DataFrame:
+                  no_text: bool = False, max_k: int | None = None) -> DataFrame:
     """K1: per question ``question, answers, hit_min_rank, all_hits, ctxs[]`` in rank order.
 
     ``ctxs`` = {id, rank, title, text (or "" with ``no_text``), score as string, has_answer}.
     Each question's list is bounded by k, so the ordered ``collect_list`` is bounded.
     """
-    from sparkqa.operators.retrieve import passages_last_wins
-    p = passages_last_wins(corpus).select(F.col("id").alias("doc_id"), "text", "title")
+    from sparkqa.operators.retrieve import result_bound, retrieved_passages
+    p = retrieved_passages(results, corpus, result_bound(questions, max_k)).select(
+        F.col("id").alias("doc_id"), "text", "title")
     r = results.join(hits.select("qid", "rank", "has_answer"), ["qid", "rank"], "left") \
         .join(p, "doc_id", "left")
     ctx = F.struct(F.col("rank").alias("rank"), F.col("doc_id").alias("id"), F.col("title"),
