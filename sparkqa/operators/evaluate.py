@@ -12,7 +12,7 @@ import re as _re
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,13 +135,16 @@ def hit_at_k(hits: DataFrame, questions: DataFrame, max_k: int) -> DataFrame:
     <= k over all questions.  The per-rank counts and the k grid are both at most max_k rows."""
     spark: SparkSession = hits.sparkSession
     fh = first_hits(hits, questions)
-    per_rank = fh.filter(F.col("first_hit").isNotNull()).groupBy("first_hit").agg(F.count(F.lit(1)).alias("n"))
-    n_q = questions.agg(F.count(F.lit(1)).alias("n_q"))
+    per_rank = fh.filter(F.col("first_hit").isNotNull()).groupBy(F.col("first_hit").alias("k")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    n_q = questions.count()
     grid = spark.range(1, int(max_k) + 1).select(F.col("id").cast("bigint").alias("k"))
-    acc = grid.join(F.broadcast(per_rank), per_rank["first_hit"] <= grid["k"], "left") \
-        .groupBy("k").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("hits"))
-    return acc.crossJoin(F.broadcast(n_q)).select(
-        "k", "hits", F.when(F.col("n_q") > 0, F.col("hits") / F.col("n_q")).alias("recall"))
+    # max_k rows on both sides: an equi-join on k and a running sum over the k grid
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    acc = grid.join(F.broadcast(per_rank), "k", "left") \
+        .select("k", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("bigint").alias("hits"))
+    return acc.select("k", "hits", (F.col("hits") / F.lit(n_q) if n_q > 0 else F.lit(None).cast("double"))
+                      .alias("recall"))
 
 
 # --- E6 / E8 -------------------------------------------------------------------------------------

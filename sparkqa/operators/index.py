@@ -60,12 +60,10 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def prune_vocabulary(df: DataFrame, stats: DataFrame, min_df: int = 2, max_df_ratio: float = 0.3) -> DataFrame:
+def prune_vocabulary(df: DataFrame, n_docs: int, min_df: int = 2, max_df_ratio: float = 0.3) -> DataFrame:
     """A3: keep ``min_df <= df <= max(int(max_df_ratio * n_docs), 1)``."""
-    max_df = F.greatest(F.floor(F.lit(float(max_df_ratio)) * F.col("n_docs")).cast("bigint"), F.lit(1))
-    return (df.crossJoin(F.broadcast(stats.select("n_docs")))
-              .filter((F.col("df") >= min_df) & (F.col("df") <= max_df))
-              .drop("n_docs"))
+    max_df = max(int(float(max_df_ratio) * n_docs), 1)
+    return df.filter((F.col("df") >= min_df) & (F.col("df") <= max_df))
 
 
 # --- A4 ------------------------------------------------------------------------------------------
@@ -90,13 +88,14 @@ def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df
     tf = term_frequencies(corpus)
     if persist:
         tf = materialize(tf, "bm25-postings")
-    stats = corpus_stats(tf).select(
-        "n_docs", "avgdl", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"),
-        F.lit(int(min_df)).alias("min_df"), F.lit(float(max_df_ratio)).alias("max_df_ratio"))
-    df = document_frequency(tf)
-    vocab = prune_vocabulary(df, stats, min_df, max_df_ratio) \
-        .crossJoin(F.broadcast(stats.select("n_docs"))) \
-        .select("term", "df", F.log(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    # the corpus statistics are one row: read them as scalars (map-side partial aggregate)
+    st = corpus_stats(tf).first()
+    n_docs, avgdl = int(st["n_docs"]), float(st["avgdl"])
+    stats = corpus.sparkSession.createDataFrame(
+        [(n_docs, avgdl, float(k1), float(b), int(min_df), float(max_df_ratio))],
+        "n_docs bigint, avgdl double, k1 double, b double, min_df int, max_df_ratio double")
+    vocab = prune_vocabulary(document_frequency(tf), n_docs, min_df, max_df_ratio).select(
+        "term", "df", F.log(1.0 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     return Bm25Index(tf.select("row_no", "id", "dl", "term", "tf"), vocab, stats)
 
 
@@ -190,13 +189,13 @@ def build_tfidf_index(corpus: DataFrame, max_features: int = 200_000, ngram_max:
     tf = tfidf_doc_terms(docs, "row_no", F.col("_t"), stop_words, ngram_max)
     if persist:
         tf = materialize(tf, "tfidf-doc-terms")
-    n_docs = corpus.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
+    n_docs = corpus.count()
     by_term = tf.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("df"),
                                      F.sum("tf").cast("bigint").alias("ctf"))
     if persist:
         by_term = materialize(by_term, "tfidf-terms")
-    vocab = top_terms(by_term, int(max_features)).crossJoin(F.broadcast(n_docs)).select(
-        "term", "df", "ctf", (F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    vocab = top_terms(by_term, int(max_features)).select(
+        "term", "df", "ctf", (F.log((1.0 + F.lit(float(n_docs))) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
     if persist:
         vocab = materialize(vocab, "tfidf-vocab")
     raw = tf.join(vocab.select("term", "idf"), "term").select(
@@ -207,6 +206,6 @@ def build_tfidf_index(corpus: DataFrame, max_features: int = 200_000, ngram_max:
         "term", "row_no", "id", (F.col("raw") / F.col("norm")).cast("float").alias("w"))
     if persist:
         weights = materialize(weights, "tfidf-weights")
-    stats = n_docs.crossJoin(vocab.agg(F.count(F.lit(1)).cast("bigint").alias("n_terms"))) \
-        .withColumn("ngram_max", F.lit(int(ngram_max)))
+    stats = vocab.agg(F.lit(n_docs).cast("bigint").alias("n_docs"), F.count(F.lit(1)).cast("bigint").alias("n_terms"),
+                      F.lit(int(ngram_max)).alias("ngram_max"))
     return TfidfIndex(weights, vocab, stats)

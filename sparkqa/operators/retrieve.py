@@ -48,9 +48,10 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
     # the size check counts the question side only (never the index); joining the vocabulary
     # can only shrink it
     small = q.count() <= broadcast_rows
-    st = index.stats.select("n_docs", F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("avgdl"),
-                            "k1", "b")
-    qv = q.join(index.vocab.select("term", "idf"), "term").crossJoin(F.broadcast(st))
+    st = index.stats.first()                      # one row: read as scalars
+    avgdl = float(st["avgdl"]) if st["avgdl"] > 0 else 1.0
+    qv = q.join(index.vocab.select("term", "idf"), "term").select(
+        "*", F.lit(avgdl).alias("avgdl"), F.lit(float(st["k1"])).alias("k1"), F.lit(float(st["b"])).alias("b"))
     keys, postings = ["term"], index.postings
     if index.n_buckets and "term_bucket" in postings.columns:
         # a saved index is partitioned by term bucket: read only the buckets of the query terms
@@ -109,8 +110,8 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
 
     With ``pad`` every question gets exactly min(topk, n_docs) rows: questions with m < k
     matching documents are filled with score-0 documents in corpus order, taken from the
-    first k corpus rows (those hold at least k - m unmatched documents).  The k-row frame is
-    the only thing crossed with questions, never the corpus.
+    first k corpus rows (those hold at least k - m unmatched documents); those k ids are
+    expanded per short question, never joined against the corpus.
     """
     qt = tfidf_doc_terms(questions.select("qid", "question"), "qid", F.col("question"), stop_words, ngram_max)
     small = qt.count() <= broadcast_rows
@@ -123,12 +124,17 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
     ranked = _rank(scored, topk, order).select("qid", "rank", "row_no", F.col("id").alias("doc_id"), "score")
     if not pad:
         return ranked.drop("row_no")
-    first_k = F.broadcast(corpus.select("row_no", F.col("id").alias("doc_id"))
-                          .orderBy("row_no").limit(int(topk)))
+    # the first k corpus rows (k rows reach the driver: a proven bound) become a literal array;
+    # each short question expands it, drops the documents it already has and keeps the first
+    # k - m, so no join pairs questions with corpus rows
+    first_k = corpus.select("row_no", F.col("id").alias("doc_id")).orderBy("row_no").limit(int(topk)).collect()
+    cands = F.array(*[F.struct(F.lit(r["row_no"]).cast("bigint").alias("row_no"), F.lit(r["doc_id"]).alias("doc_id"))
+                      for r in first_k]) if first_k else F.array().cast("array<struct<row_no:bigint,doc_id:string>>")
     got = ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("_m"))
     short = questions.select("qid").join(got, "qid", "left") \
         .select("qid", F.coalesce("_m", F.lit(0)).alias("_m")).filter(F.col("_m") < topk)
-    fill = short.crossJoin(first_k).join(ranked.select("qid", "row_no"), ["qid", "row_no"], "left_anti")
+    fill = short.select("qid", "_m", F.explode(cands).alias("_c")).select("qid", "_m", "_c.row_no", "_c.doc_id") \
+        .join(ranked.select("qid", "row_no"), ["qid", "row_no"], "left_anti")
     wf = Window.partitionBy("qid").orderBy("row_no")
     fill = fill.withColumn("_r", F.row_number().over(wf)).filter(F.col("_r") + F.col("_m") <= topk) \
         .select("qid", (F.col("_r") + F.col("_m")).cast("bigint").alias("rank"), "row_no", "doc_id",

@@ -224,15 +224,16 @@ def epoch_shards(df: DataFrame, key: str, num_shards: int, batch_size: int, seed
     order = [seeded_key(seed, epoch, key), F.col(key)] if shuffle else [F.col(key)]
     num = global_row_number(df.select(key, *[o.alias(f"_o{i}") for i, o in enumerate(order)]),
                             [f"_o{i}" for i in range(len(order))], "_p").select(key, "_p")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    sps = F.ceil(F.col("_n") / F.lit(num_shards)).cast("bigint")
-    num = num.crossJoin(F.broadcast(n)).withColumn("_sps", sps) \
+    n = df.count()
+    sps_v = -(-n // num_shards)                 # ceil(n / num_shards)
+    sps = F.lit(sps_v).cast("bigint")
+    num = num.withColumn("_n", F.lit(n).cast("bigint")).withColumn("_sps", sps) \
         .withColumn("shard", F.floor(F.col("_p") / F.col("_sps")).cast("bigint")) \
         .withColumn("_in", F.col("_p") - F.col("shard") * F.col("_sps"))
     base = num.select("shard", key, "_in", (F.floor(F.col("_in") / batch_size)).cast("bigint").alias("batch"),
                       (F.col("_in") % batch_size).cast("bigint").alias("slot"))
-    grid = spark.range(num_shards).select(F.col("id").alias("shard")).crossJoin(F.broadcast(n)) \
-        .withColumn("_sps", sps) \
+    grid = spark.range(num_shards).select(F.col("id").alias("shard")) \
+        .withColumn("_n", F.lit(n).cast("bigint")).withColumn("_sps", sps) \
         .withColumn("_len", F.greatest(F.least(F.col("_sps"), F.col("_n") - F.col("shard") * F.col("_sps")), F.lit(0))) \
         .withColumn("_nb", F.ceil(F.col("_len") / batch_size).cast("bigint")) \
         .withColumn("_iters", (F.ceil(F.col("_sps") / batch_size) if strict
@@ -294,6 +295,6 @@ def question_overlap(tables_side: DataFrame, regular: DataFrame, dev: DataFrame
         r = r.unionByName(dev.select("question"))
     r = r.distinct()
     both = t.intersect(r)
-    return t.agg(F.count(F.lit(1)).alias("tab_questions")).crossJoin(
-        r.agg(F.count(F.lit(1)).alias("reg_questions"))).crossJoin(
-        both.agg(F.count(F.lit(1)).alias("overlap")))
+    spark = tables_side.sparkSession
+    return spark.createDataFrame([(t.count(), r.count(), both.count())],
+                                 "tab_questions bigint, reg_questions bigint, overlap bigint")
