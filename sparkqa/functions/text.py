@@ -129,11 +129,16 @@ def prepare_answer_tokens(a) -> Column:
     return F.split(F.lower(normalize_nfd(a)), " ", -1)
 
 
-def meta_text(text, title, use_title: bool = False) -> Column:
-    """Passage text, optionally prefixed by ``title + ' . '``."""
-    t = F.coalesce(_col(text), F.lit(""))
+def meta_text(text, title, use_title: bool = False, compressed: bool = False) -> Column:
+    """Passage text, optionally prefixed by ``title + ' . '``; with ``compressed`` both
+    fields are zlib-compressed bytes and are decompressed first (Arrow UDF)."""
+    from sparkqa.functions.unicode import zlib_text
+    tx_, ti = _col(text), _col(title)
+    if compressed:
+        tx_, ti = zlib_text(tx_), zlib_text(ti)
+    t = F.coalesce(tx_, F.lit(""))
     if use_title:
-        return F.concat(F.coalesce(_col(title), F.lit("")), F.lit(" . "), t)
+        return F.concat(F.coalesce(ti, F.lit("")), F.lit(" . "), t)
     return t
 
 

@@ -29,3 +29,17 @@ def nfd(s: pd.Series) -> pd.Series:
 def nfd_array(s: pd.Series) -> pd.Series:
     """NFD of each element of an array of strings; null arrays stay null."""
     return s.map(lambda a: None if a is None else [_nfd(x) for x in a])
+
+
+@F.pandas_udf(T.StringType())
+def zlib_text(b: pd.Series) -> pd.Series:
+    """Decompress zlib-compressed UTF-8 bytes (N16 with compressed meta); nulls stay null."""
+    import zlib
+    return b.map(lambda v: None if v is None else zlib.decompress(v).decode("utf-8"))
+
+
+@F.pandas_udf(T.BinaryType())
+def zlib_bytes(s: pd.Series) -> pd.Series:
+    """zlib-compress UTF-8 text (writes compressed meta for the round trip)."""
+    import zlib
+    return s.map(lambda v: None if v is None else zlib.compress(v.encode("utf-8")))

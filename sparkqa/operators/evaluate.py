@@ -106,11 +106,11 @@ MATCHERS = {"string": match_string, "regex": match_regex, "kilt": match_kilt}
 
 # --- E4 ------------------------------------------------------------------------------------------
 def match_from_meta(results_with_text: DataFrame, questions: DataFrame, match_type: str = "string",
-                    use_title: bool = False) -> DataFrame:
-    """Like E1/E2 on text carried in the result rows (``text``, ``title``); ``kilt`` is not
-    available here and gives no hits."""
+                    use_title: bool = False, compressed: bool = False) -> DataFrame:
+    """Like E1/E2 on text carried in the result rows (``text``, ``title``, zlib bytes with
+    ``compressed``); ``kilt`` is not available here and gives no hits."""
     from sparkqa.functions.text import meta_text
-    r = results_with_text.withColumn("_mt", meta_text("text", "title", use_title))
+    r = results_with_text.withColumn("_mt", meta_text("text", "title", use_title, compressed))
     if match_type == "string":
         ans = questions.select("qid", _answer_keys(F.coalesce("answers", F.array().cast("array<string>"))).alias("_ak"))
         j = r.withColumn("_tkey", match_key(tokenize_unicode(normalize_nfd("_mt")))).join(ans, "qid", "left")

@@ -650,3 +650,6 @@ ORACLE.update({
 })
 
 ORACLE["x1_bm25_topk_stream"] = ORACLE["x1_bm25_topk"]
+
+ORACLE["e4_match_from_meta_compressed"] = ORACLE["e4_match_from_meta"]
+ORACLE["s12_read_gold_results"] = sql("SELECT q AS q_index, rank, table_id FROM fgold", ["fgold"])

@@ -873,3 +873,29 @@ def x1s(spark, sf_dir):
     q.awaitTermination()
     r = read_stream_results(spark, f"{root}/out")
     return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("e4_match_from_meta_compressed")
+def e4c(spark, sf_dir):
+    """E4 with zlib-compressed meta: the results carry compressed text and title (Fx-compressed)."""
+    from sparkqa.functions.unicode import zlib_bytes
+    qs = fx.questions(spark, sf_dir)
+    r = rt.passage_lookup(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), rt.result_bound(qs, TOPK))
+    path = _scratch(spark, "meta-compressed")
+    r.select("qid", "rank", "doc_id", zlib_bytes("text").alias("text"), zlib_bytes("title").alias("title")) \
+        .write.mode("overwrite").parquet(path)
+    return ev.match_from_meta(spark.read.parquet(path), qs, "string", use_title=True, compressed=True)
+
+
+@query("s12_read_gold_results")
+def s12g(spark, sf_dir):
+    """S12 gold file: ``q_index, "id ...", ...`` comma CSV of the gold candidates (Fx-table-search, top 5
+    by descending customer key)."""
+    path = _scratch(spark, "gold-csv")
+    clean = clean_table_frame(spark, sf_dir)
+    gold = fx.table_search(spark, sf_dir, clean, 5, descending=True)
+    lines = gold.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")).select(
+        "q", F.concat_ws(",", F.col("q").cast("string"), F.array_join(F.transform(
+            "c", lambda x: F.concat(F.lit('"'), x["table_id"].cast("string"), F.lit(" tbl"), F.lit('"'))), ",")).alias("line"))
+    lines.orderBy("q").select("line").write.mode("overwrite").text(path)
+    return fs.read_gold_results(spark, path, 10)
