@@ -4,7 +4,7 @@ Layout (all plain DataFrames, lazily planned):
 
 * BM25: ``postings(row_no, id, dl, term, tf)``, ``vocab(term, df, idf)`` (pruned by
   ``min_df``/``max_df_ratio``) and a one-row ``stats(n_docs, avgdl, k1, b, min_df, max_df)``.
-* TF-IDF: ``weights(term, row_no, id, w)`` (L2-normalised tf·idf) and ``vocab(term, df, ctf, idf)``.
+* TF-IDF: ``weights(term, row_no, w)`` (L2-normalised tf·idf) and ``vocab(term, df, ctf, idf)``.
 
 The per-document work (tokenise, count) is a map-side partial aggregate: a document never
 spans partitions, so the partial aggregate already holds the final (doc, term) counts and
@@ -144,7 +144,7 @@ def tfidf_doc_terms(docs: DataFrame, key: str, text_col, stop_words=ENGLISH_STOP
 
 @dataclass
 class TfidfIndex:
-    weights: DataFrame    # term, row_no, id, w  (L2-normalised per document, FLOAT)
+    weights: DataFrame    # term, row_no, w  (L2-normalised per document, FLOAT)
     vocab: DataFrame      # term, df, ctf, idf
     stats: DataFrame      # one row: n_docs, n_terms, ngram_max
 
@@ -200,10 +200,10 @@ def build_tfidf_index(corpus: DataFrame, max_features: int = 200_000, ngram_max:
         vocab = materialize(vocab, "tfidf-vocab")
     raw = tf.join(vocab.select("term", "idf"), "term").select(
         "term", "row_no", (F.col("tf") * F.col("idf")).alias("raw"))
-    norm = raw.groupBy("row_no").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    ids = corpus.select("row_no", "id")
-    weights = raw.join(norm, "row_no").join(ids, "row_no").select(
-        "term", "row_no", "id", (F.col("raw") / F.col("norm")).cast("float").alias("w"))
+    # L2 norm over the document's own terms (a document is one window partition, bounded by
+    # its length); document ids are attached to the top-k results only, not to every weight
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("row_no")))
+    weights = raw.select("term", "row_no", (F.col("raw") / norm).cast("float").alias("w"))
     if persist:
         weights = materialize(weights, "tfidf-weights")
     stats = vocab.agg(F.lit(n_docs).cast("bigint").alias("n_docs"), F.count(F.lit(1)).cast("bigint").alias("n_terms"),

@@ -118,10 +118,16 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
     qv = tfidf_query_vectors(questions, index, stop_words, ngram_max)
     qv = F.broadcast(qv) if small else qv
     cand = index.weights.join(qv, "term")
-    scored = cand.groupBy("qid", "row_no", "id").agg(
+    scored = cand.groupBy("qid", "row_no").agg(
         F.sum(F.col("wq").cast("double") * F.col("w").cast("double")).alias("score"))
     order = [F.round("score", TIE_DECIMALS).desc(), F.col("row_no")]
-    ranked = _rank(scored, topk, order).select("qid", "rank", "row_no", F.col("id").alias("doc_id"), "score")
+    ranked = _rank(scored, topk, order).select("qid", "rank", "row_no", "score")
+    # ids for the ranked rows only: at most topk per question, so that side is broadcast and
+    # the corpus id column is streamed
+    n_q = questions.count()
+    ranked_b = F.broadcast(ranked) if topk * n_q <= broadcast_rows else ranked
+    ranked = corpus.select("row_no", F.col("id").alias("doc_id")).join(ranked_b, "row_no") \
+        .select("qid", "rank", "row_no", "doc_id", "score")
     if not pad:
         return ranked.drop("row_no")
     # the first k corpus rows (k rows reach the driver: a proven bound) become a literal array;
