@@ -79,7 +79,8 @@ def table_examples(samples: DataFrame, linearized_pos: DataFrame, linearized_neg
 def select_reader_passages(ctxs: DataFrame, questions: DataFrame, gold: DataFrame | None = None,
                            is_train: bool = True, max_retriever_passages: int = 200, max_positives: int = 20,
                            min_negatives: int = 50, max_negatives: int = 150, eval_passages: int = 100,
-                           gold_page_only_positives: bool = True, skip_no_positives: bool = True) -> DataFrame:
+                           gold_page_only_positives: bool = True, skip_no_positives: bool = True,
+                           include_gold_passage: bool = False, tokenize=None) -> DataFrame:
     """Choose reader passages per question.
 
     ``ctxs(qid, rank, doc_id, title, has_answer, tokens)``; ``questions(qid, question, answer_tokens)``
@@ -90,7 +91,10 @@ def select_reader_passages(ctxs: DataFrame, questions: DataFrame, gold: DataFram
     min(max(10 * positives, min_negatives), max_negatives) non-answer contexts.  Eval: no
     positives, the first ``eval_passages`` contexts.  Output ``qid, kind, ord, doc_id, rank,
     spans`` plus the context columns; questions without positives dropped in training when
-    ``skip_no_positives``.
+    ``skip_no_positives``.  With ``include_gold_passage`` the question's gold passage (``gold``
+    needs ``context`` and ``example_id``; ``ctxs`` needs ``text``) is appended as the last
+    positive when no selected positive has its text and it holds an answer span; it counts
+    towards the negative cap.  ``tokenize`` turns the gold context into the same tokens.
     """
     c = ctxs.filter(F.col("rank") <= max_retriever_passages)
     if not is_train:
@@ -112,6 +116,19 @@ def select_reader_passages(ctxs: DataFrame, questions: DataFrame, gold: DataFram
     pos = pos.filter((F.col("_any_gold") == 0) | F.col("_gold"))
     pos = pos.withColumn("ord", (F.row_number().over(Window.partitionBy("qid").orderBy("rank")) - 1).cast("bigint"))
     pos = pos.filter((F.col("_any_gold") == 1) | (F.col("ord") < max_positives))
+    cols = [x for x in ctxs.columns if x not in ("qid", "rank", "doc_id")]
+    if include_gold_passage and gold is not None:
+        gp = q.join(gold.select(F.col("key").alias("question"), "title", "context", "example_id"), "question") \
+            .select("qid", "answer_tokens", F.col("example_id").alias("doc_id"), "title",
+                    F.col("context").alias("text"), tokenize(F.col("context")).alias("tokens"))
+        gp = gp.withColumn("spans", F.flatten(F.transform("answer_tokens", lambda a: answer_positions("tokens", a)))) \
+            .filter(F.size("spans") > 0)
+        gp = gp.join(pos.select("qid", "text"), ["qid", "text"], "left_anti")
+        last = pos.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
+        gp = gp.join(last, "qid", "left").select(
+            "qid", F.coalesce("_n", F.lit(0)).cast("bigint").alias("ord"), F.lit(None).cast("bigint").alias("rank"),
+            "doc_id", "spans", *[F.lit(True).alias(c) if c == "has_answer" else F.col(c) for c in cols])
+        pos = pos.select("qid", "ord", "rank", "doc_id", "spans", *cols).unionByName(gp)
     n_pos = pos.groupBy("qid").agg(F.count(F.lit(1)).alias("_np"))
     neg = c.filter(~F.col("has_answer")).join(n_pos, "qid", "left")
     if skip_no_positives:
@@ -119,7 +136,6 @@ def select_reader_passages(ctxs: DataFrame, questions: DataFrame, gold: DataFram
     limit = F.least(F.greatest(F.coalesce("_np", F.lit(0)) * 10, F.lit(min_negatives)), F.lit(max_negatives))
     neg = neg.withColumn("ord", (F.row_number().over(Window.partitionBy("qid").orderBy("rank")) - 1).cast("bigint")) \
         .filter(F.col("ord") < limit)
-    cols = [x for x in ctxs.columns if x not in ("qid", "rank", "doc_id")]
     p = pos.select("qid", F.lit("positive").alias("kind"), "ord", "rank", "doc_id", "spans", *cols)
     n = neg.select("qid", F.lit("negative").alias("kind"), "ord", "rank", "doc_id",
                    F.array().cast("array<struct<start:int,end:int>>").alias("spans"), *cols)

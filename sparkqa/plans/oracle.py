@@ -653,3 +653,19 @@ ORACLE["x1_bm25_topk_stream"] = ORACLE["x1_bm25_topk"]
 
 ORACLE["e4_match_from_meta_compressed"] = ORACLE["e4_match_from_meta"]
 ORACLE["s12_read_gold_results"] = sql("SELECT q AS q_index, rank, table_id FROM fgold", ["fgold"])
+
+# R3 with include_gold_passage: the gold passage is the benchmark text of the question
+cte("rgp", "SELECT x.qid, x.doc_id, x.text, x.spans FROM (SELECT qid, doc_id, text, " + SPANS + " AS spans FROM "
+           f"(SELECT q.qid, q.atk, CAST(q.qid AS VARCHAR) AS doc_id, b.text, {alnum('b.text')} AS tokens FROM rq q "
+           "JOIN benchmark b ON b.item_id = q.qid JOIN rgold g ON g.key = q.question)) x WHERE len(x.spans) > 0 "
+           "AND NOT EXISTS (SELECT 1 FROM rsel s JOIN ptext p ON p.id = s.doc_id WHERE s.qid = x.qid AND p.text = x.text)",
+    ["rq", "rgold", "rsel", "ptext"])
+cte("rselg", "SELECT qid, ord, doc_id, rank, spans FROM rsel UNION ALL SELECT g.qid, "
+             "CAST(coalesce((SELECT count(*) FROM rsel s WHERE s.qid = g.qid), 0) AS BIGINT), g.doc_id, "
+             "CAST(NULL AS BIGINT), g.spans FROM rgp g", ["rsel", "rgp"])
+cte("rnegg", "SELECT * FROM (SELECT c.*, n.np, CAST(row_number() OVER (PARTITION BY c.qid ORDER BY c.rank) - 1 AS BIGINT) "
+             "AS ord FROM rctx c JOIN (SELECT qid, count(*) AS np FROM rselg GROUP BY qid) n USING (qid) "
+             "WHERE NOT c.has_answer) WHERE ord < least(greatest(np * 10, 50), 150)", ["rctx", "rselg"])
+ORACLE["r3_select_reader_passages_with_gold"] = sql(
+    f"SELECT qid, 'positive' AS kind, ord, doc_id, rank, {spans_str('spans')} AS spans FROM rselg UNION ALL "
+    "SELECT qid, 'negative', ord, doc_id, rank, '' FROM rnegg", ["rselg", "rnegg"])

@@ -899,3 +899,20 @@ def s12g(spark, sf_dir):
             "c", lambda x: F.concat(F.lit('"'), x["table_id"].cast("string"), F.lit(" tbl"), F.lit('"'))), ",")).alias("line"))
     lines.orderBy("q").select("line").write.mode("overwrite").text(path)
     return fs.read_gold_results(spark, path, 10)
+
+
+@query("r3_select_reader_passages_with_gold")
+def r3g(spark, sf_dir):
+    """R3 with the gold passage (Fx-gold: the benchmark text) appended when absent."""
+    corpus, qs = fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir)
+    r = bm25_results(spark, sf_dir)
+    hits = ev.match_string(r, corpus, qs, TOPK)
+    ctx = rt.passage_lookup(hits, corpus, rt.result_bound(qs, TOPK)).select(
+        "qid", "rank", "doc_id", "title", "text", "has_answer", tx.tokenize_alnum("text").alias("tokens"))
+    q = qs.select("qid", "question", F.transform("answers", lambda a: tx.tokenize_alnum(a)).alias("answer_tokens"))
+    b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("context"))
+    gold = gold_passages(spark, sf_dir, r, hits).join(qs.select("question", "qid"), "question") \
+        .join(b, "qid").select("key", "title", "context", F.col("qid").cast("string").alias("example_id"))
+    sel = tr.select_reader_passages(ctx, q, gold, is_train=True, include_gold_passage=True,
+                                    tokenize=tx.tokenize_alnum)
+    return sel.select("qid", "kind", "ord", "doc_id", "rank", spans_text().alias("spans"))
