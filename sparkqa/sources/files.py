@@ -29,11 +29,24 @@ def read_tsv(spark: SparkSession, path, columns: list[str], sep: str = "\t") ->
 
 
 def with_file_order(df: DataFrame, name: str = "row_no") -> DataFrame:
-    """0-based position of each row in file order (path, split start, position in split)."""
+    """0-based position of each row in file order (path, then split start, then position).
+
+    Must be applied directly on a file scan (filters and projections are fine).  Inside one
+    split the scan yields rows in file order with consecutive ``monotonically_increasing_id``
+    values, so only one row per split is aggregated (path, split start, first id, count); the
+    running offsets over that small table - one row per split - are broadcast back.  No data
+    is shuffled or rewritten, and a recomputed scan assigns the same ids.
+    """
+    from pyspark.sql import Window
     tagged = df.select("*", F.col("_metadata.file_path").alias("_fp"),
                        F.col("_metadata.file_block_start").alias("_fb"),
                        F.monotonically_increasing_id().alias("_fm"))
-    return global_row_number(tagged, ["_fp", "_fb", "_fm"], name).drop("_fp", "_fb", "_fm")
+    splits = tagged.groupBy("_fp", "_fb").agg(F.min("_fm").alias("_f0"), F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_fp", "_fb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).select("_fp", "_fb", "_f0", "_off")
+    out = tagged.join(F.broadcast(offsets), ["_fp", "_fb"])
+    return out.withColumn(name, (F.col("_off") + F.col("_fm") - F.col("_f0")).cast("bigint")) \
+        .drop("_fp", "_fb", "_fm", "_f0", "_off")
 
 
 def _strip_bom(c):

@@ -152,3 +152,18 @@ def test_mine_contexts_stop_rule(spark):
         exp.append((r, ap is not None))
         pos, neg = pos + (ap is not None), neg + (ap is None)
     assert got == exp
+
+
+def test_file_order_across_many_splits(spark):
+    d = tempfile.mkdtemp()
+    for part in range(3):
+        write(os.path.join(d, f"part{part}.tsv"), "".join(f"{part}-{i}\tline {i}\n" for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        raw = spark.read.options(sep="\t").schema("k string, v string").csv(d)
+        assert raw.rdd.getNumPartitions() > 6
+        got = [r.k for r in fs.with_file_order(raw).orderBy("row_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"{p}-{i}" for p in range(3) for i in range(2000)]
