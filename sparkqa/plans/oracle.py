@@ -669,3 +669,23 @@ cte("rnegg", "SELECT * FROM (SELECT c.*, n.np, CAST(row_number() OVER (PARTITION
 ORACLE["r3_select_reader_passages_with_gold"] = sql(
     f"SELECT qid, 'positive' AS kind, ord, doc_id, rank, {spans_str('spans')} AS spans FROM rselg UNION ALL "
     "SELECT qid, 'negative', ord, doc_id, rank, '' FROM rnegg", ["rselg", "rnegg"])
+
+# R5 top-3: walk each passage's candidates in (score desc, start, end) order; a candidate that
+# contains or lies inside a chosen (extended) span is skipped; stop after three.
+EXT_S = "coalesce(list_max(list_filter(range(0, c.i + 1), lambda k: k % 3 <> 2)), 0)"
+EXT_E = "coalesce(list_min(list_filter(range(c.j, c.n), lambda k: k = c.n - 1 OR (k + 1) % 3 <> 2)), c.j)"
+OVERLAP = ("len(list_filter(w.chosen, lambda p: (c.i <= p.s AND p.s <= p.e AND p.e <= c.j) OR "
+           "(p.s <= c.i AND c.i <= c.j AND c.j <= p.e))) > 0")
+cte("lrank", "SELECT pid, i, j, score, n, row_number() OVER (PARTITION BY pid ORDER BY score DESC, i, j) AS ci "
+             "FROM lcand", ["lcand"])
+cte("lwalk", "SELECT * FROM (WITH RECURSIVE w(pid, ci, chosen) AS ("
+             "SELECT DISTINCT pid, CAST(0 AS BIGINT), CAST([] AS STRUCT(s BIGINT, e BIGINT, sc DOUBLE)[]) FROM lrank "
+             "UNION ALL SELECT w.pid, w.ci + 1, "
+             f"CASE WHEN {OVERLAP} THEN w.chosen ELSE list_append(w.chosen, "
+             f"{{'s': CAST({EXT_S} AS BIGINT), 'e': CAST({EXT_E} AS BIGINT), 'sc': c.score}}) END "
+             "FROM w JOIN lrank c ON c.pid = w.pid AND c.ci = w.ci + 1 WHERE len(w.chosen) < 3) "
+             "SELECT pid, chosen FROM w QUALIFY row_number() OVER (PARTITION BY pid ORDER BY ci DESC) = 1)", ["lrank"])
+ORACLE["r5_best_spans_top3"] = sql(
+    "SELECT pid, CAST(k - 1 AS BIGINT) AS span_rank, CAST(chosen[k].s AS BIGINT) AS start, "
+    "CAST(chosen[k].e AS BIGINT) AS \"end\", round(chosen[k].sc, 5) AS score FROM "
+    "(SELECT pid, chosen, unnest(range(1, len(chosen) + 1)) AS k FROM lwalk)", ["lwalk"])
