@@ -130,10 +130,13 @@ def first_hits(hits: DataFrame, questions: DataFrame) -> DataFrame:
     return questions.select("qid").join(fh, "qid", "left")
 
 
-def hit_at_k(hits: DataFrame, questions: DataFrame, max_k: int) -> DataFrame:
+def hit_at_k(hits: DataFrame, questions: DataFrame, max_k: int | None = None) -> DataFrame:
     """E5: ``k, hits, recall`` for k = 1..max_k; recall = questions whose first hit is at rank
-    <= k over all questions.  The per-rank counts and the k grid are both at most max_k rows."""
+    <= k over all questions.  ``max_k`` defaults to the longest result list (not the first
+    question's, which may be empty).  The per-rank counts and the k grid are at most max_k rows."""
     spark: SparkSession = hits.sparkSession
+    if max_k is None:
+        max_k = int(hits.agg(F.coalesce(F.max("rank"), F.lit(0))).first()[0])
     fh = first_hits(hits, questions)
     per_rank = fh.filter(F.col("first_hit").isNotNull()).groupBy(F.col("first_hit").alias("k")) \
         .agg(F.count(F.lit(1)).alias("n"))

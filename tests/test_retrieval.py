@@ -116,3 +116,11 @@ def test_regex_invalid_pattern_is_no_match(spark):
     qs = questions_df(spark, [(1, "q", ["(", "t[a-z]{2}e"]), (2, "q", ["("])])
     hits = {r.qid: r.has_answer for r in ev.match_regex(res, corpus, qs).collect()}
     assert hits == {1: True, 2: False}
+
+
+def test_hit_at_k_default_k_is_longest_list(spark):
+    qs = questions_df(spark, [(1, "q", ["a"]), (2, "q", ["a"])])
+    hits = spark.createDataFrame([(2, 1, "d", False), (2, 2, "e", True), (2, 3, "f", False)],
+                                 "qid long, rank long, doc_id string, has_answer boolean")
+    rec = [(r.k, r.hits) for r in ev.hit_at_k(hits, qs).orderBy("k").collect()]
+    assert rec == [(1, 0), (2, 1), (3, 1)]       # question 1 has an empty list and still counts
