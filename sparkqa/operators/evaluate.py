@@ -8,13 +8,10 @@ scan.  No passage dictionary is broadcast.
 
 from __future__ import annotations
 
-import re as _re
-
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkqa.functions.text import match_key, normalize_answer, normalize_nfd, tokenize_unicode
 from sparkqa.functions.unicode import nfd_array

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
 from sparkqa.functions.text import tokenize_alnum
 from sparkqa.operators.index import Bm25Index, TfidfIndex, tfidf_doc_terms
-from sparkqa.operators.util import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from sparkqa.operators.util import DEFAULT_BROADCAST_ROWS
 
 # Scores are compared after rounding to this many decimals, so summation order (which differs
 # between runs and engines) cannot reorder ties.

@@ -5,21 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows under which a side is broadcast after counting it.  Callers pass a tighter bound
-# when rows are wide.
+# Rows under which a side is broadcast once a count (or a bound such as k x questions) proves
+# it that small.  Callers pass a tighter bound when rows are wide.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the join to Spark/AQE.
-
-    The count is one cheap job over a side that is expected to be small (query terms,
-    one-row statistics, a k-row frame).  Above the bound the plan stays a shuffle join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def global_row_number(df: DataFrame, order_cols: list, name: str = "row_no", start: int = 0) -> DataFrame:
     """Dense global numbering in ``order_cols`` order without a single-partition window.
 

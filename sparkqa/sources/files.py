@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkqa.functions.text import normalize_passage, normalize_question
-from sparkqa.operators.util import global_row_number
 
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"', "multiLine": "true", "header": "false",
                "mode": "PERMISSIVE"}
