@@ -167,3 +167,33 @@ def test_file_order_across_many_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"{p}-{i}" for p in range(3) for i in range(2000)]
+
+
+def test_clean_tables_dedupe_first_wins_and_single_row_dropped(spark):
+    t = ["<Table>", "<Tr>", "<Td>", "h", "</Td>", "</Tr>", "<Tr>", "<Td>", "v", "</Td>", "</Tr>", "</Table>"]
+    header_only = ["<Table>", "<Tr>", "<Td>", "h", "</Td>", "</Tr>", "</Table>"]
+    marked = ["(", "hide", ")", "This", "section", "has", "multiple", "issues"] + t
+    rows = [page(t, "A", 1), page(t, "A", 2), page(header_only, "B", 3), page(t + t, "C", 4), page(marked, "D", 5)]
+    pages = spark.createDataFrame(rows, "page_id long, title string, tokens array<string>, html_mask array<boolean>") \
+        .withColumn("page_no", F.col("page_id"))
+    tables = tb.extract_tables(pages.filter(~tb.page_has_issues(pages)))
+    clean = tb.clean_tables(pages, tables).orderBy("table_id").collect()
+    assert [(r.table_id, r.page_id, r.table_no) for r in clean] == [(1, 1, 0), (2, 4, 0), (3, 4, 1)]
+    st = tb.table_stats(pages, tables).first()
+    assert (st.pages_with_issues, st.single_row_tables, st.nested_tables, st.regular_tables, st.total_tables) == \
+        (1, 1, 1, 4, 5)
+
+
+def test_linearize_first_answer_row_always_taken(spark):
+    t = {"caption": "c", "answer_pos": [[2, 0], [3, 0]], "gold_match": None, "rows": [
+        {"row": 0, "columns": [{"col": 0, "value": "w1 w2 w3 w4 w5 w6"}]},
+        {"row": 1, "columns": [{"col": 0, "value": "other"}]},
+        {"row": 2, "columns": [{"col": 0, "value": "ans one"}]},
+        {"row": 3, "columns": [{"col": 0, "value": "ans two"}]}]}
+    schema = ("sample_id long, t struct<caption:string,answer_pos:array<array<int>>,gold_match:int,"
+              "rows:array<struct<row:int,columns:array<struct<col:int,value:string>>>>>")
+    df = spark.createDataFrame([(1, t)], schema)
+    got = tb.linearize_tables(df, max_len=5, is_positive=True).first().text
+    assert got == "w1 w2 w3 w4 w5 w6\nans one\n"      # header already past max_len, first answer row still added
+    got = tb.linearize_tables(df, max_len=100, is_positive=True).first().text
+    assert got == "w1 w2 w3 w4 w5 w6\nans one\nans two\nother\n"

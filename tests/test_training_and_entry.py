@@ -89,3 +89,15 @@ def test_every_query_has_an_oracle_or_is_declared(spark):
     assert set(o) <= set(q)
     assert set(q) == set(o)            # every query has an exact SQL oracle
     assert len(q) >= 80
+
+
+def test_retriever_examples_exclude_gold_fallback(spark):
+    ctx = "array<struct<text:string,title:string,score:double,passage_id:string>>"
+    rows = [("q1’", [('a\n"x"', None, None, "1"), ("b", "t", 1.0, "2")], None, []),
+            ("q2", [("c", None, None, "3")], [], None)]
+    df = spark.createDataFrame(rows, f"question string, positive_ctxs {ctx}, negative_ctxs {ctx}, "
+                                     f"hard_negative_ctxs {ctx}")
+    out = {r.query: r for r in tr.retriever_examples(df, normalize=True, exclude_gold=True, suffix="?").collect()}
+    assert [p.text for p in out["q1'?"].positive_passages] == ["b"]          # only scored positives
+    assert [p.text for p in out["q2?"].positive_passages] == ["c"]           # none scored: keep all
+    assert out["q1'?"].negative_passages == [] and out["q2?"].hard_negative_passages == []
