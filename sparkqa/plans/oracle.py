@@ -206,7 +206,7 @@ ORACLE: dict[str, str] = {
     "n6_tokenize_words": sql("SELECT row_no, array_to_string(tk, ' ') AS tokens FROM twords", ["twords"]),
     "a5_tfidf_vocab": sql("SELECT term, CAST(df AS BIGINT) AS df, CAST(ctf AS BIGINT) AS ctf, round(idf, 6) AS idf "
                           "FROM tvocab", ["tvocab"]),
-    "a5_tfidf_weights": sql("SELECT term, row_no, round(w, 5) AS w FROM tweights", ["tweights"]),
+    "a5_tfidf_weights": sql("SELECT term, row_no, round(CAST(w AS DOUBLE), 5) AS w FROM tweights", ["tweights"]),
     "x3_tfidf_topk": sql("SELECT qid, rank, doc_id, round(score, 5) AS score FROM tresults", ["tresults"]),
     "e6_validate_tfidf": sql("SELECT k, hits, round(recall, 6) AS recall FROM recall_t", ["recall_t"]),
     "e8_compare_models": sql("SELECT b.k, round(b.recall, 6) AS bm25, round(t.recall, 6) AS tfidf FROM recall b "
