@@ -689,3 +689,37 @@ ORACLE["r5_best_spans_top3"] = sql(
     "SELECT pid, CAST(k - 1 AS BIGINT) AS span_rank, CAST(chosen[k].s AS BIGINT) AS start, "
     "CAST(chosen[k].e AS BIGINT) AS \"end\", round(chosen[k].sc, 5) AS score FROM "
     "(SELECT pid, chosen, unnest(range(1, len(chosen) + 1)) AS k FROM lwalk)", ["lwalk"])
+
+# the reference's own workload: top-100 retrieval and Hit@1..100
+cte("results100", "SELECT qid, CAST(rank AS BIGINT) AS rank, id AS doc_id, score FROM "
+                  "(SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, first_pos, row_no) "
+                  "AS rank FROM bscored) WHERE rank <= 100", ["bscored"])
+hits_and_recall("_100", "results100", 100)
+ORACLE["x1_bm25_top100"] = sql("SELECT qid, rank, doc_id, round(score, 6) AS score FROM results100", ["results100"])
+ORACLE["e5_hit_at_100"] = sql("SELECT k, hits, round(recall, 6) AS recall FROM recall_100", ["recall_100"])
+
+
+def tfidf_results_oracle(suffix: str, k: int) -> None:
+    cte("tranked" + suffix, "SELECT * FROM (SELECT qid, row_no, id AS doc_id, score, row_number() OVER "
+                            "(PARTITION BY qid ORDER BY round(score, 9) DESC, row_no) AS rank FROM "
+                            "(SELECT qid, w.row_no, c.id, sum(CAST(wq AS DOUBLE) * CAST(w AS DOUBLE)) AS score "
+                            "FROM tqv JOIN tweights w USING (term) JOIN corpus c ON c.row_no = w.row_no "
+                            f"GROUP BY qid, w.row_no, c.id)) WHERE rank <= {k}", ["tqv", "tweights", "corpus"])
+    cte("tresults" + suffix,
+        f"SELECT qid, CAST(rank AS BIGINT) AS rank, doc_id, score FROM tranked{suffix} UNION ALL "
+        "SELECT qid, CAST(rank AS BIGINT), doc_id, score FROM ("
+        "SELECT m.qid, m.m + row_number() OVER (PARTITION BY m.qid ORDER BY f.row_no) AS rank, f.id AS doc_id, "
+        f"0.0 AS score FROM (SELECT q.qid, count(r.qid) AS m FROM questions q LEFT JOIN tranked{suffix} r USING (qid) "
+        f"GROUP BY q.qid) m, (SELECT row_no, id FROM corpus ORDER BY row_no LIMIT {k}) f "
+        f"WHERE m.m < {k} AND NOT EXISTS (SELECT 1 FROM tranked{suffix} r WHERE r.qid = m.qid AND r.row_no = f.row_no)) "
+        f"WHERE rank <= {k}", ["tranked" + suffix, "questions", "corpus"])
+
+
+tfidf_results_oracle("_k100", 100)
+hits_and_recall("_t100", "tresults_k100", 100)
+ORACLE["x3_tfidf_top100"] = sql("SELECT qid, rank, doc_id, round(score, 5) AS score FROM tresults_k100",
+                                ["tresults_k100"])
+ORACLE["e6_validate_tfidf_100"] = sql("SELECT k, hits, round(recall, 6) AS recall FROM recall_t100", ["recall_t100"])
+ORACLE["e8_compare_models_100"] = sql(
+    "SELECT b.k, round(b.recall, 6) AS bm25, round(t.recall, 6) AS tfidf FROM recall_100 b JOIN recall_t100 t "
+    "USING (k) WHERE b.k IN (1, 10, 20, 50, 100)", ["recall_100", "recall_t100"])

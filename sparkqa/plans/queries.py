@@ -919,3 +919,39 @@ def r3g(spark, sf_dir):
     sel = tr.select_reader_passages(ctx, q, gold, is_train=True, include_gold_passage=True,
                                     tokenize=tx.tokenize_alnum)
     return sel.select("qid", "kind", "ord", "doc_id", "rank", spans_text().alias("spans"))
+
+
+# --- the reference's own workload: top-100 retrieval and Hit@1..100 ------------------------------
+@query("x1_bm25_top100")
+def x1_100(spark, sf_dir):
+    return bm25_results(spark, sf_dir, 100, persist=False).select(
+        "qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("e5_hit_at_100")
+def e5_100(spark, sf_dir):
+    qs = fx.questions(spark, sf_dir)
+    hits = ev.match_string(bm25_results(spark, sf_dir, 100), fx.corpus(spark, sf_dir), qs, 100)
+    return ev.hit_at_k(hits, qs, 100).select("k", "hits", F.round("recall", 6).alias("recall"))
+
+
+@query("x3_tfidf_top100")
+def x3_100(spark, sf_dir):
+    return tfidf_results(spark, sf_dir, 100).select("qid", "rank", "doc_id", F.round("score", 5).alias("score"))
+
+
+@query("e6_validate_tfidf_100")
+def e6_100(spark, sf_dir):
+    qs = fx.questions(spark, sf_dir)
+    _, recall = ev.validate(tfidf_results(spark, sf_dir, 100), fx.corpus(spark, sf_dir), qs, "string", 100)
+    return recall.select("k", "hits", F.round("recall", 6).alias("recall"))
+
+
+@query("e8_compare_models_100")
+def e8_100(spark, sf_dir):
+    """E8 at the cut-offs the reference reports: Hit@1/10/20/50/100 of BM25 and TF-IDF, top-100."""
+    qs, corpus = fx.questions(spark, sf_dir), fx.corpus(spark, sf_dir)
+    recalls = {m: ev.validate(r, corpus, qs, "string", 100)[1]
+               for m, r in (("bm25", bm25_results(spark, sf_dir, 100)), ("tfidf", tfidf_results(spark, sf_dir, 100)))}
+    cmp = ev.compare_models(recalls, ks=(1, 10, 20, 50, 100))
+    return cmp.select("k", F.round("bm25", 6).alias("bm25"), F.round("tfidf", 6).alias("tfidf"))
