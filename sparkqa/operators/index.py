@@ -155,12 +155,17 @@ def tfidf_text(corpus: DataFrame):
                            F.coalesce(F.col("text"), F.lit(""))))
 
 
+# Terms at the cut-off count numbered in one ordered task when there are at most this many.
+LEVEL_WINDOW_ROWS = 2_000_000
+
+
 def top_terms(by_term: DataFrame, max_features: int) -> DataFrame:
     """The ``max_features`` terms with the largest corpus count, ties at the cut by term.
 
     A histogram of corpus counts (one row per distinct count, at most sqrt(2 * tokens) rows)
     gives the threshold count; every term above it is kept, and only the terms exactly at the
-    threshold are numbered (distributed range sort) to fill the remaining places.
+    threshold are numbered to fill the remaining places (one ordered task when that level is
+    counted at most ``LEVEL_WINDOW_ROWS``, else a distributed range sort).
     """
     hist = by_term.groupBy("ctf").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(F.col("ctf").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -168,11 +173,16 @@ def top_terms(by_term: DataFrame, max_features: int) -> DataFrame:
     cut = cum.filter(F.col("_cum") >= max_features).orderBy(F.col("ctf").desc()).limit(1).collect()
     if not cut:                       # fewer distinct terms than max_features: keep all
         return by_term
-    t_star, cum_at = cut[0]["ctf"], cut[0]["_cum"]
-    n_at = cum.filter(F.col("ctf") == t_star).first()["_n"]
+    t_star, cum_at, n_at = cut[0]["ctf"], cut[0]["_cum"], cut[0]["_n"]
     above = cum_at - n_at
     keep_above = by_term.filter(F.col("ctf") > t_star)
-    level = global_row_number(by_term.filter(F.col("ctf") == t_star), [F.col("term").asc()], "_r")
+    if above + n_at == max_features:  # the whole tie level fits
+        return keep_above.unionByName(by_term.filter(F.col("ctf") == t_star))
+    level = by_term.filter(F.col("ctf") == t_star)
+    if n_at <= LEVEL_WINDOW_ROWS:      # counted: small enough for one ordered task
+        level = level.withColumn("_r", F.row_number().over(Window.orderBy("term")) - 1)
+    else:
+        level = global_row_number(level, [F.col("term").asc()], "_r")
     return keep_above.unionByName(level.filter(F.col("_r") < max_features - above).drop("_r"))
 
 
