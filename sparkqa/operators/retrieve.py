@@ -34,15 +34,15 @@ def bm25_query_terms(questions: DataFrame) -> DataFrame:
 
 
 def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = 32) -> DataFrame:
     """Top-``topk`` BM25 passages per question.
 
     score = sum over query-token occurrences of idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)).
     Only documents sharing a kept term appear; ties keep the order of the first matching query
     position, then corpus order.  The query terms (joined to the pruned vocabulary and the
     one-row statistics) are broadcast when a count proves them small, so the postings are
-    streamed once with no shuffle; above the bound the join is a shuffle join that AQE may
-    still split for skew.
+    streamed once with no shuffle.  Above the bound the join is a shuffle join salted ``salts``
+    ways, so a term held by a large share of all documents is split over that many tasks.
     """
     q = bm25_query_terms(questions)
     # the size check counts the question side only (never the index); joining the vocabulary
@@ -61,8 +61,14 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
         postings = postings.filter(F.col("term_bucket").isin(wanted))
         qv = qv.withColumn("term_bucket", bucket)
         keys = ["term_bucket", "term"]
-    qv = F.broadcast(qv) if small else qv
-    cand = postings.join(qv, keys)
+    if small:
+        cand = postings.join(F.broadcast(qv), keys)
+    else:
+        # shuffle join: a kept term may hold up to max_df_ratio of all documents, so spread
+        # every term's postings over `salts` partitions and replicate the query terms to match
+        salt = F.pmod(F.xxhash64("row_no"), F.lit(salts)).cast("int")
+        qs_ = qv.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        cand = postings.withColumn("_salt", salt).join(qs_, keys + ["_salt"]).drop("_salt")
     w = F.col("idf") * (F.col("tf") * (F.col("k1") + 1.0)) / (
         F.col("tf") + F.col("k1") * (1.0 - F.col("b") + F.col("b") * (F.col("dl") / F.col("avgdl"))))
     scored = cand.groupBy("qid", "row_no", "id").agg(F.sum(F.col("qtf") * w).alias("score"),
@@ -105,7 +111,7 @@ def tfidf_query_vectors(questions: DataFrame, index: TfidfIndex, stop_words=ENGL
 
 def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk: int = 100,
                pad: bool = True, stop_words=ENGLISH_STOP_WORDS, ngram_max: int = 2,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = 32) -> DataFrame:
     """Top-``topk`` cosine (dot product of L2-normalised vectors) per question.
 
     With ``pad`` every question gets exactly min(topk, n_docs) rows: questions with m < k
@@ -116,8 +122,13 @@ def tfidf_topk(questions: DataFrame, index: TfidfIndex, corpus: DataFrame, topk:
     qt = tfidf_doc_terms(questions.select("qid", "question"), "qid", F.col("question"), stop_words, ngram_max)
     small = qt.count() <= broadcast_rows
     qv = tfidf_query_vectors(questions, index, stop_words, ngram_max)
-    qv = F.broadcast(qv) if small else qv
-    cand = index.weights.join(qv, "term")
+    if small:
+        cand = index.weights.join(F.broadcast(qv), "term")
+    else:
+        # TF-IDF keeps common terms, so the shuffle join is salted like BM25's
+        salt = F.pmod(F.xxhash64("row_no"), F.lit(salts)).cast("int")
+        qs_ = qv.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        cand = index.weights.withColumn("_salt", salt).join(qs_, ["term", "_salt"]).drop("_salt")
     scored = cand.groupBy("qid", "row_no").agg(
         F.sum(F.col("wq").cast("double") * F.col("w").cast("double")).alias("score"))
     order = [F.round("score", TIE_DECIMALS).desc(), F.col("row_no")]

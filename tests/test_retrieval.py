@@ -124,3 +124,21 @@ def test_hit_at_k_default_k_is_longest_list(spark):
                                  "qid long, rank long, doc_id string, has_answer boolean")
     rec = [(r.k, r.hits) for r in ev.hit_at_k(hits, qs).orderBy("k").collect()]
     assert rec == [(1, 0), (2, 1), (3, 1)]       # question 1 has an empty list and still counts
+
+
+def test_bm25_salted_shuffle_path_equals_broadcast_path(spark):
+    corpus = corpus_df(spark, DOCS)
+    idx = ix.build_bm25_index(corpus, persist=False, max_df_ratio=1.0, min_df=1)
+    qs = questions_df(spark, [(1, "dog dog sat", []), (2, "cat mat the", []), (3, "birds", [])])
+    a = sorted(tuple(r) for r in rt.bm25_topk(qs, idx, 5).collect())
+    b = sorted(tuple(r) for r in rt.bm25_topk(qs, idx, 5, broadcast_rows=0, salts=4).collect())
+    assert a == b and a
+
+
+def test_tfidf_salted_shuffle_path_equals_broadcast_path(spark):
+    corpus = corpus_df(spark, DOCS)
+    idx = ix.build_tfidf_index(corpus, persist=False)
+    qs = questions_df(spark, [(1, "dog sat", []), (2, "cat mat", []), (3, "zzz", [])])
+    a = sorted(tuple(r) for r in rt.tfidf_topk(qs, idx, corpus, 4).collect())
+    b = sorted(tuple(r) for r in rt.tfidf_topk(qs, idx, corpus, 4, broadcast_rows=0, salts=3).collect())
+    assert a == b and len(a) == 12
