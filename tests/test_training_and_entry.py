@@ -80,7 +80,7 @@ def test_entry_runs(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     rows = df.collect()
-    assert df.columns == ["k", "hits", "recall"] and len(rows) == 20
+    assert df.columns == ["k", "hits", "recall"] and len(rows) == 100
 
 
 def test_every_query_has_an_oracle_or_is_declared(spark):
