@@ -78,15 +78,24 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
 
 
 # --- X2 ------------------------------------------------------------------------------------------
-def normalize_doc_ids(results: DataFrame, corpus: DataFrame) -> DataFrame:
+def normalize_doc_ids(results: DataFrame, corpus: DataFrame, max_results: int | None = None) -> DataFrame:
     """Keep ids found in the corpus; map integer ids 0 <= i < n to the id of corpus row i;
     drop the rest.  Order is kept and ranks are renumbered; scores become strings.
 
     ``corpus.row_no`` must be the 0-based file position.  Both lookups are equi-joins, the id
-    side de-duplicated first so a result row never multiplies.
+    side de-duplicated first so a result row never multiplies.  With a bound on result rows
+    (``max_results``, e.g. k x questions) the corpus is first filtered map-side by a broadcast
+    of the result ids, so only matching ids are de-duplicated or joined.
     """
-    ids = corpus.select(F.col("id").alias("_kid")).distinct().withColumn("_known", F.lit(True))
+    ids = corpus.select(F.col("id").alias("_kid"))
     by_pos = corpus.select(F.col("row_no").alias("_pos"), F.col("id").alias("_pid"))
+    if max_results is not None and max_results <= DEFAULT_BROADCAST_ROWS:
+        wanted = F.broadcast(results.select(F.col("doc_id").alias("_kid")).distinct())
+        ids = ids.join(wanted, "_kid", "left_semi")
+        wanted_pos = F.broadcast(results.select(F.expr("try_cast(doc_id as bigint)").alias("_pos"))
+                                 .filter(F.col("_pos").isNotNull()).distinct())
+        by_pos = by_pos.join(wanted_pos, "_pos", "left_semi")
+    ids = ids.distinct().withColumn("_known", F.lit(True))
     r = results.join(ids, results["doc_id"] == ids["_kid"], "left")
     r = r.withColumn("_asint", F.when(F.col("_known").isNull(), F.expr("try_cast(doc_id as bigint)")))
     r = r.join(by_pos, r["_asint"] == by_pos["_pos"], "left")

@@ -155,7 +155,7 @@ def x2(spark, sf_dir):
                        .when(m == 2, F.col("doc_id"))
                        .when(m == 3, F.concat(F.lit("x"), "doc_id"))
                        .otherwise((F.col("doc_id").cast("bigint") + 1_000_000).cast("string")))
-    out = rt.normalize_doc_ids(bad, bad_corpus)
+    out = rt.normalize_doc_ids(bad, bad_corpus, rt.result_bound(fx.questions(spark, sf_dir), TOPK))
     return out.select("qid", "rank", "doc_id", F.round(F.col("score").cast("double"), 6).alias("score"))
 
 

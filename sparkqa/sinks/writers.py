@@ -2,8 +2,8 @@
 QA TSV, context-match shards, KILT provenance and reader sample parts.
 
 Writers are plain ``DataFrameWriter`` calls (JSON lines, CSV, Parquet); nothing is gathered on
-the driver.  Index persistence range-partitions postings by term so a later query can skip
-files and row groups by term statistics.
+the driver.  A saved BM25 index stores postings partitioned by a term-hash bucket, so a later
+query reads only the buckets of its terms.
 """
 
 from __future__ import annotations
@@ -106,9 +106,9 @@ def save_bm25_index(index: Bm25Index, path: str, n_buckets: int = 64) -> None:
     the term) and sorted by (term, row_no) inside each bucket; vocab and the one-row stats
     beside them.
 
-    A query joins on (term_bucket, term), so dynamic partition pruning reads only the buckets
-    of the query terms; a hot term's postings stay in one bucket folder but are split across
-    files by the range sort on (term, row_no).
+    A query filters ``term_bucket`` to the buckets of its terms (partition pruning at the scan)
+    and joins on (term_bucket, term); a hot term's postings stay in one bucket folder but are
+    split across files by the range sort on (term, row_no).
     """
     post = index.postings.join(index.vocab.select("term"), "term", "left_semi") \
         .withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
