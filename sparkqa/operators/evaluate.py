@@ -74,6 +74,28 @@ def _regex_hits(pdf_iter, text_col: str, answers_col: str):
         yield pd.DataFrame({"qid": pdf["qid"], "rank": pdf["rank"], "doc_id": pdf["doc_id"], "has_answer": out})
 
 
+def match_regex_constant(results: DataFrame, corpus: DataFrame, questions: DataFrame, patterns: list[str],
+                         max_k: int | None = None) -> DataFrame:
+    """E2 when every question has the same pattern list: patterns that do not compile are
+    dropped on the driver (as the reference treats them: no match), the rest run natively as
+    ``rlike`` with ignore-case, Unicode case folding and multi-line flags on the NFD text."""
+    import unicodedata
+    ok = []
+    for p in patterns:
+        try:
+            regex.compile(p, flags=regex.IGNORECASE + regex.UNICODE + regex.MULTILINE)
+            ok.append("(?imu)" + unicodedata.normalize("NFD", p))
+        except Exception:  # noqa: BLE001 - an invalid pattern is no match
+            continue
+    texts = _retrieved_passages(results, corpus, questions, max_k).select(
+        F.col("id").alias("doc_id"), normalize_nfd("text").alias("_t"))
+    hit = F.lit(False)
+    for p in ok:
+        hit = hit | F.coalesce(F.col("_t").rlike(p), F.lit(False))
+    return results.select("qid", "rank", "doc_id").join(texts, "doc_id", "left") \
+        .select("qid", "rank", "doc_id", hit.alias("has_answer"))
+
+
 def match_regex(results: DataFrame, corpus: DataFrame, questions: DataFrame, max_k: int | None = None
                 ) -> DataFrame:
     """Each answer is a pattern searched anywhere (ignore-case, multi-line) in the NFD text;

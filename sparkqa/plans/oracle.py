@@ -723,3 +723,4 @@ ORACLE["e6_validate_tfidf_100"] = sql("SELECT k, hits, round(recall, 6) AS recal
 ORACLE["e8_compare_models_100"] = sql(
     "SELECT b.k, round(b.recall, 6) AS bm25, round(t.recall, 6) AS tfidf FROM recall_100 b JOIN recall_t100 t "
     "USING (k) WHERE b.k IN (1, 10, 20, 50, 100)", ["recall_100", "recall_t100"])
+ORACLE["e2_match_regex_constant"] = ORACLE["e2_match_regex"]

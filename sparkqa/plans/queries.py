@@ -955,3 +955,11 @@ def e8_100(spark, sf_dir):
                for m, r in (("bm25", bm25_results(spark, sf_dir, 100)), ("tfidf", tfidf_results(spark, sf_dir, 100)))}
     cmp = ev.compare_models(recalls, ks=(1, 10, 20, 50, 100))
     return cmp.select("k", F.round("bm25", 6).alias("bm25"), F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("e2_match_regex_constant")
+def e2c(spark, sf_dir):
+    """E2 native path: every question carries the Fx-questions-regex pattern list."""
+    qs = fx.regex_questions(spark, sf_dir)
+    return ev.match_regex_constant(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), qs,
+                                   ["t[a-z]{2}e", "("], TOPK)
