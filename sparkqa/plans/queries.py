@@ -318,7 +318,8 @@ def t13(spark, sf_dir):
 def table_mining(spark, sf_dir):
     clean = clean_table_frame(spark, sf_dir)
     search = fx.table_search(spark, sf_dir, clean, 60)
-    located = tb.locate_answers(clean.select("table_id", "rows"), search).join(
+    bound = 60 * fx.table_questions(spark, sf_dir).count()
+    located = tb.locate_answers(clean.select("table_id", "rows"), search, bound).join(
         search.select("q", "table_id", "rank"), ["q", "table_id"])
     return clean, search, located
 
@@ -343,7 +344,8 @@ def t10(spark, sf_dir):
 def mined_with_gold(spark, sf_dir):
     clean, _, located = table_mining(spark, sf_dir)
     gold = fx.table_search(spark, sf_dir, clean, 5, descending=True)
-    gold_loc = tb.locate_answers(clean.select("table_id", "rows"), gold).join(
+    gold_loc = tb.locate_answers(clean.select("table_id", "rows"), gold,
+                                 5 * fx.table_questions(spark, sf_dir).count()).join(
         gold.select("q", "table_id", "rank"), ["q", "table_id"])
     return clean, tb.inject_gold(tb.mine_contexts(located), gold_loc)
 
