@@ -358,7 +358,6 @@ def t11(spark, sf_dir):
 
 def table_training(spark, sf_dir):
     """T12 on Fx-table-search; the gold page of a question is its nation's smallest-key page."""
-    from pyspark.sql import Window
     clean, m = mined_with_gold(spark, sf_dir)
     tq = fx.table_questions(spark, sf_dir)
     cust = fx.table(spark, sf_dir, "customer")
@@ -405,7 +404,6 @@ def t8l(spark, sf_dir):
 
 @query("e7_match_table_chunks")
 def e7(spark, sf_dir):
-    from pyspark.sql import Window
     clean = clean_table_frame(spark, sf_dir)
     chunks = tb.chunk_tables(clean.select("table_id", tb.to_nested_json().alias("t")), 5) \
         .select(F.col("id").cast("string").alias("id"), "text", "title", (F.col("table_no") + 1).alias("table_id"))
