@@ -197,3 +197,30 @@ def test_linearize_first_answer_row_always_taken(spark):
     assert got == "w1 w2 w3 w4 w5 w6\nans one\n"      # header already past max_len, first answer row still added
     got = tb.linearize_tables(df, max_len=100, is_positive=True).first().text
     assert got == "w1 w2 w3 w4 w5 w6\nans one\nans two\nother\n"
+
+
+def test_load_or_build_index_checks_parameters(spark):
+    from sparkqa.sinks import writers as wr
+    from sparkqa.session import scratch_path
+    corpus = spark.createDataFrame([(str(i), t, "x", i) for i, t in enumerate(["a b", "b c", "c d", "a d"])],
+                                   "id string, text string, title string, row_no long")
+    path = scratch_path(spark, "k4-test")
+    a = wr.load_or_build_bm25(spark, corpus, path, k1=1.2, b=0.75, min_df=1, max_df_ratio=1.0)
+    assert a.stats.first()["k1"] == 1.2 and a.n_buckets == 64
+    b = wr.load_or_build_bm25(spark, corpus, path, k1=2.0, b=0.75, min_df=1, max_df_ratio=1.0)
+    assert b.stats.first()["k1"] == 2.0                      # parameters differ: rebuilt
+    c = wr.load_or_build_bm25(spark, corpus, path, k1=2.0, b=0.75, min_df=1, max_df_ratio=1.0)
+    assert c.stats.first()["k1"] == 2.0
+
+
+def test_read_datasets_names_and_transcripts(spark):
+    d = tempfile.mkdtemp()
+    write(os.path.join(d, "webq.test.csv"), "q1\t['a']\nq2\t['b', 'c']\n")
+    write(os.path.join(d, "nq.dev.json"), json.dumps([{"question": "q3", "answers": ["x"], "entity": "e"}]))
+    ds = fs.read_datasets(spark, f"{d}/*.csv,{d}/*.json")
+    assert sorted((r.dataset, r.n) for r in fs.dataset_counts(ds).collect()) == [("nq-dev", 1), ("webq-test", 2)]
+    qa = spark.createDataFrame([(0, "q1", ["a"]), (1, "q2", ["b"])], "qid long, question string, answers array<string>")
+    t = spark.createDataFrame([("WHO IS (None-x) IT (None-1)",), ("Plain (None-0)",)], "line string")
+    rows = sorted((r.qid, r.question, r.marker_pos) for r in fs.join_transcripts(qa, t).collect()
+                  if r.qid is not None)
+    assert rows == [(0, "plain", 6)]          # the first marker decides; a bad number gives no qid
