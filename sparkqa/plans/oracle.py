@@ -462,7 +462,7 @@ ORACLE.update({
                            ["questions"]),
     "s7_join_transcripts": sql(f"SELECT qid, lower(question) AS question, CAST(length(question) + 1 AS BIGINT) "
                                f"AS marker_pos, {JOIN_ANS} AS answers FROM questions", ["questions"]),
-    "s8_read_datasets": sql("SELECT dataset, CAST(n AS BIGINT) AS n FROM (SELECT 'webq-test' AS dataset, count(*) AS n "
+    "s8_read_datasets": sql("SELECT dataset, CAST(n AS BIGINT) AS n FROM (SELECT 'questions-test' AS dataset, count(*) AS n "
                             "FROM questions UNION ALL SELECT 'trivia-dev', count(*) FROM questions)", ["questions"]),
     "s9_read_training_json": sql("SELECT question, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_hard AS BIGINT) AS n_hard, "
                                  "pos_ids FROM tsamples WHERE n_pos > 0", ["tsamples"]),

@@ -498,7 +498,7 @@ def s7(spark, sf_dir):
 def s8(spark, sf_dir):
     root = _scratch(spark, "datasets")
     q = fx.questions(spark, sf_dir)
-    wr.write_tsv(q.select("question", wr.py_list_literal("answers").alias("answers")), f"{root}/webq.test.csv")
+    wr.write_tsv(q.select("question", wr.py_list_literal("answers").alias("answers")), f"{root}/questions.test.csv")
     wr.write_json_arrays(q.select("question", "answers"), f"{root}/trivia.dev.json")
     ds = fs.read_datasets(spark, f"{root}/*.csv,{root}/*.json")
     return fs.dataset_counts(ds)

@@ -215,10 +215,10 @@ def test_load_or_build_index_checks_parameters(spark):
 
 def test_read_datasets_names_and_transcripts(spark):
     d = tempfile.mkdtemp()
-    write(os.path.join(d, "webq.test.csv"), "q1\t['a']\nq2\t['b', 'c']\n")
+    write(os.path.join(d, "questions.test.csv"), "q1\t['a']\nq2\t['b', 'c']\n")
     write(os.path.join(d, "nq.dev.json"), json.dumps([{"question": "q3", "answers": ["x"], "entity": "e"}]))
     ds = fs.read_datasets(spark, f"{d}/*.csv,{d}/*.json")
-    assert sorted((r.dataset, r.n) for r in fs.dataset_counts(ds).collect()) == [("nq-dev", 1), ("webq-test", 2)]
+    assert sorted((r.dataset, r.n) for r in fs.dataset_counts(ds).collect()) == [("nq-dev", 1), ("questions-test", 2)]
     qa = spark.createDataFrame([(0, "q1", ["a"]), (1, "q2", ["b"])], "qid long, question string, answers array<string>")
     t = spark.createDataFrame([("WHO IS (None-x) IT (None-1)",), ("Plain (None-0)",)], "line string")
     rows = sorted((r.qid, r.question, r.marker_pos) for r in fs.join_transcripts(qa, t).collect()
