@@ -21,8 +21,8 @@ def retrieve(spark: SparkSession, corpus_path: str, questions_path: str, out_pat
              topk: int = 100, index_root: str | None = None, force_rebuild: bool = False) -> DataFrame:
     """Rank the top-``topk`` passages of every question and save them (Parquet) at ``out_path``.
 
-    BM25 indexes are saved under ``index_root`` (model, parameters and corpus path in the
-    folder name) and reused unless ``force_rebuild``.
+    Indexes are saved under ``index_root`` (model, parameters and corpus path in the folder
+    name) and reused unless ``force_rebuild``.
     """
     corpus = fs.read_corpus(spark, corpus_path)
     questions = fs.read_qa_csv(spark, questions_path)
@@ -36,7 +36,13 @@ def retrieve(spark: SparkSession, corpus_path: str, questions_path: str, out_pat
             index = ix.build_bm25_index(corpus, **params)
         results = rt.bm25_topk(questions, index, topk)
     elif model == "tfidf":
-        results = rt.tfidf_topk(questions, ix.build_tfidf_index(corpus), corpus, topk)
+        if index_root:
+            corpus_id = corpus_path.strip("/").replace("/", "_")
+            path = wr.index_path(index_root, "tfidf", {"max_features": 200_000, "ngram_max": 2}, corpus_id)
+            index = wr.load_or_build_tfidf(spark, corpus, path, force_rebuild)
+        else:
+            index = ix.build_tfidf_index(corpus)
+        results = rt.tfidf_topk(questions, index, corpus, topk)
     else:
         raise ValueError(f"unknown model {model!r}")
     results = rt.normalize_doc_ids(results, corpus, rt.result_bound(questions, topk))

@@ -200,3 +200,34 @@ def write_reader_samples(samples: DataFrame, path: str, n_parts: int | None = No
 
 def read_reader_samples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def save_tfidf_index(index, path: str) -> None:
+    """K4 for TF-IDF: weights sorted by (term, row_no), vocabulary and the one-row stats."""
+    index.weights.repartitionByRange("term", "row_no").sortWithinPartitions("term", "row_no") \
+        .write.mode("overwrite").parquet(f"{path}/weights")
+    index.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    index.stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def load_tfidf_index(spark: SparkSession, path: str):
+    from sparkqa.operators.index import TfidfIndex
+    return TfidfIndex(spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/vocab"),
+                      spark.read.parquet(f"{path}/stats"))
+
+
+def load_or_build_tfidf(spark: SparkSession, corpus: DataFrame, path: str, force_rebuild: bool = False,
+                        max_features: int = 200_000, ngram_max: int = 2):
+    """K4 for TF-IDF: reuse the saved index when its stats carry the same n-gram size and the
+    vocabulary is within ``max_features``; otherwise rebuild."""
+    from sparkqa.operators.index import build_tfidf_index
+    if not force_rebuild:
+        try:
+            idx = load_tfidf_index(spark, path)
+            st = idx.stats.first()
+            if st is not None and int(st["ngram_max"]) == ngram_max and int(st["n_terms"]) <= max_features:
+                return idx
+        except Exception:  # noqa: BLE001 - a missing or unreadable index is rebuilt
+            pass
+    save_tfidf_index(build_tfidf_index(corpus, max_features=max_features, ngram_max=ngram_max), path)
+    return load_tfidf_index(spark, path)

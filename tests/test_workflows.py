@@ -26,3 +26,15 @@ def test_retrieve_then_evaluate_matches_registered_query(spark, sf_small):
     report = spark.read.json(f"{root}/eval/results")
     assert back == 20 and report.count() == qs.count()
     assert "ctxs" in report.columns and report.filter(F.size("ctxs") > 0).count() > 0
+
+
+def test_tfidf_retrieve_with_saved_index(spark, sf_small):
+    root = scratch_path(spark, "workflow-tfidf")
+    wr.write_tsv(fx.corpus(spark, sf_small).orderBy("row_no").select("id", "text", "title"), f"{root}/corpus")
+    qs = fx.questions(spark, sf_small).orderBy("qid")
+    wr.write_tsv(qs.select("question", wr.py_list_literal("answers").alias("answers")), f"{root}/qa")
+    runs = [sorted(tuple(r) for r in wf.retrieve(spark, f"{root}/corpus", f"{root}/qa", f"{root}/res{i}", "tfidf",
+                                                topk=20, index_root=f"{root}/idx").collect()) for i in range(2)]
+    assert runs[0] == runs[1] and len(runs[0]) == 20 * qs.count()
+    exp = sorted((r.qid, r.rank, r.doc_id) for r in QUERIES["x3_tfidf_topk"](spark, sf_small).collect())
+    assert [(q, k, d) for q, k, d, _ in runs[0]] == exp
