@@ -64,3 +64,57 @@ def evaluate(spark: SparkSession, results_path: str, corpus_path: str, questions
     report = wr.result_report(results, questions, corpus, hits, no_text=no_text, max_k=max_k)
     wr.write_result_report(report, f"{out_dir.rstrip('/')}/results")
     return recall
+
+
+NQ_TABLE_SCHEMA = ("question string, example_id string, title string, short_answers array<string>, "
+                   "contexts array<struct<tokens:array<string>,html_mask:array<boolean>>>")
+
+
+def tables_to_training(spark: SparkSession, pages_path: str, search_path: str, questions_path: str,
+                       out_path: str, gold_path: str | None = None, max_k: int = 100) -> DataFrame:
+    """Search results over table passages -> retriever training samples (JSON lines).
+
+    Tables: S11 -> T1 -> T2 (ids 1..n in page order).  Each question's ranked tables (S12) are
+    checked for answers (T9) and mined (T10); an optional gold list injects the first gold
+    table with an answer (T11).  Tables of the question's own page (``contexts[0]`` of the
+    question file) that hold an answer are appended as positives (T12).  Questions are
+    matched between files by text.
+    """
+    from pyspark.sql import functions as F
+    from sparkqa.operators import tables as tb
+    pages = fs.read_table_pages(spark, pages_path)
+    clean = tb.clean_tables(pages, tb.extract_tables(pages.filter(~tb.page_has_issues(pages))))
+    search = fs.read_search_results(spark, search_path, max_k).filter(F.col("table_id").isNotNull())
+    qs = search.select(F.col("q_index").alias("q"), "question", "answers").distinct()
+    cand = search.select(F.col("q_index").alias("q"), "rank", "table_id", "answers")
+    bound = max_k * qs.count()
+    rows = clean.select("table_id", "rows")
+    located = tb.locate_answers(rows, cand, bound).join(cand.select("q", "table_id", "rank"), ["q", "table_id"])
+    mined = tb.mine_contexts(located)
+    if gold_path:
+        gold = fs.read_gold_results(spark, gold_path, max_k).select(F.col("q_index").alias("q"), "rank", "table_id") \
+            .join(qs.select("q", "answers"), "q")
+        gold_loc = tb.locate_answers(rows, gold, bound).join(gold.select("q", "table_id", "rank"), ["q", "table_id"])
+        mined = tb.inject_gold(mined, gold_loc)
+    else:
+        mined = mined.withColumn("gold_match", F.lit(False))
+    nq = spark.read.schema(NQ_TABLE_SCHEMA).json(questions_path)
+    gp = nq.select("question", "example_id", F.col("title"),
+                   F.coalesce("short_answers", F.array().cast("array<string>")).alias("short_answers"),
+                   F.get(F.col("contexts"), 0).alias("c")).join(qs.select("q", "question"), "question")
+    page_tables = tb.extract_tables(gp.select(F.col("q").alias("page_id"), "title", F.col("c.tokens").alias("tokens"),
+                                              F.col("c.html_mask").alias("html_mask"))).filter(F.col("table_no") >= 0)
+    pt = page_tables.join(gp.select(F.col("q").alias("page_id"), "short_answers"), "page_id").select(
+        F.col("page_id").alias("q"), F.col("table_no").alias("ord"),
+        (F.col("page_id") * 100000 + F.col("table_no")).alias("table_id"), "rows", "caption",
+        F.col("short_answers").alias("answers"))
+    loc = tb.locate_answers(pt.select("table_id", "rows"), pt.select("q", "table_id", "answers"))
+    page_pos = pt.join(loc, ["q", "table_id"]).filter(F.col("answer_pos").isNotNull()) \
+        .select("q", "ord", tb.to_nested_json().alias("t"), "answer_pos")
+    samples = tb.assemble_table_training(
+        mined, page_pos,
+        gp.select("q", "question", F.col("example_id").alias("id"), F.col("short_answers").alias("answers")),
+        clean.select("table_id", tb.to_nested_json().alias("t")))
+    samples = samples.drop("q")
+    samples.write.mode("overwrite").json(out_path)
+    return spark.read.schema(samples.schema).json(out_path)

@@ -38,3 +38,45 @@ def test_tfidf_retrieve_with_saved_index(spark, sf_small):
     assert runs[0] == runs[1] and len(runs[0]) == 20 * qs.count()
     exp = sorted((r.qid, r.rank, r.doc_id) for r in QUERIES["x3_tfidf_topk"](spark, sf_small).collect())
     assert [(q, k, d) for q, k, d, _ in runs[0]] == exp
+
+
+def test_tables_to_training_matches_registered_query(spark, sf_small):
+    from sparkqa.plans import queries as Q
+    root = scratch_path(spark, "workflow-tables")
+    pages = fx.table_pages(spark, sf_small)
+    pages.orderBy("page_id").select("page_id", "title", "tokens", "html_mask").coalesce(1).write.json(f"{root}/pages")
+    clean = Q.clean_table_frame(spark, sf_small)
+    tq = fx.table_questions(spark, sf_small)
+    search = fx.table_search(spark, sf_small, clean, 60)
+    gold = fx.table_search(spark, sf_small, clean, 5, descending=True)
+    # search file: one line per question with candidates, in q order; its line number is q_index
+    lists = search.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
+        .join(tq, "q").orderBy("q").collect()
+    pos = {r.q: i for i, r in enumerate(lists)}
+    lines = ["\t".join([r.question, repr(list(r.answers))] + [f"{100.0 - x.rank},{x.table_id}" for x in r.c])
+             for r in lists]
+    spark.createDataFrame([(ln,) for ln in lines], "v string").coalesce(1).write.text(f"{root}/search")
+    glists = gold.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")).collect()
+    glines = [",".join([str(pos[r.q])] + [f'"{x.table_id} t"' for x in r.c]) for r in glists if r.q in pos]
+    spark.createDataFrame([(ln,) for ln in glines], "v string").coalesce(1).write.text(f"{root}/gold")
+    # question file: the gold page of each question is its nation's smallest-key customer page
+    cust = fx.table(spark, sf_small, "customer")
+    gp = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.min("c_custkey").alias("page_id"))
+    nq = tq.join(gp, "n_nationkey").join(pages, "page_id").select(
+        "question", F.col("id").alias("example_id"), "title", F.col("answers").alias("short_answers"),
+        F.array(F.struct("tokens", "html_mask")).alias("contexts"))
+    nq.write.json(f"{root}/nq")
+    out = wf.tables_to_training(spark, f"{root}/pages", f"{root}/search", f"{root}/nq", f"{root}/out",
+                                gold_path=f"{root}/gold")
+
+    def flat(df, kind_col):
+        return df.select("question", F.posexplode(kind_col).alias("ord", "c")).select(
+            "question", F.lit(kind_col).alias("kind"), "ord", "c.caption",
+            F.coalesce(F.col("c.gold_match"), F.lit(0)).cast("long").alias("gm"),
+            Q.answer_pos_text("c.answer_pos").alias("ap"))
+    got = flat(out, "positive_ctxs").unionByName(flat(out, "hard_negative_ctxs"))
+    got = sorted((r.question, r.kind, r.ord, r.caption, r.gm, r.ap) for r in got.collect())
+    kinds = {"positive": "positive_ctxs", "hard_negative": "hard_negative_ctxs"}
+    exp = Q.QUERIES["t12_assemble_table_training"](spark, sf_small).join(tq.select("q", "question"), "q").collect()
+    exp = sorted((r.question, kinds[r.kind], r.ord, r.caption, r.gold_match, r.answer_pos) for r in exp)
+    assert got == exp and got
