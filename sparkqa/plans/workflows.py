@@ -118,3 +118,33 @@ def tables_to_training(spark: SparkSession, pages_path: str, search_path: str, q
     samples = samples.drop("q")
     samples.write.mode("overwrite").json(out_path)
     return spark.read.schema(samples.schema).json(out_path)
+
+
+REPORT_SCHEMA = ("question string, answers array<string>, "
+                 "ctxs array<struct<id:string,rank:bigint,title:string,text:string,score:string,has_answer:boolean>>")
+
+
+def prepare_reader(spark: SparkSession, report_path: str, out_path: str, gold_path: str | None = None,
+                   is_train: bool = True, n_parts: int | None = None) -> DataFrame:
+    """Retriever result reports (K1 JSON lines) -> reader samples written as Parquet parts (K9).
+
+    Passages and answers are tokenised with the BM25 tokenizer, which stands in for a model
+    tokenizer; R3 selects passages (gold-page positives when ``gold_path`` is an S13 file),
+    R4 builds sequences and R8 groups them per question.
+    """
+    from pyspark.sql import functions as F
+    from sparkqa.functions.text import tokenize_alnum
+    from sparkqa.operators import training as tr
+    rep = fs.with_file_order(spark.read.schema(REPORT_SCHEMA).json(report_path), "qid")
+    ctx = rep.select("qid", F.explode("ctxs").alias("c")).select(
+        "qid", F.col("c.rank").alias("rank"), F.col("c.id").alias("doc_id"), F.col("c.title").alias("title"),
+        F.coalesce(F.col("c.has_answer"), F.lit(False)).alias("has_answer"),
+        tokenize_alnum(F.col("c.text")).alias("tokens"), tokenize_alnum(F.col("c.title")).alias("title_tokens"))
+    q = rep.select("qid", "question", F.transform(F.coalesce("answers", F.array().cast("array<string>")),
+                                                  lambda a: tokenize_alnum(a)).alias("answer_tokens"),
+                   tokenize_alnum("question").alias("question_tokens"))
+    gold = fs.read_gold_passages(spark, gold_path) if gold_path else None
+    sel = tr.select_reader_passages(ctx, q, gold, is_train=is_train)
+    samples = tr.prepare_reader_data(sel, q)
+    wr.write_reader_samples(samples, out_path, n_parts)
+    return wr.read_reader_samples(spark, out_path)

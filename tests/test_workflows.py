@@ -80,3 +80,26 @@ def test_tables_to_training_matches_registered_query(spark, sf_small):
     exp = Q.QUERIES["t12_assemble_table_training"](spark, sf_small).join(tq.select("q", "question"), "q").collect()
     exp = sorted((r.question, kinds[r.kind], r.ord, r.caption, r.gold_match, r.answer_pos) for r in exp)
     assert got == exp and got
+
+
+def test_prepare_reader_matches_registered_query(spark, sf_small):
+    from sparkqa.operators import evaluate as ev
+    from sparkqa.operators import retrieve as rt
+    from sparkqa.plans import queries as Q
+    root = scratch_path(spark, "workflow-reader")
+    corpus, qs = fx.corpus(spark, sf_small), fx.questions(spark, sf_small)
+    r = Q.bm25_results(spark, sf_small)
+    hits = ev.match_string(r, corpus, qs, 20)
+    wr.write_result_report(wr.result_report(r, qs.orderBy("qid"), corpus, hits, max_k=20).orderBy("qid").coalesce(1)
+                           .drop("qid"), f"{root}/report")
+    g = Q.gold_passages(spark, sf_small, r, hits).join(qs.select("question", "qid"), "question") \
+        .select("question", F.regexp_replace("question", " ", "  ").alias("question_tokens"), "title",
+                F.lit("ctx").alias("context"), F.col("qid").cast("string").alias("example_id")).dropDuplicates(["question"])
+    g.coalesce(1).select(F.to_json(F.struct(F.collect_list(F.struct(*g.columns)).alias("data"))).alias("v")) \
+        .write.text(f"{root}/gold")
+    out = wf.prepare_reader(spark, f"{root}/report", f"{root}/samples", gold_path=f"{root}/gold")
+    got = sorted((r.question, len(r.positive_passages), len(r.negative_passages),
+                  r.positive_passages[0].doc_id) for r in out.collect())
+    exp = sorted((r.question, r.n_pos, r.n_neg, r.first_positive)
+                 for r in Q.QUERIES["r8_prepare_reader_data"](spark, sf_small).collect())
+    assert got == exp and got
