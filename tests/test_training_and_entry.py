@@ -101,3 +101,26 @@ def test_retriever_examples_exclude_gold_fallback(spark):
     assert [p.text for p in out["q1'?"].positive_passages] == ["b"]          # only scored positives
     assert [p.text for p in out["q2?"].positive_passages] == ["c"]           # none scored: keep all
     assert out["q1'?"].negative_passages == [] and out["q2?"].hard_negative_passages == []
+
+
+def test_kilt_provenance_counts_missing_and_keeps_rank_order(spark):
+    from sparkqa.sinks import writers as wr
+    res = spark.createDataFrame([(1, 2, "20"), (1, 1, "10"), (1, 3, "99"), (2, 1, "x")],
+                                "qid long, rank long, doc_id string")
+    mapping = spark.createDataFrame([(10, 1, 0), (20, 2, 5)], "ctx_id long, wikipedia_id long, end_paragraph_id long")
+    gold = spark.createDataFrame([(1, "a", "q1"), (2, "b", "q2"), (3, "c", "q3")], "qid long, id string, input string")
+    out = {r.qid: r for r in wr.to_kilt_provenance(res, mapping, gold).collect()}
+    assert [(p.wikipedia_id, p.end_paragraph_id) for p in out[1].provenance][:2] == [(1, 0), (2, 5)]
+    assert out[1].missing == 1 and out[2].missing == 1 and out[3].provenance == [] and out[3].missing == 0
+
+
+def test_ctx_match_shards_numbering(spark):
+    from sparkqa.sinks import writers as wr
+    t = ("struct<caption:string,rows:array<struct<row:int,columns:array<struct<col:int,value:string>>>>>")
+    rows = [(i, "q%d" % i, [{"caption": "c%d" % i, "rows": [
+        {"row": 1, "columns": [{"col": 1, "value": "b"}, {"col": 0, "value": "a"}]},
+        {"row": 0, "columns": [{"col": 0, "value": "h"}]}]}] if i % 3 else []) for i in range(7)]
+    df = spark.createDataFrame(rows, f"sample_no long, question string, positive_ctxs array<{t}>")
+    out = wr.ctx_match_shards(df, 2).orderBy("id").collect()
+    assert [(r.id, r.shard, r.question) for r in out] == [(0, 0, "q1"), (1, 0, "q2"), (2, 1, "q4"), (3, 1, "q5")]
+    assert out[0].text == "c1 . ha . b . "
