@@ -48,8 +48,8 @@ def corpus_stats(postings: DataFrame) -> DataFrame:
     """A2: one row ``n_docs, avgdl`` (documents with at least one token)."""
     first = F.col("is_first") == 1
     return postings.agg(
-        F.sum(F.when(first, 1).otherwise(0)).cast("bigint").alias("n_docs"),
-        F.sum(F.when(first, F.col("dl")).otherwise(0)).cast("bigint").alias("_sum_dl"),
+        F.coalesce(F.sum(F.when(first, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("n_docs"),
+        F.coalesce(F.sum(F.when(first, F.col("dl")).otherwise(0)), F.lit(0)).cast("bigint").alias("_sum_dl"),
     ).select("n_docs", F.when(F.col("n_docs") > 0, F.col("_sum_dl") / F.col("n_docs"))
              .otherwise(F.lit(0.0)).alias("avgdl"))
 

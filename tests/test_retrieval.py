@@ -142,3 +142,10 @@ def test_tfidf_salted_shuffle_path_equals_broadcast_path(spark):
     a = sorted(tuple(r) for r in rt.tfidf_topk(qs, idx, corpus, 4).collect())
     b = sorted(tuple(r) for r in rt.tfidf_topk(qs, idx, corpus, 4, broadcast_rows=0, salts=3).collect())
     assert a == b and len(a) == 12
+
+
+def test_empty_corpus_gives_empty_results(spark):
+    corpus = corpus_df(spark, [(0, ""), (1, "!!!")])
+    idx = ix.build_bm25_index(corpus, persist=False)
+    assert idx.stats.first()["n_docs"] == 0
+    assert rt.bm25_topk(questions_df(spark, [(1, "anything", [])]), idx, 5).count() == 0
