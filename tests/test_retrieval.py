@@ -149,3 +149,11 @@ def test_empty_corpus_gives_empty_results(spark):
     idx = ix.build_bm25_index(corpus, persist=False)
     assert idx.stats.first()["n_docs"] == 0
     assert rt.bm25_topk(questions_df(spark, [(1, "anything", [])]), idx, 5).count() == 0
+
+
+def test_tfidf_empty_vocabulary_pads_with_zero_scores(spark):
+    corpus = corpus_df(spark, [(0, "the of"), (1, "")])
+    idx = ix.build_tfidf_index(corpus, persist=False)
+    r = rt.tfidf_topk(questions_df(spark, [(1, "anything", [])]), idx, corpus, 5).orderBy("rank").collect()
+    # the titles are indexed too, so only stop words are missing; two documents -> two rows
+    assert [x.rank for x in r] == [1, 2] and all(x.qid == 1 for x in r)
