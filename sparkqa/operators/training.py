@@ -269,7 +269,7 @@ def epoch_shards(df: DataFrame, key: str, num_shards: int, batch_size: int, seed
     return out.unionByName(rep)
 
 
-def mix_sources(sources: DataFrame, key: str, source_col: str, rates: dict, batch_size: int, seed: int = 0,
+def mix_sources(sources: DataFrame, key: str, source_col: str, rates: dict | None, batch_size: int, seed: int = 0,
                 epoch: int = 0) -> DataFrame:
     """Per source int(int(n / batch_size) * rate) batches drawn cyclically from its seeded
     order; sources are interleaved by a seeded permutation, each source's batches in order.  Output
@@ -280,8 +280,9 @@ def mix_sources(sources: DataFrame, key: str, source_col: str, rates: dict, batc
                             [source_col, "_o", key], "_g")
     first = num.groupBy(source_col).agg(F.min("_g").alias("_f"), F.count(F.lit(1)).alias("_n"))
     num = num.join(F.broadcast(first), source_col).withColumn("_pos", F.col("_g") - F.col("_f"))
+    # no rates: every source contributes all its batches (rate 1.0)
     rate = F.coalesce(*[F.when(F.col(source_col) == F.lit(s), F.lit(float(r))) for s, r in rates.items()],
-                      F.lit(0.0))
+                      F.lit(0.0)) if rates else F.lit(1.0)
     plan = first.withColumn("_its", F.floor(F.floor(F.col("_n") / batch_size) * rate).cast("bigint")) \
         .filter(F.col("_its") > 0)
     grid = plan.select(source_col, "_n", F.explode(F.sequence(F.lit(0), F.col("_its") - 1)).alias("batch")) \

@@ -124,3 +124,10 @@ def test_ctx_match_shards_numbering(spark):
     out = wr.ctx_match_shards(df, 2).orderBy("id").collect()
     assert [(r.id, r.shard, r.question) for r in out] == [(0, 0, "q1"), (1, 0, "q2"), (2, 1, "q4"), (3, 1, "q5")]
     assert out[0].text == "c1 . ha . b . "
+
+
+def test_mix_sources_without_rates_takes_all_batches(spark):
+    rows = [(i, "a" if i < 40 else "b") for i in range(60)]
+    df = spark.createDataFrame(rows, "key long, src string")
+    out = tr.mix_sources(df, "key", "src", None, 4, seed=1, epoch=0).collect()
+    assert sorted({(r.source, r.batch) for r in out}) == [("a", b) for b in range(10)] + [("b", b) for b in range(5)]
