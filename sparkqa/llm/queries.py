@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import mixing, sharding
+from sparkqa.llm import mixing, pii, sharding
 from sparkqa.llm.common import table
 
 
+def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -21,5 +25,5 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_virtual_slots, op8_curriculum_mix)}
+QUERIES = {f.__name__: f for f in (op3_pii_boosted, op4_virtual_slots, op8_curriculum_mix)}
 ORACLE: dict[str, str] = {}
