@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import mixing, pii, sharding
+from sparkqa.llm import imi, mixing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
+def op2_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -19,11 +23,15 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op7_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imi.duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.mix(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "source_size", "target", "taken",
                     F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_pii_boosted, op4_virtual_slots, op8_curriculum_mix)}
+QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op7_multi_index_dedup, op8_curriculum_mix)}
 ORACLE: dict[str, str] = {}
