@@ -121,9 +121,15 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = True
     after = np.empty(n, bool)
     after[-1], after[:-1] = False, word[1:]
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
+    return hash_ranges(data, starts, ends, lower), starts, ends, np.searchsorted(starts, offs)
+
+
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hashes of byte ranges of a chunk; equal bytes (A-Z as a-z on request) hash alike anywhere."""
+    n = len(data)
     power, inverse, values = _tables(n, lower)
     run = np.empty(n + 1, np.uint64)
     run[0] = 0
     np.cumsum(values[data] * power[:n], out=run[1:])
-    h = mix64((run[ends] - run[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return h, starts, ends, np.searchsorted(starts, offs)
+    size = (ends - starts).astype(np.uint64)
+    return mix64((run[ends] - run[starts]) * inverse[starts] + size * np.uint64(0xD6E8FEB86659FD93))

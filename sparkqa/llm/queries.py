@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, mixing, pii, rabitq, sharding
+from sparkqa.llm import imi, mixing, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
@@ -23,6 +23,16 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def tokenizer_path() -> str:
+    """The public word tokenizer's file; every machine has the installed package."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_configuration_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imi.duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -33,5 +43,5 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op7_multi_index_dedup, op8_curriculum_mix)}
+QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix)}
 ORACLE: dict[str, str] = {}
