@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, kneser_ney, mixing, packing, pii, rabitq, sharding
+from sparkqa.llm import imi, kneser_ney, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
@@ -43,10 +43,15 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=3, percent=90) \
+        .select("doc_id", "n_shingles", "component_id")
+
+
 def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
         .select("doc_id", "lang", "n_words", "perplexity", "shrunk_perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op10_kneser_ney_quality)}
+QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
 ORACLE: dict[str, str] = {}
