@@ -1,4 +1,8 @@
-"""Candidate groups: from equal signatures to groups, and verification inside groups in blocks."""
+"""From equal signatures to linked nodes, without ever listing the pairs of a group.
+
+``settle`` verifies every node against its signature's lead, which is linear in the meetings, and
+goes through all nodes only of what those links leave open, in blocks.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqa.llm.common import materialize, parallel
-from sparkqa.llm.components import local_components
+from sparkqa.llm.components import components, local_components
 
 BLOCK_ROWS = 512
 
@@ -87,3 +91,35 @@ def linked(members: DataFrame, link: Callable, block_rows: int = BLOCK_ROWS) ->
         return pa.table({"u": np.concatenate(us or [empty]), "v": np.concatenate(vs or [empty])})
 
     return d.groupBy("_big", "_key", "_lo", "_hi").applyInArrow(run, "u long, v long")
+
+
+def settle(met: DataFrame, payload: DataFrame, verify: Callable, link: Callable, slices: Callable) -> DataFrame:
+    """Edges ``u, v`` that join all linked nodes among those that share a signature.
+
+    ``met`` is the output of ``stars``; ``payload`` (node, data) has the data of every node in it.
+    ``verify(data, data)`` tells which pairs of two lists link; ``link`` is for ``linked``;
+    ``slices(data column)`` is an array of slice numbers such that linked nodes share one.
+    """
+    def check(batches):
+        for b in batches:
+            ok = pa.array(verify(b.column(2).to_pylist(), b.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["u", "v"])
+
+    pairs = met.select("ref", "lead").distinct()
+    side = lambda n: payload.select(F.col("node").alias(n), F.col("data").alias(f"{n}_data"))
+    near = pairs.join(side("ref"), "ref").join(side("lead"), "lead").select("ref", "lead", "ref_data", "lead_data")
+    near = materialize(near.mapInArrow(check, "u long, v long"), "settle-near")
+    comp = materialize(components(near), "settle-first")
+    name = lambda d, c: d.join(comp.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")), c, "left") \
+        .withColumn(f"{c}_in", F.coalesce(f"{c}_in", c))
+    both = materialize(name(name(met, "ref"), "lead"), "settle-meetings")
+    # A signature is settled when its nodes are one component, or all but the lead are.
+    open_ = both.groupBy("sig").agg(F.count_if(F.col("ref_in") != F.col("lead_in")).alias("out"), F.min("ref_in").alias("lo"),
+                                    F.max("ref_in").alias("hi")).filter("out > 0 and lo != hi").select("sig")
+    held = materialize(both.join(open_, "sig", "left_semi"), "settle-open")
+    group = components(held, "ref_in", "lead_in").select(F.col("node").alias("in"), F.col("component").alias("grp"))
+    nodes = held.select(F.col("ref").alias("node"), F.col("ref_in").alias("in")).union(held.select("lead", "lead_in")).distinct()
+    members = nodes.join(group, "in").join(payload, "node")
+    members = members.select("node", "data", "grp", F.explode(slices(F.col("data"))).alias("slice")) \
+        .select(F.xxhash64("grp", "slice").alias("grp"), "node", "data")
+    return near.unionByName(materialize(linked(members, link), "settle-rest"))

@@ -4,10 +4,10 @@ The columns (n-grams, as 64-bit hashes) are cut into blocks of the hash range.
 bound says in how many n-grams two documents of given sizes may differ and still link; with one
 block more than that, linked documents have at least one block in which their rows are equal.  Pairs
 without an equal block - almost all - cannot reach the bound and are discarded before any product:
-rows meet by the fingerprints of their blocks.  Documents joined by meetings form groups, and
-inside a group the product of the incidence rows is accumulated slice by slice; pairs whose sizes
-rule a link out are dropped, the rest link by exact overlap.  A group's product is cut into blocks of
-rows, and only edges that join linked documents leave a task, never the pairs.
+rows meet by the fingerprints of their blocks.  Each row is multiplied with the smallest row it
+meets; rows that this leaves apart form groups, and inside a group the product of the incidence
+rows is accumulated over slices of columns and blocks of rows.  Pairs whose sizes rule a link out are
+dropped, the rest link by exact overlap; only edges that join linked documents leave a task.
 
 Equal n-gram sets are one class throughout.  Edge cases: a null or empty text has no n-grams and
 links with nothing; fewer than n words count as one n-gram; a null id takes no part (null
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, materialize, mix64, word_hashes
 from sparkqa.llm.components import components
-from sparkqa.llm.groups import linked, stars
+from sparkqa.llm.groups import settle, stars
 
-WORDS, PERCENT = 3, 90
+WORDS, PERCENT, SMALL = 3, 90, 32
 _K = np.random.default_rng(99).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -103,8 +103,20 @@ def fingerprints(g: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndar
         doc = np.repeat(np.arange(len(n)), blocks)
         place = np.arange(start[-1]) - start[doc]
         tag = mix64(c[doc].astype(np.uint64) * _K[51] + place.astype(np.uint64) * _K[52])
-        out.append(mix64(sums(inside, cut) + tag))
-        owner.append(doc)
+        full = cut[1:] > cut[:-1]
+        out.append(mix64(sums(inside, cut) + tag)[full])
+        owner.append(doc[full])
+        # An empty block says little alone: there the rows must also share one of the first n-grams
+        # that the size bound leaves (with more than SMALL blocks a linked pair whose equal blocks are all
+        # empty has a chance under 1e-10).
+        lone = np.flatnonzero(~full & (blocks[doc] <= SMALL))
+        if len(lone):
+            d = doc[lone]
+            first = n[d] + (-n[d] * percent // 100) + 1
+            row = np.repeat(np.arange(len(lone)), first)
+            x = g[np.repeat(offs[d], first) + np.arange(len(row)) - np.repeat(np.cumsum(first) - first, first)]
+            out.append(mix64(mix64(x + _K[53]) + tag[lone][row]))
+            owner.append(d[row])
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(out), np.concatenate(owner)
@@ -171,28 +183,47 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
                 yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(k1[doc[keep]])], ["sig", "ref"])
 
     docs = materialize(src.mapInArrow(describe, "doc_id long, text_hash long, n long, k1 long, k2 long"), "ng-docs")
-    met = stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long").withColumn("ord", F.lit(0)))
-    groups = materialize(components(met, "ref", "lead"), "ng-groups")
+    met = materialize(stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long").withColumn("ord", F.lit(0))), "ng-met")
 
     classes = materialize(docs.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n")), "ng-classes")
-    wanted = classes.join(groups, F.col("k1") == F.col("node")).select(
-        F.col("component").alias("grp"), F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_h"))
-    texts = src.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_h"))).select("grp", F.col("doc_id").alias("node"), "text")
+    nodes = met.select(F.col("ref").alias("k1")).union(met.select("lead")).distinct()
+    wanted = classes.join(nodes, "k1", "left_semi").select(F.col("k1").alias("_k"), F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_h"))
 
     def rows(batches):
         for batch in batches:
             for part, data, offs in chunks(batch):
                 g, at = ngram_sets(data, offs, words)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([g[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
-                                                 ["grp", "node", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
+                                                 ["node", "data"])
+
+    texts = src.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_h"))).select(F.col("_k").alias("node"), "text")
+    grams = texts.mapInArrow(rows, "node long, data binary").groupBy("node").agg(F.first("data").alias("data"))
+    grams = materialize(grams, "ng-grams")
+
+    def verify(x: list[bytes], y: list[bytes]) -> np.ndarray:
+        out = np.zeros(len(x), bool)
+        for i, (p, q) in enumerate(zip(x, y)):
+            if 100 * min(len(p), len(q)) >= percent * max(len(p), len(q)):
+                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                inter = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
+                out[i] = 100 * inter >= percent * (len(p) + len(q) - inter)
+        return out
 
     def link(t: pa.Table, a: np.ndarray, b: np.ndarray | None):
-        sets = _sets(t)
-        return link_rows(sets, a, b, percent)
-
-    edges = linked(texts.mapInArrow(rows, "grp long, node long, grams binary"), link)
-    comp = components(materialize(edges, "ng-edges"))
+        if _last[0] is not t:
+            _last[:] = [t, [np.frombuffer(x, np.uint64) for x in t["data"].to_pylist()]]
+        return link_rows(_last[1], a, b, percent)
+
+    def slices(data):  # the size class of the fingerprints: linked sizes lie in one or in neighbours
+        ends = size_classes(percent, 1 << 31).tolist()
+        own = F.size(F.filter(F.array(*[F.lit(x) for x in ends]), lambda x: x < F.octet_length(data) / 8))
+        return F.array(own, own - 1)
+
+    edges = settle(met, grams, verify, link, slices)
+    ids = classes.select("k1", F.col("rep.doc_id").alias("rep")).groupBy("k1").agg(F.min("rep").alias("rep"))
+    named = edges.join(ids.select(F.col("k1").alias("u"), F.col("rep").alias("a")), "u").join(ids.select(F.col("k1").alias("v"), F.col("rep").alias("b")), "v")
+    comp = components(materialize(named.select("a", "b"), "ng-edges"), "a", "b")
     answer = materialize(classes.select("k1", "k2", F.col("rep.doc_id").alias("rep")).join(
         comp, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("component")), "ng-answer")
     return docs.join(answer, ["k1", "k2"], "left").select(
@@ -200,11 +231,4 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-_last: list = [None, None]
-
-
-def _sets(t: pa.Table) -> list[np.ndarray]:
-    """The table's n-gram sets; those of the last table are kept, as a task asks group by group."""
-    if _last[0] is not t:
-        _last[:] = [t, [np.frombuffer(x, np.uint64) for x in t["grams"].to_pylist()]]
-    return _last[1]
+_last: list = [None, None]  # a task asks for the sets of one table group by group

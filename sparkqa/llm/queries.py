@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, kneser_ney, mixing, ngram_join, packing, pii, rabitq, sharding
+from sparkqa.llm import imi, kneser_ney, line_dedup, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed(table(spark, sf_dir, "documents"), edits=2, min_chars=20) \
+        .select("doc_id", "n_lines", "n_removed", "removed")
+
+
 def op2_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -53,5 +58,5 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "lang", "n_words", "perplexity", "shrunk_perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
 ORACLE: dict[str, str] = {}
