@@ -1,9 +1,85 @@
-"""The corpus pipeline (stages are added as their operators land)."""
+"""The corpus pipeline: quality, line dedup, near-duplicate documents, source mixing, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
+back as the next one's ``docs``.  All but the last keep the columns of ``documents`` (extra columns
+pass through).  A document is known by its id and its text's hash, so null and repeated ids are told
+apart where their texts differ; rows equal in both share their fate.
+
+SQL cannot express the classifier, the near-duplicate lines and the tokenizer; the tests hold the
+stages against brute-force versions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkqa.llm import kneser_ney, line_dedup, mixing, ngram_join, packing
+from sparkqa.llm.common import materialize, table
+from sparkqa.llm.queries import tokenizer_path
+from sparkqa.session import ship_package
+
+
+def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """Join documents with one decision row for each (id, text hash); new columns start with ``__``."""
+    d = decisions.withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__hash"))
+    return docs.join(d, same, how)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language model rejects go; those without words or without a model stay."""
+    ship_package(spark)
+    judged = kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
+    return _decided(docs, judged.filter(~F.col("kept")).select("doc_id", "text_hash").distinct(), "left_anti")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every line but the first of its class goes; a document that loses all its lines goes with them."""
+    ship_package(spark)
+    cut = line_dedup.removed(docs).filter("n_removed > 0").dropDuplicates(["doc_id", "text_hash"])
+    cut = cut.select("doc_id", "text_hash", (F.col("n_removed") == F.col("n_lines")).alias("__all"),
+                     F.transform("removed", lambda x: x["line"]).alias("__gone"))
+    d = _decided(docs, cut, "left").filter(~F.coalesce("__all", F.lit(False))).select(*docs.columns, "__gone")
+    d = line_dedup.drop_lines(d, "text", "__gone")
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return d
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each group linked by five-word shingles at 0.8 or more stays."""
+    ship_package(spark)
+    found = ngram_join.join(docs, words=5, percent=80)
+    # copies under one id are one document: of its texts, the one with the smallest hash stays
+    gone = found.filter("doc_id is not null and component_id != doc_id").select("doc_id", "text_hash").distinct()
+    return _decided(docs, gone, "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document, range-sorted by training position.  Documents are
+    taken whole; those without words ask for no share of the mix and stay once, at the end."""
+    mixed = materialize(mixing.mix(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))), "pipeline-mix")
+    when = mixed.select("doc_id.doc_id", "doc_id.text_hash", F.when(F.col("size") == 0, F.array(F.lit(2.0))).otherwise(F.col("positions")).alias("__at")) \
+        .dropDuplicates(["doc_id", "text_hash"])
+    d = _decided(docs, when, "inner")
+    return d.withColumn("__p", F.explode("__at")).orderBy("__p", "doc_id").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens with their sequence and offset."""
+    ship_package(spark)
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram Jaccard join", near_duplicates),
+          ("mixing sources", mix), ("best-fit packing", pack)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the rows of the last one."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs

@@ -245,3 +245,20 @@ def removed(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int =
     return d.join(p, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left").select(
         "doc_id", "text_hash", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<struct<line:int,doc_id:bigint,first_line:int>>")).alias("removed"))
+
+
+def drop_lines(df: DataFrame, text: str, gone: str) -> DataFrame:
+    """``df`` without column ``gone`` (numbers of the lines to drop, or null) and without those lines."""
+    out = df.drop(gone)
+    names = out.columns
+
+    def run(batches):
+        for b in batches:
+            drop = b.column(b.schema.get_field_index(gone)).to_pylist()
+            col = b.column(b.schema.get_field_index(text))
+            if any(drop):
+                col = pa.array([x.as_py() if not d else "\n".join(y for i, y in enumerate(x.as_py().split("\n")) if i not in d)
+                                for x, d in zip(col, (set(d or ()) for d in drop))], col.type)
+            yield pa.RecordBatch.from_arrays([col if n == text else b.column(b.schema.get_field_index(n)) for n in names], names)
+
+    return df.mapInArrow(run, out.schema)
