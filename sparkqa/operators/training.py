@@ -173,56 +173,37 @@ def prepare_reader_data(selected: DataFrame, questions: DataFrame, **kw) -> Data
 
 
 # --- R5 ------------------------------------------------------------------------------------------
-def span_candidates(logits: DataFrame, max_answer_length: int) -> DataFrame:
-    """All (start, end) with end - start < max_answer_length, score = start + end logit.
-    ``logits(pid, start_logits, end_logits, is_sub_word)``."""
-    s = logits.select("pid", "end_logits", F.posexplode("start_logits").alias("i", "s"))
-    s = s.select("pid", "i", "s", F.posexplode(F.slice("end_logits", F.col("i") + 1, max_answer_length)).alias("d", "e"))
-    return s.select("pid", F.col("i").alias("start"), (F.col("i") + F.col("d")).alias("end"),
-                    (F.col("s").cast("double") + F.col("e").cast("double")).alias("score"))
+def span_candidates(start_logits, end_logits, max_answer_length: int) -> F.Column:
+    """All (start, end) with end - start < max_answer_length as one array of (order, start, end),
+    where order is minus the sum of the two logits, so that an ascending sort puts the best first
+    (ties by start, then end)."""
+    s, e = F.col(start_logits), F.col(end_logits)
+    return F.flatten(F.transform(s, lambda a, i: F.transform(F.slice(e, i + 1, max_answer_length), lambda b, d: F.struct(
+        (-(a.cast("double") + b.cast("double"))).alias("order"), i.alias("start"), (i + d).alias("end")))))
 
 
 def best_spans(logits: DataFrame, max_answer_length: int = 10, top_spans: int = 1) -> DataFrame:
-    """Best span(s) per passage, extended to whole words.
+    """The best span(s) of each passage, widened to whole words.
 
-    Candidates are ordered by score, then start, then end (the reference's stable sort).  With
-    ``top_spans = 1`` this is a native ``row_number`` and the winner is extended.  For more, a
-    candidate is skipped when it contains or lies inside an already chosen *extended* span;
-    that greedy walk runs per passage in a ``cogroup``-ed ``applyInPandas`` that sees only the
-    passage's own candidates and sub-word flags.
+    ``logits(pid, start_logits, end_logits, is_sub_word)``; one row holds a passage, so the choice
+    is a fold over its sorted candidates with no shuffle: a candidate is taken while fewer than
+    ``top_spans`` are, unless it and a taken (widened) span lie one inside the other.
     """
-    cand = span_candidates(logits, max_answer_length)
-    if top_spans == 1:
-        w = Window.partitionBy("pid").orderBy(F.col("score").desc(), "start", "end")
-        best = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r") \
-            .withColumn("span_rank", F.lit(0).cast("bigint"))
-        j = best.join(logits.select("pid", "is_sub_word"), "pid")
-        ext = extend_span("start", "end", "is_sub_word")
-        return j.select("pid", "span_rank", "score", ext["start"].alias("start"), ext["end"].alias("end"))
-
-    def greedy(cands: pd.DataFrame, lg: pd.DataFrame) -> pd.DataFrame:
-        cols = ["pid", "span_rank", "score", "start", "end"]
-        if cands.empty or lg.empty:
-            return pd.DataFrame([], columns=cols)
-        sub = list(lg["is_sub_word"].iloc[0])
-        n = len(sub)
-        cands = cands.sort_values(["score", "start", "end"], ascending=[False, True, True], kind="stable")
-        chosen, rows = [], []
-        for st, en, sc in zip(cands["start"], cands["end"], cands["score"]):
-            if any(st <= ps <= pe <= en or ps <= st <= en <= pe for ps, pe in chosen):
-                continue
-            while st > 0 and sub[st]:
-                st -= 1
-            while en < n - 1 and sub[en + 1]:
-                en += 1
-            chosen.append((st, en))
-            rows.append((int(cands["pid"].iloc[0]), len(rows), float(sc), int(st), int(en)))
-            if len(rows) == top_spans:
-                break
-        return pd.DataFrame(rows, columns=cols)
-
-    return cand.groupBy("pid").cogroup(logits.select("pid", "is_sub_word").groupBy("pid")).applyInPandas(
-        greedy, "pid long, span_rank long, score double, start int, end int")
+    d = logits.select("pid", "is_sub_word", F.array_sort(span_candidates("start_logits", "end_logits", max_answer_length)).alias("_c"))
+    none = F.array().cast("array<struct<order:double,start:int,end:int>>")
+
+    def nested(taken, x):
+        return F.exists(taken, lambda y: ((x["start"] <= y["start"]) & (y["end"] <= x["end"])) |
+                        ((y["start"] <= x["start"]) & (x["end"] <= y["end"])))
+
+    def take(taken, x):
+        wide = extend_span(x["start"], x["end"], F.col("is_sub_word"))
+        more = F.struct(x["order"].alias("order"), wide["start"].cast("int").alias("start"), wide["end"].cast("int").alias("end"))
+        return F.when((F.size(taken) >= top_spans) | nested(taken, x), taken).otherwise(F.concat(taken, F.array(more)))
+
+    chosen = d.select("pid", F.posexplode(F.aggregate("_c", none, take)).alias("_r", "_s"))
+    return chosen.select("pid", F.col("_r").cast("bigint").alias("span_rank"), (-F.col("_s.order")).alias("score"),
+                         F.col("_s.start").alias("start"), F.col("_s.end").alias("end"))
 
 
 # --- R6 / R7 -------------------------------------------------------------------------------------
