@@ -59,4 +59,57 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
-ORACLE: dict[str, str] = {}
+# --- DuckDB SQL of what SQL can express ---------------------------------------------------------------
+# (Sharding needs CRC-32, packing the tokenizer; personal data, line dedup and quality have no SQL
+# form of a bearable cost.  The tests hold those against brute-force versions.)
+_USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 "
+           "AND len(list_filter(embedding, lambda x: x <> 0)) > 0")
+_REACH = ("reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b), "
+          "comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a) ")
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op2_rabitq_search": f"""
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE {_USABLE}),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+              FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
+        (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20""",
+    "op7_multi_index_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+        links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+                  AND list_cosine_similarity(x.e, y.e) >= 0.93),
+        nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH}
+        SELECT id AS vec_id, (SELECT count(*) FROM links l WHERE l.a = id) AS n_links, component_id, component_id = id AS kept FROM comp""",
+    "op8_curriculum_mix": f"""
+        WITH d AS (SELECT doc_id, source, CAST(coalesce(len({_WORDS}), 0) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        b AS (SELECT *, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % 512 AS part FROM d),
+        s AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM (SELECT source, sum(size) AS source_size FROM d GROUP BY source)),
+        w AS (SELECT *, [3.0, 1.0, 2.0][rank % 3 + 1]::DOUBLE AS weight, (source_size * 2)::DOUBLE AS cap FROM s),
+        o AS (SELECT *, (sum(source_size) OVER ()) * 1.5::DOUBLE AS total,
+              coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone,
+              sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
+        l AS (SELECT *, (total - gone) / rest AS level FROM o),
+        f AS (SELECT *, first(CASE WHEN level * weight < cap THEN level END IGNORE NULLS) OVER (ORDER BY cap / weight, rank
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS final FROM l),
+        t AS (SELECT source, CAST(source_size AS BIGINT) AS source_size, rank, coalesce(least(final * weight, cap), cap) AS target FROM f),
+        r AS (SELECT b.doc_id, b.size, t.source_size, t.target, t.rank, CAST(coalesce(sum(b.size) OVER (PARTITION BY b.source ORDER BY part, h, b.doc_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source),
+        k AS (SELECT *, greatest(0, least(CAST(round(target) AS BIGINT) - start, size)) AS one,
+              greatest(0, least(CAST(round(target) AS BIGINT) - start - source_size, size)) AS two FROM r),
+        p AS (SELECT *, CASE WHEN one > 0 THEN (start + one / 2) / target END AS x FROM k)
+        SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+        CASE WHEN x IS NOT NULL THEN least(1.0, CASE rank % 3 WHEN 0 THEN 2 * x / (1.6 + sqrt(greatest(1.6 * 1.6 - 2.4 * x, 0))) WHEN 1 THEN x
+              ELSE CASE WHEN x >= 0.35 THEN 0.5 + 2 * (x - 0.35) / (1.0 + sqrt(1.0 + 2.4 * (x - 0.35))) ELSE least(0.5, 2 * x / (0.4 + sqrt(0.16 + 2.4 * x))) END END) END AS position
+        FROM p""",
+    "op9_ngram_jaccard": f"""
+        WITH RECURSIVE t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        w AS (SELECT doc_id, {_WORDS} AS w FROM t),
+        g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        links AS (SELECT i.a, i.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) i
+                  JOIN n na ON na.doc_id = i.a JOIN n nb ON nb.doc_id = i.b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+        nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+        SELECT id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM comp LEFT JOIN n ON n.doc_id = id""",
+}
