@@ -48,7 +48,7 @@ def salted_row_number(df: DataFrame, key: list[str], order: list[str], salt_by:
 # --- words as 64-bit hashes, straight from Arrow buffers --------------------------------------------
 # A word is a maximal run of bytes outside space and 0x09-0x0D.  Its hash is a polynomial over
 # random values of its bytes (A-Z as a-z on request), read off one running sum over the chunk.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _state: dict = {}
 
@@ -126,10 +126,18 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = True
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
     """64-bit hashes of byte ranges of a chunk; equal bytes (A-Z as a-z on request) hash alike anywhere."""
-    n = len(data)
-    power, inverse, values = _tables(n, lower)
-    run = np.empty(n + 1, np.uint64)
+    return hash_between(running(data, lower), starts, ends)
+
+
+def running(data: np.ndarray, lower: bool = True) -> np.ndarray:
+    """The running sum that the hashes of all ranges of a chunk are read off."""
+    power, _, values = _tables(len(data), lower)
+    run = np.empty(len(data) + 1, np.uint64)
     run[0] = 0
-    np.cumsum(values[data] * power[:n], out=run[1:])
+    np.cumsum(values[data] * power[:len(data)], out=run[1:])
+    return run
+
+
+def hash_between(run: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     size = (ends - starts).astype(np.uint64)
-    return mix64((run[ends] - run[starts]) * inverse[starts] + size * np.uint64(0xD6E8FEB86659FD93))
+    return mix64((run[ends] - run[starts]) * _state["inv"][starts] + size * np.uint64(0xD6E8FEB86659FD93))

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, hash_ranges, materialize, salted_row_number, word_hashes
 
-CAPACITY, END_ID, UNIT = 4096, 1, 16
-CACHE_WORDS = 1_500_000
+CAPACITY, END_ID, UNIT, WASTE = 4096, 1, 16, 16
+CACHE_WORDS = 600_000
 
 
 class WordTokens:
@@ -184,7 +184,7 @@ def solve(demand: np.ndarray, room: int, step: float = 0.1, sharpness: float = 3
     return list(amount.values())
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT) -> list[tuple[int, dict[int, int]]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT, waste: int = WASTE) -> list[tuple[int, dict[int, int]]]:
     """Runs of equal sequences: (number of sequences, {length: pieces in each})."""
     left = {length: n for length, n in histogram.items() if n > 0}
     runs: list[tuple[int, dict[int, int]]] = []
@@ -194,45 +194,48 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = UNIT)
     by_class: dict[int, list[int]] = {}
     for length in sorted(left, reverse=True):
         by_class.setdefault(min(-(-length // unit), room), []).append(length)
-    # Rounding lengths up to classes leaves gaps; the smallest pieces are kept back to fill them.
-    slack = sum((min(-(-x // unit), room) * unit - x) * n for x, n in left.items())
-    kept = dict.fromkeys(left, 0)
-    for x in sorted(left):
-        if slack <= 0:
-            break
-        kept[x] = min(left[x], -(-slack // x))
-        slack -= kept[x] * x
     demand = np.zeros(room)
     for k, lengths in by_class.items():
-        demand[k - 1] = sum(left[x] - kept[x] for x in lengths)
-    remaining = {x: left[x] - kept[x] for x in left}
+        demand[k - 1] = sum(left[x] for x in lengths)
+    remaining = dict(left)
+    there = sorted(left)  # lengths with pieces left
 
     def realise(config: np.ndarray, copies: int) -> None:
+        """Copies of a configuration with exact lengths: its classes from the largest, the longest piece
+        of each; in place of its last and smallest one, whatever fits the room best, until none fits.
+        Copies that would waste more than ``waste`` are left to best fit."""
+        classes = [k + 1 for k in np.flatnonzero(config)[::-1] for _ in range(int(config[k]))][:-1]
         while copies:
             pattern: dict[int, int] = {}
-            fit = copies
-            for k in np.flatnonzero(config):
-                want = int(config[k])
-                for x in by_class.get(k + 1, ()):  # longest first
-                    if not want:
-                        break
-                    got = min(want, remaining[x])
-                    if got:
-                        pattern[x] = got
-                        want -= got
-                        fit = min(fit, remaining[x] // got)
-                if want:
+            gap = capacity
+            for k in classes:
+                x = next((x for x in by_class.get(k, ()) if remaining[x] > pattern.get(x, 0)), None)
+                if x is None:
                     return
+                pattern[x] = pattern.get(x, 0) + 1
+                gap -= x
+            i = bisect.bisect_right(there, gap)
+            while i:
+                x = there[i - 1]
+                own = min(gap // x, remaining[x] - pattern.get(x, 0))
+                if own > 0:
+                    pattern[x] = pattern.get(x, 0) + own
+                    gap -= own * x
+                i = min(i - 1, bisect.bisect_right(there, gap))
+            if not pattern or gap > waste:
+                return
+            fit = min(copies, min(remaining[x] // m for x, m in pattern.items()))
             for x, m in pattern.items():
                 remaining[x] -= m * fit
+                if not remaining[x]:
+                    there.pop(bisect.bisect_left(there, x))
+                    by_class[min(-(-x // unit), room)].remove(x)
             runs.append((fit, pattern))
             copies -= fit
 
-    for config, amount in sorted(solve(demand, room), key=lambda x: -x[1]):
+    for config, amount in sorted(solve(demand, room), key=lambda x: (-int(np.flatnonzero(x[0])[-1]), -x[1])):
         realise(config, int(amount))
-    for x, n in kept.items():
-        remaining[x] += n
-    # Best fit, longest first, a run of equal sequences at a time.
+    # What rounding down has left: best fit, longest first, a run of equal sequences at a time.
     groups = {i: [n, p, capacity - sum(x * m for x, m in p.items())] for i, (n, p) in enumerate(runs)}
     free = sorted((g[2], i) for i, g in groups.items() if g[2])
     for x in sorted(remaining, reverse=True):
