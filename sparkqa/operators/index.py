@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sparkqa.functions.text import tokenize_alnum, tokenize_words
 from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
-from sparkqa.operators.util import global_row_number, materialize, spread
+from sparkqa.operators.util import global_row_number, materialize
 
 
 # --- A1 ------------------------------------------------------------------------------------------
@@ -35,7 +35,7 @@ def term_frequencies(corpus: DataFrame, tokens_col=None) -> DataFrame:
     toks = tokens_col if tokens_col is not None else tokenize_alnum("text")
     # no size filter here: it would be pushed below the projection and tokenise twice; an
     # empty token array simply explodes to no rows
-    tk = spread(corpus).select("row_no", "id", toks.alias("tk"))
+    tk = corpus.select("row_no", "id", toks.alias("tk"))
     ex = tk.select("row_no", "id", F.size("tk").alias("dl"), F.get(F.col("tk"), 0).alias("first"),
                    F.explode("tk").alias("term"))
     return (ex.groupBy("row_no", "id", "dl", "term")
@@ -96,6 +96,8 @@ def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df
         "n_docs bigint, avgdl double, k1 double, b double, min_df int, max_df_ratio double")
     vocab = prune_vocabulary(document_frequency(tf), n_docs, min_df, max_df_ratio).select(
         "term", "df", F.log(1.0 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    if persist:                       # queries join the vocabulary; they never count the postings again
+        vocab = materialize(vocab, "bm25-vocab")
     return Bm25Index(tf.select("row_no", "id", "dl", "term", "tf"), vocab, stats)
 
 
@@ -155,17 +157,12 @@ def tfidf_text(corpus: DataFrame):
                            F.coalesce(F.col("text"), F.lit(""))))
 
 
-# Terms at the cut-off count numbered in one ordered task when there are at most this many.
-LEVEL_WINDOW_ROWS = 2_000_000
-
-
 def top_terms(by_term: DataFrame, max_features: int) -> DataFrame:
     """The ``max_features`` terms with the largest corpus count, ties at the cut by term.
 
     A histogram of corpus counts (one row per distinct count, at most sqrt(2 * tokens) rows)
     gives the threshold count; every term above it is kept, and only the terms exactly at the
-    threshold are numbered to fill the remaining places (one ordered task when that level is
-    counted at most ``LEVEL_WINDOW_ROWS``, else a distributed range sort).
+    threshold are numbered, by a distributed range sort, to fill the remaining places.
     """
     hist = by_term.groupBy("ctf").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(F.col("ctf").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -179,10 +176,7 @@ def top_terms(by_term: DataFrame, max_features: int) -> DataFrame:
     if above + n_at == max_features:  # the whole tie level fits
         return keep_above.unionByName(by_term.filter(F.col("ctf") == t_star))
     level = by_term.filter(F.col("ctf") == t_star)
-    if n_at <= LEVEL_WINDOW_ROWS:      # counted: small enough for one ordered task
-        level = level.withColumn("_r", F.row_number().over(Window.orderBy("term")) - 1)
-    else:
-        level = global_row_number(level, [F.col("term").asc()], "_r")
+    level = global_row_number(level, [F.col("term").asc()], "_r")
     return keep_above.unionByName(level.filter(F.col("_r") < max_features - above).drop("_r"))
 
 
@@ -195,7 +189,7 @@ def build_tfidf_index(corpus: DataFrame, max_features: int = 200_000, ngram_max:
     order.  With ``persist`` the document terms, the vocabulary and the weights (the sparse
     document matrix) are written once to the shared folder, so queries only scan weights.
     """
-    docs = spread(corpus).select("row_no", tfidf_text(corpus).alias("_t"))
+    docs = corpus.select("row_no", tfidf_text(corpus).alias("_t"))
     tf = tfidf_doc_terms(docs, "row_no", F.col("_t"), stop_words, ngram_max)
     if persist:
         tf = materialize(tf, "tfidf-doc-terms")

@@ -52,7 +52,7 @@ def table_examples(samples: DataFrame, linearized_pos: DataFrame, linearized_neg
     shuffled lists), text from T8 and the caption as title; samples without positives dropped.
 
     ``samples(q, positive_ctxs, hard_negative_ctxs)``; ``linearized_*(sample_id, text)`` keyed by
-    ``q * 1000 + position`` of the context in its list.
+    the struct (q, i) of the question and the context's position in its list.
     """
     has = samples.filter(F.size("positive_ctxs") > 0)
     pos = has.select("q", F.posexplode("positive_ctxs").alias("i", "c"))
@@ -65,7 +65,7 @@ def table_examples(samples: DataFrame, linearized_pos: DataFrame, linearized_neg
         if is_train else F.format_string("%012d", F.col("i"))
     neg = neg.withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy(neg_order, "i"))) \
         .filter(F.col("_r") <= max_negatives)
-    sid = (F.col("q") * 1000 + F.col("i")).alias("sample_id")
+    sid = F.struct("q", "i").alias("sample_id")
     p = pos.select("q", sid, F.col("c.caption").alias("title")).join(linearized_pos, "sample_id")
     n = neg.select("q", "_r", sid, F.col("c.caption").alias("title")).join(linearized_neg, "sample_id")
     pa = p.groupBy("q").agg(F.first(F.struct("text", "title")).alias("positive"))

@@ -39,19 +39,6 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "row_no", sta
               .drop("_mid", "_pid", "_local", "_off")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = "row_no") -> DataFrame:
-    """Repartition only when the input has fewer partitions than the cluster has task slots
-    (a single-row-group file is one scan task).  Large inputs already arrive in thousands of
-    splits and pass through untouched, so raw text is never shuffled at scale.  The check is
-    plan-time only (no job).  Hash partitioning on a cheap unique key (``row_no``) is
-    deterministic without the whole-row sort a round-robin repartition needs."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key and key in df.columns else df.repartition(target)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

@@ -63,7 +63,7 @@ def nfd_sql(expr: str) -> str:
 cte("corpus", "SELECT CAST(doc_id AS VARCHAR) AS id, text, source AS title, CAST(doc_id AS BIGINT) AS row_no "
               "FROM documents")
 cte("bq", f"SELECT CAST(item_id AS BIGINT) AS qid, {alnum('text')} AS tk FROM benchmark")
-cte("questions", "SELECT qid, array_to_string(tk[1:6], ' ') AS question, "
+cte("questions", "SELECT qid, array_to_string(tk, ' ') AS question, "
                  "list_filter([CASE WHEN len(tk) >= 7 THEN array_to_string(tk[7:8], ' ') END, tk[10]], "
                  "lambda a: a IS NOT NULL) AS answers FROM bq", ["bq"])
 
@@ -238,11 +238,11 @@ ORACLE: dict[str, str] = {
 
 # --- tables (Fx-pages / Fx-dirty, T1-T7, T13, A6, K5) ------------------------------------------------
 NL = "chr(10)"
-cte("fpages", "SELECT CAST(c_custkey AS BIGINT) AS page_id, c_custkey, c_name AS title, c_acctbal < 0 AS issues "
-              "FROM customer UNION ALL SELECT CAST(c_custkey + 1000000 AS BIGINT), c_custkey, c_name, c_acctbal < 0 "
+cte("fpages", "SELECT CAST(c_custkey * 2 AS BIGINT) AS page_id, c_custkey, c_name AS title, c_acctbal < 0 AS issues "
+              "FROM customer UNION ALL SELECT CAST(c_custkey * 2 + 1 AS BIGINT), c_custkey, c_name, c_acctbal < 0 "
               "FROM customer WHERE c_mktsegment = 'BUILDING'")
 cte("forders", "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, "
-               "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders QUALIFY r <= 2")
+               "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders")
 # one row per (page, row): row 0 is the header
 cte("frows", "SELECT p.page_id, 0 AS row, ['order', 'status', 'priority'] AS vals FROM fpages p UNION ALL "
              "SELECT p.page_id, o.r AS row, [CAST(o.o_orderkey AS VARCHAR), o.o_orderstatus, "
@@ -330,14 +330,13 @@ cte("ftq", "SELECT CAST(n_nationkey * 2 AS BIGINT) AS q, n_nationkey, 'orders in
            "SELECT CAST(n_nationkey * 2 + 1 AS BIGINT), n_nationkey, 'orders in ' || n_name || ' none', "
            "['9-NONE'], '9-none' FROM nation")
 cte("fnt", "SELECT c.table_id, c.page_id, c.caption, cu.c_custkey, cu.c_nationkey AS n_nationkey FROM fclean c "
-           "JOIN customer cu ON c.page_id = cu.c_custkey", ["fclean"])
+           "JOIN customer cu ON c.page_id = cu.c_custkey * 2", ["fclean"])
 
 
-def search_oracle(name: str, k: int, desc: bool) -> None:
+def search_oracle(name: str, desc: bool) -> None:
     order = "DESC" if desc else ""
     cte(name, "SELECT q.q, q.ans, t.table_id, t.page_id, t.caption, CAST(row_number() OVER "
-              f"(PARTITION BY q.q ORDER BY t.c_custkey {order}) AS BIGINT) AS rank FROM ftq q JOIN fnt t USING (n_nationkey) "
-              f"QUALIFY rank <= {k}", ["ftq", "fnt"])
+              f"(PARTITION BY q.q ORDER BY t.c_custkey {order}) AS BIGINT) AS rank FROM ftq q JOIN fnt t USING (n_nationkey)", ["ftq", "fnt"])
     cte(name + "_loc", "SELECT s.q, s.table_id, s.page_id, s.caption, s.rank, "
                        "string_agg(r.row || ':2', ',' ORDER BY r.row) AS answer_pos, list(r.row ORDER BY r.row) "
                        "FILTER (WHERE r.row IS NOT NULL) AS arows FROM " + name + " s LEFT JOIN frows r "
@@ -345,8 +344,8 @@ def search_oracle(name: str, k: int, desc: bool) -> None:
                        "GROUP BY s.q, s.table_id, s.page_id, s.caption, s.rank", [name, "frows"])
 
 
-search_oracle("fsearch", 60, False)
-search_oracle("fgold", 5, True)
+search_oracle("fsearch", False)
+search_oracle("fgold", True)
 cte("fmined", "SELECT * FROM (SELECT *, answer_pos IS NOT NULL AS is_positive, "
               "coalesce(sum(CASE WHEN answer_pos IS NOT NULL THEN 1 ELSE 0 END) OVER w, 0) AS p, "
               "coalesce(sum(CASE WHEN answer_pos IS NULL THEN 1 ELSE 0 END) OVER w, 0) AS n FROM fsearch_loc "
@@ -359,7 +358,7 @@ cte("finj", "SELECT q, rank, table_id, page_id, caption, answer_pos, arows, is_p
 cte("fgoldpage", "SELECT t.q, p.page_id, p.title AS caption, "
                  "string_agg(r.row || ':2', ',' ORDER BY r.row) AS answer_pos, list(r.row ORDER BY r.row) AS arows "
                  "FROM ftq t JOIN (SELECT c_nationkey, min(c_custkey) AS k FROM customer GROUP BY c_nationkey) g "
-                 "ON g.c_nationkey = t.n_nationkey JOIN fpages p ON p.page_id = g.k AND NOT p.issues "
+                 "ON g.c_nationkey = t.n_nationkey JOIN fpages p ON p.page_id = g.k * 2 AND NOT p.issues "
                  "JOIN frows r ON r.page_id = p.page_id AND r.row > 0 AND "
                  "list_contains(string_split(lower(r.vals[3]), ' '), t.ans) GROUP BY t.q, p.page_id, p.title",
     ["ftq", "fpages", "frows"])
@@ -472,7 +471,7 @@ ORACLE.update({
         "SELECT page_id, CAST(CASE WHEN issues THEN -1 ELSE 0 END AS BIGINT) AS table_no, "
         "CASE WHEN issues THEN NULL ELSE caption END AS caption, CASE WHEN issues THEN NULL ELSE key END AS key, "
         "CASE WHEN issues THEN 'content before any table' END AS error FROM ftables", ["ftables"]),
-    "s12_read_search_results": sql("SELECT t.question, s.rank, CAST(100.0 - s.rank AS DOUBLE) AS score, s.table_id, false AS truncated "
+    "s12_read_search_results": sql("SELECT t.question, s.rank, CAST(100.0 - s.rank AS DOUBLE) AS score, s.table_id "
                                    "FROM fsearch s JOIN ftq t USING (q)", ["fsearch", "ftq"]),
     "s13_read_gold_passages": sql(
         "SELECT key, arg_max(question, qid) AS question, arg_max(title, qid) AS title, arg_max(context, qid) AS context, "

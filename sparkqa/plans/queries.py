@@ -317,9 +317,8 @@ def t13(spark, sf_dir):
 
 def table_mining(spark, sf_dir):
     clean = clean_table_frame(spark, sf_dir)
-    search = fx.table_search(spark, sf_dir, clean, 60)
-    bound = 60 * fx.table_questions(spark, sf_dir).count()
-    located = tb.locate_answers(clean.select("table_id", "rows"), search, bound).join(
+    search = fx.table_search(spark, sf_dir, clean)
+    located = tb.locate_answers(clean.select("table_id", "rows"), search).join(
         search.select("q", "table_id", "rank"), ["q", "table_id"])
     return clean, search, located
 
@@ -343,9 +342,8 @@ def t10(spark, sf_dir):
 
 def mined_with_gold(spark, sf_dir):
     clean, _, located = table_mining(spark, sf_dir)
-    gold = fx.table_search(spark, sf_dir, clean, 5, descending=True)
-    gold_loc = tb.locate_answers(clean.select("table_id", "rows"), gold,
-                                 5 * fx.table_questions(spark, sf_dir).count()).join(
+    gold = fx.table_search(spark, sf_dir, clean, descending=True)
+    gold_loc = tb.locate_answers(clean.select("table_id", "rows"), gold).join(
         gold.select("q", "table_id", "rank"), ["q", "table_id"])
     return clean, tb.inject_gold(tb.mine_contexts(located), gold_loc)
 
@@ -361,11 +359,11 @@ def table_training(spark, sf_dir):
     clean, m = mined_with_gold(spark, sf_dir)
     tq = fx.table_questions(spark, sf_dir)
     cust = fx.table(spark, sf_dir, "customer")
-    gold_page = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.min("c_custkey").alias("page_id"))
+    gold_page = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg((F.min("c_custkey") * 2).cast("bigint").alias("page_id"))
     _, parsed = parsed_tables(spark, sf_dir)
     pt = tq.join(gold_page, "n_nationkey").join(parsed.filter(F.col("table_no") >= 0), "page_id") \
         .select("q", "answers", F.col("table_no").alias("ord"),
-                (F.col("page_id") * 1000 + F.col("table_no")).alias("table_id"), "rows", "caption")
+                F.struct("page_id", "table_no").alias("table_id"), "rows", "caption")
     loc = tb.locate_answers(pt.select("table_id", "rows").dropDuplicates(["table_id"]),
                             pt.select("q", "table_id", "answers"))
     pp = pt.join(loc, ["q", "table_id"]).filter(F.col("answer_pos").isNotNull()) \
@@ -559,15 +557,15 @@ def s11(spark, sf_dir):
 def s12(spark, sf_dir):
     path = _scratch(spark, "search-tsv")
     clean = clean_table_frame(spark, sf_dir)
-    search = fx.table_search(spark, sf_dir, clean, 60)
+    search = fx.table_search(spark, sf_dir, clean)
     tq = fx.table_questions(spark, sf_dir)
     lines = search.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
         .join(tq, "q").select("q", F.concat_ws("\t", "question", wr.py_list_literal("answers"), F.array_join(
             F.transform("c", lambda x: F.concat(F.format_string("%.1f", (F.lit(100.0) - x["rank"])), F.lit(","),
                                                 x["table_id"].cast("string"))), "\t")).alias("line"))
     lines.orderBy("q").select("line").write.mode("overwrite").text(path)
-    out = fs.read_search_results(spark, path, 100)
-    return out.select("question", "rank", "score", "table_id", "truncated")
+    out = fs.read_search_results(spark, path)
+    return out.select("question", "rank", "score", "table_id")
 
 
 @query("s13_read_gold_passages")
@@ -757,9 +755,9 @@ def r1(spark, sf_dir):
 def r2(spark, sf_dir):
     s = table_training(spark, sf_dir)
     pos = s.select(F.posexplode("positive_ctxs").alias("i", "t"), "q") \
-        .select((F.col("q") * 1000 + F.col("i")).alias("sample_id"), "t")
+        .select(F.struct("q", "i").alias("sample_id"), "t")
     neg = s.select(F.posexplode("hard_negative_ctxs").alias("i", "t"), "q") \
-        .select((F.col("q") * 1000 + F.col("i")).alias("sample_id"), "t")
+        .select(F.struct("q", "i").alias("sample_id"), "t")
     lp = tb.linearize_tables(pos, max_len=100, is_positive=True)
     ln = tb.linearize_tables(neg, max_len=100, is_positive=False)
     ex = tr.table_examples(s, lp, ln, max_negatives=2)
@@ -892,16 +890,16 @@ def e4c(spark, sf_dir):
 
 @query("s12_read_gold_results")
 def s12g(spark, sf_dir):
-    """S12 gold file: ``q_index, "id ...", ...`` comma CSV of the gold candidates (Fx-table-search, top 5
+    """S12 gold file: ``q_index, "id ...", ...`` comma CSV of the gold candidates (Fx-table-search,
     by descending customer key)."""
     path = _scratch(spark, "gold-csv")
     clean = clean_table_frame(spark, sf_dir)
-    gold = fx.table_search(spark, sf_dir, clean, 5, descending=True)
+    gold = fx.table_search(spark, sf_dir, clean, descending=True)
     lines = gold.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")).select(
         "q", F.concat_ws(",", F.col("q").cast("string"), F.array_join(F.transform(
             "c", lambda x: F.concat(F.lit('"'), x["table_id"].cast("string"), F.lit(" tbl"), F.lit('"'))), ",")).alias("line"))
     lines.orderBy("q").select("line").write.mode("overwrite").text(path)
-    return fs.read_gold_results(spark, path, 10)
+    return fs.read_gold_results(spark, path)
 
 
 @query("r3_select_reader_passages_with_gold")

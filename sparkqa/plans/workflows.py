@@ -71,7 +71,7 @@ NQ_TABLE_SCHEMA = ("question string, example_id string, title string, short_answ
 
 
 def tables_to_training(spark: SparkSession, pages_path: str, search_path: str, questions_path: str,
-                       out_path: str, gold_path: str | None = None, max_k: int = 100) -> DataFrame:
+                       out_path: str, gold_path: str | None = None) -> DataFrame:
     """Search results over table passages -> retriever training samples (JSON lines).
 
     Tables: S11 -> T1 -> T2 (ids 1..n in page order).  Each question's ranked tables (S12) are
@@ -84,17 +84,16 @@ def tables_to_training(spark: SparkSession, pages_path: str, search_path: str, q
     from sparkqa.operators import tables as tb
     pages = fs.read_table_pages(spark, pages_path)
     clean = tb.clean_tables(pages, tb.extract_tables(pages.filter(~tb.page_has_issues(pages))))
-    search = fs.read_search_results(spark, search_path, max_k).filter(F.col("table_id").isNotNull())
+    search = fs.read_search_results(spark, search_path).filter(F.col("table_id").isNotNull())
     qs = search.select(F.col("q_index").alias("q"), "question", "answers").distinct()
     cand = search.select(F.col("q_index").alias("q"), "rank", "table_id", "answers")
-    bound = max_k * qs.count()
     rows = clean.select("table_id", "rows")
-    located = tb.locate_answers(rows, cand, bound).join(cand.select("q", "table_id", "rank"), ["q", "table_id"])
+    located = tb.locate_answers(rows, cand).join(cand.select("q", "table_id", "rank"), ["q", "table_id"])
     mined = tb.mine_contexts(located)
     if gold_path:
-        gold = fs.read_gold_results(spark, gold_path, max_k).select(F.col("q_index").alias("q"), "rank", "table_id") \
+        gold = fs.read_gold_results(spark, gold_path).select(F.col("q_index").alias("q"), "rank", "table_id") \
             .join(qs.select("q", "answers"), "q")
-        gold_loc = tb.locate_answers(rows, gold, bound).join(gold.select("q", "table_id", "rank"), ["q", "table_id"])
+        gold_loc = tb.locate_answers(rows, gold).join(gold.select("q", "table_id", "rank"), ["q", "table_id"])
         mined = tb.inject_gold(mined, gold_loc)
     else:
         mined = mined.withColumn("gold_match", F.lit(False))
@@ -106,7 +105,7 @@ def tables_to_training(spark: SparkSession, pages_path: str, search_path: str, q
                                               F.col("c.html_mask").alias("html_mask"))).filter(F.col("table_no") >= 0)
     pt = page_tables.join(gp.select(F.col("q").alias("page_id"), "short_answers"), "page_id").select(
         F.col("page_id").alias("q"), F.col("table_no").alias("ord"),
-        (F.col("page_id") * 100000 + F.col("table_no")).alias("table_id"), "rows", "caption",
+        F.struct("page_id", "table_no").alias("table_id"), "rows", "caption",
         F.col("short_answers").alias("answers"))
     loc = tb.locate_answers(pt.select("table_id", "rows"), pt.select("q", "table_id", "answers"))
     page_pos = pt.join(loc, ["q", "table_id"]).filter(F.col("answer_pos").isNotNull()) \

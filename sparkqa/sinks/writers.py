@@ -8,9 +8,12 @@ query reads only the buckets of its terms.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
 from sparkqa.operators.index import Bm25Index
 from sparkqa.operators.util import global_row_number
 from sparkqa.sources.files import TSV_OPTIONS
@@ -24,10 +27,21 @@ def write_tsv(df: DataFrame, path: str, header: bool = False, sep: str = "\t", m
 
 
 def write_json_arrays(df: DataFrame, path: str) -> None:
-    """One JSON array file per partition (the layout of JSON-array inputs); each file holds
-    only its partition's rows."""
-    arr = df.groupBy(F.spark_partition_id().alias("_p")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("v"))
-    arr.select("v").write.mode("overwrite").text(path)
+    """One JSON array file per partition (the layout of JSON-array inputs), written as one line a
+    record, so no task holds more than a batch."""
+    def lines(batches):
+        import pyarrow as pa
+        lead = "["
+        for b in batches:
+            out = []
+            for x in b.column(0).to_pylist():
+                out.append(lead + x)
+                lead = ","
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if lead == "," else "[]"])], ["value"])
+
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "true"}).alias("value"))
+    rows.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
 
 
 def py_list_literal(c) -> F.Column:
@@ -128,20 +142,40 @@ def _bucket_count(spark: SparkSession, path: str) -> int | None:
     return int(st.first()["n_buckets"]) if "n_buckets" in st.columns else None
 
 
+def corpus_fingerprint(corpus: DataFrame, columns: tuple) -> str:
+    """Row count and an order-free hash sum of what an index reads."""
+    r = corpus.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0))).first()
+    return f"{r[0]}:{r[1]}"
+
+
+def _reusable(spark: SparkSession, path: str, identity: dict) -> bool:
+    """Whether the index at ``path`` was built with these parameters from this corpus.  Only a missing
+    path means no; any other error is raised, and the saved index stays as it is."""
+    from pyspark.errors import AnalysisException
+    try:
+        saved = spark.read.schema("identity string").json(f"{path}/identity").first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return saved is not None and saved["identity"] == json.dumps(identity, sort_keys=True)
+
+
+def _save_identity(spark: SparkSession, path: str, identity: dict) -> None:
+    """Written last, so a broken save is never taken for an index."""
+    spark.createDataFrame([(json.dumps(identity, sort_keys=True),)], "identity string").coalesce(1) \
+        .write.mode("overwrite").json(f"{path}/identity")
+
+
 def load_or_build_bm25(spark: SparkSession, corpus: DataFrame, path: str, force_rebuild: bool = False,
-                       **params) -> Bm25Index:
-    """K4: reuse a saved index unless forced; the saved stats row must carry the same
-    parameters, otherwise the index is rebuilt."""
+                       k1: float = 1.2, b: float = 0.75, min_df: int = 2, max_df_ratio: float = 0.3) -> Bm25Index:
+    """K4: reuse a saved index unless forced, when every parameter and the corpus are the same."""
     from sparkqa.operators.index import build_bm25_index
-    if not force_rebuild:
-        try:
-            idx = load_bm25_index(spark, path)
-            st = idx.stats.first()
-            if st is not None and all(abs(float(st[k]) - float(v)) < 1e-12 for k, v in params.items()):
-                return idx
-        except Exception:  # noqa: BLE001 - a missing or unreadable index is rebuilt
-            pass
-    save_bm25_index(build_bm25_index(corpus, **params), path)
+    params = {"k1": float(k1), "b": float(b), "min_df": int(min_df), "max_df_ratio": float(max_df_ratio)}
+    identity = {"model": "bm25", "corpus": corpus_fingerprint(corpus, ("row_no", "id", "text"))} | params
+    if force_rebuild or not _reusable(spark, path, identity):
+        save_bm25_index(build_bm25_index(corpus, **params), path)
+        _save_identity(spark, path, identity)
     return load_bm25_index(spark, path)
 
 
@@ -217,17 +251,12 @@ def load_tfidf_index(spark: SparkSession, path: str):
 
 
 def load_or_build_tfidf(spark: SparkSession, corpus: DataFrame, path: str, force_rebuild: bool = False,
-                        max_features: int = 200_000, ngram_max: int = 2):
-    """K4 for TF-IDF: reuse the saved index when its stats carry the same n-gram size and the
-    vocabulary is within ``max_features``; otherwise rebuild."""
+                        max_features: int = 200_000, ngram_max: int = 2, stop_words=ENGLISH_STOP_WORDS):
+    """K4 for TF-IDF: reuse a saved index unless forced, when every parameter and the corpus are the same."""
     from sparkqa.operators.index import build_tfidf_index
-    if not force_rebuild:
-        try:
-            idx = load_tfidf_index(spark, path)
-            st = idx.stats.first()
-            if st is not None and int(st["ngram_max"]) == ngram_max and int(st["n_terms"]) <= max_features:
-                return idx
-        except Exception:  # noqa: BLE001 - a missing or unreadable index is rebuilt
-            pass
-    save_tfidf_index(build_tfidf_index(corpus, max_features=max_features, ngram_max=ngram_max), path)
+    identity = {"model": "tfidf", "corpus": corpus_fingerprint(corpus, ("row_no", "id", "text", "title")), "max_features": int(max_features),
+                "ngram_max": int(ngram_max), "stop_words": sorted(stop_words or ())}
+    if force_rebuild or not _reusable(spark, path, identity):
+        save_tfidf_index(build_tfidf_index(corpus, max_features=max_features, ngram_max=ngram_max, stop_words=stop_words), path)
+        _save_identity(spark, path, identity)
     return load_tfidf_index(spark, path)

@@ -269,28 +269,43 @@ def read_table_pages(spark: SparkSession, path) -> DataFrame:
 
 
 # --- S12 -----------------------------------------------------------------------------------------
-def read_search_results(spark: SparkSession, path, max_k: int = 100) -> DataFrame:
-    """``question, answers-literal, "score,id", ...`` (variable width) to long form
-    ``q_index, question, answers, rank, score, table_id``; ``truncated`` flags rows wider than
-    ``max_k`` candidates."""
-    cols = ["question", "answers"] + [f"c{i}" for i in range(1, max_k + 2)]
-    raw = with_file_order(read_tsv(spark, path, cols), "q_index")
-    cands = F.filter(F.array(*[F.col(f"c{i}") for i in range(1, max_k + 1)]), lambda x: x.isNotNull())
-    df = raw.select("q_index", "question", parse_answer_literal("answers").alias("answers"),
-                    F.col(f"c{max_k + 1}").isNotNull().alias("truncated"),
-                    F.posexplode_outer(cands).alias("pos", "cand"))
+def line_fields(line, sep: str) -> F.Column:
+    """All fields of a delimited line of any width (standard quoting, doubled quotes)."""
+    s = f"\\x{ord(sep):02x}"
+    raw = F.regexp_extract_all(line, F.lit(f'(?:^|{s})("(?:[^"]|"")*+"|[^{s}]*+)'), F.lit(1))
+    return F.transform(raw, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), F.replace(
+        F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def _rows_of_fields(spark: SparkSession, path, sep: str, name: str) -> DataFrame:
+    """One row a line: its file position and its fields.  Lines are split by the scan, so a large
+    file is many tasks."""
+    lines = with_file_order(spark.read.text(path), name)
+    return lines.select(name, line_fields(F.col("value"), sep).alias("f"))
+
+
+def _candidates(first: int) -> F.Column:
+    """The non-empty fields from position ``first`` on."""
+    return F.filter(F.slice("f", first, F.greatest(F.size("f") - first + 1, F.lit(0))), lambda x: x != "")
+
+
+def read_search_results(spark: SparkSession, path) -> DataFrame:
+    """Lines ``question, answers-literal, "score,id", ...`` of any width to long form
+    ``q_index, question, answers, rank, score, table_id``; a line without candidates keeps one
+    row with null rank."""
+    raw = _rows_of_fields(spark, path, "\t", "q_index")
+    df = raw.select("q_index", F.get("f", F.lit(0)).alias("question"), parse_answer_literal(F.get("f", F.lit(1))).alias("answers"),
+                    F.posexplode_outer(_candidates(3)).alias("pos", "cand"))
     return df.select("q_index", "question", "answers", (F.col("pos") + 1).cast("bigint").alias("rank"),
                      F.split_part("cand", F.lit(","), F.lit(1)).cast("double").alias("score"),
-                     F.split_part("cand", F.lit(","), F.lit(2)).cast("bigint").alias("table_id"), "truncated")
+                     F.split_part("cand", F.lit(","), F.lit(2)).cast("bigint").alias("table_id"))
 
 
-def read_gold_results(spark: SparkSession, path, max_k: int = 100) -> DataFrame:
-    """S12 (gold): comma CSV ``q_index, "id ...", ...`` to ``q_index, rank, table_id`` (first
+def read_gold_results(spark: SparkSession, path) -> DataFrame:
+    """S12 (gold): lines ``q_index, "id ...", ...`` of any width to ``q_index, rank, table_id`` (first
     whitespace token of each field)."""
-    cols = ["q_index"] + [f"c{i}" for i in range(1, max_k + 1)]
-    raw = read_tsv(spark, path, cols, sep=",")
-    cands = F.filter(F.array(*[F.col(f"c{i}") for i in range(1, max_k + 1)]), lambda x: x.isNotNull())
-    df = raw.select(F.col("q_index").cast("bigint").alias("q_index"), F.posexplode(cands).alias("pos", "cand"))
+    df = _rows_of_fields(spark, path, ",", "_no").select(F.get("f", F.lit(0)).cast("bigint").alias("q_index"),
+                                                         F.posexplode(_candidates(2)).alias("pos", "cand"))
     return df.select("q_index", (F.col("pos") + 1).cast("bigint").alias("rank"),
                      F.split(F.trim("cand"), r"\s+")[0].cast("bigint").alias("table_id"))
 

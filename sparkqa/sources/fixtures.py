@@ -30,14 +30,14 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fx-questions: ``qid, question, answers`` from ``benchmark`` tokens.
 
-    question = tokens 1-6 joined by a space; answers = [tokens 7-8 joined, token 10]
+    question = all tokens joined by a space; answers = [tokens 7-8 joined, token 10]
     (an answer is left out when the item has too few tokens).
     """
     b = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").cast("bigint").alias("qid"), tokenize_alnum("text").alias("tk"))
     return b.select(
         "qid",
-        F.array_join(F.slice("tk", 1, 6), " ").alias("question"),
+        F.array_join("tk", " ").alias("question"),
         F.filter(F.array(F.when(F.size("tk") >= 7, F.array_join(F.slice("tk", 7, 2), " ")),
                          F.try_element_at("tk", F.lit(10))),
                  lambda a: a.isNotNull()).alias("answers"),
@@ -55,7 +55,6 @@ def regex_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLE_TAGS = ["<Table>", "</Table>", "<Tr>", "</Tr>", "<Td>", "</Td>"]
 PAGE_HEADER = ["order", "status", "priority"]
 ISSUES_TOKENS = ["(", "hide", ")", "This", "section", "has", "multiple", "issues"]
-COPY_OFFSET = 1_000_000
 
 
 def _cell(tokens):
@@ -65,19 +64,16 @@ def _cell(tokens):
 def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fx-pages with Fx-dirty: ``page_id, page_no, title, tokens, html_mask``.
 
-    One page per customer (title = c_name): a table with a header row and the customer's first
-    two orders by o_orderkey (key, status, priority split on spaces).  Customers of the
-    BUILDING segment get a second copy of their page (page_id + 1,000,000, dedupe); customers
+    One page per customer (title = c_name, page_id = 2 * c_custkey): a table with a header row and
+    the customer's orders by o_orderkey (key, status, priority split on spaces).  Customers of the
+    BUILDING segment get a second copy of their page (the next odd page_id, dedupe); customers
     with a negative balance get the issues marker as leading text (skipped pages).
     """
-    from pyspark.sql import Window
     o = table(spark, sf_dir, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    first2 = o.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 2)
     row_toks = F.concat(F.array(F.lit("<Tr>")), _cell(F.array(F.col("o_orderkey").cast("string"))),
                         _cell(F.array(F.col("o_orderstatus"))), _cell(F.split("o_orderpriority", " ")),
                         F.array(F.lit("</Tr>")))
-    per_c = first2.groupBy("o_custkey").agg(
+    per_c = o.groupBy("o_custkey").agg(
         F.array_sort(F.collect_list(F.struct("o_orderkey", row_toks.alias("t")))).alias("_rows"))
     header = F.concat(F.array(F.lit("<Table>"), F.lit("<Tr>")),
                       *[_cell(F.array(F.lit(h))) for h in PAGE_HEADER], F.array(F.lit("</Tr>")))
@@ -86,10 +82,10 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  lambda r: r["t"]))
     toks = F.concat(header, body, F.array(F.lit("</Table>")))
     toks = F.when(F.col("c_acctbal") < 0, F.concat(F.array(*[F.lit(t) for t in ISSUES_TOKENS]), toks)).otherwise(toks)
-    pages = c.select(F.col("c_custkey").cast("bigint").alias("page_id"), F.col("c_name").alias("title"),
+    pages = c.select((F.col("c_custkey") * 2).cast("bigint").alias("page_id"), F.col("c_name").alias("title"),
                      toks.alias("tokens"), "c_mktsegment")
     copies = pages.filter(F.col("c_mktsegment") == "BUILDING") \
-        .withColumn("page_id", F.col("page_id") + COPY_OFFSET)
+        .withColumn("page_id", F.col("page_id") + 1)
     allp = pages.unionByName(copies).drop("c_mktsegment")
     return allp.select("page_id", F.col("page_id").alias("page_no"), "title", "tokens",
                        F.transform("tokens", lambda t: t.isin(TABLE_TAGS)).alias("html_mask"))
@@ -111,16 +107,15 @@ def table_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nation_tables(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
     """Cleaned tables with their customer's nation and key: ``table_id, c_custkey, n_nationkey``."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    return clean.join(c, clean["page_id"] == c["c_custkey"]).select("table_id", "c_custkey", "n_nationkey")
+    return clean.join(c, clean["page_id"] == c["c_custkey"] * 2).select("table_id", "c_custkey", "n_nationkey")
 
 
-def table_search(spark: SparkSession, sf_dir: str, clean: DataFrame, k: int = 60, descending: bool = False
+def table_search(spark: SparkSession, sf_dir: str, clean: DataFrame, descending: bool = False
                  ) -> DataFrame:
     """Fx-table-search candidates ``q, rank, table_id, answers``: the tables of the nation's
-    customers by c_custkey (descending for the gold list), top ``k``."""
+    customers by c_custkey (descending for the gold list), all of them."""
     from pyspark.sql import Window
     nt = nation_tables(spark, sf_dir, clean)
     order = F.col("c_custkey").desc() if descending else F.col("c_custkey")
-    nt = nt.withColumn("rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy(order)).cast("bigint")) \
-        .filter(F.col("rank") <= k)
+    nt = nt.withColumn("rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy(order)).cast("bigint"))
     return table_questions(spark, sf_dir).join(nt, "n_nationkey").select("q", "rank", "table_id", "answers")
