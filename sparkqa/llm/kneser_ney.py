@@ -45,17 +45,31 @@ def word_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
                        F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, text_hash long, lang string, ids binary")
 
 
-def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Languages, the classes of all words, the class before each (CLASSES at a start), and offsets."""
+def _slices(batches):
+    """Record batches of a few hundred documents: what a worker unpacks at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            yield batch.slice(i, 512)
+
+
+def _words(batch: pa.RecordBatch) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, each document's language, the classes of all words, the class before each (CLASSES at
+    a start), and the documents' offsets."""
     col = batch.column(batch.schema.get_field_index("ids"))
     offs = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     raw = col.buffers()[2]
-    ids = np.frombuffer(raw, np.uint8)[offs[0]:offs[-1]].view("<u2").astype(np.int64) if raw is not None and raw.size else np.zeros(0, np.int64)
+    ids = np.frombuffer(raw, np.uint8)[offs[0]:offs[-1]].view("<u2").astype(np.int32) if raw is not None and raw.size else np.zeros(0, np.int32)
     offs = (offs - offs[0]) // 2
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[offs[:-1][np.diff(offs) > 0]] = CLASSES
-    return np.asarray(batch.column(batch.schema.get_field_index("lang")).to_pylist(), object), ids, before, offs
+    langs = batch.column(batch.schema.get_field_index("lang")).dictionary_encode()
+    return langs.dictionary.to_pylist(), np.asarray(langs.indices), ids, before, offs
+
+
+def _by_language(d: DataFrame, few: DataFrame) -> DataFrame:
+    """Join one row a language.  Broadcast while there are at most 1000 languages; a join beyond."""
+    return d.join(F.broadcast(few) if few.count() <= 1000 else few, "lang", "left")
 
 
 def counts(trusted: DataFrame) -> DataFrame:
@@ -71,17 +85,17 @@ def counts(trusted: DataFrame) -> DataFrame:
 
     def run(batches):
         sums: dict = {}
-        for batch in batches:
-            langs, ids, before, offs = _words(batch)
-            of = np.repeat(langs, np.diff(offs))
+        for batch in _slices(batches):
+            langs, doc, ids, before, offs = _words(batch)
+            of = np.repeat(doc, np.diff(offs))
             code = before * CLASSES + ids
-            for lang in set(langs.tolist()):
+            for k, lang in enumerate(langs):
                 if lang not in sums:
                     if len(sums) >= LANGUAGES:
                         yield from emit(sums)
                         sums = {}
                     sums[lang] = np.zeros((CLASSES + 1) * CLASSES, np.int32)
-                x, n = np.unique(code[of == lang], return_counts=True)
+                x, n = np.unique(code[of == k], return_counts=True)
                 sums[lang][x] += n.astype(np.int32)
         yield from emit(sums)
 
@@ -110,15 +124,16 @@ def model(c: DataFrame) -> DataFrame:
     d1 = _discounts(cont, "k", ["e1", "e2", "e3"])
     disc = lambda x, a: F.when(x == 1, F.col(f"{a}1")).when(x == 2, F.col(f"{a}2")).otherwise(F.col(f"{a}3"))
     by = Window.partitionBy("lang")
-    q = cont.join(d1, "lang").withColumn("less", disc(F.col("k"), "e")).withColumn("all", F.sum("k").over(by)) \
+    q = _by_language(cont, d1).withColumn("less", disc(F.col("k"), "e")).withColumn("all", F.sum("k").over(by)) \
         .withColumn("free", F.sum("less").over(by) / F.col("all")) \
         .select("lang", "w", ((F.col("k") - F.col("less")) / F.col("all")).alias("own"), "free")
     # a language's continuation distribution is one array of CLASSES numbers
     q = q.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("w", "own"))).alias("m"), F.first("free").alias("free")) \
         .select("lang", F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda w: F.coalesce(F.col("m")[w], F.lit(0.0)) + F.col("free") / CLASSES).alias("q"))
-    ctx = c.join(d2, "lang").withColumn("less", disc(F.col("c"), "d"))
+    ctx = _by_language(c, d2).withColumn("less", disc(F.col("c"), "d"))
     ctx = ctx.withColumn("shard", F.floor(F.col("h") / BLOCK).cast("int")).select("lang", "shard", "h", "w", "c", "less")
-    shards = ctx.groupBy("lang", "shard").agg(F.collect_list(F.struct("h", "w", "c", "less")).alias("cells")).join(q, "lang")
+    shards = ctx.groupBy("lang", "shard").agg(F.collect_list(F.struct("h", "w", "c", "less")).alias("cells"))
+    shards = _by_language(shards, q)
 
     def run(batches):
         for batch in batches:
@@ -156,16 +171,17 @@ def score(docs: DataFrame, shards: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast({x: t.reshape(-1, CLASSES) for x, t in tables.items()})
 
         def run(batches, shared=shared):
-            for batch in batches:
-                lang, ids, before, offs = _words(batch)
+            for batch in _slices(batches):
+                lang, doc, ids, before, offs = _words(batch)
                 n = np.diff(offs)
-                of, lp = np.repeat(lang, n), np.zeros(len(ids))
-                for x in set(lang.tolist()) & set(shared.value):
-                    own = of == x
-                    lp[own] = shared.value[x][before[own], ids[own]]
+                of, lp = np.repeat(doc, n), np.zeros(len(ids))
+                for k, x in enumerate(lang):
+                    if x in shared.value:
+                        own = of == k
+                        lp[own] = shared.value[x][before[own], ids[own]]
                 run_ = np.concatenate(([0.0], np.cumsum(lp)))
                 total = run_[offs[1:]] - run_[offs[:-1]]
-                known = np.array([x in shared.value for x in lang], bool) & (n > 0)
+                known = np.array([x in shared.value for x in lang], bool)[doc] & (n > 0)
                 keep = [k for k, name in enumerate(batch.schema.names) if name != "ids"]
                 yield pa.RecordBatch.from_arrays([batch.column(k) for k in keep] + [pa.array(n), pa.array(total, mask=~known)],
                                                  [batch.schema.names[k] for k in keep] + ["n_words", "logp"])
@@ -188,16 +204,17 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """
     trusted = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")) \
         .filter("quality = 1").select(F.col("doc_id").alias("_id"))
-    d = word_classes(docs, key, text, lang).join(trusted, F.col("doc_id") == F.col("_id"), "left")
+    # labels grow with the documents, so they are never broadcast
+    d = word_classes(docs, key, text, lang).join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
     d = materialize(d.select("doc_id", "text_hash", "lang", "ids", F.when(F.col("_id").isNull(), 0).when(held, 2).otherwise(1).alias("trust")), "kn-words")
     c = materialize(counts(d.filter("trust = 1")), "kn-counts")
     s = materialize(score(d, materialize(model(c), "kn-model")), "kn-scores")
     mean = s.filter("trust = 2 and logp is not null").groupBy("lang").agg((F.sum("logp") / F.sum("n_words")).alias("mean"))
-    s = s.join(mean, "lang", "left")
+    s = _by_language(s, mean)
     s = s.withColumn("drawn", -(F.col("logp") + PRIOR_WORDS * F.col("mean")) / (F.col("n_words") + PRIOR_WORDS))
     limit = s.filter("trust = 2").groupBy("lang").agg(F.percentile_approx("drawn", quantile, 100_000).alias("limit"))
-    s = s.join(limit, "lang", "left")
+    s = _by_language(s, limit)
     return s.select("doc_id", "text_hash", "lang", "n_words", F.exp(-F.col("logp") / F.col("n_words")).alias("perplexity"),
                     F.exp("limit").alias("threshold"), F.exp("drawn").alias("shrunk_perplexity"),
                     F.coalesce(F.col("drawn") <= F.col("limit"), F.lit(True)).alias("kept"))
