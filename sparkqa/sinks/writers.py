@@ -133,7 +133,9 @@ def save_bm25_index(index: Bm25Index, path: str, n_buckets: int = 64) -> None:
 
 
 def load_bm25_index(spark: SparkSession, path: str) -> Bm25Index:
-    return Bm25Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab"),
+    # the schema is given: an index whose vocabulary is empty has no files
+    post = spark.read.schema("row_no bigint, id string, dl int, term string, tf bigint, term_bucket int").parquet(f"{path}/postings")
+    return Bm25Index(post, spark.read.parquet(f"{path}/vocab"),
                      spark.read.parquet(f"{path}/stats"), n_buckets=_bucket_count(spark, path))
 
 
