@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, kneser_ney, line_dedup, mixing, ngram_join, packing, pii, rabitq, sharding
+from sparkqa.llm import imi, kneser_ney, licenses, line_dedup, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op5_configuration_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op7_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imi.duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -58,7 +62,7 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "lang", "n_words", "perplexity", "shrunk_perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op6_license_scan, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
 # --- DuckDB SQL of what SQL can express ---------------------------------------------------------------
 # (Sharding needs CRC-32, packing the tokenizer; personal data, line dedup and quality have no SQL
 # form of a bearable cost.  The tests hold those against brute-force versions.)
