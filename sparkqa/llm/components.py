@@ -13,7 +13,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqa.llm.common import materialize
+from sparkqa.llm.common import materialize, parallel
+
+ROWS_A_PART = 50_000
 
 
 def _state(e: DataFrame) -> tuple:
@@ -21,6 +23,11 @@ def _state(e: DataFrame) -> tuple:
     return r[0], r[1]
 
 
+def _save(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """Write a step in as many parts as its rows ask for; a small graph is no work for hundreds of tasks."""
+    return materialize(df.coalesce(max(1, min(parallel(df.sparkSession), -(-rows // ROWS_A_PART)))), name)
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
     """``node, component`` (the smallest node reachable) for every node with an edge to another node."""
     e = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u != v").distinct()
@@ -30,15 +37,15 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
         if not before[0]:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
+        least = _save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), 2 * before[0], "cc-min")
         # e holds each edge once, larger end first: hang the larger end below the smaller end's least.
         large = e.select(F.col("v").alias("k"), F.col("u").alias("w")).join(least.select(F.col("u").alias("k"), "m"), "k") \
             .select(F.col("w").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), "cc-large")
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
+        large = _save(large.distinct(), before[0], "cc-large")
+        least = _save(large.groupBy("u").agg(F.min("v").alias("m")), before[0], "cc-min")
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v")))
-        e = materialize(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct(), "cc-edges")
+        e = _save(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct(), before[0], "cc-edges")
         after = _state(e)
         if after == before:
             break
