@@ -101,8 +101,8 @@ def settle(met: DataFrame, payload: DataFrame, verify: Callable, link: Callable,
     ``slices(data column)`` is an array of slice numbers such that linked nodes share one.
     """
     def check(batches):
-        for b in batches:
-            ok = pa.array(verify(b.column(2).to_pylist(), b.column(3).to_pylist()))
+        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+            ok = pa.array(verify(b.column(2).to_pylist(), b.column(3).to_pylist()), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["u", "v"])
 
     pairs = met.select("ref", "lead").distinct()
