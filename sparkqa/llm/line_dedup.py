@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqa.llm.common import chunks, hash_ranges, materialize, mix64
+from sparkqa.llm.common import chunks, hash_between, hash_ranges, materialize, mix64, running
 from sparkqa.llm.components import components
 from sparkqa.llm.groups import settle, stars
 
-EDITS, MIN_CHARS = 2, 20
+EDITS, MIN_CHARS, BAG = 2, 20, 32
 _K = np.random.default_rng(77).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,6 +67,7 @@ def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, edits: in
     chars = lead[ends] - lead[starts]
     byte_of = np.concatenate((np.flatnonzero((data & 0xC0) != 0x80), [len(data)]))  # byte where a code point starts
     lines = np.flatnonzero(chars >= min_chars)
+    run = running(data, lower=False)
     k = edits + 1
     sig, line, order = [], [], []
     for d in range(edits + 1):  # lengths of the indexed line: the own and up to ``edits`` less
@@ -85,7 +86,7 @@ def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, edits: in
                     break
                 o, p, s = own[fit], pos[fit], seg[fit]
                 b = lead[starts[o]]
-                h = hash_ranges(data, byte_of[b + p], byte_of[b + p + s], lower=False)
+                h = hash_between(run, byte_of[b + p], byte_of[b + p + s])
                 sig.append(mix64(h + size[fit].astype(np.uint64) * _K[0] + _K[1 + i]))
                 line.append(o)
                 order.append(np.where((d == 0) & (p == at[fit]), 0, 1))
@@ -95,8 +96,13 @@ def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, edits: in
     return np.concatenate(sig), np.concatenate(line), np.concatenate(order)
 
 
-def within(a: list[str], b: list[str], edits: int) -> np.ndarray:
-    """Whether each pair of strings is within ``edits`` edits: banded, bit-parallel, all pairs at once.
+def code_points(line: str) -> np.ndarray:
+    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def within(a: list[np.ndarray], b: list[np.ndarray], edits: int) -> np.ndarray:
+    """Whether each pair of texts (code points) is within ``edits`` edits: banded, bit-parallel, all
+    pairs at once.
 
     Bit j of a word stands for the diagonal j - edits.  Reading the next character of the longer
     string, a diagonal stays alive on a match, or with one more edit by replacing, inserting
@@ -123,8 +129,8 @@ def within(a: list[str], b: list[str], edits: int) -> np.ndarray:
             s, w = (b[x], a[x]) if swap[x] else (a[x], b[x])
             p[:edits, c] = 0xFFFFFFFE
             p[edits + len(s):, c] = 0xFFFFFFFE
-            p[edits:edits + len(s), c] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-            t[:len(w), c] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32)
+            p[edits:edits + len(s), c] = s
+            t[:len(w), c] = w
         band = 2 * edits + 1
         mask, mid = np.uint32((1 << band) - 1), edits
         state = [np.full(len(part), ((1 << (e + 1)) - 1) << mid, np.uint32) & mask for e in range(edits + 1)]
@@ -192,9 +198,10 @@ def near_edges(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
 
     def link(t: pa.Table, a: np.ndarray, b: np.ndarray | None):
         if _last[0] is not t:
-            line = t["data"].to_pylist()
-            _last[:] = [t, line, np.fromiter(map(len, line), np.int64, len(line))]
-        _, line, size = _last
+            line = [code_points(x) for x in t["data"].to_pylist()]
+            bags = np.array([np.bincount(x % BAG, minlength=BAG) for x in line], np.int32).reshape(-1, BAG)
+            _last[:] = [t, line, np.fromiter(map(len, line), np.int64, len(line)), bags]
+        _, line, size, bags = _last
         may = np.abs(size[a][:, None] - size[a if b is None else b][None, :]) <= edits
         if b is None:
             may &= np.arange(len(a))[:, None] < np.arange(len(a))[None, :]
@@ -202,17 +209,20 @@ def near_edges(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
         p, q = a[p], (a if b is None else b)[q]
         ok = np.zeros(len(p), bool)
         for i in range(0, len(p), 1 << 15):
-            ok[i:i + (1 << 15)] = within([line[x] for x in p[i:i + (1 << 15)]], [line[x] for x in q[i:i + (1 << 15)]], edits)
+            x, y = p[i:i + (1 << 15)], q[i:i + (1 << 15)]
+            # an edit changes the counts of at most two characters by one
+            like = np.flatnonzero(np.abs(bags[x] - bags[y]).sum(1) <= 2 * edits)
+            ok[i + like] = within([line[j] for j in x[like]], [line[j] for j in y[like]], edits)
         return p[ok], q[ok]
 
     def slices(line):
         n = F.char_length(line)
         return F.array_distinct(F.array(F.floor(n / 16), F.floor((n + edits) / 16)))
 
-    return settle(met, texts, lambda x, y: within(x, y, edits), link, slices)
+    return settle(met, texts, lambda x, y: within([code_points(i) for i in x], [code_points(i) for i in y], edits), link, slices)
 
 
-_last: list = [None, None, None]
+_last: list = [None] * 4  # a task asks for the lines of one table group by group
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -34,7 +34,7 @@ def test_banded_distance_equals_dynamic_programming():
     a = ["".join(rng.choice("abé\U0001F600") for _ in range(rng.randrange(30))) for _ in range(1500)] + ["", "x"]
     b = [edited(rng, s, rng.randrange(5)) for s in a]
     for k in (1, 2, 3):
-        assert (ld.within(a, b, k) == [lev(x, y) <= k for x, y in zip(a, b)]).all()
+        assert (ld.within([ld.code_points(x) for x in a], [ld.code_points(x) for x in b], k) == [lev(x, y) <= k for x, y in zip(a, b)]).all()
 
 
 def test_lines_within_the_threshold_always_share_a_signature():
