@@ -47,8 +47,8 @@ def test_tables_to_training_matches_registered_query(spark, sf_small):
     pages.orderBy("page_id").select("page_id", "title", "tokens", "html_mask").coalesce(1).write.json(f"{root}/pages")
     clean = Q.clean_table_frame(spark, sf_small)
     tq = fx.table_questions(spark, sf_small)
-    search = fx.table_search(spark, sf_small, clean, 60)
-    gold = fx.table_search(spark, sf_small, clean, 5, descending=True)
+    search = fx.table_search(spark, sf_small, clean)
+    gold = fx.table_search(spark, sf_small, clean, descending=True)
     # search file: one line per question with candidates, in q order; its line number is q_index
     lists = search.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
         .join(tq, "q").orderBy("q").collect()
@@ -61,7 +61,7 @@ def test_tables_to_training_matches_registered_query(spark, sf_small):
     spark.createDataFrame([(ln,) for ln in glines], "v string").coalesce(1).write.text(f"{root}/gold")
     # question file: the gold page of each question is its nation's smallest-key customer page
     cust = fx.table(spark, sf_small, "customer")
-    gp = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.min("c_custkey").alias("page_id"))
+    gp = cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg((F.min("c_custkey") * 2).cast("bigint").alias("page_id"))
     nq = tq.join(gp, "n_nationkey").join(pages, "page_id").select(
         "question", F.col("id").alias("example_id"), "title", F.col("answers").alias("short_answers"),
         F.array(F.struct("tokens", "html_mask")).alias("contexts"))
