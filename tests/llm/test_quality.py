@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from util import empty, frame
 
 from sparkqa.llm import kneser_ney as kn
@@ -61,3 +62,54 @@ def test_probabilities_are_the_interpolated_model(spark):
             p[w] += (n - dd[min(n, 3)]) / total
         assert abs(p.sum() - 1) < 1e-9
         assert np.allclose(table[h // kn.BLOCK][h % kn.BLOCK], p, rtol=0.01)
+
+
+def test_scores_are_those_of_whole_word_bigrams(spark):
+    """Every word counts as itself; a word no trusted text holds is the unknown word."""
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(3 * kn.CLASSES)]
+    rows = [(i, " ".join(rng.choice(vocabulary[:50] if rng.random() < 0.5 else vocabulary) for _ in range(60)), "en", "s") for i in range(300)]
+    rows += [(900 + i, " ".join(f"zz{rng.randrange(10**9)}" for _ in range(60)), "en", "s") for i in range(5)]
+    rows += [(950, "v1 v2 neverseen v3", "de", "s"), (951, "v1 v2 neverseen v3", "en", "s"), rows[0]]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    got = kn.classify(docs, labels).collect()
+    assert len(got) == len(rows)
+    held = {r[0] for r in docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {kn.FOLDS}) = 0 AS h").collect() if r["h"]}
+    c = {}
+    for i, t, *_ in rows:
+        if i < 300 and i not in held:
+            w = t.split()
+            for pair in zip(["<s>"] + w, w):
+                c[pair] = c.get(pair, 0) + 1
+
+    def discounts(counts):
+        n = [sum(x == k for x in counts) for k in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+        return [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05 * k), 0.95 * k) if n[k] else 0.5 * k for k in (1, 2, 3)]
+
+    k, total, left = {}, {}, {}
+    for h, w in c:
+        k[w] = k.get(w, 0) + 1
+    d, e = discounts(c.values()), discounts(k.values())
+    for (h, w), n in c.items():
+        total[h] = total.get(h, 0) + n
+        left[h] = left.get(h, 0) + d[min(n, 3)]
+    unk = sum(e[min(x, 3)] for x in k.values()) / sum(k.values()) / (len(k) + 1)
+    q = lambda w: unk + ((k[w] - e[min(k[w], 3)]) / sum(k.values()) if w in k else 0)
+    assert sum(q(w) for w in k) + unk == pytest.approx(1)
+
+    def p(h, w):
+        n = c.get((h, w), 0)
+        return (n - d[min(n, 3)]) / total[h] + left[h] / total[h] * q(w) if h in total else q(w)
+
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        w = text[r["doc_id"]].split()
+        if r["lang"] == "de":
+            assert r["perplexity"] is None and r["kept"]
+            continue
+        want = np.exp(-sum(np.log(p(*x)) for x in zip(["<s>"] + w, w)) / len(w))
+        assert r["perplexity"] == pytest.approx(want, rel=1e-9) and r["n_words"] == len(w)
+        if 900 <= r["doc_id"] < 950:
+            assert not r["kept"] and r["perplexity"] > 0.9 / unk
