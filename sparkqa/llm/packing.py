@@ -50,8 +50,6 @@ class WordTokens:
         return [e.ids for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
 
     def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        if len(self.hashes) + len(hashes) > CACHE_WORDS and len(self.hashes):
-            self.clear()
         got: list = [None] * len(words)
         rest = []
         model = self.full.model
@@ -84,14 +82,13 @@ class WordTokens:
         known = (pos < len(self.hashes)) & (self.hashes[np.minimum(pos, max(len(self.hashes) - 1, 0))] == distinct) if len(self.hashes) \
             else np.zeros(len(distinct), bool)
         if not known.all():
-            before = len(self.hashes)
             miss = np.flatnonzero(~known)
+            if len(self.hashes) + len(miss) > CACHE_WORDS:  # all words of the chunk anew, however many they are
+                self.clear()
+                miss = np.arange(len(distinct))
             raw = data.tobytes()
             cut = (ends - (mark > 0))[first]
             self.learn(distinct[miss], [raw[starts[first[i]]:cut[i]] for i in miss])
-            if len(self.hashes) != before + len(miss):  # the store was cleared: learn the others anew
-                old = np.flatnonzero(known)
-                self.learn(distinct[old], [raw[starts[first[i]]:cut[i]] for i in old])
             pos = np.searchsorted(self.hashes, distinct)
         slot = self.at[pos][back]
         begin, size = self.starts[slot], self.starts[slot + 1] - self.starts[slot]

@@ -105,6 +105,16 @@ def test_pieces_and_places(spark):
     assert packing.pack(empty(spark), tokenizer_path()).count() == 0
 
 
+def test_texts_with_more_words_than_the_store(monkeypatch):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    full, store = Tokenizer.from_file(tokenizer_path()), packing.WordTokens(tokenizer_path())
+    for text in ("old words stay. w1 w2, w3", " ".join(f"w{i}" for i in range(120)) + " old words", "w1 old new.", " ".join(f"x{i}" for i in range(49)) + " w1"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, at = store.lookup(raw, np.array([0, len(raw)]))
+        assert ids.tolist() == full.encode(text, add_special_tokens=False).ids and at.tolist() == [0, len(ids)]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_are_whole_and_near_the_bound(seed):
     rng = np.random.default_rng(seed)
