@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 back as the next one's ``docs``.  All but the last keep the columns of ``documents`` (extra columns
 pass through).  A document is known by its id and its text's hash, so null and repeated ids are told
-apart where their texts differ; rows equal in both share their fate.
+apart where their texts differ; rows equal in both share their fate, except that the near-duplicate
+stage goes by rows and keeps one.
 
 SQL cannot express the classifier, the near-duplicate lines and the tokenizer; the tests hold the
 stages against brute-force versions.
@@ -48,12 +49,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group linked by five-word shingles at 0.8 or more stays."""
+    """One row of each group linked by five-word shingles at 0.8 or more stays: the smallest id, then text
+    hash (null ids last).  Every row is a node of its own, so repeated rows and ids and null ids link too."""
     ship_package(spark)
-    found = ngram_join.join(docs, words=5, percent=80)
-    # copies under one id are one document: of its texts, the one with the smallest hash stays
-    gone = found.filter("doc_id is not null and component_id != doc_id").select("doc_id", "text_hash").distinct()
-    return _decided(docs, gone, "left_anti")
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")  # written, so numbered once
+    found = ngram_join.join(rows, key="__row", words=5, percent=80)
+    members = found.select(F.col("doc_id").alias("__row"), "text_hash", "component_id").join(rows.select("__row", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "__row")).alias("first")
+    stay = members.groupBy("component_id").agg(first).select("first.__row")
+    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

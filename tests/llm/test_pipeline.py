@@ -40,6 +40,16 @@ def test_each_stage_on_its_own_input(spark, tmp_path):
         assert stage(spark, empty(spark), sf).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, tmp_path):
+    text = lambda k, last="end": " ".join(f"{k}{i}" for i in range(80)) + f" {last}"
+    groups = {"a": [(5, text("a"))] * 3, "b": [(7, text("b")), (7, text("b", "other"))], "c": [(None, text("c"))] * 2 + [(None, text("c", "other"))],
+              "d": [(None, text("d")), (9, text("d", "other")), (8, text("d"))], "e": [(7, text("e"))]}
+    docs = frame(spark, [(i, t, "en", k) for k, g in groups.items() for i, t in g] + [(None, None, "en", "n"), (None, "", "en", "n")])
+    left = cp.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["source"] for r in left) == ["a", "b", "c", "d", "e", "n", "n"]
+    assert {r["source"]: r["doc_id"] for r in left} == {"a": 5, "b": 7, "c": None, "d": 8, "e": 7, "n": None}
+
+
 def test_run_over_the_small_tables(spark, sf_small):
     out = cp.run(spark, sf_small)
     seq = {}
