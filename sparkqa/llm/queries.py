@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, with production parameters over whole tables."""
+"""The registered queries of the operators, with production parameters over whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, kneser_ney, licenses, line_dedup, mixing, ngram_join, packing, pii, rabitq, sharding
+from sparkqa.llm import imi, kneser_ney, licenses, line_dedup, merkle, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
@@ -62,7 +62,14 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "lang", "n_words", "perplexity", "shrunk_perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op6_license_scan, op7_multi_index_dedup, op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proven(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op6_license_scan, op7_multi_index_dedup,
+    op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality, op12_merkle_manifest)}
 # --- DuckDB SQL of what SQL can express ---------------------------------------------------------------
 # (Sharding needs CRC-32, packing the tokenizer; personal data, line dedup and quality have no SQL
 # form of a bearable cost.  The tests hold those against brute-force versions.)
@@ -72,7 +79,35 @@ _REACH = ("reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM r
           "comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a) ")
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
+_FIELD = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+_LEAF = lambda n: "sha256(" + " || ".join(_FIELD(c) for c in ("doc_id", "source", "lang", n, "text")) + ")"
+_CRC = ("xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT), "
+        "lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))))")
+# levels of a forest (g, lvl, pos, n, h), two nodes to one until a group has a single node
+_CLIMB = ("SELECT g, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {0} WHERE n > 1 GROUP BY g, lvl, pos // 2, n")
+
 ORACLE: dict[str, str] = {
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (SELECT doc_id, lang, {_LEAF('n_chars')} AS leaf,
+            CASE WHEN n_chars IS NOT NULL AND {_CRC} % 7 = 0 THEN {_LEAF('(n_chars + 1)')} END AS other FROM documents),
+        placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+        low(g, lvl, pos, n, h) AS (SELECT g, 0, pos, n, leaf FROM placed UNION ALL {_CLIMB.format('low')}),
+        sub AS (SELECT g, h FROM low WHERE n = 1),
+        top(g, lvl, pos, n, h) AS (SELECT 0, 0, g, (SELECT count(*) FROM sub), h FROM sub UNION ALL {_CLIMB.format('top')}),
+        steps AS (
+            SELECT p.g, p.pos, 0 AS tree, l.lvl, CASE WHEN s.pos < l.pos THEN s.h ELSE '' END AS a, CASE WHEN s.pos > l.pos THEN s.h ELSE '' END AS b
+            FROM placed p JOIN low l ON l.g = p.g AND l.pos = p.pos >> l.lvl AND l.n > 1 LEFT JOIN low s ON s.g = l.g AND s.lvl = l.lvl AND s.pos = xor(l.pos, 1)
+            UNION ALL
+            SELECT p.g, p.pos, 1, l.lvl, CASE WHEN s.pos < l.pos THEN s.h ELSE '' END, CASE WHEN s.pos > l.pos THEN s.h ELSE '' END
+            FROM placed p JOIN top l ON l.pos = p.g >> l.lvl AND l.n > 1 LEFT JOIN top s ON s.lvl = l.lvl AND s.pos = xor(l.pos, 1)),
+        paths AS (SELECT g, pos, list({{'a': a, 'b': b}} ORDER BY tree, lvl) AS path FROM steps GROUP BY g, pos),
+        folded AS (SELECT p.doc_id, p.leaf, sub.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root,
+            sha256(coalesce(array_to_string(list_transform(path, lambda x: x.a || x.b), ''), '')) AS proof_sha256,
+            list_reduce([coalesce(other, leaf)] || coalesce(list_transform(path, lambda x: x.a || '|' || x.b), []),
+                        lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root
+            FROM placed p JOIN sub USING (g) LEFT JOIN paths USING (g, pos))
+        SELECT *, folded_root = root AS verified FROM folded""",
     "op2_rabitq_search": f"""
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE {_USABLE}),
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
