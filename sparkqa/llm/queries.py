@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqa.llm import imi, kneser_ney, licenses, line_dedup, merkle, mixing, ngram_join, packing, pii, rabitq, sharding
+from sparkqa.llm import alignment, imi, kneser_ney, langid, licenses, line_dedup, merkle, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
 
 
@@ -28,10 +28,10 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
-def tokenizer_path() -> str:
-    """The public word tokenizer's file; every machine has the installed package."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file; every machine has the installed package."""
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op5_configuration_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,14 +62,22 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "lang", "n_words", "perplexity", "shrunk_perplexity", "threshold", "kept")
 
 
+def op11_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proven(table(spark, sf_dir, "documents")) \
         .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_rabitq_search, op3_pii_boosted, op4_virtual_slots, op5_configuration_pack, op6_license_scan, op7_multi_index_dedup,
-    op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality, op12_merkle_manifest)}
+    op8_curriculum_mix, op9_ngram_jaccard, op10_kneser_ney_quality, op11_word_backoff_language, op12_merkle_manifest, op13_spill_alignment)}
 # --- DuckDB SQL of what SQL can express ---------------------------------------------------------------
 # (Sharding needs CRC-32, packing the tokenizer; personal data, line dedup and quality have no SQL
 # form of a bearable cost.  The tests hold those against brute-force versions.)
