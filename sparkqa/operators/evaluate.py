@@ -194,9 +194,10 @@ def match_table_chunks(results: DataFrame, chunks: DataFrame, questions: DataFra
 
     ``chunks(id, text, title, table_id)``.  Chunk hit = E1 on the chunk text; table hit = E1
     on any chunk of the same table (the per-chunk hits are aggregated per (question, table)).
+    ``max_k`` is how far the report goes; ``results`` may be longer.
     """
     corpus = chunks.select("id", "text", "title", F.lit(0).cast("bigint").alias("row_no"))
-    chunk_hits = match_string(results, corpus, questions, max_k)
+    chunk_hits = match_string(results, corpus, questions)
     tbl = chunks.select(F.col("id").alias("_cid"), "table_id")
     # every chunk of every table that appears in a question's results
     r_tables = results.join(tbl, results["doc_id"] == tbl["_cid"]).select("qid", "rank", "table_id")

@@ -73,6 +73,7 @@ class Bm25Index:
     vocab: DataFrame      # term, df, idf   (pruned)
     stats: DataFrame      # one row: n_docs, avgdl, k1, b, min_df, max_df_ratio
     n_buckets: int | None = None   # postings partitioned by pmod(xxhash64(term), n_buckets)
+    live: DataFrame | None = None  # doc, row_no, id of the live documents, where postings know them by number
 
 
 def build_bm25_index(corpus: DataFrame, k1: float = 1.2, b: float = 0.75, min_df: int = 2,

@@ -73,6 +73,8 @@ def bm25_topk(questions: DataFrame, index: Bm25Index, topk: int = 100,
         F.col("tf") + F.col("k1") * (1.0 - F.col("b") + F.col("b") * (F.col("dl") / F.col("avgdl"))))
     scored = cand.groupBy("qid", "row_no", "id").agg(F.sum(F.col("qtf") * w).alias("score"),
                                                       F.min("min_pos").alias("first_pos"))
+    if index.live is not None:  # dead documents have no row any more
+        scored = scored.select("qid", F.col("row_no").alias("doc"), "score", "first_pos").join(index.live, "doc")
     ranked = _rank(scored, topk, [F.round("score", TIE_DECIMALS).desc(), F.col("first_pos"), F.col("row_no")])
     return ranked.select("qid", "rank", F.col("id").alias("doc_id"), "score")
 

@@ -39,6 +39,15 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "row_no", sta
               .drop("_mid", "_pid", "_local", "_off")
 
 
+def rank_in_groups(df: DataFrame, group: str, order_cols: list, name: str = "rank") -> DataFrame:
+    """1-based ranks inside each ``group``, which may hold any share of the rows: a global numbering less the group's first
+    number.  (group, ``order_cols``) must be a unique key."""
+    numbered = global_row_number(df, [F.col(group), *order_cols], "_g")
+    first = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_g").alias("_first"))
+    out = numbered.join(first, F.col(group).eqNullSafe(F.col("_group")))
+    return out.withColumn(name, (F.col("_g") - F.col("_first") + 1).cast("bigint")).drop("_g", "_group", "_first")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkqa.functions import text as tx
@@ -18,6 +18,7 @@ from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
 from sparkqa.operators import tables as tb
 from sparkqa.operators import training as tr
+from sparkqa.operators.util import rank_in_groups
 from sparkqa.sinks import writers as wr
 from sparkqa.sources import files as fs
 from sparkqa.plans.oracle import TOPK
@@ -88,6 +89,14 @@ def x1(spark, sf_dir):
     return bm25_results(spark, sf_dir, persist=False).select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
+@query("x1_bm25_topk_blocks")
+def x1b(spark, sf_dir):
+    """X1 over postings in blocks with their largest impacts: terms and blocks that cannot reach the top k are skipped."""
+    from sparkqa.operators import blocks as bl
+    r = bl.bm25_topk_blocks(fx.questions(spark, sf_dir), bl.build_blocks(cached_index(spark, sf_dir, "bm25")), TOPK)
+    return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 @query("e1_match_string")
 def e1(spark, sf_dir):
     return ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir), TOPK)
@@ -406,9 +415,8 @@ def e7(spark, sf_dir):
     chunks = tb.chunk_tables(clean.select("table_id", tb.to_nested_json().alias("t")), 5) \
         .select(F.col("id").cast("string").alias("id"), "text", "title", (F.col("table_no") + 1).alias("table_id"))
     nt = fx.nation_tables(spark, sf_dir, clean)
-    cand = chunks.join(nt, "table_id").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy("c_custkey", F.col("id").cast("bigint")))
-        .cast("bigint")).filter(F.col("rank") <= TOPK)
+    # every chunk of the nation's tables, ranked by customer and chunk
+    cand = rank_in_groups(chunks.join(nt, "table_id"), "n_nationkey", [F.col("c_custkey"), F.col("id").cast("bigint")])
     tq = fx.table_questions(spark, sf_dir)
     results = tq.select("q", "n_nationkey").join(cand, "n_nationkey").select(
         F.col("q").alias("qid"), "rank", F.col("id").alias("doc_id"))
@@ -627,6 +635,21 @@ def k4(spark, sf_dir):
     return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
+@query("k4_index_update")
+def k4u(spark, sf_dir):
+    """K4 upkeep: an index of an earlier corpus (every 50th document missing, every 70th with another text, and some that are
+    gone since) is brought to the present one; the ranking is that of a rebuild."""
+    from sparkqa.operators import segments as sg
+    path = _scratch(spark, "index-segments")
+    now = fx.corpus(spark, sf_dir)
+    was = now.filter(F.col("row_no") % 50 != 7).withColumn("text", F.when(F.col("row_no") % 70 == 3, F.reverse("text")).otherwise(F.col("text")))
+    gone = now.filter(F.col("row_no") % 90 == 1).withColumn("id", F.concat(F.lit("old-"), "id"))
+    sg.update(was.unionByName(gone.withColumn("row_no", F.col("row_no") + (1 << 40))), path)
+    sg.update(now, path)
+    r = rt.bm25_topk(fx.questions(spark, sf_dir), sg.load(spark, path), TOPK)
+    return r.select("qid", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 @query("k6_qa_jsonl_to_tsv")
 def k6(spark, sf_dir):
     tq = fx.table_questions(spark, sf_dir).select(

@@ -3,7 +3,8 @@ files, table pages, search results and gold passages.
 
 All readers use explicit schemas (no inference), return lazy DataFrames, and assign file order
 (``row_no``) from the scan itself: file path, split start and the position inside the split,
-then a distributed global numbering.  A ``.gz`` file is read by Spark directly.
+then a distributed global numbering.  A ``.gz`` file is read by Spark directly.  Delimited files with
+quoted line feeds are read by as many tasks as they have splits (``records``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkqa.functions.text import normalize_passage, normalize_question
+from sparkqa.sources.records import read_records, with_record_order
 
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"', "multiLine": "true", "header": "false",
                "mode": "PERMISSIVE"}
@@ -60,11 +62,10 @@ def read_corpus(spark: SparkSession, path, dedup: str | None = None) -> DataFram
     a leading BOM is stripped from the id.  ``dedup='last'`` keeps the last row per id (the
     evaluation view); by default every row is kept (the index view).
     """
-    raw = read_tsv(spark, path, ["id", "text", "title"])
-    raw = raw.select(_strip_bom(F.col("id")).alias("id"), F.coalesce("text", F.lit("")).alias("text"),
-                     F.coalesce("title", F.lit("")).alias("title"))
+    raw = read_records(spark, path, ["id", "text", "title"], TSV_OPTIONS)
+    raw = raw.withColumns({"id": _strip_bom(F.col("id")), "text": F.coalesce("text", F.lit("")), "title": F.coalesce("title", F.lit(""))})
     # header rows are dropped before numbering: row_no is the position among passages
-    df = with_file_order(raw.filter(F.col("id").isNull() | (F.col("id") != "id")))
+    df = with_record_order(raw.filter(F.col("id").isNull() | (F.col("id") != "id")))
     if dedup == "last":
         from sparkqa.operators.retrieve import passages_last_wins
         df = passages_last_wins(df)
@@ -77,7 +78,7 @@ def read_contexts(spark: SparkSession, path, id_col: int = 0, text_col: int = 1,
     """Like S1 with configurable columns; optional id prefix; text stripped of every leading
     and trailing ``"``; optional N2; the last duplicate id wins."""
     cols = [f"c{i}" for i in range(max(n_cols, id_col + 1, text_col + 1, title_col + 1))]
-    raw = with_file_order(read_tsv(spark, path, cols).filter(F.col(f"c{id_col}") != "id"))
+    raw = with_record_order(read_records(spark, path, cols, TSV_OPTIONS).filter(F.col(f"c{id_col}") != "id"))
     sid = F.col(f"c{id_col}")
     if id_prefix:
         sid = F.concat(F.lit(id_prefix), sid)

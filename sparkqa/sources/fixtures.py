@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkqa.functions.text import tokenize_alnum
+from sparkqa.operators.util import rank_in_groups
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,8 +115,7 @@ def table_search(spark: SparkSession, sf_dir: str, clean: DataFrame, descending:
                  ) -> DataFrame:
     """Fx-table-search candidates ``q, rank, table_id, answers``: the tables of the nation's
     customers by c_custkey (descending for the gold list), all of them."""
-    from pyspark.sql import Window
     nt = nation_tables(spark, sf_dir, clean)
     order = F.col("c_custkey").desc() if descending else F.col("c_custkey")
-    nt = nt.withColumn("rank", F.row_number().over(Window.partitionBy("n_nationkey").orderBy(order)).cast("bigint"))
+    nt = rank_in_groups(nt, "n_nationkey", [order])
     return table_questions(spark, sf_dir).join(nt, "n_nationkey").select("q", "rank", "table_id", "answers")
