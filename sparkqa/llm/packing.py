@@ -16,6 +16,7 @@ ids are kept; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 
 import numpy as np
@@ -37,6 +38,7 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker a core
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.marks = {c: self.ids([chr(c)])[0] for c in (44, 46)}
@@ -105,12 +107,23 @@ class WordTokens:
         return out, text_offs
 
 
+_kept: dict[str, WordTokens] = {}  # of this worker process, which runs many tasks
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The worker's word store of a tokenizer; one at a time."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = WordTokens(path)
+    return _kept[path]
+
+
 def pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row a piece: key, piece, start, length, ids_crc32."""
     kind = dict(df.dtypes)[key]
 
     def run(batches):
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         for batch in batches:
             for part, data, offs in chunks(batch):
                 ids, at = words.lookup(data, offs)
