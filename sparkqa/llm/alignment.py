@@ -34,11 +34,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqa.llm.common import materialize
+from sparkqa.llm.packed import pack, unpack
 
 BLOCK_CHARS = 4 << 20
 RADIXES, FAN = 16, 64
@@ -191,25 +191,6 @@ class Segments:
 
 # --- runs ---------------------------------------------------------------------------------------------
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit numbers, each with its length before it, as one zstd frame."""
-    parts = []
-    for c in columns:
-        c = np.ascontiguousarray(c, "<i8")
-        parts += [np.array([len(c)], "<i8").tobytes(), c.view(np.uint8).reshape(-1, 8).T.tobytes()]  # byte by byte: high ones are alike
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def unpack(run: bytes) -> list[np.ndarray]:
-    raw, out, i = zstandard.ZstdDecompressor().decompress(run), [], 0
-    while i < len(raw):
-        n = int(np.frombuffer(raw, "<i8", 1, i)[0])
-        i += 8
-        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, i).reshape(8, n).T).view("<i8").reshape(-1))
-        i += 8 * n
-    return out
-
-
 def spill(links: np.ndarray, text: np.ndarray, texts: int, shift: int) -> tuple[list[bytes], list[bytes]]:
     """A block's runs, one a radix: records (steps between pairs, records a pair, text, times) and totals (pair, times)."""
     key, times = np.unique(links * max(texts, 1) + text, return_counts=True)

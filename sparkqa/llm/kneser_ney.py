@@ -9,11 +9,15 @@ A document's log-probability is a sum over its words of log g(h) + log q(w), plu
 that was counted, the gain log p(w|h) - log g(h) - log q(w).  The first two
 are one weight a word, put right at both ends of a text.  So the model is one table of
 (64-bit key, weight), and what it has not is worth nothing: an unknown context has g = 1, an unknown
-word the unknown word's share, which a language adds for each word.  Documents are read in blocks of
-about ``BLOCK_BYTES``; a block asks once for each of its keys, however often it holds them, with the
-documents that do, and the answers are summed block by block.  No table is collected or broadcast but
-one row a language.  A document is rejected when its perplexity passes a quantile of its own language's
-trusted documents that were held out from the counts.
+word the unknown word's share, which a language adds for each word.
+
+Keys that make up one in ``HOT`` of the counted words or bigrams, which at most ``HOT`` of either can, are broadcast and summed
+where a document is read.  For the others, documents are read in blocks of about ``BLOCK_BYTES``; a block asks once for each
+of its keys, with the documents that hold it.  Keys are dealt to shards by their leading bits, and both a block's
+questions and a part of the model are one packed row a shard (``packed``: sorted keys by their differences), so what moves is a few bytes a
+key.  A shard's task holds the shard's part of the model (some ``SHARD_KEYS`` keys) and
+streams the blocks' questions against it; the answers are summed by block.  A document is rejected when its perplexity passes a
+quantile of its own language's trusted documents that were held out from the counts.
 
 Edge cases: a null or empty text has no words, no perplexity, and is kept; a null language is a
 language of its own; a language without trusted text rejects nothing; repeated rows are scored
@@ -25,13 +29,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, materialize, mix64, parallel, word_hashes
+from sparkqa.llm.packed import pack, unpack
+from sparkqa.operators.util import DEFAULT_BROADCAST_ROWS
 
-CLASSES, BLOCK = 2048, 64  # of ``model``, the formula over a small closed vocabulary
 BLOCK_BYTES, HELD = 4 << 20, 4_000_000
+HOT, SHARD_KEYS = 1 << 19, 1 << 20
 PRIOR_WORDS, QUANTILE, FOLDS = 20, 0.995, 5
 START = np.uint64(0x5157A127)  # the context of a document's first word
 _K = np.random.default_rng(1010).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,15 +101,18 @@ def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     disc = lambda x, a: F.when(x == 1, F.col(f"{a}1")).when(x == 2, F.col(f"{a}2")).otherwise(F.col(f"{a}3"))
     cells = _by_language(c, _discounts(c, "c", ["d1", "d2", "d3"])).select("lang", "h", "w", "c", disc(F.col("c"), "d").alias("less"))
     ctx = materialize(cells.groupBy("lang", "h").agg(F.sum("c").alias("total"), (F.sum("less") / F.sum("c")).alias("g")), "kn-contexts")
-    cont = materialize(c.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k")), "kn-continuations")
+    cont = materialize(c.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")), "kn-continuations")
     cont_less = _by_language(cont, _discounts(cont, "k", ["e1", "e2", "e3"])).withColumn("less", disc(F.col("k"), "e"))
     whole = materialize(cont_less.groupBy("lang").agg(F.sum("k").alias("all"), (F.sum("less") / F.sum("k") / (F.count(F.lit(1)) + 1)).alias("unk")), "kn-languages")
-    q = _by_language(cont_less, whole).select("lang", "w", ((F.col("k") - F.col("less")) / F.col("all") + F.col("unk")).alias("q"), "unk")
-    lq = materialize(q.select("lang", "w", "q", F.log(F.col("q") / F.col("unk")).alias("weight")), "kn-words")
-    both = cells.join(ctx.withColumnRenamed("lang", "_l").withColumnRenamed("h", "_h"), (F.col("lang") == F.col("_l")) & (F.col("h") == F.col("_h"))) \
-        .select("lang", "h", "w", ((F.col("c") - F.col("less")) / F.col("total")).alias("own"), "g")
-    gain = both.join(lq.select(F.col("lang").alias("_l"), F.col("w").alias("_w"), "q"), (F.col("lang") == F.col("_l")) & (F.col("w") == F.col("_w"))) \
-        .select("lang", "h", "w", F.log1p(F.col("own") / (F.col("g") * F.col("q"))).alias("weight"))
+    q = _by_language(cont_less, whole).select("lang", "w", "n", ((F.col("k") - F.col("less")) / F.col("all") + F.col("unk")).alias("q"), "unk")
+    lq = materialize(q.select("lang", "w", "n", "q", F.log(F.col("q") / F.col("unk")).alias("weight")), "kn-words")
+    few_contexts, few_words = ctx.count() <= DEFAULT_BROADCAST_ROWS, lq.count() <= DEFAULT_BROADCAST_ROWS
+    by_context = ctx.select(F.col("lang").alias("_l"), F.col("h").alias("_h"), "total", "g")
+    both = cells.join(F.broadcast(by_context) if few_contexts else by_context, (F.col("lang") == F.col("_l")) & (F.col("h") == F.col("_h"))) \
+        .select("lang", "h", "w", "c", ((F.col("c") - F.col("less")) / F.col("total")).alias("own"), "g")
+    by_word = lq.select(F.col("lang").alias("_l"), F.col("w").alias("_w"), "q")
+    gain = both.join(F.broadcast(by_word) if few_words else by_word, (F.col("lang") == F.col("_l")) & (F.col("w") == F.col("_w"))) \
+        .select("lang", "h", "w", "c", F.log1p(F.col("own") / (F.col("g") * F.col("q"))).alias("weight"))
 
     def keyed(kind: str):
         def run(batches):
@@ -111,101 +120,160 @@ def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
                 lang, x = (np.asarray(b.column(i)).view(np.uint64) for i in (0, 1))
                 k = keys(lang, x, None) if kind == "h" else keys(lang, None, x) if kind == "w" else \
                     keys(lang, x, np.asarray(b.column(2)).view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), b.column(b.num_columns - 1)], ["key", "weight"])
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), *b.columns[-2:]], ["key", "n", "weight"])
         return run
 
-    out = "key long, weight double"
+    out = "key long, n long, weight double"
     # A word brings its own share and that of the context it is for the next; the last word is none, START always is.
-    lg = ctx.select(F.col("lang").alias("_l"), F.col("h").alias("_h"), F.log("g").alias("lg"))
+    lg = ctx.select(F.col("lang").alias("_l"), F.col("h").alias("_h"), F.log("g").alias("lg"), "total")
     start = int(START)
     word = lq.join(lg, (F.col("lang") == F.col("_l")) & (F.col("w") == F.col("_h")), "left") \
-        .select("lang", "w", (F.col("weight") + F.coalesce("lg", F.lit(0.0))).alias("weight"))
-    ends = lg.select("_l", "_h", F.when(F.col("_h") == start, F.col("lg")).otherwise(-F.col("lg")).alias("weight"))
+        .select("lang", "w", "n", (F.col("weight") + F.coalesce("lg", F.lit(0.0))).alias("weight"))
+    first = F.col("_h") == start
+    ends = lg.select("_l", "_h", F.when(first, F.col("total")).otherwise(F.lit(0)).cast("bigint").alias("n"), F.when(first, F.col("lg")).otherwise(-F.col("lg")).alias("weight"))
     rows = ends.mapInArrow(keyed("h"), out) \
         .unionByName(word.mapInArrow(keyed("w"), out)) \
         .unionByName(gain.mapInArrow(keyed("hw"), out))
     return rows, whole.select("lang", F.log("unk").alias("unknown"))
 
 
-def score(docs: DataFrame, model_rows: DataFrame) -> DataFrame:
+def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each key: its leading bits.  ``shards`` is a power of two; sorted keys have sorted shards."""
+    bits = shards.bit_length() - 1
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
+def packed_model(rows: DataFrame, least: int, shards: int) -> DataFrame:
+    """``shard, hot, pack`` of the model (key, n, weight): keys seen ``least`` times or more in packs of their own."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def emit():
+            key, n, weight = (np.concatenate([b[i] for b in held]) for i in range(3))
+            for hot in (False, True):
+                own = np.flatnonzero((n >= least) == hot)
+                own = own[np.argsort(key[own])]
+                k, w, at = key[own], weight[own], shards_of(key[own], shards)
+                cut = np.flatnonzero(np.diff(at, prepend=-1))
+                packs = [pack(k[x:y], w[x:y]) for x, y in zip(cut, [*cut[1:].tolist(), len(k)])]
+                yield pa.RecordBatch.from_arrays([pa.array(at[cut]), pa.array([hot] * len(cut), pa.bool_()), pa.array(packs, pa.binary())], ["shard", "hot", "pack"])
+
+        for b in batches:
+            held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1)), np.asarray(b.column(2))))
+            size += b.num_rows
+            if size >= SHARD_KEYS:
+                yield from emit()
+                held, size = [], 0
+        if size:
+            yield from emit()
+
+    return rows.mapInArrow(run, "shard long, hot boolean, pack binary")
+
+
+def score(docs: DataFrame, model: DataFrame, shards: int) -> DataFrame:
     """``docs`` (doc_id, text_hash, lang_name, lang as a hash, text) without the text, with n_words and
-    ``gain``: the summed weights of its keys.  Rows of a block are told apart by their place in it."""
+    ``gain``: the summed weights of its keys in ``model`` (of ``packed_model``).  Rows of a block are told apart by their place in it."""
+    spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    about = f"struct<doc_id:{kind},text_hash:bigint,lang_name:string,lang:bigint,n_words:bigint>"
+    inner = f"struct<doc_id:{kind},text_hash:bigint,lang_name:string,lang:bigint>"
     d = docs.select(F.struct("doc_id", "text_hash", "lang_name", "lang").alias("about"), "lang", "text")
+    hot = [unpack(bytes(r["pack"])) for r in model.filter("hot").select("pack").collect()]  # 2 * HOT keys at most, and START
+    hot_keys, hot_weights = (np.concatenate([x[i] for x in hot] or [np.zeros(0, t)]) for i, t in ((0, np.uint64), (1, np.float64)))
+    order = np.argsort(hot_keys)
+    shared = spark.sparkContext.broadcast((hot_keys[order], hot_weights[order]))
 
     def ask(batches):
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32  # the same in a task run again
+        known, worth = shared.value
         for batch in batches:
             for part, data, offs in chunks(batch, most=BLOCK_BYTES):
                 block += 1
                 h, w, at = _bigrams(data, offs)
                 n = np.diff(at)
+                m = len(n)
                 lang = np.repeat(np.asarray(part.column(1)).view(np.uint64), n)
                 has = np.flatnonzero(n)
                 ends = np.concatenate([np.full(len(has), START), w[at[has + 1] - 1]])
                 k = np.concatenate([keys(lang, None, w), keys(lang, h, w), keys(np.tile(lang[at[has]], 2), ends, None)])
-                doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
-                doc = np.concatenate([doc, doc, np.tile(has.astype(np.int32), 2)])
+                doc = np.repeat(np.arange(m), n)
+                doc = np.concatenate([doc, doc, np.tile(has, 2)])
+                place = np.searchsorted(known, k)
+                here = place < len(known)
+                here[here] = known[place[here]] == k[here]
+                gain = np.bincount(doc[here], worth[place[here]], m).astype(float)
+                k, doc = k[~here], doc[~here]
                 o = np.argsort(k, kind="stable")  # texts stay in order inside a key
                 k, doc = k[o], doc[o]
-                new = np.ones(len(k), bool)
-                new[1:] = k[1:] != k[:-1]
-                cut = np.flatnonzero(new)
-                small = len(n) <= 1 << 16
-                raw = doc.astype("<u2" if small else "<u4")
-                for i in range(0, len(cut), 1 << 16):
-                    own = cut[i:i + (1 << 16)]
-                    ends = np.append(own, cut[i + (1 << 16)] if i + (1 << 16) < len(cut) else len(k))
-                    lists = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(((ends - ends[0]) * raw.itemsize).astype("<i4").tobytes()),
-                                                                         pa.py_buffer(raw[ends[0]:ends[-1]].tobytes())])
-                    m = len(own)
-                    yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(np.full(m, block)), pa.array(np.full(m, small)), lists,
-                                                      pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, part.column(0).type)],
-                                                     ["key", "block", "small", "docs", "place", "n", "about"])
-                m = len(n)  # the texts themselves: keys of their own, so that they are spread as evenly
-                own = mix64(np.arange(m).astype(np.uint64) * _K[6] + np.full(m, block).astype(np.uint64) * _K[7])
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(m, block)), pa.array(np.full(m, small)), pa.nulls(m, pa.binary()),
-                                                  pa.array(np.arange(m, dtype=np.int32)), pa.array(n), part.column(0)],
-                                                 ["key", "block", "small", "docs", "place", "n", "about"])
+                first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
+                many = np.diff(np.append(first, len(k)))
+                distinct = k[first]
+                shard = shards_of(distinct, shards)
+                cut = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(distinct))
+                edge = np.append(first, len(k))[cut]
+                packs = [pack(distinct[x:y], many[x:y], doc[s:e]) for x, y, s, e in zip(cut[:-1], cut[1:], edge[:-1], edge[1:])]
+                c = len(packs)
+                yield pa.RecordBatch.from_arrays([pa.array(shard[cut[:-1]]), pa.array(np.full(c, 1, np.int32)), pa.array(packs, pa.binary()), pa.array(np.full(c, block)),
+                                                  pa.nulls(c, pa.int32()), pa.nulls(c, pa.int64()), pa.nulls(c, pa.float64()), pa.nulls(c, part.column(0).type)], names)
+                # the texts themselves: any shard will do
+                yield pa.RecordBatch.from_arrays([pa.array((block + np.arange(m)) % shards), pa.array(np.full(m, 2, np.int32)), pa.nulls(m, pa.binary()), pa.array(np.full(m, block)),
+                                                  pa.array(np.arange(m, dtype=np.int32)), pa.array(n), pa.array(gain), part.column(0)], names)
+
+    names = ["shard", "kind", "pack", "block", "place", "n", "hot", "about"]
+    back = ["block", "place", "n", "hot", "about", "at", "value"]
 
     def answer(batches):
-        """Sums by block, for at most HELD documents at a time, as bytes; texts pass through."""
+        """A shard's part of the model comes before its questions.  Sums by block, for some HELD documents at a time, as bytes; texts pass through."""
+        shard, parts, table = None, [], (np.zeros(0, np.uint64), np.zeros(0))
         held: dict = {}
-        names = ["block", "place", "n", "about", "at", "value"]
+        size = 0
 
         def emit():
             for block, sums in held.items():
                 at = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, about_type),
-                                                  pa.array([at.astype("<i4").tobytes()], pa.binary()), pa.array([sums[at].tobytes()], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()),
+                                                  pa.nulls(1, about), pa.array([at.astype("<i4").tobytes()], pa.binary()), pa.array([sums[at].tobytes()], pa.binary())], back)
             held.clear()
 
         for b in batches:
-            place, about_type = b.column("place"), b.column("about").type
-            texts, f = b.filter(place.is_valid()), b.filter(place.is_null())
+            about = b.column("about").type
+            what = np.asarray(b.column("kind"))
+            texts = b.filter(pa.array(what == 2))
             if texts.num_rows:
                 none = pa.nulls(texts.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([*(texts.column(x) for x in names[:4]), none, none], names)
-            block, weight, small = np.asarray(f.column("block")), np.asarray(f.column("weight")), np.asarray(f.column("small").cast(pa.int8())) > 0
-            lists = f.column("docs").to_pylist()
-            o = np.argsort(block, kind="stable")
-            for rows in np.split(o, np.flatnonzero(np.diff(block[o])) + 1):
-                if not len(rows):
+                yield pa.RecordBatch.from_arrays([*(texts.column(x) for x in back[:5]), none, none], back)
+            for i in np.flatnonzero(what < 2):
+                own = b.column("shard")[int(i)].as_py()
+                if own != shard:
+                    shard, parts, table = own, [], (np.zeros(0, np.uint64), np.zeros(0))
+                x = unpack(b.column("pack")[int(i)].as_py())
+                if what[i] == 0:
+                    parts.append(x)
                     continue
-                width, key = 2 if small[rows[0]] else 4, int(block[rows[0]])
-                raw = [lists[i] for i in rows]
-                x = np.frombuffer(b"".join(raw), f"<u{width}")
-                got = np.bincount(x, np.repeat(weight[rows], [len(r) // width for r in raw]))
-                old = held.get(key, got[:0])
+                if parts:
+                    k, w = (np.concatenate([p[j] for p in parts]) for j in range(2))
+                    o = np.argsort(k)
+                    table, parts = (k[o], w[o]), []
+                key, many, doc = x
+                place = np.searchsorted(table[0], key)
+                here = place < len(table[0])
+                here[here] = table[0][place[here]] == key[here]
+                worth = np.zeros(len(key))
+                worth[here] = table[1][place[here]]
+                got = np.bincount(doc, np.repeat(worth, many))
+                block = b.column("block")[int(i)].as_py()
+                old = held.get(block, got[:0])
+                size += max(len(got) - len(old), 0)
                 if len(old) < len(got):
                     old, got = got, old
                 old[:len(got)] += got
-                held[key] = old
-            if sum(map(len, held.values())) > HELD:
-                yield from emit()
-        yield from emit()
+                held[block] = old
+                if size > HELD:
+                    yield from emit()
+                    size = 0
+        if held:
+            yield from emit()
 
     def add(batches):
         """A block's answers come before its texts."""
@@ -222,7 +290,7 @@ def score(docs: DataFrame, model_rows: DataFrame) -> DataFrame:
                 if is_text[s]:
                     place = np.asarray(rows.column("place"))
                     value = np.where(place < len(sums), sums[np.minimum(place, max(len(sums) - 1, 0))], 0.0) if len(sums) else np.zeros(len(place))
-                    yield pa.RecordBatch.from_arrays([rows.column("about"), rows.column("n"), pa.array(value)], ["about", "n", "gain"])
+                    yield pa.RecordBatch.from_arrays([rows.column("about"), rows.column("n"), pa.array(value + np.asarray(rows.column("hot")))], ["about", "n", "gain"])
                     continue
                 for at, value in zip(rows.column("at"), rows.column("value")):
                     at, value = np.frombuffer(at.as_py(), "<i4"), np.frombuffer(value.as_py())
@@ -230,12 +298,12 @@ def score(docs: DataFrame, model_rows: DataFrame) -> DataFrame:
                         sums = np.concatenate([sums, np.zeros(max(len(sums), int(at[-1]) + 1 - len(sums)))])
                     sums[at] += value
 
-    asked = d.mapInArrow(ask, f"key long, block long, small boolean, docs binary, place int, n long, about {about.replace(',n_words:bigint', '')}")
-    met = asked.join(model_rows.hint("merge"), "key", "left").filter("weight is not null or place is not null") \
-        .select("block", "small", "docs", "place", "n", "about", "weight")
-    inner = about.replace(",n_words:bigint", "")
-    sums = met.mapInArrow(answer, f"block long, place int, n long, about {inner}, at binary, value binary")
-    sums = sums.repartition(parallel(docs.sparkSession), "block").sortWithinPartitions("block", F.col("place").asc_nulls_first())
+    asked = d.mapInArrow(ask, f"shard long, kind int, pack binary, block long, place int, n long, hot double, about {inner}")
+    parts = model.filter("not hot").select("shard", F.lit(0).alias("kind"), "pack")
+    n = parallel(spark)
+    met = asked.unionByName(parts, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
+    sums = met.mapInArrow(answer, f"block long, place int, n long, hot double, about {inner}, at binary, value binary")
+    sums = sums.repartition(n, "block").sortWithinPartitions("block", F.col("place").asc_nulls_first())
     return sums.mapInArrow(add, f"about {inner}, n long, gain double") \
         .select("about.*", F.col("n").alias("n_words"), "gain")
 
@@ -253,11 +321,14 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     d = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), name.alias("lang_name"), F.xxhash64(name).alias("lang"),
                     F.col(text).alias("text"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
-    # labels grow with the documents, so they are never broadcast
+    few = trusted.count() <= DEFAULT_BROADCAST_ROWS  # labels grow with the documents
     counted = d.filter(F.col("doc_id").isNotNull() & ~held).select("doc_id", "lang", "text") \
-        .join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
-    rows, unknown = weights(materialize(counts(counted), "kn-counts"))
-    s = score(d, rows)
+        .join(F.broadcast(trusted) if few else trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
+    c = materialize(counts(counted), "kn-counts")
+    total, distinct = c.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    shards = 1 << max(4 * parallel(docs.sparkSession), -(-distinct // SHARD_KEYS)).bit_length()
+    rows, unknown = weights(c)
+    s = score(d, materialize(packed_model(rows, max(-(-total // HOT), 1), shards), "kn-model"), shards)
     s = s.join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left").withColumn("held", F.col("_id").isNotNull() & held).drop("_id")
     s = _by_language(s, materialize(unknown, "kn-unknown"))
     s = s.withColumn("logp", F.when(F.col("n_words") > 0, F.col("gain") + F.col("n_words") * F.col("unknown"))).drop("gain", "unknown")
@@ -271,44 +342,3 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                     F.exp("limit").alias("threshold"), F.exp("drawn").alias("shrunk_perplexity"),
                     F.coalesce(F.col("drawn") <= F.col("limit"), F.lit(True)).alias("kept"))
 
-
-def model(c: DataFrame) -> DataFrame:
-    """The same formula as dense tables over CLASSES words without an unknown one; the tests hold it against
-    the sums by hand, no query runs it.  One row a shard (lang, block of BLOCK contexts): the log-probabilities of all classes after each
-    of its contexts, as half floats.  A shard has at most BLOCK * CLASSES counts, whatever the corpus.
-
-    p(w|h) = (c(hw) - D(c)) / c(h) + g(h) q(w), with q the continuation distribution, itself
-    discounted and interpolated with the uniform one.
-    """
-    d2 = _discounts(c, "c", ["d1", "d2", "d3"])
-    cont = c.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k"))
-    d1 = _discounts(cont, "k", ["e1", "e2", "e3"])
-    disc = lambda x, a: F.when(x == 1, F.col(f"{a}1")).when(x == 2, F.col(f"{a}2")).otherwise(F.col(f"{a}3"))
-    by = Window.partitionBy("lang")
-    q = _by_language(cont, d1).withColumn("less", disc(F.col("k"), "e")).withColumn("all", F.sum("k").over(by)) \
-        .withColumn("free", F.sum("less").over(by) / F.col("all")) \
-        .select("lang", "w", ((F.col("k") - F.col("less")) / F.col("all")).alias("own"), "free")
-    # a language's continuation distribution is one array of CLASSES numbers
-    q = q.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("w", "own"))).alias("m"), F.first("free").alias("free")) \
-        .select("lang", F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda w: F.coalesce(F.col("m")[w], F.lit(0.0)) + F.col("free") / CLASSES).alias("q"))
-    ctx = _by_language(c, d2).withColumn("less", disc(F.col("c"), "d"))
-    ctx = ctx.withColumn("shard", F.floor(F.col("h") / BLOCK).cast("int")).select("lang", "shard", "h", "w", "c", "less")
-    shards = ctx.groupBy("lang", "shard").agg(F.collect_list(F.struct("h", "w", "c", "less")).alias("cells"))
-    shards = _by_language(shards, q)
-
-    def run(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = {n: batch.column(i)[r] for i, n in enumerate(batch.schema.names)}
-                cells = row["cells"].values
-                f = {n: np.asarray(cells.field(n)) for n in ("h", "w", "c", "less")}
-                low = np.asarray(row["q"].values, float)
-                at = f["h"] - row["shard"].as_py() * BLOCK
-                total, left = np.bincount(at, f["c"], BLOCK), np.bincount(at, f["less"], BLOCK)
-                p = np.where(total > 0, left / np.maximum(total, 1), 1.0)[:, None] * low[None, :]
-                p[at, f["w"]] += (f["c"] - f["less"]) / total[at]
-                yield pa.RecordBatch.from_arrays([pa.array([row["lang"].as_py()]), pa.array([row["shard"].as_py()], pa.int32()),
-                                                  pa.array([np.log(p).astype(np.float16).tobytes()], pa.binary()),
-                                                  pa.array([np.log(low).astype(np.float16).tobytes()], pa.binary())], ["lang", "shard", "logp", "low"])
-
-    return shards.mapInArrow(run, "lang string, shard int, logp binary, low binary")

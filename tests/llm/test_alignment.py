@@ -114,6 +114,9 @@ def test_runs_come_back_and_merge():
     import numpy as np
     x, y = np.array([3, 5 << 16, (5 << 16) + 1]), np.array([1, 2, 2])
     assert [c.tolist() for c in alignment.unpack(alignment.pack(x, y))] == [x.tolist(), y.tolist()]
+    u = np.array([0, 7, 1 << 63, (1 << 64) - 1], np.uint64)
+    back = alignment.unpack(alignment.pack(u, np.array([0.5, -1.25]), u[:0]))
+    assert back[0].tolist() == u.tolist() and back[1].tolist() == [0.5, -1.25] and not len(back[2])
     run = alignment.pack(np.diff(x, prepend=0), y)
     pairs, counts, best = alignment.merge([run, run, alignment.pack(x[:0], y[:0])])
     assert pairs.tolist() == x.tolist() and counts.tolist() == [2, 4, 4] and best.tolist() == [True, True, True]

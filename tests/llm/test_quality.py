@@ -37,37 +37,12 @@ def test_junk_goes_and_clean_text_stays(spark):
     assert all(r["kept"] for r in kn.classify(frame(spark, rows[:5]), spark.createDataFrame([], "doc_id long, quality int")).collect())
 
 
-def test_probabilities_are_the_interpolated_model(spark):
-    """Every context's probabilities sum to one and equal the formula computed by hand."""
-    c = {(0, 1): 5, (0, 2): 1, (0, 3): 2, (1, 2): 1, (1, 1): 3, (2, 1): 4, (kn.CLASSES, 0): 1, (2, 9): 1, (3, 1): 2}
-    d = spark.createDataFrame([("en", h, w, n) for (h, w), n in c.items()], "lang string, h int, w int, c long")
-    table = {r["shard"]: np.exp(np.frombuffer(r["logp"], np.float16).astype(float)).reshape(kn.BLOCK, -1) for r in kn.model(d).collect()}
-
-    def discounts(counts):
-        n = [sum(x == k for x in counts) for k in range(5)]
-        y = n[1] / (n[1] + 2 * n[2])
-        return [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05 * k), 0.95 * k) if n[k] else 0.5 * k for k in (1, 2)] + \
-            [min(max(3 - 4 * y * n[4] / n[3], 0.15), 2.85) if n[3] else 1.5]
-
-    k = {w: sum(1 for x in c if x[1] == w) for _, w in c}
-    e, dd = discounts(list(k.values())), discounts(list(c.values()))
-    low = np.full(kn.CLASSES, sum(e[min(x, 3)] for x in k.values()) / sum(k.values()) / kn.CLASSES)
-    for w, x in k.items():
-        low[w] += (x - e[min(x, 3)]) / sum(k.values())
-    for h in (0, 1, 2, 3, kn.CLASSES):
-        row = {w: n for (a, w), n in c.items() if a == h}
-        total = sum(row.values())
-        p = sum(dd[min(n, 3)] for n in row.values()) / total * low
-        for w, n in row.items():
-            p[w] += (n - dd[min(n, 3)]) / total
-        assert abs(p.sum() - 1) < 1e-9
-        assert np.allclose(table[h // kn.BLOCK][h % kn.BLOCK], p, rtol=0.01)
-
-
-def test_scores_are_those_of_whole_word_bigrams(spark):
+@pytest.mark.parametrize("hot", [kn.HOT, 40, 1])
+def test_scores_are_those_of_whole_word_bigrams(spark, monkeypatch, hot):
     """Every word counts as itself; a word no trusted text holds is the unknown word."""
+    monkeypatch.setattr(kn, "HOT", hot)  # 1: every key is asked for
     rng = random.Random(5)
-    vocabulary = [f"v{i}" for i in range(3 * kn.CLASSES)]
+    vocabulary = [f"v{i}" for i in range(6000)]
     rows = [(i, " ".join(rng.choice(vocabulary[:50] if rng.random() < 0.5 else vocabulary) for _ in range(60)), "en", "s") for i in range(300)]
     rows += [(900 + i, " ".join(f"zz{rng.randrange(10**9)}" for _ in range(60)), "en", "s") for i in range(5)]
     rows += [(950, "v1 v2 neverseen v3", "de", "s"), (951, "v1 v2 neverseen v3", "en", "s"), rows[0]]
