@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkqa.functions import permute
 from sparkqa.functions.text import answer_positions, extend_span, normalize_passage, normalize_question
-from sparkqa.operators.util import global_row_number
+from sparkqa.operators.util import global_row_number, materialize, rank_in_groups
 
 
 def seeded_key(seed: int, epoch: int, key) -> F.Column:
@@ -207,8 +208,26 @@ def best_spans(logits: DataFrame, max_answer_length: int = 10, top_spans: int =
 
 
 # --- R6 / R7 -------------------------------------------------------------------------------------
+def number_rows(df: DataFrame, key: str, group: str | None = None, name: str = "number") -> DataFrame:
+    """``df`` with dense numbers from 0 in ``key`` order (inside each ``group``), written once: all epochs read it."""
+    d = rank_in_groups(df, group, [F.col(key)], name).withColumn(name, F.col(name) - 1) if group else global_row_number(df, [F.col(key)], name)
+    return materialize(d, "numbered-rows")
+
+
+def _sorted_positions(df: DataFrame, key: str, seed: int, epoch: int, shuffle: bool) -> DataFrame:
+    order = [seeded_key(seed, epoch, key), F.col(key)] if shuffle else [F.col(key)]
+    return global_row_number(df.select(key, *[o.alias(f"_o{i}") for i, o in enumerate(order)]),
+                             [f"_o{i}" for i in range(len(order))], "_p").select(key, "_p")
+
+
+def _keyed_position(number, n: int, seed: int, epoch: int) -> F.Column:
+    keys = permute.round_keys(seed, epoch)
+    a, b = permute.box(n)
+    return permute.position(number, F.lit(n), F.lit(a), F.lit(b), keys, permute.passes(n, keys))
+
+
 def epoch_shards(df: DataFrame, key: str, num_shards: int, batch_size: int, seed: int = 0, epoch: int = 0,
-                 strict: bool = False, shuffle: bool = True) -> DataFrame:
+                 strict: bool = False, shuffle: bool = True, number: str | None = None) -> DataFrame:
     """``shard, batch, slot, key`` for one epoch.
 
     Seeded permutation, contiguous shards of ceil(n / num_shards) rows, batches of
@@ -216,12 +235,17 @@ def epoch_shards(df: DataFrame, key: str, num_shards: int, batch_size: int, seed
     short batch is filled from the shard start; a shard with fewer batches than iterations
     repeats its first batch; non-strict still yields its last short batch.  The permutation
     position is a distributed global numbering; the per-shard figures are ``num_shards`` rows.
+
+    With ``number`` (a column of ``number_rows``) the permutation is a keyed bijection of the row numbers, computed
+    where the row is: an epoch sorts and moves nothing.
     """
     spark = df.sparkSession
-    order = [seeded_key(seed, epoch, key), F.col(key)] if shuffle else [F.col(key)]
-    num = global_row_number(df.select(key, *[o.alias(f"_o{i}") for i, o in enumerate(order)]),
-                            [f"_o{i}" for i in range(len(order))], "_p").select(key, "_p")
     n = df.count()
+    if number is None:
+        num = _sorted_positions(df, key, seed, epoch, shuffle)
+    else:
+        place = _keyed_position(F.col(number), n, seed, epoch) if shuffle and n else F.col(number)
+        num = df.select(key, place.cast("bigint").alias("_p"))
     sps_v = -(-n // num_shards)                 # ceil(n / num_shards)
     sps = F.lit(sps_v).cast("bigint")
     num = num.withColumn("_n", F.lit(n).cast("bigint")).withColumn("_sps", sps) \
@@ -251,16 +275,28 @@ def epoch_shards(df: DataFrame, key: str, num_shards: int, batch_size: int, seed
 
 
 def mix_sources(sources: DataFrame, key: str, source_col: str, rates: dict | None, batch_size: int, seed: int = 0,
-                epoch: int = 0) -> DataFrame:
+                epoch: int = 0, number: str | None = None) -> DataFrame:
     """Per source int(int(n / batch_size) * rate) batches drawn cyclically from its seeded
     order; sources are interleaved by a seeded permutation, each source's batches in order.  Output
     ``step, source, batch, slot, key``.  The (source, batch, slot) grid has one row per output
-    row and is joined to the sources on the cyclic position."""
-    spark = sources.sparkSession
-    num = global_row_number(sources.select(source_col, key, seeded_key(seed, epoch, key).alias("_o")),
-                            [source_col, "_o", key], "_g")
-    first = num.groupBy(source_col).agg(F.min("_g").alias("_f"), F.count(F.lit(1)).alias("_n"))
-    num = num.join(F.broadcast(first), source_col).withColumn("_pos", F.col("_g") - F.col("_f"))
+    row and is joined to the sources on the cyclic position.
+
+    With ``number`` (a column of ``number_rows`` by source) a source's order and the interleaving are keyed bijections:
+    no row is sorted, only the list of batches, for each source's to come in order."""
+    if number is None:
+        num = global_row_number(sources.select(source_col, key, seeded_key(seed, epoch, key).alias("_o")),
+                                [source_col, "_o", key], "_g")
+        first = num.groupBy(source_col).agg(F.min("_g").alias("_f"), F.count(F.lit(1)).alias("_n"))
+        num = num.join(F.broadcast(first), source_col).withColumn("_pos", F.col("_g") - F.col("_f"))
+    else:
+        keys = permute.round_keys(seed, epoch)
+        sizes = sources.groupBy(source_col).agg(F.count(F.lit(1)).alias("_n")).collect()  # a row a source
+        table = [(r[0], r[1], *permute.box(r[1])) for r in sizes]
+        first = sources.sparkSession.createDataFrame(table, sources.select(F.col(source_col), F.lit(0).cast("bigint").alias("_n"),
+                                                     F.lit(0).cast("bigint").alias("_a"), F.lit(0).cast("bigint").alias("_b")).schema)
+        walks = max([permute.passes(r[1], keys) for r in sizes], default=1)
+        num = sources.join(F.broadcast(first), source_col)
+        num = num.withColumn("_pos", permute.position(F.col(number), F.col("_n"), F.col("_a"), F.col("_b"), keys, walks))
     # no rates: every source contributes all its batches (rate 1.0)
     rate = F.coalesce(*[F.when(F.col(source_col) == F.lit(s), F.lit(float(r))) for s, r in rates.items()],
                       F.lit(0.0)) if rates else F.lit(1.0)
@@ -272,10 +308,21 @@ def mix_sources(sources: DataFrame, key: str, source_col: str, rates: dict | Non
     rows = grid.join(num.select(source_col, "_pos", key), [source_col, "_pos"])
     # the step order interleaves sources by a seeded permutation of (source, j) slots; the k-th
     # slot of a source (in step order) takes that source's batch k, as the shuffled source list does
-    slots = plan.select(source_col, F.explode(F.sequence(F.lit(0), F.col("_its") - 1)).alias("_j"))
-    slots = global_row_number(slots.withColumn(
-        "_bo", seeded_key(seed, epoch, F.concat_ws(":", F.col(source_col), F.col("_j").cast("string")))),
-        ["_bo", source_col, "_j"], "step")
+    if number is None:
+        slots = plan.select(source_col, F.explode(F.sequence(F.lit(0), F.col("_its") - 1)).alias("_j"))
+        slots = global_row_number(slots.withColumn(
+            "_bo", seeded_key(seed, epoch, F.concat_ws(":", F.col(source_col), F.col("_j").cast("string")))),
+            ["_bo", source_col, "_j"], "step")
+    else:
+        its = plan.select(source_col, "_its").orderBy(source_col).collect()  # a row a source
+        total, starts = 0, []
+        for r in its:
+            starts.append((r[0], total, r[1]))
+            total += r[1]
+        table = sources.sparkSession.createDataFrame(starts, plan.select(F.col(source_col), F.lit(0).cast("bigint").alias("_s"),
+                                                     F.lit(0).cast("bigint").alias("_its")).schema)
+        slots = table.select(source_col, F.explode(F.sequence(F.col("_s"), F.col("_s") + F.col("_its") - 1)).alias("_j"))
+        slots = slots.withColumn("step", _keyed_position(F.col("_j"), total, seed, epoch) if total else F.col("_j"))
     within = global_row_number(slots.select(source_col, "step"), [source_col, "step"], "_g2")
     base = within.groupBy(source_col).agg(F.min("_g2").alias("_m"))
     batches = within.join(F.broadcast(base), source_col).select(

@@ -534,11 +534,32 @@ cte("lcand", "SELECT pid, i, j, CAST(s[i + 1] AS DOUBLE) + CAST(e[j + 1] AS DOUB
              "(SELECT *, unnest(range(n)) AS i FROM lg))", ["lg"])
 
 
-def epoch_oracle(name: str, strict: bool) -> None:
+def keyed_position(rows: str, seed: int, epoch: int, walks: int = 6) -> str:
+    """``rows`` (with x and n) with ``y``: where x stands in the keyed bijection of 0..n-1."""
+    from sparkqa.functions.permute import PRIME, round_keys
+
+    def mixed(v, k):
+        t = f"(({v} * {k[0]} + {k[1]}) % {PRIME})"
+        return f"((xor({t}, {t} >> 15) * {k[2]}) % {PRIME})"
+    out = (f"SELECT *, x AS y, CAST(ceil(n / a::DOUBLE) AS BIGINT) AS b FROM (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM ({rows}))")
+    for w in range(walks):
+        out = f"SELECT *, y // b AS l, y % b AS r FROM ({out})"
+        for i, k in enumerate(round_keys(seed, epoch)):
+            turn = f"(l + {mixed('r', k)}) % a AS l" if i % 2 == 0 else f"(r + {mixed('l', k)}) % b AS r"
+            out = f"SELECT * REPLACE ({turn}) FROM ({out})"
+        inside = "y < n AND " if w else "FALSE AND "
+        out = f"SELECT * EXCLUDE (l, r) REPLACE (CASE WHEN {inside}TRUE THEN y ELSE l * b + r END AS y) FROM ({out})"
+    return out
+
+
+def epoch_oracle(name: str, strict: bool, keyed: bool = False) -> None:
+    rows = "SELECT doc_id, row_number() OVER (ORDER BY md5('8:' || doc_id), doc_id) - 1 AS p FROM documents"
+    if keyed:
+        rows = "SELECT doc_id, y AS p FROM (" + keyed_position(
+            "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS x, count(*) OVER () AS n FROM documents", 7, 1) + ")"
     iters = "ceil(sps / 16)" if strict else "floor(sps / 16)"
     cte(name + "_p", "SELECT doc_id, p, sps, CAST(floor(p / sps) AS BIGINT) AS shard, CAST(p - floor(p / sps) * sps AS BIGINT) AS inn "
-                     "FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('8:' || doc_id), doc_id) - 1 AS p, "
-                     "CAST(ceil(count(*) OVER () / 3) AS BIGINT) AS sps FROM documents)")
+                     f"FROM (SELECT doc_id, p, CAST(ceil(count(*) OVER () / 3) AS BIGINT) AS sps FROM ({rows}))")
     cte(name + "_g", f"SELECT shard, greatest(least(sps, n - shard * sps), 0) AS len, sps, CAST({iters} AS BIGINT) AS iters "
                      f"FROM (SELECT range AS shard FROM range(3)), (SELECT count(*) AS n, max(sps) AS sps FROM {name}_p)",
         [name + "_p"])
@@ -553,6 +574,7 @@ def epoch_oracle(name: str, strict: bool) -> None:
 
 epoch_oracle("ep", False)
 epoch_oracle("eps", True)
+epoch_oracle("epk", True, keyed=True)
 cte("mixsrc", "SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY md5('5:' || doc_id), doc_id) - 1 "
               "AS BIGINT) AS pos, count(*) OVER (PARTITION BY lang) AS n FROM documents")
 cte("mixplan", "SELECT lang, n, CAST(floor(floor(n / 16) * CASE lang WHEN 'en' THEN 1.0 WHEN 'fr' THEN 0.5 "
@@ -561,10 +583,16 @@ cte("mixplan", "SELECT lang, n, CAST(floor(floor(n / 16) * CASE lang WHEN 'en' T
 cte("mixsteps", "SELECT lang, CAST(step AS BIGINT) AS step, CAST(row_number() OVER (PARTITION BY lang ORDER BY step) - 1 "
                 "AS BIGINT) AS batch FROM (SELECT lang, row_number() OVER (ORDER BY md5('5:' || lang || ':' || j), lang, j) "
                 "- 1 AS step FROM (SELECT lang, unnest(range(its)) AS j FROM mixplan WHERE its > 0))", ["mixplan"])
-cte("mix", "SELECT s.step, g.lang AS source, g.batch, CAST(g.slot AS BIGINT) AS slot, m.doc_id FROM "
-           "(SELECT lang, n, batch, unnest(range(16)) AS slot FROM (SELECT lang, n, unnest(range(its)) AS batch "
-           "FROM mixplan WHERE its > 0)) g JOIN mixsrc m ON m.lang = g.lang AND m.pos = (g.batch * 16 + g.slot) % g.n "
-           "JOIN mixsteps s ON s.lang = g.lang AND s.batch = g.batch", ["mixplan", "mixsrc", "mixsteps"])
+cte("mixsrck", "SELECT doc_id, lang, CAST(y AS BIGINT) AS pos, n FROM (" + keyed_position(
+    "SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS x, count(*) OVER (PARTITION BY lang) AS n FROM documents", 3, 2) + ")")
+cte("mixstepsk", "SELECT lang, CAST(y AS BIGINT) AS step, CAST(row_number() OVER (PARTITION BY lang ORDER BY y) - 1 AS BIGINT) AS batch FROM (" + keyed_position(
+    "SELECT lang, row_number() OVER (ORDER BY lang, j) - 1 AS x, count(*) OVER () AS n FROM (SELECT lang, unnest(range(its)) AS j FROM mixplan WHERE its > 0)", 3, 2)
+    + ")", ["mixplan"])
+for _k in ("", "k"):
+    cte("mix" + _k, "SELECT s.step, g.lang AS source, g.batch, CAST(g.slot AS BIGINT) AS slot, m.doc_id FROM "
+        "(SELECT lang, n, batch, unnest(range(16)) AS slot FROM (SELECT lang, n, unnest(range(its)) AS batch "
+        f"FROM mixplan WHERE its > 0)) g JOIN mixsrc{_k} m ON m.lang = g.lang AND m.pos = (g.batch * 16 + g.slot) % g.n "
+        f"JOIN mixsteps{_k} s ON s.lang = g.lang AND s.batch = g.batch", ["mixplan", "mixsrc" + _k, "mixsteps" + _k])
 TOKWS = r"(?:[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}])[\p{Z}\p{C}]*"
 cte("nspans", "SELECT tid, CAST(pos AS BIGINT) AS pos, regexp_extract(piece, '^(?:[\\p{L}\\p{N}\\p{M}]+|[^\\p{Z}\\p{C}])') "
               "AS token, piece, lead, last FROM (SELECT tid, lead, unnest(pcs) AS piece, "
@@ -622,6 +650,8 @@ ORACLE.update({
     "r6_epoch_shards": sql("SELECT shard, batch, slot, doc_id FROM ep", ["ep"]),
     "r6_epoch_shards_strict": sql("SELECT shard, batch, slot, doc_id FROM eps", ["eps"]),
     "r7_mix_sources": sql("SELECT step, source, batch, slot, doc_id FROM mix", ["mix"]),
+    "r6_epoch_shards_keyed": sql("SELECT shard, batch, slot, doc_id FROM epk", ["epk"]),
+    "r7_mix_sources_keyed": sql("SELECT step, source, batch, slot, doc_id FROM mixk", ["mixk"]),
     "a7_question_overlap": sql(
         "SELECT (SELECT count(DISTINCT question) FROM questions) AS tab_questions, "
         "(SELECT count(DISTINCT question) FROM questions WHERE len(answers) = 2 OR length(question) > 30) AS reg_questions, "

@@ -827,6 +827,21 @@ def r6s(spark, sf_dir):
     return _epoch(spark, sf_dir, True).select("shard", "batch", "slot", "doc_id")
 
 
+@query("r6_epoch_shards_keyed")
+def r6k(spark, sf_dir):
+    """R6 with a keyed bijection of row numbers: no sort an epoch."""
+    d = tr.number_rows(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    return tr.epoch_shards(d, "doc_id", num_shards=3, batch_size=16, seed=7, epoch=1, strict=True, number="number") \
+        .select("shard", "batch", "slot", "doc_id")
+
+
+@query("r7_mix_sources_keyed")
+def r7k(spark, sf_dir):
+    """R7 with keyed bijections of the row numbers and of the batches."""
+    d = tr.number_rows(fx.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", "lang")
+    return tr.mix_sources(d, "doc_id", "lang", {"en": 1.0, "fr": 0.5, "de": 0.5, "es": 0.5}, 16, seed=3, epoch=2, number="number")
+
+
 @query("r7_mix_sources")
 def r7(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "lang")
