@@ -37,7 +37,7 @@ from sparkqa.llm.packed import pack, unpack
 from sparkqa.operators.util import DEFAULT_BROADCAST_ROWS
 
 BLOCK_BYTES, HELD = 4 << 20, 4_000_000
-HOT, SHARD_KEYS = 1 << 19, 1 << 20
+HOT, SHARD_KEYS, FEW = 1 << 19, 1 << 20, 3_000_000
 PRIOR_WORDS, QUANTILE, FOLDS = 20, 0.995, 5
 START = np.uint64(0x5157A127)  # the context of a document's first word
 _K = np.random.default_rng(1010).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,28 +91,32 @@ def _discounts(df: DataFrame, c: str, names: list[str]) -> DataFrame:
     return n.select("lang", *out)
 
 
+def _arrays(d: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, sorted, and values of ``d`` (lang, x, value), on the driver."""
+    t = d.select("lang", "x", value).toArrow()
+    lang, x, v = (np.asarray(t.column(i).combine_chunks()) for i in range(3))
+    k = keys(lang.view(np.uint64), None, x.view(np.uint64)) if len(x) else np.zeros(0, np.uint64)
+    o = np.argsort(k)
+    return k[o], v[o]
+
+
 def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The model of counts (lang, h, w, c) as ``key, weight`` and, a row a language, ``lang, unknown``:
-    the log-probability of the unknown word.
+    """The model of counts (lang, h, w, c) as ``key, n, weight`` (n: how often the key is in the trusted texts, 0 where it hardly matters) and, a
+    row a language, ``lang, unknown``: the log-probability of the unknown word.
 
     p(w|h) = (c(hw) - D(c)) / c(h) + g(h) q(w), with q the continuation distribution, itself
-    discounted and interpolated with the uniform one over all words and the unknown word.
+    discounted and interpolated with the uniform one over all words and the unknown word.  A bigram's gain needs but the sum of
+    its context's discounts, c(h) g(h), and q(w); tables of up to ``FEW`` words give both to every task as arrays, larger ones are joined.
     """
     disc = lambda x, a: F.when(x == 1, F.col(f"{a}1")).when(x == 2, F.col(f"{a}2")).otherwise(F.col(f"{a}3"))
     cells = _by_language(c, _discounts(c, "c", ["d1", "d2", "d3"])).select("lang", "h", "w", "c", disc(F.col("c"), "d").alias("less"))
-    ctx = materialize(cells.groupBy("lang", "h").agg(F.sum("c").alias("total"), (F.sum("less") / F.sum("c")).alias("g")), "kn-contexts")
-    cont = materialize(c.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")), "kn-continuations")
+    ctx = materialize(cells.groupBy("lang", F.col("h").alias("x")).agg(F.sum("c").alias("total"), F.sum("less").alias("less")), "kn-contexts")
+    cont = materialize(c.groupBy("lang", F.col("w").alias("x")).agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")), "kn-continuations")
     cont_less = _by_language(cont, _discounts(cont, "k", ["e1", "e2", "e3"])).withColumn("less", disc(F.col("k"), "e"))
     whole = materialize(cont_less.groupBy("lang").agg(F.sum("k").alias("all"), (F.sum("less") / F.sum("k") / (F.count(F.lit(1)) + 1)).alias("unk")), "kn-languages")
-    q = _by_language(cont_less, whole).select("lang", "w", "n", ((F.col("k") - F.col("less")) / F.col("all") + F.col("unk")).alias("q"), "unk")
-    lq = materialize(q.select("lang", "w", "n", "q", F.log(F.col("q") / F.col("unk")).alias("weight")), "kn-words")
-    few_contexts, few_words = ctx.count() <= DEFAULT_BROADCAST_ROWS, lq.count() <= DEFAULT_BROADCAST_ROWS
-    by_context = ctx.select(F.col("lang").alias("_l"), F.col("h").alias("_h"), "total", "g")
-    both = cells.join(F.broadcast(by_context) if few_contexts else by_context, (F.col("lang") == F.col("_l")) & (F.col("h") == F.col("_h"))) \
-        .select("lang", "h", "w", "c", ((F.col("c") - F.col("less")) / F.col("total")).alias("own"), "g")
-    by_word = lq.select(F.col("lang").alias("_l"), F.col("w").alias("_w"), "q")
-    gain = both.join(F.broadcast(by_word) if few_words else by_word, (F.col("lang") == F.col("_l")) & (F.col("w") == F.col("_w"))) \
-        .select("lang", "h", "w", "c", F.log1p(F.col("own") / (F.col("g") * F.col("q"))).alias("weight"))
+    q = _by_language(cont_less, whole).select("lang", "x", "n", ((F.col("k") - F.col("less")) / F.col("all") + F.col("unk")).alias("q"), "unk")
+    q = materialize(q.select("lang", "x", "n", "q", F.log(F.col("q") / F.col("unk")).alias("weight")), "kn-words")
+    out = "key long, n long, weight double"
 
     def keyed(kind: str):
         def run(batches):
@@ -123,17 +127,33 @@ def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), *b.columns[-2:]], ["key", "n", "weight"])
         return run
 
-    out = "key long, n long, weight double"
+    if ctx.count() <= FEW and q.count() <= FEW:
+        shared = c.sparkSession.sparkContext.broadcast((_arrays(ctx, "less"), _arrays(q, "q")))
+
+        def gains(batches):
+            (contexts, less), (words, share) = shared.value
+            for b in batches:
+                lang, h, w = (np.asarray(b.column(i)).view(np.uint64) for i in range(3))
+                n, own = np.asarray(b.column(3)), np.asarray(b.column(4))
+                base = less[np.searchsorted(contexts, keys(lang, None, h))] * share[np.searchsorted(words, keys(lang, None, w))] if len(h) else own
+                yield pa.RecordBatch.from_arrays([pa.array(keys(lang, h, w).view(np.int64)), pa.array(n), pa.array(np.log1p((n - own) / base))], ["key", "n", "weight"])
+
+        gain = cells.mapInArrow(gains, out)
+    else:
+        side = lambda d, x, v: d.select(F.col("lang").alias(f"_l{x}"), F.col("x").alias(f"_{x}"), F.col(v).alias(f"_v{x}"))
+        met = cells
+        for d, x, v in ((ctx, "h", "less"), (q, "w", "q")):
+            met = met.join(side(d, x, v).hint("merge"), (F.col("lang") == F.col(f"_l{x}")) & (F.col(x) == F.col(f"_{x}")))
+        gain = met.select("lang", "h", "w", "c", F.log1p((F.col("c") - F.col("less")) / (F.col("_vh") * F.col("_vw"))).alias("weight")).mapInArrow(keyed("hw"), out)
     # A word brings its own share and that of the context it is for the next; the last word is none, START always is.
-    lg = ctx.select(F.col("lang").alias("_l"), F.col("h").alias("_h"), F.log("g").alias("lg"), "total")
-    start = int(START)
-    word = lq.join(lg, (F.col("lang") == F.col("_l")) & (F.col("w") == F.col("_h")), "left") \
-        .select("lang", "w", "n", (F.col("weight") + F.coalesce("lg", F.lit(0.0))).alias("weight"))
-    first = F.col("_h") == start
-    ends = lg.select("_l", "_h", F.when(first, F.col("total")).otherwise(F.lit(0)).cast("bigint").alias("n"), F.when(first, F.col("lg")).otherwise(-F.col("lg")).alias("weight"))
+    start = F.col("x") == int(START)
+    lg = F.log(F.col("less") / F.col("total"))
+    ends = ctx.select("lang", "x", F.when(start, F.col("total")).otherwise(F.lit(0)).cast("bigint").alias("n"), F.when(start, lg).otherwise(-lg).alias("weight"))
+    word = q.select("lang", "x", "n", "weight").unionByName(ctx.filter(~start).select("lang", "x", F.lit(0).cast("bigint").alias("n"), lg.alias("weight")))
+    word = word.groupBy("lang", "x").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")).filter("n > 0")
     rows = ends.mapInArrow(keyed("h"), out) \
         .unionByName(word.mapInArrow(keyed("w"), out)) \
-        .unionByName(gain.mapInArrow(keyed("hw"), out))
+        .unionByName(gain)
     return rows, whole.select("lang", F.log("unk").alias("unknown"))
 
 
@@ -143,43 +163,44 @@ def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def packed_model(rows: DataFrame, least: int, shards: int) -> DataFrame:
-    """``shard, hot, pack`` of the model (key, n, weight): keys seen ``least`` times or more in packs of their own."""
+def packed_model(rows: DataFrame, shards: int) -> DataFrame:
+    """``shard, pack`` of model rows (key, n, weight)."""
 
     def run(batches):
         held, size = [], 0
 
         def emit():
-            key, n, weight = (np.concatenate([b[i] for b in held]) for i in range(3))
-            for hot in (False, True):
-                own = np.flatnonzero((n >= least) == hot)
-                own = own[np.argsort(key[own])]
-                k, w, at = key[own], weight[own], shards_of(key[own], shards)
-                cut = np.flatnonzero(np.diff(at, prepend=-1))
-                packs = [pack(k[x:y], w[x:y]) for x, y in zip(cut, [*cut[1:].tolist(), len(k)])]
-                yield pa.RecordBatch.from_arrays([pa.array(at[cut]), pa.array([hot] * len(cut), pa.bool_()), pa.array(packs, pa.binary())], ["shard", "hot", "pack"])
+            k, w = (np.concatenate([b[i] for b in held]) for i in range(2))
+            o = np.argsort(k)
+            k, w = k[o], w[o]
+            at = shards_of(k, shards)
+            cut = np.flatnonzero(np.diff(at, prepend=-1))
+            packs = [pack(k[x:y], w[x:y]) for x, y in zip(cut, [*cut[1:].tolist(), len(k)])]
+            return pa.RecordBatch.from_arrays([pa.array(at[cut]), pa.array(packs, pa.binary())], ["shard", "pack"])
 
         for b in batches:
-            held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1)), np.asarray(b.column(2))))
-            size += b.num_rows
+            if b.num_rows:
+                held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))))
+                size += b.num_rows
             if size >= SHARD_KEYS:
-                yield from emit()
+                yield emit()
                 held, size = [], 0
         if size:
-            yield from emit()
+            yield emit()
 
-    return rows.mapInArrow(run, "shard long, hot boolean, pack binary")
+    return rows.select("key", "weight").mapInArrow(run, "shard long, pack binary")
 
 
-def score(docs: DataFrame, model: DataFrame, shards: int) -> DataFrame:
+def score(docs: DataFrame, rows: DataFrame, least: int, shards: int) -> DataFrame:
     """``docs`` (doc_id, text_hash, lang_name, lang as a hash, text) without the text, with n_words and
-    ``gain``: the summed weights of its keys in ``model`` (of ``packed_model``).  Rows of a block are told apart by their place in it."""
+    ``gain``: the summed weights of its keys in ``rows`` (of ``weights``); those with n >= ``least`` are broadcast.  Texts of a block are told
+    apart by their place in it."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     inner = f"struct<doc_id:{kind},text_hash:bigint,lang_name:string,lang:bigint>"
     d = docs.select(F.struct("doc_id", "text_hash", "lang_name", "lang").alias("about"), "lang", "text")
-    hot = [unpack(bytes(r["pack"])) for r in model.filter("hot").select("pack").collect()]  # 2 * HOT keys at most, and START
-    hot_keys, hot_weights = (np.concatenate([x[i] for x in hot] or [np.zeros(0, t)]) for i, t in ((0, np.uint64), (1, np.float64)))
+    hot = rows.filter(F.col("n") >= least).select("key", "weight").toArrow()  # 2 * HOT keys at most, and a START a language
+    hot_keys, hot_weights = np.asarray(hot.column(0).combine_chunks()).view(np.uint64), np.asarray(hot.column(1).combine_chunks())
     order = np.argsort(hot_keys)
     shared = spark.sparkContext.broadcast((hot_keys[order], hot_weights[order]))
 
@@ -299,7 +320,7 @@ def score(docs: DataFrame, model: DataFrame, shards: int) -> DataFrame:
                     sums[at] += value
 
     asked = d.mapInArrow(ask, f"shard long, kind int, pack binary, block long, place int, n long, hot double, about {inner}")
-    parts = model.filter("not hot").select("shard", F.lit(0).alias("kind"), "pack")
+    parts = packed_model(rows.filter(F.col("n") < least), shards).withColumn("kind", F.lit(0))
     n = parallel(spark)
     met = asked.unionByName(parts, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
     sums = met.mapInArrow(answer, f"block long, place int, n long, hot double, about {inner}, at binary, value binary")
@@ -328,7 +349,7 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     total, distinct = c.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     shards = 1 << max(4 * parallel(docs.sparkSession), -(-distinct // SHARD_KEYS)).bit_length()
     rows, unknown = weights(c)
-    s = score(d, materialize(packed_model(rows, max(-(-total // HOT), 1), shards), "kn-model"), shards)
+    s = score(d, rows, max(-(-total // HOT), 1), shards)
     s = s.join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left").withColumn("held", F.col("_id").isNotNull() & held).drop("_id")
     s = _by_language(s, materialize(unknown, "kn-unknown"))
     s = s.withColumn("logp", F.when(F.col("n_words") > 0, F.col("gain") + F.col("n_words") * F.col("unknown"))).drop("gain", "unknown")

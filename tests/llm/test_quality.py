@@ -37,10 +37,11 @@ def test_junk_goes_and_clean_text_stays(spark):
     assert all(r["kept"] for r in kn.classify(frame(spark, rows[:5]), spark.createDataFrame([], "doc_id long, quality int")).collect())
 
 
-@pytest.mark.parametrize("hot", [kn.HOT, 40, 1])
-def test_scores_are_those_of_whole_word_bigrams(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot,few", [(kn.HOT, kn.FEW), (40, kn.FEW), (1, 0)])
+def test_scores_are_those_of_whole_word_bigrams(spark, monkeypatch, hot, few):
     """Every word counts as itself; a word no trusted text holds is the unknown word."""
-    monkeypatch.setattr(kn, "HOT", hot)  # 1: every key is asked for
+    monkeypatch.setattr(kn, "HOT", hot)  # 1: nearly every key is asked for
+    monkeypatch.setattr(kn, "FEW", few)  # 0: the tables are joined
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(6000)]
     rows = [(i, " ".join(rng.choice(vocabulary[:50] if rng.random() < 0.5 else vocabulary) for _ in range(60)), "en", "s") for i in range(300)]
