@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from sparkqa.functions.stopwords import ENGLISH_STOP_WORDS
 
+LINE = 100  # candidates of a search or gold line (Fx-table-search files)
 TOPK = 20  # k used by the ranked-result fixture (Fx-results)
 
 UNI_TOKENS = r"[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]"
@@ -300,6 +301,8 @@ ORACLE.update({
         "CAST(CASE WHEN issues THEN NULL ELSE n_rows END AS BIGINT) AS n_rows, "
         "CASE WHEN issues THEN NULL ELSE key END AS key, "
         "CASE WHEN issues THEN 'content before any table' END AS error FROM ftables", ["ftables"]),
+    "t3_table_key": sql("SELECT page_id, CAST(0 AS BIGINT) AS table_no, key FROM ftables WHERE NOT issues", ["ftables"]),
+    "t5_table_text": sql("SELECT page_id, CAST(0 AS BIGINT) AS table_no, table_text AS text FROM ftables WHERE NOT issues", ["ftables"]),
     "t2_clean_tables": sql("SELECT table_id, page_id, caption, key FROM fclean", ["fclean"]),
     "a6_table_stats": sql(
         "SELECT CAST(count(*) FILTER (WHERE issues) AS BIGINT) AS pages_with_issues, "
@@ -470,7 +473,7 @@ ORACLE.update({
         "SELECT page_id, CAST(CASE WHEN issues THEN -1 ELSE 0 END AS BIGINT) AS table_no, "
         "CASE WHEN issues THEN NULL ELSE caption END AS caption, CASE WHEN issues THEN NULL ELSE key END AS key, "
         "CASE WHEN issues THEN 'content before any table' END AS error FROM ftables", ["ftables"]),
-    "s12_read_search_results": sql("SELECT t.question, s.rank, CAST(100.0 - s.rank AS DOUBLE) AS score, s.table_id "
+    "s12_read_search_results": sql(f"SELECT t.question, CAST((s.rank - 1) % {LINE} + 1 AS BIGINT) AS rank, CAST(100.0 - s.rank AS DOUBLE) AS score, s.table_id "
                                    "FROM fsearch s JOIN ftq t USING (q)", ["fsearch", "ftq"]),
     "s13_read_gold_passages": sql(
         "SELECT key, arg_max(question, qid) AS question, arg_max(title, qid) AS title, arg_max(context, qid) AS context, "
@@ -647,6 +650,11 @@ ORACLE.update({
         "CAST(coalesce(list_min(list_filter(range(j, n), lambda k: k = n - 1 OR (k + 1) % 3 <> 2)), j) AS BIGINT) AS \"end\", "
         "round(score, 5) AS score FROM lcand QUALIFY row_number() OVER (PARTITION BY pid ORDER BY score DESC, i, j) = 1",
         ["lcand"]),
+    "n13_extend_span": sql(
+        "SELECT pid, "
+        + ", ".join(f"CAST(coalesce(list_max(list_filter(range(0, {i} + 1), lambda k: k % 3 <> 2)), 0) AS BIGINT) AS {c}_start, "
+                    f"CAST(coalesce(list_min(list_filter(range({j}, n), lambda k: k = n - 1 OR (k + 1) % 3 <> 2)), {j}) AS BIGINT) AS {c}_end"
+                    for c, i, j in (("a", 2, 3), ("b", "i", "j"))) + " FROM (SELECT *, n - 3 AS i, n - 2 AS j FROM lg WHERE n >= 6)", ["lg"]),
     "r6_epoch_shards": sql("SELECT shard, batch, slot, doc_id FROM ep", ["ep"]),
     "r6_epoch_shards_strict": sql("SELECT shard, batch, slot, doc_id FROM eps", ["eps"]),
     "r7_mix_sources": sql("SELECT step, source, batch, slot, doc_id FROM mix", ["mix"]),
@@ -677,11 +685,14 @@ ORACLE.update({
                             "(SELECT row_no, text, " + nfd_sql("text") + " AS nfd FROM corpus)", ["corpus"]),
 })
 
+ORACLE["k9_reader_parts"] = ORACLE["r8_prepare_reader_data"]
+ORACLE["e6_validate_stored"] = ORACLE["e5_hit_at_k"]
+ORACLE["n16_meta_text"] = sql("SELECT id, coalesce(text, '') AS plain, coalesce(title, '') || ' . ' || coalesce(text, '') AS titled FROM corpus", ["corpus"])
 for _same in ("x1_bm25_topk_stream", "x1_bm25_topk_blocks", "k4_index_update"):
     ORACLE[_same] = ORACLE["x1_bm25_topk"]
 
 ORACLE["e4_match_from_meta_compressed"] = ORACLE["e4_match_from_meta"]
-ORACLE["s12_read_gold_results"] = sql("SELECT q AS q_index, rank, table_id FROM fgold", ["fgold"])
+ORACLE["s12_read_gold_results"] = sql(f"SELECT q AS q_index, CAST((rank - 1) % {LINE} + 1 AS BIGINT) AS rank, table_id FROM fgold", ["fgold"])
 
 # R3 with include_gold_passage: the gold passage is the benchmark text of the question
 cte("rgp", "SELECT x.qid, x.doc_id, x.text, x.spans FROM (SELECT qid, doc_id, text, " + SPANS + " AS spans FROM "

@@ -21,7 +21,7 @@ from sparkqa.operators import training as tr
 from sparkqa.operators.util import rank_in_groups
 from sparkqa.sinks import writers as wr
 from sparkqa.sources import files as fs
-from sparkqa.plans.oracle import TOPK
+from sparkqa.plans.oracle import LINE, TOPK
 from sparkqa.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -567,11 +567,12 @@ def s12(spark, sf_dir):
     clean = clean_table_frame(spark, sf_dir)
     search = fx.table_search(spark, sf_dir, clean)
     tq = fx.table_questions(spark, sf_dir)
-    lines = search.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
-        .join(tq, "q").select("q", F.concat_ws("\t", "question", wr.py_list_literal("answers"), F.array_join(
+    # a question's list goes on in further lines of LINE candidates each
+    lines = search.groupBy("q", F.floor((F.col("rank") - 1) / LINE).alias("part")).agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")) \
+        .join(tq, "q").select("q", "part", F.concat_ws("\t", "question", wr.py_list_literal("answers"), F.array_join(
             F.transform("c", lambda x: F.concat(F.format_string("%.1f", (F.lit(100.0) - x["rank"])), F.lit(","),
                                                 x["table_id"].cast("string"))), "\t")).alias("line"))
-    lines.orderBy("q").select("line").write.mode("overwrite").text(path)
+    lines.orderBy("q", "part").select("line").write.mode("overwrite").text(path)
     out = fs.read_search_results(spark, path)
     return out.select("question", "rank", "score", "table_id")
 
@@ -589,9 +590,7 @@ def s13(spark, sf_dir):
         "question", F.regexp_replace("question", " ", "  ").alias("question_tokens"),
         F.upper(F.coalesce("title", F.lit("none"))).alias("title"), "context",
         F.col("qid").cast("string").alias("example_id"))
-    g.groupBy(F.spark_partition_id().alias("_p")).agg(F.to_json(F.struct(F.collect_list(F.struct(*g.columns))
-                                                                           .alias("data"))).alias("v")) \
-        .select("v").write.mode("overwrite").text(path)
+    wr.write_json_arrays(g, path, member="data")
     return fs.read_gold_passages(spark, path).select("key", "question", "title", "context", "example_id")
 
 
@@ -765,6 +764,63 @@ def r8(spark, sf_dir):
                        F.get(F.col("positive_passages"), 0)["doc_id"].alias("first_positive"))
 
 
+@query("k9_reader_parts")
+def k9(spark, sf_dir):
+    """K9 with reuse: the samples are first prepared from older questions in two waves; then only the parts whose inputs differ are prepared anew."""
+    from sparkqa.sinks import reader_parts as rp
+    ctx, q, gold = reader_inputs(spark, sf_dir)
+    ctx = ctx.withColumn("title_tokens", tx.tokenize_alnum("title"))
+    path = _scratch(spark, "reader-parts")
+
+    def prepare(some):
+        return tr.prepare_reader_data(tr.select_reader_passages(some["contexts"], some["questions"], gold, is_train=True), some["questions"])
+    older = q.withColumn("question", F.when(F.col("qid") % 10 == 1, F.concat("question", F.lit(" before"))).otherwise(F.col("question")))
+    rp.prepare_in_parts({"contexts": ctx, "questions": older}, prepare, path, n_parts=8, wave=4)
+    rp.prepare_in_parts({"contexts": ctx, "questions": q}, prepare, path, n_parts=8, wave=4)
+    back = rp.read_parts(spark, path, prepare({"contexts": ctx, "questions": q}).schema)
+    return back.select("qid", "question", F.size("positive_passages").cast("bigint").alias("n_pos"),
+                       F.size("negative_passages").cast("bigint").alias("n_neg"),
+                       F.get(F.col("positive_passages"), 0)["doc_id"].alias("first_positive"))
+
+
+@query("e6_validate_stored")
+def e6s(spark, sf_dir):
+    """E6 over passages and results stored in the same buckets by id."""
+    from sparkqa.operators import stored as st
+    passages, results = _scratch(spark, "p").rsplit("/", 1)[1].replace("-", "_"), _scratch(spark, "r").rsplit("/", 1)[1].replace("-", "_")
+    st.store_passages(fx.corpus(spark, sf_dir), passages, 16)
+    st.store_results(bm25_results(spark, sf_dir, persist=False), results, 16)
+    qs = fx.questions(spark, sf_dir)
+    return ev.hit_at_k(st.match_string(spark, results, passages, qs), qs, TOPK).select("k", "hits", F.round("recall", 6).alias("recall"))
+
+
+@query("n13_extend_span")
+def n13(spark, sf_dir):
+    """N13 on every passage of Fx-logits: the spans (third token, and the one before the last)."""
+    lg = logits_fixture(spark, sf_dir).filter(F.size("is_sub_word") >= 6)
+    n = F.size("is_sub_word")
+    wide = lg.select("pid", tx.extend_span(F.lit(2), F.lit(3), "is_sub_word").alias("a"), tx.extend_span(n - 3, n - 2, "is_sub_word").alias("b"))
+    return wide.select("pid", *[F.col(f"{s}.{e}").cast("bigint").alias(f"{s}_{e}") for s in "ab" for e in ("start", "end")])
+
+
+@query("n16_meta_text")
+def n16(spark, sf_dir):
+    c = fx.corpus(spark, sf_dir)
+    return c.select("id", tx.meta_text("text", "title").alias("plain"), tx.meta_text("text", "title", use_title=True).alias("titled"))
+
+
+@query("t3_table_key")
+def t3(spark, sf_dir):
+    t = tb.extract_tables(fx.table_pages(spark, sf_dir)).filter(F.col("rows").isNotNull())
+    return t.select("page_id", F.col("table_no").cast("bigint").alias("table_no"), tb.table_key().alias("key"))
+
+
+@query("t5_table_text")
+def t5(spark, sf_dir):
+    t = tb.extract_tables(fx.table_pages(spark, sf_dir)).filter(F.col("rows").isNotNull())
+    return t.select("page_id", F.col("table_no").cast("bigint").alias("table_no"), tb.table_text().alias("text"))
+
+
 @query("r1_retriever_examples")
 def r1(spark, sf_dir):
     ex = tr.retriever_examples(training_samples(spark, sf_dir), normalize=True, exclude_gold=True, suffix="?")
@@ -933,10 +989,10 @@ def s12g(spark, sf_dir):
     path = _scratch(spark, "gold-csv")
     clean = clean_table_frame(spark, sf_dir)
     gold = fx.table_search(spark, sf_dir, clean, descending=True)
-    lines = gold.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")).select(
-        "q", F.concat_ws(",", F.col("q").cast("string"), F.array_join(F.transform(
+    lines = gold.groupBy("q", F.floor((F.col("rank") - 1) / LINE).alias("part")).agg(F.array_sort(F.collect_list(F.struct("rank", "table_id"))).alias("c")).select(
+        "q", "part", F.concat_ws(",", F.col("q").cast("string"), F.array_join(F.transform(
             "c", lambda x: F.concat(F.lit('"'), x["table_id"].cast("string"), F.lit(" tbl"), F.lit('"'))), ",")).alias("line"))
-    lines.orderBy("q").select("line").write.mode("overwrite").text(path)
+    lines.orderBy("q", "part").select("line").write.mode("overwrite").text(path)
     return fs.read_gold_results(spark, path)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkqa.operators import evaluate as ev
 from sparkqa.operators import index as ix
 from sparkqa.operators import retrieve as rt
+from sparkqa.sinks import reader_parts as rp
 from sparkqa.sinks import writers as wr
 from sparkqa.sources import files as fs
 
@@ -124,9 +125,11 @@ REPORT_SCHEMA = ("question string, answers array<string>, "
 
 
 def prepare_reader(spark: SparkSession, report_path: str, out_path: str, gold_path: str | None = None,
-                   is_train: bool = True, n_parts: int | None = None) -> DataFrame:
+                   is_train: bool = True, n_parts: int = 64, wave: int = 64) -> DataFrame:
     """Retriever result reports (K1 JSON lines) -> reader samples written as Parquet parts (K9).
 
+    Parts that an earlier run finished from the same inputs are reused; a run that broke goes on where it was.
+
     Passages and answers are tokenised with the BM25 tokenizer, which stands in for a model
     tokenizer; R3 selects passages (gold-page positives when ``gold_path`` is an S13 file),
     R4 builds sequences and R8 groups them per question.
@@ -143,7 +146,11 @@ def prepare_reader(spark: SparkSession, report_path: str, out_path: str, gold_pa
                                                   lambda a: tokenize_alnum(a)).alias("answer_tokens"),
                    tokenize_alnum("question").alias("question_tokens"))
     gold = fs.read_gold_passages(spark, gold_path) if gold_path else None
-    sel = tr.select_reader_passages(ctx, q, gold, is_train=is_train)
-    samples = tr.prepare_reader_data(sel, q)
-    wr.write_reader_samples(samples, out_path, n_parts)
-    return wr.read_reader_samples(spark, out_path)
+
+    def prepare(some: dict[str, DataFrame]) -> DataFrame:
+        return tr.prepare_reader_data(tr.select_reader_passages(some["contexts"], some["questions"], gold, is_train=is_train), some["questions"])
+
+    inputs = {"contexts": ctx, "questions": q}
+    identity = f"train={is_train}" + (f" gold={wr.corpus_fingerprint(gold, tuple(gold.columns))}" if gold is not None else "")
+    rp.prepare_in_parts(inputs, prepare, out_path, n_parts=n_parts, wave=wave, identity=identity)
+    return rp.read_parts(spark, out_path, prepare(inputs).schema)

@@ -26,19 +26,21 @@ def write_tsv(df: DataFrame, path: str, header: bool = False, sep: str = "\t", m
                                    "quoteAll": "false"}).csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
+def write_json_arrays(df: DataFrame, path: str, member: str | None = None) -> None:
     """One JSON array file per partition (the layout of JSON-array inputs), written as one line a
-    record, so no task holds more than a batch."""
+    record, so no task holds more than a batch.  With ``member`` the file is an object with the array as its member."""
+    start, end = (json.dumps({member: []})[:-2], "]}") if member else ("[", "]")
+
     def lines(batches):
         import pyarrow as pa
-        lead = "["
+        lead = start
         for b in batches:
             out = []
             for x in b.column(0).to_pylist():
                 out.append(lead + x)
                 lead = ","
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
-        yield pa.RecordBatch.from_arrays([pa.array(["]" if lead == "," else "[]"])], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([end if lead == "," else start + end])], ["value"])
 
     rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "true"}).alias("value"))
     rows.mapInArrow(lines, "value string").write.mode("overwrite").text(path)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkqa.functions.text import normalize_passage, normalize_question
+from sparkqa.sources.json_arrays import read_array
 from sparkqa.sources.records import read_records, with_record_order
 
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"', "multiLine": "true", "header": "false",
@@ -156,8 +157,7 @@ QA_JSON_SCHEMA = "question string, answers array<string>, entity string"
 
 def read_qa_json(spark: SparkSession, path) -> DataFrame:
     """JSON array of ``{question, answers[, entity]}``; ``qid`` = position."""
-    df = spark.read.schema(QA_JSON_SCHEMA).json(path, multiLine=True)
-    return with_file_order(df, "qid").select("qid", "question", "answers", "entity")
+    return with_record_order(read_array(spark, path, QA_JSON_SCHEMA), "qid").select("qid", "question", "answers", "entity")
 
 
 def read_qa_jsonl(spark: SparkSession, path, question_attr: str = "question", answers_attr: str = "answers",
@@ -243,8 +243,8 @@ TRAINING_SCHEMA = (f"question string, answers array<string>, positive_ctxs {CTX}
 def read_training_json(spark: SparkSession, path, start: int = -1, end: int = -1) -> DataFrame:
     """JSON arrays of retriever samples; samples with no positive context dropped; optional
     ``[start, end)`` slice after the filter."""
-    df = spark.read.schema(TRAINING_SCHEMA).json(path, multiLine=True)
-    df = with_file_order(df.filter(F.size(F.coalesce("positive_ctxs", F.array())) > 0), "sample_no")
+    df = read_array(spark, path, TRAINING_SCHEMA)
+    df = with_record_order(df.filter(F.size(F.coalesce("positive_ctxs", F.array())) > 0), "sample_no")
     if start >= 0 and end >= 0:
         df = df.filter((F.col("sample_no") >= start) & (F.col("sample_no") < end))
     return df
@@ -315,15 +315,9 @@ def read_gold_results(spark: SparkSession, path) -> DataFrame:
 def read_gold_passages(spark: SparkSession, path) -> DataFrame:
     """``{"data": [{question, question_tokens?, title, context, example_id}]}`` keyed by
     both question forms (title lower-cased); later duplicates of a key win."""
-    schema = ("data array<struct<question:string,question_tokens:string,title:string,context:string,"
-              "example_id:string>>")
-    df = spark.read.schema(schema).json(path, multiLine=True)
-    items = df.select(F.posexplode("data").alias("pos", "d"))
-    items = with_file_order(items.select("pos", "d"), "_fo")
-    base = items.select(F.col("_fo").alias("order"), F.col("d.question").alias("question"),
-                        F.col("d.question_tokens").alias("question_tokens"),
-                        F.lower(F.col("d.title")).alias("title"), F.col("d.context").alias("context"),
-                        F.col("d.example_id").alias("example_id"))
+    schema = "question string, question_tokens string, title string, context string, example_id string"
+    items = with_record_order(read_array(spark, path, schema, member="data"), "order")
+    base = items.withColumn("title", F.lower("title"))
     keys = base.select(F.col("question").alias("key"), "*").unionByName(
         base.filter(F.col("question_tokens").isNotNull()).select(F.col("question_tokens").alias("key"), "*"))
     last = keys.groupBy("key").agg(F.max_by(F.struct("question", "title", "context", "example_id"),

@@ -87,3 +87,52 @@ def test_the_bit_of_a_line(spark):
         return state == 2
     for r in d.collect():
         assert (r["c"], r["o"]) == (walk(r["s"], 1), walk(r["s"], 2)), r["s"]
+
+
+def json_rows(spark, path, schema, member=None):
+    from sparkqa.sources.json_arrays import read_array
+    rows = rec.with_record_order(read_array(spark, str(path), schema, member), "n").orderBy("n").collect()
+    assert [r["n"] for r in rows] == list(range(len(rows)))
+    return [r.asDict(True) for r in rows]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_array_elements_are_those_of_the_json_reader(spark, tmp_path, small_splits, seed):
+    import json
+    rng = random.Random(seed)
+    odd = ['[', ']', '{', '}', ',', '"', "\\", "\n", "é", " ", ": ", '"data": [', "x"]
+    items = [{"question": "".join(rng.choice(odd) for _ in range(rng.randrange(0, 40 if i % 9 else 400))),
+              "answers": [rng.choice(odd) * 3 for _ in range(rng.randrange(4))]} for i in range(24)]
+    p = tmp_path / "a.json"
+    text = json.dumps(items, indent=rng.choice([1, 4]), ensure_ascii=seed == 1)
+    p.write_text((rec.BOM if seed == 2 else "") + text)
+    schema = "question string, answers array<string>"
+    got = json_rows(spark, p, schema)
+    assert [{k: r[k] for k in ("question", "answers")} for r in got] == items
+    gold = tmp_path / "g.json"
+    gold.write_text(json.dumps({"version": ["x, y", {"question": "no"}], "meta": {"data": [{"question": "inner"}]}, "data": items, "after": [1, 2]}, indent=1))
+    got = json_rows(spark, gold, schema, "data")
+    assert [{k: r[k] for k in ("question", "answers")} for r in got] == items
+
+
+def test_arrays_in_several_files_empty_ones_and_one_line(spark, tmp_path, small_splits):
+    d = tmp_path / "d"
+    d.mkdir()
+    (d / "1.json").write_text("[]")
+    (d / "2.json").write_text('[{"question": "a", "answers": []}, {"question": "b"}]')
+    (d / "3.json").write_text('[\n\n{"question":\n"c"\n}\n,\n{"question": "' + "d" * 900 + '"}\n]\n')
+    (d / "4.json").write_text('  [  ]  ')
+    got = json_rows(spark, d, "question string, answers array<string>")
+    assert [r["question"] for r in got] == ["a", "b", "c", "d" * 900]
+    one = spark.read.schema("question string").json(str(d), multiLine=True).collect()
+    assert sorted(r["question"] for r in one) == sorted(r["question"] for r in got)
+
+
+def test_an_array_file_is_many_scan_tasks(spark, tmp_path, small_splits):
+    import json
+    from sparkqa.sources import json_arrays
+    p = tmp_path / "t.json"
+    p.write_text(json.dumps([{"question": f"q{i}", "positive_ctxs": [{"text": f"t{i}"}] * (i % 3)} for i in range(100)], indent=1))
+    assert json_arrays._lines(spark, str(p)).rdd.getNumPartitions() > 10
+    rows = fs.read_training_json(spark, str(p)).orderBy("sample_no").collect()
+    assert [r["question"] for r in rows] == [f"q{i}" for i in range(100) if i % 3]
