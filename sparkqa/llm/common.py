@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkqa.operators.util import materialize
 
-__all__ = ["materialize", "table", "chunks", "word_hashes", "mix64", "salted_row_number", "parallel"]
+__all__ = ["materialize", "table", "chunks", "word_hashes", "mix64", "salted_row_number", "parallel", "release"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +104,16 @@ def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES
             part = np.concatenate([data[offs[k]:offs[k] + sizes[k]] for k in range(i, j)] or [data[:0]])
         yield batch.slice(i, j - i), part, own
         i = j
+    release()
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the machine: a Python worker lives on beside others after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = True

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqa.llm.common import chunks, materialize, mix64, parallel, word_hashes
+from sparkqa.llm.common import chunks, materialize, mix64, parallel, release, word_hashes
 from sparkqa.llm.packed import pack, unpack
 from sparkqa.operators.util import DEFAULT_BROADCAST_ROWS
 
@@ -100,9 +100,9 @@ def _arrays(d: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
     return k[o], v[o]
 
 
-def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The model of counts (lang, h, w, c) as ``key, n, weight`` (n: how often the key is in the trusted texts, 0 where it hardly matters) and, a
-    row a language, ``lang, unknown``: the log-probability of the unknown word.
+def weights(c: DataFrame) -> tuple[list, DataFrame]:
+    """The model of counts (lang, h, w, c), as parts that are each a table and a function from its batches to model rows ``key, n, weight`` (n: how
+    often the key is in the trusted texts, 0 where it hardly matters); and, a row a language, ``lang, unknown``: the log-probability of the unknown word.
 
     p(w|h) = (c(hw) - D(c)) / c(h) + g(h) q(w), with q the continuation distribution, itself
     discounted and interpolated with the uniform one over all words and the unknown word.  A bigram's gain needs but the sum of
@@ -116,7 +116,6 @@ def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = materialize(cont_less.groupBy("lang").agg(F.sum("k").alias("all"), (F.sum("less") / F.sum("k") / (F.count(F.lit(1)) + 1)).alias("unk")), "kn-languages")
     q = _by_language(cont_less, whole).select("lang", "x", "n", ((F.col("k") - F.col("less")) / F.col("all") + F.col("unk")).alias("q"), "unk")
     q = materialize(q.select("lang", "x", "n", "q", F.log(F.col("q") / F.col("unk")).alias("weight")), "kn-words")
-    out = "key long, n long, weight double"
 
     def keyed(kind: str):
         def run(batches):
@@ -138,23 +137,20 @@ def weights(c: DataFrame) -> tuple[DataFrame, DataFrame]:
                 base = less[np.searchsorted(contexts, keys(lang, None, h))] * share[np.searchsorted(words, keys(lang, None, w))] if len(h) else own
                 yield pa.RecordBatch.from_arrays([pa.array(keys(lang, h, w).view(np.int64)), pa.array(n), pa.array(np.log1p((n - own) / base))], ["key", "n", "weight"])
 
-        gain = cells.mapInArrow(gains, out)
+        gain = (cells, gains)
     else:
         side = lambda d, x, v: d.select(F.col("lang").alias(f"_l{x}"), F.col("x").alias(f"_{x}"), F.col(v).alias(f"_v{x}"))
         met = cells
         for d, x, v in ((ctx, "h", "less"), (q, "w", "q")):
             met = met.join(side(d, x, v).hint("merge"), (F.col("lang") == F.col(f"_l{x}")) & (F.col(x) == F.col(f"_{x}")))
-        gain = met.select("lang", "h", "w", "c", F.log1p((F.col("c") - F.col("less")) / (F.col("_vh") * F.col("_vw"))).alias("weight")).mapInArrow(keyed("hw"), out)
+        gain = (met.select("lang", "h", "w", "c", F.log1p((F.col("c") - F.col("less")) / (F.col("_vh") * F.col("_vw"))).alias("weight")), keyed("hw"))
     # A word brings its own share and that of the context it is for the next; the last word is none, START always is.
     start = F.col("x") == int(START)
     lg = F.log(F.col("less") / F.col("total"))
     ends = ctx.select("lang", "x", F.when(start, F.col("total")).otherwise(F.lit(0)).cast("bigint").alias("n"), F.when(start, lg).otherwise(-lg).alias("weight"))
     word = q.select("lang", "x", "n", "weight").unionByName(ctx.filter(~start).select("lang", "x", F.lit(0).cast("bigint").alias("n"), lg.alias("weight")))
     word = word.groupBy("lang", "x").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")).filter("n > 0")
-    rows = ends.mapInArrow(keyed("h"), out) \
-        .unionByName(word.mapInArrow(keyed("w"), out)) \
-        .unionByName(gain)
-    return rows, whole.select("lang", F.log("unk").alias("unknown"))
+    return [(ends, keyed("h")), (word, keyed("w")), gain], whole.select("lang", F.log("unk").alias("unknown"))
 
 
 def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -163,46 +159,61 @@ def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def packed_model(rows: DataFrame, shards: int) -> DataFrame:
-    """``shard, pack`` of model rows (key, n, weight)."""
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-    def run(batches):
-        held, size = [], 0
 
-        def emit():
-            k, w = (np.concatenate([b[i] for b in held]) for i in range(2))
-            o = np.argsort(k)
-            k, w = k[o], w[o]
-            at = shards_of(k, shards)
-            cut = np.flatnonzero(np.diff(at, prepend=-1))
-            packs = [pack(k[x:y], w[x:y]) for x, y in zip(cut, [*cut[1:].tolist(), len(k)])]
-            return pa.RecordBatch.from_arrays([pa.array(at[cut]), pa.array(packs, pa.binary())], ["shard", "pack"])
+def hot_model(model: list, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, sorted, and weights of the model's keys with n >= ``least``, on the driver: 2 * HOT keys at most, and a START a language."""
+    t = _union([d.mapInArrow(f, "key long, n long, weight double") for d, f in model]).filter(F.col("n") >= least).select("key", "weight").toArrow()
+    k, w = np.asarray(t.column(0).combine_chunks()).view(np.uint64), np.asarray(t.column(1).combine_chunks())
+    o = np.argsort(k)
+    return k[o], w[o]
 
-        for b in batches:
-            if b.num_rows:
-                held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))))
-                size += b.num_rows
-            if size >= SHARD_KEYS:
+
+def packed_model(model: list, least: int, shards: int) -> DataFrame:
+    """``shard, pack`` of the model's keys with n < ``least``.  A part's rows are made and packed by one Python worker."""
+
+    def packer(make):
+        def run(batches):
+            held, size = [], 0
+
+            def emit():
+                k, w = (np.concatenate([b[i] for b in held]) for i in range(2))
+                o = np.argsort(k)
+                k, w = k[o], w[o]
+                at = shards_of(k, shards)
+                cut = np.flatnonzero(np.diff(at, prepend=-1))
+                packs = [pack(k[x:y], w[x:y]) for x, y in zip(cut, [*cut[1:].tolist(), len(k)])]
+                return pa.RecordBatch.from_arrays([pa.array(at[cut]), pa.array(packs, pa.binary())], ["shard", "pack"])
+
+            for b in make(batches):
+                cold = np.asarray(b.column(1)) < least
+                held.append((np.asarray(b.column(0)).view(np.uint64)[cold], np.asarray(b.column(2))[cold]))
+                size += int(cold.sum())
+                if size >= SHARD_KEYS:
+                    yield emit()
+                    held, size = [], 0
+            if size:
                 yield emit()
-                held, size = [], 0
-        if size:
-            yield emit()
+            release()
+        return run
 
-    return rows.select("key", "weight").mapInArrow(run, "shard long, pack binary")
+    return _union([d.mapInArrow(packer(f), "shard long, pack binary") for d, f in model])
 
 
-def score(docs: DataFrame, rows: DataFrame, least: int, shards: int) -> DataFrame:
+def score(docs: DataFrame, model: list, least: int, shards: int) -> DataFrame:
     """``docs`` (doc_id, text_hash, lang_name, lang as a hash, text) without the text, with n_words and
-    ``gain``: the summed weights of its keys in ``rows`` (of ``weights``); those with n >= ``least`` are broadcast.  Texts of a block are told
+    ``gain``: the summed weights of its keys in ``model`` (of ``weights``); those with n >= ``least`` are broadcast.  Texts of a block are told
     apart by their place in it."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     inner = f"struct<doc_id:{kind},text_hash:bigint,lang_name:string,lang:bigint>"
     d = docs.select(F.struct("doc_id", "text_hash", "lang_name", "lang").alias("about"), "lang", "text")
-    hot = rows.filter(F.col("n") >= least).select("key", "weight").toArrow()  # 2 * HOT keys at most, and a START a language
-    hot_keys, hot_weights = np.asarray(hot.column(0).combine_chunks()).view(np.uint64), np.asarray(hot.column(1).combine_chunks())
-    order = np.argsort(hot_keys)
-    shared = spark.sparkContext.broadcast((hot_keys[order], hot_weights[order]))
+    shared = spark.sparkContext.broadcast(hot_model(model, least))
 
     def ask(batches):
         from pyspark import TaskContext
@@ -295,6 +306,7 @@ def score(docs: DataFrame, rows: DataFrame, least: int, shards: int) -> DataFram
                     size = 0
         if held:
             yield from emit()
+        release()
 
     def add(batches):
         """A block's answers come before its texts."""
@@ -320,7 +332,7 @@ def score(docs: DataFrame, rows: DataFrame, least: int, shards: int) -> DataFram
                     sums[at] += value
 
     asked = d.mapInArrow(ask, f"shard long, kind int, pack binary, block long, place int, n long, hot double, about {inner}")
-    parts = packed_model(rows.filter(F.col("n") < least), shards).withColumn("kind", F.lit(0))
+    parts = packed_model(model, least, shards).withColumn("kind", F.lit(0))
     n = parallel(spark)
     met = asked.unionByName(parts, allowMissingColumns=True).repartition(n, "shard").sortWithinPartitions("shard", "kind")
     sums = met.mapInArrow(answer, f"block long, place int, n long, hot double, about {inner}, at binary, value binary")
@@ -348,8 +360,8 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     c = materialize(counts(counted), "kn-counts")
     total, distinct = c.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     shards = 1 << max(4 * parallel(docs.sparkSession), -(-distinct // SHARD_KEYS)).bit_length()
-    rows, unknown = weights(c)
-    s = score(d, rows, max(-(-total // HOT), 1), shards)
+    model, unknown = weights(c)
+    s = score(d, model, max(-(-total // HOT), 1), shards)
     s = s.join(trusted.hint("merge"), F.col("doc_id") == F.col("_id"), "left").withColumn("held", F.col("_id").isNotNull() & held).drop("_id")
     s = _by_language(s, materialize(unknown, "kn-unknown"))
     s = s.withColumn("logp", F.when(F.col("n_words") > 0, F.col("gain") + F.col("n_words") * F.col("unknown"))).drop("gain", "unknown")
