@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm import alignment, imi, kneser_ney, langid, licenses, line_dedup, merkle, mixing, ngram_join, packing, pii, rabitq, sharding
 from sparkqa.llm.common import table
+from sparkqa.session import scratch_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +24,7 @@ def op3_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    d = sharding.shard(table(spark, sf_dir, "documents"), shards=40, map_path=scratch_path(spark, "slot-maps"))
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 

@@ -36,6 +36,32 @@ def test_shards_are_whole_and_even(spark, tmp_path):
     assert moved and {r["shard"] for r in moved} == {5}
 
 
+def test_a_saved_map_is_edited_not_made_anew(spark, tmp_path):
+    path = str(tmp_path / "map")
+    rows = [(i, "x" * (37 * i % 501), "en", "s") for i in range(600)]
+    first = sorted(map(tuple, sharding.shard(frame(spark, rows), shards=6, slots=64, map_path=path).collect()))
+    assert len(first) == 600
+    newest = {r["virtual_slot"]: r["shard"] for r in sharding.load_map(spark, path).collect()}
+    again = sorted(map(tuple, sharding.shard(frame(spark, rows), shards=6, slots=64, map_path=path).collect()))
+    assert again == first and {r["virtual_slot"]: r["shard"] for r in sharding.load_map(spark, path).collect()} == newest
+    with pytest.raises(Exception, match="(?i)exists"):
+        sharding.save_map(sharding.load_map(spark, path), path, 0)
+    # more records in some slots: only what is over moves
+    more = rows + [(1000 + i, "y" * 4000, "en", "s") for i in range(40)]
+    sizes = sharding.slot_bytes(sharding.records(frame(spark, more), slots=64))
+    before = sharding.with_sizes(sharding.load_map(spark, path), sizes, 6)
+    after = sharding.rebalance(before, 6)
+    load = lambda m: {r["shard"]: r["b"] for r in m.groupBy("shard").agg({"bytes": "sum"}).withColumnRenamed("sum(bytes)", "b").collect()}
+    was, now = load(before), load(after)
+    share = sum(was.values()) / 6
+    moved = sum(r["bytes"] for r in sharding.changes(before, after).collect())
+    assert 0 < moved <= sum(max(b - share, 0) for b in was.values()) and max(now.values()) < max(was.values())
+    grown = sharding.grow(after, 6)
+    edited = sharding.rebalance(grown, 7)
+    over = sum(max(b - sum(was.values()) / 7, 0) for b in load(grown).values())
+    assert sum(r["bytes"] for r in sharding.changes(grown, edited).collect()) <= over
+
+
 def test_mix_meets_its_targets(spark):
     rows = documents(6, 200)
     got = mixing.mix(frame(spark, rows)).collect()
