@@ -11,8 +11,9 @@ bounded size; a task holds one block of either and hands back, for each class, h
 links with and one edge to the smallest member of its local component - never the pairs.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components, and vectors
-without a label, link with nothing; ``vec_id`` names a vector (of rows sharing an id one is used; rows
-with a null id are left out); an empty table gives an empty result; other columns are not read.
+without a label, link with nothing; every row is a vector of its own and comes back, also those that share an id or have a
+null one (a component's id is its smallest id, null if it has none, and a null id is never kept); an empty table gives an
+empty result; other columns are not read.  Classes of equal vectors are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from sparkqa.llm.common import materialize
 from sparkqa.llm.components import components, local_components
 from sparkqa.llm.vectors import dimension, dots, matrix, usable
 
-SAMPLE_ROWS, CODEWORDS, BLOCK_ROWS = 20_000, 16, 2048
+SAMPLE_ROWS, CODEWORDS, MOST_CODEWORDS, BLOCK_ROWS = 20_000, 16, 256, 2048
+BINS, MOST_RADIUS = 1 << 16, 8.0  # squared distances between unit vectors are 4 at most
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -81,17 +83,19 @@ def stop_radius(x: np.ndarray, labels: np.ndarray, books, threshold: float, reca
     three standard deviations of what a link at the threshold needs if it points anywhere."""
     half = x.shape[1] // 2
     (a, c1), (b, c2) = entry_costs(x[:, :half], books[0]), entry_costs(x[:, half:], books[1])
-    need = []
+    counts = np.zeros(BINS, np.int64)  # of the radii that links need: bounded, however many links there are
     for lab in np.unique(labels):
         own = np.flatnonzero(labels == lab)
         for i in range(0, len(own), 512):
             p, q = np.nonzero(x[own[i:i + 512]] @ x[own].T >= threshold)
             p, q = own[i:i + 512][p], own[q]
             fit = p != q
-            need.append(c1[p[fit], a[q[fit]]] + c2[p[fit], b[q[fit]]])
-    need = np.concatenate(need) if need else np.zeros(0)
+            need = c1[p[fit], a[q[fit]]] + c2[p[fit], b[q[fit]]]
+            counts += np.bincount(np.minimum((need * (BINS / MOST_RADIUS)).astype(np.int64), BINS - 1), minlength=BINS)
     least = 9 * (2 - 2 * threshold) / x.shape[1]
-    return float(max(least, np.quantile(need, recall) if len(need) else 0.0)) + 1e-12
+    total = counts.sum()
+    bin_ = int(np.searchsorted(np.cumsum(counts), recall * total)) if total else -1
+    return float(max(least, (bin_ + 1) * MOST_RADIUS / BINS)) + 1e-12
 
 
 def fit(v: DataFrame, dim: int, threshold: float, recall: float, codewords: int, sample_rows: int):
@@ -133,20 +137,25 @@ def link_block(a_id, a_cell, a_n, a, b_id, b_cell, b_n, b, threshold: float):
 
 
 def duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93,
-               recall: float = 0.999, codewords: int = CODEWORDS, sample_rows: int = SAMPLE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row a vector: vec_id, n_links, component_id, kept."""
+               recall: float = 0.999, codewords: int | None = None, sample_rows: int = SAMPLE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row a vector: vec_id, n_links, component_id, kept.
+
+    Without ``codewords`` a half gets as many as make a cell of the grid hold some ``block_rows`` classes, from CODEWORDS to MOST_CODEWORDS.
+    """
     spark = df.sparkSession
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"),
-                     F.col(vector).cast("array<double>").alias("vector")).filter("vec_id is not null").dropDuplicates(["vec_id"])
+                     F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.withColumn("takes_part", usable(F.col("vector")) & F.col("label").isNotNull())
     keyed = rows.withColumn("k1", F.when(F.col("takes_part"), F.xxhash64("label", "vector"))) \
         .withColumn("k2", F.when(F.col("takes_part"), F.xxhash64(F.lit(77), "vector", "label")))
     members = materialize(keyed.select("vec_id", "k1", "k2"), "imi-members")
     reps = materialize(keyed.filter("takes_part").groupBy("k1", "k2").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector")), "imi-classes")
+        F.min("vec_id").alias("lowest"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector")).withColumn("rep", F.col("k1")), "imi-classes")
     dim = dimension(reps, "vector")
     if not dim:
-        return members.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return members.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    if codewords is None:
+        codewords = min(max(int(np.ceil(np.sqrt(reps.count() / block_rows))), CODEWORDS), MOST_CODEWORDS)
     books, radius2 = fit(reps, dim, threshold, recall, codewords, sample_rows)
     half, grid = dim // 2, len(books[1])
 
@@ -191,9 +200,10 @@ def duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     found = materialize(probes.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(run, "rep long, links long, low long"), "imi-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("rep").alias("u"), F.col("low").alias("v")))
-    answer = materialize(reps.select("k1", "k2", "rep", "copies").join(links, "rep", "left")
-                         .join(comp.withColumnRenamed("node", "rep"), "rep", "left"), "imi-answer")
-    own = members.join(answer, ["k1", "k2"], "left")
-    cid = F.coalesce("component", "rep", "vec_id")
+    answer = reps.select("k1", "k2", "rep", "copies", "lowest").join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    answer = materialize(answer.withColumn("component", F.coalesce("component", "rep")), "imi-answer")
+    low = answer.groupBy("component").agg(F.min("lowest").alias("low"))
+    own = members.join(answer.join(low, "component"), ["k1", "k2"], "left")
+    cid = F.coalesce("low", "vec_id")
     return own.select("vec_id", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"),
-                      cid.alias("component_id"), (cid == F.col("vec_id")).alias("kept"))
+                      cid.alias("component_id"), F.coalesce(cid == F.col("vec_id"), F.lit(False)).alias("kept"))

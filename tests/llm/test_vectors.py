@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -53,13 +54,35 @@ def test_search_small_and_empty(spark):
 def test_duplicates_equal_brute_force(spark, block):
     rows = vectors()
     got = {r["vec_id"]: r for r in imi.duplicates(spark.createDataFrame(rows, SCHEMA), threshold=0.93, codewords=4, block_rows=block).collect()}
-    ok = {r[0]: (np.array(r[1], float) / np.linalg.norm(np.array(r[1], float)), r[2]) for r in rows if r[0] is not None and r[0] < 300}
+    ok = {r[0]: (np.array(r[1], float) / np.linalg.norm(np.array(r[1], float)), r[2]) for r in rows if r[0] is None or r[0] < 300}
     links = {i: {j for j in ok if j != i and ok[i][1] == ok[j][1] and ok[i][0] @ ok[j][0] >= 0.93} for i in ok}
-    assert set(got) == {r[0] for r in rows if r[0] is not None}
+    assert set(got) == {r[0] for r in rows}
     assert sum(r["n_links"] for r in got.values()) >= 0.99 * sum(map(len, links.values())) > 0
     for i, r in got.items():
         assert r["n_links"] <= len(links.get(i, ()))
-        assert r["kept"] == (r["component_id"] == i)
+        assert r["kept"] == (i is not None and r["component_id"] == i)
     for i in range(200, 230):
         assert got[i]["component_id"] == 199 and got[i]["n_links"] >= 30
     assert imi.duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_and_null_ids_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    a, b, c = ([float(v) for v in rng.standard_normal(32)] for _ in range(3))
+    near = lambda x: [v + 0.01 for v in x]
+    rows = [(5, a), (5, b), (9, near(a)), (3, near(b)), (None, c), (None, near(c)), (None, a), (7, [0.0] * 32), (7, None), (8, c[:31] + [9.0])]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], SCHEMA)
+    want = sorted([(5, 2, 5), (5, 1, 3), (9, 2, 5), (3, 1, 3), (None, 1, None), (None, 1, None), (None, 2, 5), (7, 0, 7), (7, 0, 7), (8, 0, 8)], key=str)
+    for _ in range(2):
+        got = imi.duplicates(df.repartition(4), threshold=0.93).collect()
+        assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == want
+        assert all(r["kept"] == (r["vec_id"] is not None and r["component_id"] == r["vec_id"]) for r in got)
+
+
+def test_a_tight_cluster_in_the_sample_needs_no_pairs_in_memory():
+    x = imi.unit(np.random.default_rng(1).standard_normal((1, 32)) + np.random.default_rng(2).standard_normal((6000, 32)) * 0.05)
+    books = [imi.kmeans(x[:, :16], 16), imi.kmeans(x[:, 16:], 16)]
+    tracemalloc.start()
+    radius = imi.stop_radius(x, np.zeros(len(x)), books, 0.93, 0.999)
+    assert tracemalloc.get_traced_memory()[1] < 400e6 and radius > 0
+    tracemalloc.stop()
