@@ -1,4 +1,6 @@
-"""Licence scan: stretches of normalised text against licence notices by Dice over word bigrams.
+"""Licence scan: stretches of normalised text against licence texts and notices by Dice over word bigrams.
+
+Templates are whole licence texts (the files of ``licence_texts``, by SPDX name) and usual short notices; "notice" below stands for either.
 
 Text is normalised to lower-case words of letters and digits.  For a notice of m bigrams and a
 stretch of L bigrams that holds k distinct ones of the notice, Dice = 2k / (L + m); in L, the notice's
@@ -9,14 +11,19 @@ read once against the bigrams of all notices, and only notices that pass the fir
 their stretches compared, within the second.  Whole texts are scanned in a single pass over the
 table, without a shuffle; the notices are a short fixed list (their number is the bound).
 
+Of the stretches that begin at a bigram, the one with the highest Dice counts.  Where matches overlap, a whole text goes before a notice (which
+may be a part of it), then the better one stays; variants of a licence are so told apart by the clauses in which they differ.
+
 Edge cases: a null or empty text has no matches; equal scores go to the longer stretch, then the notice
-first by id; overlapping matches keep the best; repeated rows are scanned each; null ids are kept; an
+first by id; repeated rows are scanned each; null ids are kept; an
 empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
+import os
 from collections import defaultdict
 
 import numpy as np
@@ -35,7 +42,8 @@ NOTICES = {
     "MIT": ["Licensed under the MIT License.", "Released under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
     "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.",
-                     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+                     "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
+    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
@@ -43,9 +51,22 @@ NOTICES = {
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                 "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.",
+                 "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                 "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+                "https://www.eclipse.org/legal/epl-2.0/"],
+    "EPL-1.0": ["All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+                "accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"],
+    "CC-BY-3.0": ["Licensed under CC BY 3.0.", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."],
+    "CC-BY-SA-3.0": ["Licensed under CC BY-SA 3.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.",
+                        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.",
+                        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
@@ -69,16 +90,26 @@ def bigrams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return g, np.concatenate(([0], np.cumsum(np.maximum(n - 1, 0))))
 
 
+def licence_texts() -> dict[str, str]:
+    """The whole licence texts by name; read where the job is planned, not by its tasks."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_texts")
+    out = {}
+    for name in sorted(os.listdir(folder)):
+        with open(os.path.join(folder, name), encoding="utf-8") as f:
+            out[name.removesuffix(".txt")] = f.read()
+    return out
+
+
 class Notices:
-    """The distinct bigrams of all notices, and the notices each belongs to."""
+    """The distinct bigrams of all texts and notices, and the ones each belongs to."""
 
-    def __init__(self, notices: dict[str, list[str]], threshold: float):
+    def __init__(self, notices: dict[str, list[str]], threshold: float, texts: dict[str, str] | None = None):
         self.names, self.sets = [], []
-        for name in sorted(notices):
-            for text in notices[name]:
-                raw = np.frombuffer(text.encode(), np.uint8)
-                self.names.append(name)
-                self.sets.append(np.unique(bigrams(raw, np.array([0, len(raw)]))[0]))
+        self.whole = len(texts or {})  # texts come first
+        for name, text in [*sorted((texts or {}).items()), *((n, t) for n in sorted(notices) for t in notices[n])]:
+            raw = np.frombuffer(text.encode(), np.uint8)
+            self.names.append(name)
+            self.sets.append(np.unique(bigrams(raw, np.array([0, len(raw)]))[0]))
         self.threshold = threshold
         self.size = np.array([len(s) for s in self.sets], np.int64)
         self.least = np.array([math.ceil(threshold * m / (2 - threshold) - 1e-9) for m in self.size], np.int64)
@@ -87,12 +118,12 @@ class Notices:
         pairs = sorted((int(np.searchsorted(self.all, x)), k) for k, s in enumerate(self.sets) for x in s)
         self.of = np.array([k for _, k in pairs], np.int64)
         self.start = np.searchsorted([i for i, _ in pairs], np.arange(len(self.all) + 1))
-        self.low_bits = np.zeros(1 << 16, bool)
-        self.low_bits[(self.all & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.low_bits = np.zeros(1 << 20, bool)
+        self.low_bits[(self.all & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
     def scan(self, g: np.ndarray, offs: np.ndarray) -> dict[int, list[tuple]]:
         """Matches of every text: (notice name, Dice, first bigram, end bigram), in text order."""
-        at = np.flatnonzero(self.low_bits[(g & np.uint64(0xFFFF)).astype(np.int64)])
+        at = np.flatnonzero(self.low_bits[(g & np.uint64(0xFFFFF)).astype(np.int64)])
         i = np.minimum(np.searchsorted(self.all, g[at]), len(self.all) - 1)
         hit = self.all[i] == g[at]
         at, i = at[hit], i[hit]
@@ -101,6 +132,8 @@ class Notices:
         notice = self.of[self.start[i][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)]
         doc = np.searchsorted(offs, at, "right")[row] - 1
         key = doc * len(self.sets) + notice
+        enough = np.bincount(key, minlength=1)[key] >= self.least[notice]  # most notices have too few in a text
+        key, row = key[enough], row[enough]
         order = np.lexsort((at[row], key))
         key, pos, gram = key[order], at[row][order], i[row][order]
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)])) if len(key) else np.zeros(1, np.int64)
@@ -112,42 +145,47 @@ class Notices:
             if e - s < need or len(np.unique(x)) < need:
                 continue
             first = np.flatnonzero(p[need - 1:] - p[:len(p) - need + 1] < most)  # enough hits within the size bound
+            last = np.full(len(self.all), -1, np.int64)
+            before = np.empty(len(x), np.int64)  # where the same bigram was last
+            for b, y in enumerate(x.tolist()):
+                before[b], last[y] = last[y], b
             for a in first.tolist():
-                seen: set = set()
-                for b in range(a, len(p)):
-                    seen.add(int(x[b]))
-                    span = int(p[b] - p[a]) + 1
-                    length = span - (b - a + 1) + len(seen)  # repeats of the notice's bigrams count once
-                    if length > most or span > 2 * most:
-                        break
-                    dice = 2 * len(seen) / (length + int(self.size[k]))
-                    if dice >= self.threshold:
-                        found[d].append((-dice, -length, self.names[k], int(p[a] - offs[d]), int(p[b] - offs[d]) + 1))
+                b = int(np.searchsorted(p, p[a] + 2 * most))
+                distinct = np.cumsum(before[a:b] < a)
+                length = p[a:b] - p[a] + 1 - np.arange(1, b - a + 1) + distinct  # repeats of the notice's bigrams count once
+                dice = np.where(length <= most, 2 * distinct / (length + self.size[k]), 0.0)
+                at_ = len(dice) - 1 - int(dice[::-1].argmax())  # the longest of the best
+                if dice[at_] >= self.threshold:
+                    found[d].append((k >= self.whole, -float(dice[at_]), -int(length[at_]), self.names[k], int(p[a] - offs[d]), int(p[a + at_] - offs[d]) + 1))
         return {d: self._best(m) for d, m in found.items()}
 
     @staticmethod
     def _best(matches: list[tuple]) -> list[tuple]:
-        kept: list[tuple] = []
-        for dice, _, name, a, b in sorted(matches):
-            if all(b <= y or z <= a for _, _, y, z in kept):
-                kept.append((name, -dice, a, b))
-        return sorted(kept, key=lambda m: m[2])
+        """Matches that do not overlap, the best first; only a match's neighbours are looked at."""
+        starts: list[int] = []
+        kept: dict[int, tuple] = {}
+        for notice, dice, _, name, a, b in sorted(matches):
+            i = bisect.bisect_left(starts, a)
+            if (i == len(starts) or b <= starts[i]) and (i == 0 or kept[starts[i - 1]][3] <= a):
+                starts.insert(i, a)
+                kept[a] = (name, -dice, a, b, notice)
+        return [kept[a] for a in starts]
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", notices: dict[str, list[str]] | None = None,
-         threshold: float = THRESHOLD) -> DataFrame:
-    """One row a document: doc_id, license (of the best match, or null), dice, ``matches`` (license, dice,
+         threshold: float = THRESHOLD, texts: dict[str, str] | None = None) -> DataFrame:
+    """One row a document: doc_id, license (of the best match, a whole text before a notice, or null), dice, ``matches`` (license, dice,
     first word and end word of the normalised text)."""
     kind = dict(df.dtypes)[key]
-    known = Notices(notices or NOTICES, threshold)
+    known = Notices(NOTICES if notices is None else notices, threshold, licence_texts() if texts is None else texts)
     item = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             for part, data, offs in chunks(batch):
                 found = known.scan(*bigrams(data, offs))
-                rows = [[{"license": n, "dice": s, "first_word": a, "end_word": b + 1} for n, s, a, b in found.get(d, ())] for d in range(len(part))]
-                best = [max(r, key=lambda m: (m["dice"], m["end_word"] - m["first_word"])) if r else None for r in rows]
+                rows = [[{"license": n, "dice": s, "first_word": a, "end_word": b + 1} for n, s, a, b, _ in found.get(d, ())] for d in range(len(part))]
+                best = [max(zip(r, found[d]), key=lambda m: (not m[1][4], m[1][1], m[1][3] - m[1][2]))[0] if r else None for d, r in enumerate(rows)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b and b["license"] for b in best], pa.string()),
                                                   pa.array([b and b["dice"] for b in best], pa.float64()), pa.array(rows, item)],
                                                  [key, "license", "dice", "matches"])

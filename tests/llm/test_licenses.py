@@ -47,3 +47,39 @@ def test_best_stretch_equals_brute_force(spark):
 def test_clean_text_and_long_runs(spark):
     rows = [(1, "the license of the " * 50_000, "en", "s"), (2, "nothing of the kind under the sun", "en", "s"), (3, None, "en", "s"), (4, "!!! ...", "en", "s")]
     assert [r["license"] for r in licenses.scan(frame(spark, rows)).collect()] == [None] * 4
+
+
+TEXTS = licenses.licence_texts()
+
+
+def found(spark, rows):
+    return {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_whole_texts_are_known_and_variants_told_apart(spark):
+    rng = __import__("random").Random(2)
+    rows = []
+    for i, (name, t) in enumerate(TEXTS.items()):
+        noise = " ".join(words(rng, 30))
+        rows.append((i, f"{noise}\nCopyright (c) 2020 Some Body\nAll rights reserved.\n{t}\n{noise}"))
+    apache = TEXTS["Apache-2.0"]
+    rows += [(100, apache[:apache.index("APPENDIX")]), (101, TEXTS["BSD-2-Clause"].replace("1.", "*").replace("2.", "*")),
+             (102, TEXTS["BSD-3-Clause"].replace("copyright holder", "University")), (103, TEXTS["ISC"].replace("and/or", "and").lower()),
+             (104, "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                   "which is available at https://www.eclipse.org/legal/epl-2.0/"),
+             (105, "Licensed under CC BY-NC-SA 4.0."), (106, "Licensed under CC BY-NC 4.0."), (107, "Licensed under CC BY 3.0."),
+             (108, TEXTS["MIT"] + " between " * 40 + TEXTS["Zlib"]), (109, TEXTS["GPL-3.0"][:9000])]
+    got = found(spark, rows)
+    for i, name in enumerate(TEXTS):
+        assert got[i]["license"] == name and got[i]["dice"] > 0.97, (name, got[i])
+    assert [got[i]["license"] for i in range(100, 108)] == ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "EPL-2.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-4.0", "CC-BY-3.0"]
+    assert [m["license"] for m in got[108]["matches"]] == ["MIT", "Zlib"]
+    assert got[109]["license"] is None  # a quarter of a licence
+
+
+def test_a_text_full_of_notices_is_scanned_in_time(spark):
+    import time
+    start = time.time()
+    r = found(spark, [(1, "Released under the MIT License. something else entirely " * 100_000)])[1]
+    assert len(r["matches"]) == 100_000 and {m["license"] for m in r["matches"]} == {"MIT"}
+    assert time.time() - start < 60
