@@ -1,7 +1,8 @@
 """Personal data: overlapping candidates, boosted trees over format and context, calibrated thresholds.
 
 Base patterns with their checks give spans that always stay.  High-recall generators propose more
-(numbers without a plus, dotted cards, bracketed addresses, colon hex groups); gradient-boosted
+(numbers without a plus, bare ones too, dotted cards, bracketed and spelled-out addresses, colon hex groups, whole and
+shortened); gradient-boosted
 trees score each from its format and the text around it, and those over the threshold of their kind
 are added.  Texts are scanned whole by Spark's own functions; there is no Python on the path.
 
@@ -29,19 +30,20 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{2,63}){1,4}",
-    "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "email": r"[A-Za-z0-9._%+-]{1,64}\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{2,63}){1,4}"
+             r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20at\x20[A-Za-z0-9-]{1,63}(?:\x20dot\x20[A-Za-z0-9-]{2,63}){1,4}",
+    "ip": r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[./_][0-9]{2,6}){2,4}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20./-][0-9]{2,4}){2,4}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20./-][0-9]{2,4}){2,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.,:/_-])[0-9]{7,11}(?![0-9A-Za-z_/]|[.,:-][0-9])",
 }
 CUES = {
     "email": r"(?i)(?:e-?mail|contact|write|reach|address)",
     "ip": r"(?i)(?:\bip|address|host|server|client|login)",
     "card": r"(?i)(?:card|visa|credit|debit|payment|account)",
-    "phone": r"(?i)(?:phone|tel|call|mobile|fax|dial|cell)",
+    "phone": r"(?i)(?:phone|\b(?:tel|call|mobile|fax|dial|cell)\b)",
 }
 AGAINST = r"(?i)(?:order|invoice|version|isbn|issue|page|date|ref|serial|build|item|code|\bno\b|\bid\b)"
-WORTH = r"[0-9@]|[(\[]at[)\]]|[0-9A-Fa-f]:[0-9A-Fa-f]"
+WORTH = r"[0-9@]|[(\[]at[)\]]|[0-9A-Fa-f]:[0-9A-Fa-f]|\x20dot\x20"
 BEFORE, AFTER = 32, 16
 
 
@@ -88,7 +90,7 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     d = d.withColumn("worth", F.col("text").rlike(WORTH))
     t, at, num = F.col("text"), F.col("text").contains("@"), F.col("text").rlike("[0-9]")
     needs = {"email": at, "ip": num, "card": num, "phone": F.col("text").contains("+")}
-    loose = {"email": t.rlike(r"[(\[]at[)\]]"), "ip": t.contains(":"), "card": num, "phone": num}
+    loose = {"email": t.rlike(r"[(\[]at[)\]]|\x20at\x20[A-Za-z0-9-]{1,63}\x20dot\x20"), "ip": t.contains(":"), "card": num, "phone": num}
     every = [found(t, k, BASE[k], True, F.col("worth") & needs[k]) for k in KINDS] + \
             [found(t, k, LOOSE[k], False, F.col("worth") & loose[k]) for k in KINDS]
     return d.select(F.monotonically_increasing_id().alias("uid"), "doc_id",
@@ -142,7 +144,10 @@ FORMATS = [
     ("ip", "****:****:****:****:****:****:****:****", 1, 1, 0), ("ip", "****:***:*:***:****:**:*:****", 1, 1, 0),
     ("ip", "##:##:##:##", 0, 0, 0), ("ip", "##:##:##:##:##:##", 0, 0, 0), ("ip", "*:*:*:*", 0, 0, 0),
     ("email", "mail##(at)host.com", 1, 1, 1), ("email", "name.two [at] site [dot] org", 1, 1, 1),
-    ("email", "word(at)word(dot)word(dot)word", 1, 0, 0), ("email", "mail_##[at]host[dot]net", 1, 1, 1)]
+    ("email", "word(at)word(dot)word(dot)word", 1, 0, 0), ("email", "mail_##[at]host[dot]net", 1, 1, 1),
+    ("email", "name at site dot org", 1, 0, 0), ("email", "mail.## at host## dot com", 1, 0, 0), ("email", "it at this dot here", 1, 0, 0),
+    ("phone", "#######", 1, 0, 0), ("phone", "##########", 1, 0, 0), ("phone", "###########", 1, 0, 0), ("phone", "########", 1, 0, 0),
+    ("ip", "****:***::*", 1, 1, 0), ("ip", "****::***:****", 1, 1, 0), ("ip", "****:****:*::****:**", 1, 1, 0), ("ip", "##::##", 0, 0, 0), ("ip", "*::*", 0, 0, 0)]
 LEADS = {"cue": {"email": "my email is ", "ip": "from host address ", "card": "paid by card ", "phone": "phone me at "},
          "none": ["and then it was ", "the other one, ", "", "so we have "],
          "against": ["order no ", "invoice ref ", "version ", "see page ", "dated, date "]}
