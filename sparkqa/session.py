@@ -37,9 +37,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -48,14 +45,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _LOCAL_ROOTS.get(spark.sparkContext.applicationId) or spark.sparkContext.getCheckpointDir()
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        # the setting itself is fixed once the session runs, so the folder is remembered here
+        # the setting is fixed once the session runs; the context remembers the folder
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"sparkqa-ckpt-{uuid.uuid4().hex[:8]}")
-        _LOCAL_ROOTS[spark.sparkContext.applicationId] = root
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
