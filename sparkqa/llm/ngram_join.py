@@ -9,6 +9,9 @@ meets; rows that this leaves apart form groups, and inside a group the product o
 rows is accumulated over slices of columns and blocks of rows.  Pairs whose sizes rule a link out are
 dropped, the rest link by exact overlap; only edges that join linked documents leave a task.
 
+Texts are not moved: the sets of those that meet others are made where their texts are read, by a list of eight bytes a text
+(up to ``FEW`` texts; with more, the texts are joined).
+
 Equal n-gram sets are one class throughout.  Edge cases: a null or empty text has no n-grams and
 links with nothing; fewer than n words count as one n-gram; a null id takes no part (null
 component); rows that share an id are one document in the result's ids; an empty table gives an
@@ -26,7 +29,7 @@ from sparkqa.llm.common import chunks, materialize, mix64, word_hashes
 from sparkqa.llm.components import components
 from sparkqa.llm.groups import settle, stars
 
-WORDS, PERCENT, SMALL = 3, 90, 32
+WORDS, PERCENT, SMALL, FEW = 3, 90, 32, 8_000_000
 _K = np.random.default_rng(99).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -188,17 +191,33 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
     classes = materialize(docs.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n")), "ng-classes")
     nodes = met.select(F.col("ref").alias("k1")).union(met.select("lead")).distinct()
-    wanted = classes.join(nodes, "k1", "left_semi").select(F.col("k1").alias("_k"), F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_h"))
+    tag = lambda d, h: F.xxhash64(d, h)
+    wanted = materialize(classes.join(nodes, "k1", "left_semi").select(tag(F.col("rep.doc_id"), F.col("rep.text_hash")).alias("_tag")), "ng-wanted")
+    tagged = src.filter("doc_id is not null").select(tag("doc_id", "text_hash").alias("tag"), "text")
+    if wanted.count() <= FEW:  # eight bytes a text that meets another: texts stay where they are
+        tags = np.sort(np.asarray(wanted.toArrow().column(0).combine_chunks()))
+        shared = df.sparkSession.sparkContext.broadcast(tags)
+
+        def own(batches):
+            for batch in batches:
+                x = np.asarray(batch.column(0))
+                at = np.minimum(np.searchsorted(shared.value, x), max(len(shared.value) - 1, 0))
+                yield batch.filter(pa.array(shared.value[at] == x if len(shared.value) else np.zeros(len(x), bool)))
+        texts = tagged
+    else:
+        own, texts = iter, tagged.join(wanted, F.col("tag") == F.col("_tag")).select("tag", "text")
 
     def rows(batches):
-        for batch in batches:
+        for batch in own(batches):
             for part, data, offs in chunks(batch):
                 g, at = ngram_sets(data, offs, words)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
+                k1 = sums(mix64(g + _K[60]), at).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array([g[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
                                                  ["node", "data"])
 
-    texts = src.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_h"))).select(F.col("_k").alias("node"), "text")
-    grams = texts.mapInArrow(rows, "node long, data binary").groupBy("node").agg(F.first("data").alias("data"))
+    grams = texts.mapInArrow(rows, "node long, data binary")
+    if not docs.filter("doc_id is not null").groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
+        grams = grams.groupBy("node").agg(F.first("data").alias("data"))  # rows that repeat id and text
     grams = materialize(grams, "ng-grams")
 
     def verify(x: list[bytes], y: list[bytes]) -> np.ndarray:

@@ -29,8 +29,9 @@ def brute(rows, n, percent):
     return {i: find(i) for i, _ in s}
 
 
-@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
-def test_components_equal_brute_force(spark, monkeypatch, n, percent):
+@pytest.mark.parametrize("n,percent,few", [(3, 90, ngram_join.FEW), (5, 80, ngram_join.FEW), (5, 80, 0)])  # 0: texts are joined
+def test_components_equal_brute_force(spark, monkeypatch, n, percent, few):
+    monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(groups.linked, "__defaults__", (3,))
     rng = random.Random(n)
     rows = documents(3, 40)
