@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows under which a side is broadcast once a count (or a bound such as k x questions) proves
@@ -57,5 +59,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     from sparkqa.session import scratch_path
     path = scratch_path(df.sparkSession, name)
+    for paths in _RECORDS:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded():
+    """The paths that ``materialize`` writes inside the block, for ``discard`` once nothing reads them any more."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.pop()
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``materialize`` wrote, wherever the shared folder is."""
+    sc = spark.sparkContext
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
