@@ -8,16 +8,22 @@ stage goes by rows and keeps one.
 
 SQL cannot express the classifier, the near-duplicate lines and the tokenizer; the tests hold the
 stages against brute-force versions.
+
+A stage's output is written and read again before the next stage starts, so what a stage has written on its way (the classifier's
+counts, say) goes when the next one starts: no more than one stage's tables are there at a time.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkqa.llm import kneser_ney, line_dedup, mixing, ngram_join, packing
 from sparkqa.llm.common import materialize, table
 from sparkqa.llm.queries import tokenizer_path
+from sparkqa.operators.util import discard, recorded
 from sparkqa.session import ship_package
 
 
@@ -28,6 +34,23 @@ def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
     return docs.join(d, same, how)
 
 
+_BEFORE: dict[str, list[str]] = {}  # by application: the tables that the last stage wrote on its way
+
+
+def _tidy(stage):
+    """Start a stage by discarding what the one before wrote on its way; its output is not among that."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = _BEFORE.setdefault(spark.sparkContext.applicationId, [])
+        discard(spark, before)
+        with recorded() as paths:
+            out = stage(spark, docs, sf_dir)
+        before += paths
+        return out
+    return run
+
+
+@_tidy
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model rejects go; those without words or without a model stay."""
     ship_package(spark)
@@ -35,6 +58,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _decided(docs, judged.filter(~F.col("kept")).select("doc_id", "text_hash").distinct(), "left_anti")
 
 
+@_tidy
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every line but the first of its class goes; a document that loses all its lines goes with them."""
     ship_package(spark)
@@ -48,6 +72,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return d
 
 
+@_tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group linked by five-word shingles at 0.8 or more stays: the smallest id, then text
     hash (null ids last).  Every row is a node of its own, so repeated rows and ids and null ids link too."""
@@ -60,6 +85,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(stay, "__row", "left_semi").select(*docs.columns)
 
 
+@_tidy
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document, range-sorted by training position.  Documents are
     taken whole; those without words ask for no share of the mix and stay once, at the end."""
@@ -70,6 +96,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return d.withColumn("__p", F.explode("__at")).orderBy("__p", "doc_id").select(*docs.columns)
 
 
+@_tidy
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens with their sequence and offset."""
     ship_package(spark)
