@@ -686,6 +686,7 @@ ORACLE.update({
 })
 
 ORACLE["k9_reader_parts"] = ORACLE["r8_prepare_reader_data"]
+ORACLE["e1_match_string_positions"] = ORACLE["e1_match_string"]
 ORACLE["e6_validate_stored"] = ORACLE["e5_hit_at_k"]
 ORACLE["n16_meta_text"] = sql("SELECT id, coalesce(text, '') AS plain, coalesce(title, '') || ' . ' || coalesce(text, '') AS titled FROM corpus", ["corpus"])
 for _same in ("x1_bm25_topk_stream", "x1_bm25_topk_blocks", "k4_index_update"):

@@ -102,6 +102,13 @@ def e1(spark, sf_dir):
     return ev.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir), TOPK)
 
 
+@query("e1_match_string_positions")
+def e1p(spark, sf_dir):
+    """E1 by token positions: answers meet passages by their rarest token."""
+    from sparkqa.operators import positions as ps
+    return ps.match_string(bm25_results(spark, sf_dir), fx.corpus(spark, sf_dir), fx.questions(spark, sf_dir))
+
+
 @query("e5_hit_at_k")
 def e5(spark, sf_dir):
     qs = fx.questions(spark, sf_dir)

@@ -105,3 +105,18 @@ def test_stored_evaluation_moves_neither_side(spark, tmp_path):
     assert "Exchange" not in plan and "SortMergeJoin" in plan
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(_id" not in plan
+
+
+def test_answers_by_token_positions_match_as_by_text(spark):
+    import random
+    from sparkqa.operators import positions as ps
+    rng = random.Random(9)
+    words = "a b c Rare1 rare2 É ü 字 . , x1".split()
+    corpus = spark.createDataFrame([(str(i), " ".join(rng.choice(words) for _ in range(rng.randrange(0, 25))) if i % 11 else None, "t", i) for i in range(80)]
+                                   + [("7", "b rare1 a", "t", 99)], "id string, text string, title string, row_no long")
+    answers = [["a b"], ["rare1 rare2", "É"], ["b b b"], [""], None, ["nowhere a", "c . c"], ["x1", None], ["a a a a a a a"], ["É ü"], [", ."], []]
+    qs = spark.createDataFrame(list(enumerate(answers)), "qid long, answers array<string>")
+    results = spark.createDataFrame([(q, r + 1, str((q * 17 + r * 5) % 90)) for q in range(12) for r in range(30)], "qid long, rank long, doc_id string")
+    key = lambda r: (r["qid"], r["rank"], r["doc_id"], r["has_answer"])
+    want = sorted(map(key, ev.match_string(results, corpus, qs, 30).collect()))
+    assert sorted(map(key, ps.match_string(results, corpus, qs).collect())) == want and any(x[3] for x in want) and not all(x[3] for x in want)
