@@ -16,20 +16,21 @@ from sparkqa.session import scratch_path
 
 
 def store_passages(corpus: DataFrame, table: str, n_buckets: int = 64) -> None:
-    """``id, text, title, tokens`` of the evaluation view (the last row of an id wins), bucketed and sorted by id."""
-    p = passages_last_wins(corpus).select("id", "text", "title", match_key(tokenize_unicode(normalize_nfd("text"))).alias("tokens"))
+    """``id, text, title, tokens`` of the evaluation view (the last row of an id wins), bucketed and sorted by id.  The texts are
+    dealt to their buckets first and move once: the last row of an id is found where its bucket is written."""
+    p = passages_last_wins(corpus.repartition(n_buckets, "id")).select("id", "text", "title", match_key(tokenize_unicode(normalize_nfd("text"))).alias("tokens"))
     _store(p, "id", table, n_buckets)
 
 
-def _store(d: DataFrame, key: str, table: str, n_buckets: int) -> None:
-    """A table in the shared folder, one file a bucket, sorted."""
-    d.repartition(n_buckets, key).write.mode("overwrite").option("path", scratch_path(d.sparkSession, table)) \
+def _store(dealt: DataFrame, key: str, table: str, n_buckets: int) -> None:
+    """A table in the shared folder of rows dealt out by ``key``, one file a bucket, sorted."""
+    dealt.write.mode("overwrite").option("path", scratch_path(dealt.sparkSession, table)) \
         .bucketBy(n_buckets, key).sortBy(key).saveAsTable(table)
 
 
 def store_results(results: DataFrame, table: str, n_buckets: int = 64) -> None:
     """Ranked results, bucketed and sorted by document id."""
-    _store(results, "doc_id", table, n_buckets)
+    _store(results.repartition(n_buckets, "doc_id"), "doc_id", table, n_buckets)
 
 
 def lookup(spark: SparkSession, results_table: str, passages_table: str) -> DataFrame:

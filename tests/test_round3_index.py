@@ -30,3 +30,11 @@ def test_counts_against_plain_python(spark, monkeypatch, words):
     assert got == want
     first = {(r["row_no"], r["term"]): (r["dl"], r["is_first"]) for r in ix.term_frequencies(d).collect()}
     assert first[(4, "red")] == (5, 1) and first[(4, "blue")] == (5, 0) and first[(5, "blue")] == (7, 1)
+
+
+def test_stored_passages_move_once(spark, sf_small, monkeypatch):
+    from sparkqa.operators import stored as st
+    seen = []
+    monkeypatch.setattr(st, "_store", lambda dealt, *_: seen.append(_plan(dealt)))
+    st.store_passages(fx.corpus(spark, sf_small), "unused", 8)
+    assert seen[0].count("Exchange") == 1 and "REPARTITION_BY_NUM" in seen[0]  # by bucket, before the last row of an id is found
