@@ -5,6 +5,17 @@ def _plan(d):
     return d._jdf.queryExecution().executedPlan().toString()
 
 
+def test_answers_meet_only_the_passages_of_their_results(spark):
+    from sparkqa.operators import positions as ps
+    qs = spark.createDataFrame([(1, "q", ["red fox"]), (2, "q", ["fox"])], "qid long, question string, answers array<string>")
+    texts = spark.createDataFrame([("a", "the red fox"), ("b", "a red fox"), ("c", "fox red")], "doc_id string, text string")
+    tokens = ps.answer_tokens(qs)
+    positions = ps.passage_positions(texts, tokens)
+    pairs = spark.createDataFrame([(1, "a"), (1, "c"), (2, "b")], "qid long, doc_id string")
+    got = sorted(tuple(r) for r in ps.matches(tokens, positions, pairs).collect())
+    assert got == [(1, "a"), (2, "b")]
+
+
 def test_answers_join_results_before_texts(spark, sf_small):
     from sparkqa.operators import evaluate as ev
     from sparkqa.sources import fixtures as fx
