@@ -16,6 +16,16 @@ def test_answers_meet_only_the_passages_of_their_results(spark):
     assert got == [(1, "a"), (2, "b")]
 
 
+def test_reader_parts_read_stored_contexts(spark, sf_small, monkeypatch):
+    from sparkqa.plans.queries import QUERIES
+    from sparkqa.sinks import reader_parts as rp
+    seen = []
+    monkeypatch.setattr(rp, "prepare_in_parts", lambda inputs, *a, **k: seen.append(inputs["contexts"]))
+    monkeypatch.setattr(rp, "read_parts", lambda spark, path, schema: spark.createDataFrame([], schema))
+    QUERIES["k9_reader_parts"](spark, sf_small)
+    assert len(seen) == 2 and all("Join" not in _plan(c) and "reader-contexts" in c.inputFiles()[0] for c in seen)
+
+
 def test_answers_join_results_before_texts(spark, sf_small):
     from sparkqa.operators import evaluate as ev
     from sparkqa.sources import fixtures as fx
