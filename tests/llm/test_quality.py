@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from util import empty, frame
 
 from sparkqa.llm import kneser_ney as kn
+from sparkqa.operators.util import recorded
 
 
 def corpus():
@@ -89,3 +91,48 @@ def test_scores_are_those_of_whole_word_bigrams(spark, monkeypatch, hot, few):
         assert r["perplexity"] == pytest.approx(want, rel=1e-9) and r["n_words"] == len(w)
         if 900 <= r["doc_id"] < 950:
             assert not r["kept"] and r["perplexity"] > 0.9 / unk
+
+
+@pytest.mark.parametrize("bits", [32, 33, 44, 63])
+def test_folded_numbers_come_back(bits):
+    x = np.unique(np.random.default_rng(bits).integers(0, 1 << bits, 5000, dtype=np.uint64))
+    x = np.concatenate([x, np.arange(50, dtype=np.uint64), np.uint64((1 << bits) - 1) - np.arange(50, dtype=np.uint64)])
+    y = kn.fold(x, bits)
+    assert (kn.fold(y, bits, back=True) == x).all() and int(y.max()) < 1 << bits
+    low = kn.fold(np.arange(1 << 16, dtype=np.uint64), bits) >> np.uint64(bits - 4)  # neighbours are dealt evenly
+    assert np.bincount(low.astype(int), minlength=16).min() > 3500
+
+
+def stored(spark, paths):
+    """Bytes of the tables at ``paths`` and of the shuffles that are on disk."""
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    own = [f for p in paths for f in Path(p.removeprefix("file:")).rglob("*.parquet")]
+    return sum(f.stat().st_size for f in own), sum(f.stat().st_size for d in dirs for f in Path(d.toString()).rglob("shuffle_*"))
+
+
+def test_disk_stays_below_the_text(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"word{rng.randrange(20000)}" for _ in range(500)), "en", "s") for i in range(800)]
+    docs, labels = frame(spark, rows), spark.createDataFrame([(i, 1) for i in range(800)], "doc_id long, quality int")
+    before = stored(spark, [])[1]
+    with recorded() as paths:
+        judged = kn.classify(docs, labels)
+    tables, shuffles = stored(spark, paths)
+    text = sum(len(r[1]) for r in rows)
+    assert judged.count() == 800 and 0 < tables < 0.6 * text and shuffles - before < 0.1 * text
+
+
+def test_both_paths_give_the_same(spark, monkeypatch):
+    rows, labels = corpus()
+    rows += [(2000 + i, rows[1 + i][1], "de" if i % 2 else None, "s") for i in range(60)]
+    labels += [(2000 + i, 1) for i in range(60)]
+    docs, labels = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    monkeypatch.setattr(kn, "ASK_BYTES", 3000)  # many blocks
+    monkeypatch.setattr(kn, "SPAN", 64)
+    a = {tuple(r[:4]): r for r in kn.classify(docs, labels).collect()}
+    monkeypatch.setattr(kn, "FEW", 0)
+    b = {tuple(r[:4]): r for r in kn.classify(docs, labels).collect()}
+    assert set(a) == set(b) and {k[2] for k in a} == {"en", "de", "xx", ""}
+    for k in a:
+        for x, y in zip(a[k][4:], b[k][4:]):
+            assert x == pytest.approx(y, rel=1e-9) if x is not None else y is None
