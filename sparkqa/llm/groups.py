@@ -1,6 +1,10 @@
 """From equal signatures to linked nodes, without ever listing the pairs of a group.
 
-``settle`` verifies every node against its signature's lead, which is linear in the meetings, and
+A signature says little in a large table: unrelated nodes share it by chance, the more of them the more there are.  So a row
+has a sketch too, bits that two linked nodes differ in at most in a given number; ``stars`` splits the
+rows of a signature into those that sketches join, and only these meet.
+
+``settle`` verifies every node against its lead, which is linear in the meetings, and
 goes through all nodes only of what those links leave open, in blocks.
 """
 
@@ -13,47 +17,117 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqa.llm.common import materialize, parallel
+from sparkqa.llm.common import materialize, mix64, parallel
 from sparkqa.llm.components import components, local_components
 
 BLOCK_ROWS = 512
-
-
-def stars(rows: DataFrame) -> DataFrame:
-    """``sig, ref, lead`` for every row whose signature other refs share too; lead is the signature's
-    first ref by (order, ref).  Rows (sig, ref, ord) are dealt and sorted by signature and streamed, so
-    a task holds one batch, whatever the size of a signature's group.  Only groups whose lead has
-    ord 0 count.
+SKETCH, SMALL, MOST = 56, 64, 1 << 18  # bits of a sketch; rows of a signature that are paired at once, and that a task holds
+_BITS = np.int64((1 << SKETCH) - 1)
+
+
+def packed(order: np.ndarray, may: np.ndarray | int, sketch: np.ndarray) -> np.ndarray:
+    """What a row brings besides signature and ref: its order (0 index, 1 probe), in how many bits the sketches of linked
+    nodes may differ (the same in all rows of a signature), and its sketch."""
+    return order.astype(np.int64) << 62 | np.minimum(may, SKETCH).astype(np.int64) << SKETCH | sketch.astype(np.int64) & _BITS
+
+
+def spread(own: np.ndarray) -> np.ndarray:
+    """The first row that sketches join each row of one signature to, directly or through others."""
+    label, left, may = np.arange(len(own)), np.arange(len(own)), own[0] >> SKETCH & 63
+    index, x = own >> 62 == 0, own & _BITS
+    while len(left) and index[left[0]]:  # rows are in order; what is left of probes alone meets nothing
+        seed, left = left[0], left[1:]
+        todo = [seed]
+        while todo and len(left):
+            t = todo.pop()
+            near = np.bitwise_count(x[left] ^ x[t]) <= may
+            if not index[t]:
+                near &= index[left]
+            if near.any():
+                label[left[near]] = seed
+                todo.extend(left[near])
+                left = left[~near]
+    return label
+
+
+def meetings(sig: np.ndarray, ref: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, ref and lead of the rows of whole signatures, in order, that sketches join to a lead."""
+    more = np.zeros(len(sig) + 1, bool)
+    more[1:-1] = sig[1:] == sig[:-1]
+    more = more[1:] | more[:-1]
+    sig, ref, own = sig[more], ref[more], own[more]
+    start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.zeros(0, np.int64)
+    size = np.diff(np.concatenate((start, [len(sig)])))
+    end, us, vs = np.repeat(start + size, size), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    i, step = np.flatnonzero((np.repeat(size, size) <= SMALL) & (own >> 62 == 0)), 1
+    while len(i := i[i + step < end[i]]):
+        j = i + step
+        near = np.bitwise_count((own[i] ^ own[j]) & _BITS) <= (own[i] >> SKETCH & 63)
+        us.append(i[near])
+        vs.append(j[near])
+        step += 1
+    at = local_components(len(sig), np.concatenate(us), np.concatenate(vs))
+    for s, n in zip(start[size > SMALL], size[size > SMALL]):
+        at[s:s + n] = s + spread(own[s:s + n])
+    lead = ref[at]
+    meet = ref != lead
+    sig, ref, lead = sig[meet], ref[meet], lead[meet]
+    return mix64(sig.view(np.uint64) + mix64(lead.view(np.uint64))).view(np.int64), ref, lead
+
+
+def stars(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """``sig, ref, lead`` for every row that shares its signature with others whose sketches join it to them; lead is the first
+    ref of these by (order, sketch, ref), and only those with a lead of order 0 count.  Rows (sig, ref, own: see ``packed``) are
+    dealt and sorted by signature and streamed, so a task holds one batch and the rows of one signature.  Beyond ``most`` rows of
+    one signature sketches are not compared: all its rows meet its first.
     """
 
     def run(batches):
-        sig0 = lead0 = None
-        good0 = False
+        held, wide = [np.zeros(0, np.int64)] * 3, None
         for b in batches:
-            if not b.num_rows:
+            now = [np.concatenate((x, np.asarray(b.column(i)))) for i, x in enumerate(held)]
+            if wide is not None:  # rows of a signature over ``most`` go on
+                n = int(np.searchsorted(now[0] != wide[0], True))
+                if wide[2] >> 62 == 0:
+                    yield batch(*star([x[:n] for x in now], wide))
+                if n == len(now[0]):
+                    held = [x[:0] for x in now]
+                    continue
+                now, wide = [x[n:] for x in now], None
+            if not len(now[0]):
                 continue
-            sig, ref, order = (np.asarray(b.column(i)) for i in range(3))
-            first = np.empty(len(sig), bool)
-            first[0] = sig0 is None or sig[0] != sig0
-            first[1:] = sig[1:] != sig[:-1]
-            group = np.cumsum(first)  # 0: the group carried over from the last batch
-            leads = np.concatenate(([0 if lead0 is None else lead0], ref[first]))
-            good = np.concatenate(([good0], order[first] == 0))
-            lead = leads[group]
-            keep = good[group] & (ref != lead)
-            sig0, lead0, good0 = sig[-1], lead[-1], bool(good[group[-1]])
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, ref, lead)], ["sig", "ref", "lead"])
+            new = np.ones(len(now[0]), bool)  # a ref comes once from each chunk of texts
+            new[1:] = np.any([x[1:] != x[:-1] for x in now], axis=0)
+            now = [x[new] for x in now]
+            cut = int(np.flatnonzero(np.concatenate(([True], now[0][1:] != now[0][:-1])))[-1])
+            yield batch(*meetings(*(x[:cut] for x in now)))
+            held = [x[cut:] for x in now]
+            if len(held[0]) > most:
+                wide = [x[0] for x in held]
+                if wide[2] >> 62 == 0:
+                    yield batch(*star(held, wide))
+                held = [x[:0] for x in held]
+        yield batch(*meetings(*held))
+
+    def star(now, first):
+        lead = np.full(len(now[0]), first[1])
+        meet = now[1] != lead
+        return mix64(now[0].view(np.uint64) + mix64(lead.view(np.uint64))).view(np.int64)[meet], now[1][meet], lead[meet]
+
+    def batch(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["sig", "ref", "lead"])
 
     n = parallel(rows.sparkSession)
-    dealt = rows.select("sig", "ref", "ord").repartition(n, "sig").sortWithinPartitions("sig", "ord", "ref")
+    dealt = rows.select("sig", "ref", "own").repartition(n, "sig").sortWithinPartitions("sig", "own", "ref")
     return dealt.mapInArrow(run, "sig long, ref long, lead long")
 
 
-def linked(members: DataFrame, link: Callable, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def linked(members: DataFrame, link: Callable, block_rows: int = BLOCK_ROWS, *, sure: Callable | None = None) -> DataFrame:
     """Edges ``u, v`` that join the linked nodes inside each group (not all its links).
 
     ``members`` has grp, node and what ``link`` needs; ``link(table, a, b)`` returns index pairs of
-    linked rows between rows a and rows b (b None: among a).  Groups over ``block_rows`` are cut into
+    linked rows between rows a and rows b (b None: among a).  With ``sure``, these only may link; ``sure(table, p, q)`` tells
+    which do, once for all groups of a task.  Groups over ``block_rows`` are cut into
     blocks by the hash of the node and each task holds two blocks; small groups share tasks.
     """
     kept = materialize(members, "group-members")
@@ -70,9 +144,13 @@ def linked(members: DataFrame, link: Callable, block_rows: int = BLOCK_ROWS) ->
 
     def run(t: pa.Table) -> pa.Table:
         grp, node, blk = np.asarray(t["grp"]), np.asarray(t["node"]), np.asarray(t["_b"])
-        us, vs = [], []
+        us, vs, ps, qs = [], [], [], []
 
-        def take(p, q):
+        def take(p, q, found=False):
+            if sure and not found:
+                ps.append(p)
+                qs.append(q)
+                return
             nodes = np.unique(np.concatenate([p, q])) if len(p) else np.zeros(0, np.int64)
             low = nodes[local_components(len(nodes), np.searchsorted(nodes, p), np.searchsorted(nodes, q))] if len(nodes) else nodes
             us.append(node[nodes[nodes != low]])
@@ -87,21 +165,26 @@ def linked(members: DataFrame, link: Callable, block_rows: int = BLOCK_ROWS) ->
             for part in np.split(o, cuts):
                 if len(part) > 1:
                     take(*link(t, part, None))
+        if ps:
+            p, q = np.concatenate(ps), np.concatenate(qs)
+            ok = sure(t, p, q)
+            take(p[ok], q[ok], True)
         empty = np.zeros(0, np.int64)
         return pa.table({"u": np.concatenate(us or [empty]), "v": np.concatenate(vs or [empty])})
 
     return d.groupBy("_big", "_key", "_lo", "_hi").applyInArrow(run, "u long, v long")
 
 
-def settle(met: DataFrame, payload: DataFrame, verify: Callable, link: Callable, slices: Callable) -> DataFrame:
+def settle(met: DataFrame, payload: DataFrame, verify: Callable, link: Callable, slices: Callable, sure: Callable | None = None, at_once: int = 256
+           ) -> DataFrame:
     """Edges ``u, v`` that join all linked nodes among those that share a signature.
 
     ``met`` is the output of ``stars``; ``payload`` (node, data) has the data of every node in it.
-    ``verify(data, data)`` tells which pairs of two lists link; ``link`` is for ``linked``;
+    ``verify(data, data)`` tells which pairs of two lists (of up to ``at_once``) link; ``link`` and ``sure`` are for ``linked``;
     ``slices(data column)`` is an array of slice numbers such that linked nodes share one.
     """
     def check(batches):
-        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+        for b in (whole.slice(i, at_once) for whole in batches for i in range(0, whole.num_rows, at_once)):
             ok = pa.array(verify(b.column(2).to_pylist(), b.column(3).to_pylist()), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["u", "v"])
 
@@ -122,4 +205,4 @@ def settle(met: DataFrame, payload: DataFrame, verify: Callable, link: Callable,
     members = nodes.join(group, "in").join(payload, "node")
     members = members.select("node", "data", "grp", F.explode(slices(F.col("data"))).alias("slice")) \
         .select(F.xxhash64("grp", "slice").alias("grp"), "node", "data")
-    return near.unionByName(materialize(linked(members, link), "settle-rest"))
+    return near.unionByName(materialize(linked(members, link, sure=sure), "settle-rest"))

@@ -3,11 +3,13 @@
 A line of length l is split into edits + 1 even segments.  Two lines within ``edits`` edits share one
 segment of the shorter, at a place in the longer that is nearly the same; so every line's segments
 are an index by (length, segment number, content), and it is probed with the few substrings of a line
-whose place fits (the multi-match-aware window).  Lines that meet are verified by a banded
+whose place fits (the multi-match-aware window).  Short segments are shared by chance, so lines meet only if their sketches
+(the parities of their pairs of neighbouring characters, in 56 counters) differ in no more bits than ``edits`` edits can change.
+Lines that meet are verified by a banded
 bit-parallel edit distance: for each number of edits a word of 2 * edits + 1 bits says which
 diagonals of the band are alive.
 
-First every line is verified against its signature's smallest line, which is linear in the number
+First every line is verified against the first line that it meets by a signature, which is linear in the number
 of meetings; only lines of signatures that still hold several components go through all the others
 of their group, in blocks.  So a signature shared by thousands of lines never yields its pairs.  All lines linked,
 directly or through others, are one class; the class keeps its first line (by id, then line number).
@@ -27,9 +29,10 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, hash_between, hash_ranges, materialize, mix64, running
 from sparkqa.llm.components import components
-from sparkqa.llm.groups import settle, stars
+from sparkqa.llm.groups import SKETCH, packed, settle, stars
 
-EDITS, MIN_CHARS, BAG = 2, 20, 32
+EDITS, MIN_CHARS, BAG, FEW = 2, 20, 32, 8_000_000
+_ONE = np.int64(1) << np.random.default_rng(78).integers(0, SKETCH, 1 << 16)
 _K = np.random.default_rng(77).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -96,6 +99,27 @@ def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, edits: in
     return np.concatenate(sig), np.concatenate(line), np.concatenate(order)
 
 
+def sketches(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For every line, whether the pairs of neighbouring characters that fall to each of ``SKETCH`` counters are odd in number.
+    One edit takes and adds two pairs at most, so it changes four bits at most."""
+    if not len(data):
+        return np.zeros(len(starts), np.int64)
+    x, at = data.astype(np.uint16), None
+    if data.max() > 127:  # a character is known by its first three bytes
+        more = (data & 0xC0) == 0x80
+        first = np.flatnonzero(~more)
+        at = np.concatenate(([0], np.cumsum(~more)))
+        second = np.where(more[1:], x[1:], np.uint16(0))
+        third = np.where(more[1:-1] & more[2:], x[2:], np.uint16(0))
+        x[:-1] += second * np.uint16(1031)
+        x[:-2] += third * np.uint16(24029)
+        x = x[first]
+    run = np.zeros(max(len(x), 1), np.int64)
+    np.bitwise_xor.accumulate(_ONE[x[:-1] * np.uint16(40503) + x[1:]], out=run[1:])
+    a, z = (starts, ends) if at is None else (at[starts], at[ends])
+    return run[np.maximum(z - 1, a)] ^ run[a]
+
+
 def code_points(line: str) -> np.ndarray:
     return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -182,18 +206,28 @@ def near_edges(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
             for part, data, offs in chunks(batch):
                 h, s, e = distinct(part, data, offs)
                 sig, line, order = signatures(data, s, e, edits, min_chars)
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[line].view(np.int64)), pa.array(order.astype(np.int8))], ["sig", "ref", "ord"])
+                own = packed(order, 4 * edits, sketches(data, s, e)[line])
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[line].view(np.int64)), pa.array(own)], ["sig", "ref", "own"])
+
+    met = materialize(stars(docs.mapInArrow(meet, "sig long, ref long, own long")), "ld-met", free=True)
+    wanted = materialize(met.select(F.col("ref").alias("node")).union(met.select("lead")).distinct(), "ld-wanted")
+    few = wanted.count() <= FEW  # eight bytes a line that meets another: the others' texts stay where they are
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(np.asarray(wanted.toArrow().column(0).combine_chunks()))) if few else None
 
     def lines(batches):
         for batch in batches:
             for part, data, offs in chunks(batch):
                 h, s, e = distinct(part, data, offs)
-                flat = data.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([flat[x:y].decode("utf-8", "replace") for x, y in zip(s, e)], pa.string())], ["node", "data"])
-
-    met = materialize(stars(docs.mapInArrow(meet, "sig long, ref long, ord byte")), "ld-met")
-    wanted = met.select(F.col("ref").alias("node")).union(met.select("lead")).distinct()
-    texts = docs.mapInArrow(lines, "node long, data string").join(wanted, "node", "left_semi")
+                h = h.view(np.int64)
+                if shared is not None:
+                    at = np.minimum(np.searchsorted(shared.value, h), max(len(shared.value) - 1, 0))
+                    take = np.flatnonzero(shared.value[at] == h) if len(shared.value) else np.zeros(0, np.int64)
+                    h, s, e = h[take], s[take], e[take]
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([data[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(s, e)], pa.string())], ["node", "data"])
+
+    texts = docs.mapInArrow(lines, "node long, data string")
+    if not few:
+        texts = texts.join(wanted, "node", "left_semi")
     texts = materialize(texts.groupBy("node").agg(F.min("data").alias("data")), "ld-texts")
 
     def link(t: pa.Table, a: np.ndarray, b: np.ndarray | None):
@@ -201,25 +235,27 @@ def near_edges(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
             line = [code_points(x) for x in t["data"].to_pylist()]
             bags = np.array([np.bincount(x % BAG, minlength=BAG) for x in line], np.int32).reshape(-1, BAG)
             _last[:] = [t, line, np.fromiter(map(len, line), np.int64, len(line)), bags]
-        _, line, size, bags = _last
+        _, _, size, bags = _last
         may = np.abs(size[a][:, None] - size[a if b is None else b][None, :]) <= edits
         if b is None:
             may &= np.arange(len(a))[:, None] < np.arange(len(a))[None, :]
         p, q = np.nonzero(may)
         p, q = a[p], (a if b is None else b)[q]
-        ok = np.zeros(len(p), bool)
-        for i in range(0, len(p), 1 << 15):
-            x, y = p[i:i + (1 << 15)], q[i:i + (1 << 15)]
-            # an edit changes the counts of at most two characters by one
-            like = np.flatnonzero(np.abs(bags[x] - bags[y]).sum(1) <= 2 * edits)
-            ok[i + like] = within([line[j] for j in x[like]], [line[j] for j in y[like]], edits)
-        return p[ok], q[ok]
+        # an edit changes the counts of at most two characters by one
+        like = [np.abs(bags[p[i:i + (1 << 15)]] - bags[q[i:i + (1 << 15)]]).sum(1) <= 2 * edits for i in range(0, len(p), 1 << 15)]
+        like = np.concatenate(like) if like else np.zeros(0, bool)
+        return p[like], q[like]
+
+    def sure(t: pa.Table, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        line = _last[1]  # of the same table
+        return np.concatenate([np.zeros(0, bool), *(within([line[j] for j in p[i:i + (1 << 15)]], [line[j] for j in q[i:i + (1 << 15)]], edits)
+                                                     for i in range(0, len(p), 1 << 15))])
 
     def slices(line):
         n = F.char_length(line)
         return F.array_distinct(F.array(F.floor(n / 16), F.floor((n + edits) / 16)))
 
-    return settle(met, texts, lambda x, y: within([code_points(i) for i in x], [code_points(i) for i in y], edits), link, slices)
+    return settle(met, texts, lambda x, y: within([code_points(i) for i in x], [code_points(i) for i in y], edits), link, slices, sure, 1024)
 
 
 _last: list = [None] * 4  # a task asks for the lines of one table group by group

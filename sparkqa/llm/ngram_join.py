@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, materialize, mix64, word_hashes
 from sparkqa.llm.components import components
-from sparkqa.llm.groups import settle, stars
+from sparkqa.llm.groups import SKETCH, settle, stars
 
 WORDS, PERCENT, SMALL, FEW = 3, 90, 32, 8_000_000
 _K = np.random.default_rng(99).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -186,7 +186,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
                 yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(k1[doc[keep]])], ["sig", "ref"])
 
     docs = materialize(src.mapInArrow(describe, "doc_id long, text_hash long, n long, k1 long, k2 long"), "ng-docs")
-    met = materialize(stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long").withColumn("ord", F.lit(0))), "ng-met")
+    met = materialize(stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long").withColumn("own", F.lit(SKETCH << SKETCH))), "ng-met")
 
     classes = materialize(docs.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n")), "ng-classes")

@@ -93,3 +93,72 @@ def test_empty_table_and_dropping(spark):
     assert ld.removed(empty(spark)).count() == 0
     d = spark.createDataFrame([(1, "a\nb\nc", [0, 2]), (2, None, None), (3, "x\n\ny", None)], "doc_id long, text string, gone array<int>")
     assert [(r["doc_id"], r["text"]) for r in ld.drop_lines(d, "text", "gone").orderBy("doc_id").collect()] == [(1, "b"), (2, None), (3, "x\n\ny")]
+
+
+def met(spark, rows, *most):
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(size, 7)  # signatures span batches
+    try:
+        return sorted(map(tuple, groups.stars(spark.createDataFrame(rows, "sig long, ref long, own long"), *most).collect()))
+    finally:
+        spark.conf.unset(size)
+
+
+def test_unrelated_lines_that_share_a_segment_do_not_meet(spark, monkeypatch):
+    seen = []
+    whole = groups.stars
+    monkeypatch.setattr(ld, "stars", lambda rows: seen.append(whole(rows)) or seen[-1])
+    rng = random.Random(8)
+    own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé ") for _ in range(38)) + "z" for _ in range(150)]
+    lines = ["the same beginning, and " + x for x in own] + ["the same beginning, and " + own[0][:9] + "#" + own[0][10:]]
+    docs = spark.createDataFrame([(i, i, x) for i, x in enumerate(lines)], "doc_id long, text_hash long, text string")
+    edges = ld.near_edges(docs, 2, 20).collect()
+    assert len(edges) == 1
+    assert {(r["ref"], r["lead"]) for r in seen[0].collect()} <= {(e["u"], e["v"]) for e in edges} | {(e["v"], e["u"]) for e in edges}
+
+
+def test_sketches_of_lines_within_the_threshold_differ_in_few_bits():
+    rng = random.Random(9)
+    for _ in range(2000):
+        a = "".join(rng.choice("abé中\U0001F600 ") for _ in range(rng.randrange(1, 30)))
+        k = rng.randrange(4)
+        b = edited(rng, a, k) or "x"
+        data, cut = np.frombuffer((a + b).encode(), np.uint8), len(a.encode())
+        x, y = ld.sketches(data, np.array([0, cut]), np.array([cut, len(data)]))
+        assert (int(x) ^ int(y)).bit_count() <= 4 * lev(a, b)
+
+
+def test_rows_of_a_signature_meet_where_sketches_join_them(spark):
+    rng = random.Random(10)
+    rows, ref = [], 0
+    for sig in range(60):  # some signatures have more rows than are paired at once
+        for _ in range(rng.choice([1, 2, 5, 30, 90])):
+            ref += 1
+            own = groups.packed(np.array([rng.random() < 0.4]), 2, np.array([rng.choice([0, 0b11 << 20, 0b1111 << 40]) ^ 1 << rng.randrange(12)]))
+            rows += [(sig, ref, int(own[0]))] * rng.randrange(1, 4)
+
+    def brute():
+        want = set()
+        for sig in range(60):
+            own = sorted({(o, r) for s, r, o in rows if s == sig})
+            left = list(own)
+            while left:
+                seed = left.pop(0)
+                todo, part = [seed], [seed]
+                while todo:
+                    t = todo.pop()
+                    near = [x for x in left if ((x[0] ^ t[0]) & (1 << 56) - 1).bit_count() <= 2 and (x[0] >> 62 == 0 or t[0] >> 62 == 0)]
+                    left = [x for x in left if x not in near]
+                    todo += near
+                    part += near
+                want |= {(r, seed[1]) for o, r in part if r != seed[1]}
+        return want
+
+    got = met(spark, rows)
+    assert {x[1:] for x in got} == brute() and len(got) == len(set(got))
+    assert len({(s, x) for s, _, x in got}) == len({x for _, _, x in got})  # a group for each lead
+    first = {s: min((o, r) for z, r, o in rows if z == s) for s in range(60)}
+    many = {s for s in range(60) if len({r for z, r, _ in rows if z == s}) > 30}
+    wide = {x[1:] for x in met(spark, rows, 20)}  # beyond that the rows of a signature meet its first
+    assert wide >= {(r, first[s][1]) for s, r, _ in rows if s in many and r != first[s][1] and first[s][0] >> 62 == 0}
+    assert many and {x[0] for x in brute()} <= {x[0] for x in wide}
