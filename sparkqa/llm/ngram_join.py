@@ -4,7 +4,10 @@ The columns (n-grams, as 64-bit hashes) are cut into blocks of the hash range.
 bound says in how many n-grams two documents of given sizes may differ and still link; with one
 block more than that, linked documents have at least one block in which their rows are equal.  Pairs
 without an equal block - almost all - cannot reach the bound and are discarded before any product:
-rows meet by the fingerprints of their blocks.  Each row is multiplied with the smallest row it
+rows meet by the fingerprints of their blocks.  A block of few n-grams is equal by chance in a large table, so blocks
+of fewer n-grams than ``least`` allows are left out: the many blocks of large rows make it sure (but for a chance under
+``MISS`` a linked pair at the bound, as with the 64-bit hashes) that linked rows have an equal block with that many.  Small rows keep all
+their blocks; there the parities of the n-grams, in 56 counters, tell most of the rest apart.  Each row is multiplied with the first row it
 meets; rows that this leaves apart form groups, and inside a group the product of the incidence
 rows is accumulated over slices of columns and blocks of rows.  Pairs whose sizes rule a link out are
 dropped, the rest link by exact overlap; only edges that join linked documents leave a task.
@@ -20,6 +23,9 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +33,10 @@ from pyspark.sql import functions as F
 
 from sparkqa.llm.common import chunks, materialize, mix64, word_hashes
 from sparkqa.llm.components import components
-from sparkqa.llm.groups import SKETCH, settle, stars
+from sparkqa.llm.groups import SKETCH, packed, settle, stars
 
-WORDS, PERCENT, SMALL, FEW = 3, 90, 32, 8_000_000
+WORDS, PERCENT, FEW = 3, 90, 8_000_000
+MISS, MOST_GRAMS, MOST_BLOCKS = 1e-11, 4, 200
 _K = np.random.default_rng(99).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -78,19 +85,50 @@ def size_classes(percent: int, most: int) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-def fingerprints(g: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of every text's column blocks, and the text of each.
+def missed(size: int, blocks: int, percent: int, grams: int) -> float:
+    """A bound on the chance that rows that just link, the smaller of ``size`` n-grams, have no equal block of ``grams`` or more.
+
+    The n-grams in which they differ fall to blocks as balls to boxes; any number of boxes may stay free.  The n-grams they share, fewest
+    when both have as many of their own, fall to all blocks; given that few of them fall to one free block, no more fall to others.
+    """
+    free = np.zeros(blocks + 1)
+    free[blocks] = 1
+    for _ in range(size * (100 - percent) // percent):
+        hit = free * np.arange(blocks + 1) / blocks
+        free -= hit
+        free[:-1] += hit[1:]
+    shared = -(-2 * percent * size // (100 + percent))
+    few = sum(comb(shared, k) * (1 / blocks) ** k * (1 - 1 / blocks) ** (shared - k) for k in range(min(grams, shared + 1)))
+    return float((free * few ** np.arange(blocks + 1)).sum())
+
+
+@lru_cache(None)
+def least(percent: int) -> np.ndarray:
+    """By size class, the n-grams that a block must have to count; 0 where even the empty ones do."""
+    out, ends = [0, 0], size_classes(percent, 1 << 31).tolist()
+    for low, high in zip(ends[1:], ends[2:]):
+        blocks = high * (100 - percent) // percent + 1
+        if blocks > MOST_BLOCKS:  # the chance only falls
+            break
+        sizes = {low + 1, (3 * low + high) // 4 + 1, (low + high) // 2 + 1, (low + 3 * high) // 4 + 1, high}
+        out.append(max((k for k in range(1, MOST_GRAMS + 1) if max(missed(x, blocks, percent, k) for x in sizes if low < x <= high) <= MISS), default=0))
+    return np.array(out + [out[-1]] * (len(ends) - len(out)), np.int64)
+
+
+def fingerprints(g: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of every text's column blocks, the text of each, and in how many n-grams texts that link by it differ at most.
 
     Sizes s <= t link only if they differ in at most s * (100 - percent) / percent n-grams.  A text
     meets its own size class and, as the larger one, the class below.
     """
     n = np.diff(offs)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not len(g):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return none
     ends = size_classes(percent, int(n.max()))
     own = np.searchsorted(ends, n)
     doc_of = np.repeat(np.arange(len(n)), n)
-    out, owner = [], []
+    out, owner, most = [], [], []
     for down in (0, 1):
         c = np.maximum(own - down, 0)
         blocks = ends[c] * (100 - percent) // percent + 1
@@ -106,13 +144,14 @@ def fingerprints(g: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndar
         doc = np.repeat(np.arange(len(n)), blocks)
         place = np.arange(start[-1]) - start[doc]
         tag = mix64(c[doc].astype(np.uint64) * _K[51] + place.astype(np.uint64) * _K[52])
-        full = cut[1:] > cut[:-1]
+        need = least(percent)[c[doc]]
+        full = np.diff(cut) >= np.maximum(need, 1)
         out.append(mix64(sums(inside, cut) + tag)[full])
         owner.append(doc[full])
+        most.append(blocks[doc[full]] - 1)
         # An empty block says little alone: there the rows must also share one of the first n-grams
-        # that the size bound leaves (with more than SMALL blocks a linked pair whose equal blocks are all
-        # empty has a chance under 1e-10).
-        lone = np.flatnonzero(~full & (blocks[doc] <= SMALL))
+        # that the size bound leaves.
+        lone = np.flatnonzero(~full & (need == 0))
         if len(lone):
             d = doc[lone]
             first = n[d] + (-n[d] * percent // 100) + 1
@@ -120,9 +159,15 @@ def fingerprints(g: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndar
             x = g[np.repeat(offs[d], first) + np.arange(len(row)) - np.repeat(np.cumsum(first) - first, first)]
             out.append(mix64(mix64(x + _K[53]) + tag[lone][row]))
             owner.append(d[row])
-    if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out), np.concatenate(owner)
+            most.append(blocks[d[row]] - 1)
+    return (np.concatenate(out), np.concatenate(owner), np.concatenate(most)) if out else none
+
+
+def sketches(g: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """For every text, whether the n-grams that fall to each of ``SKETCH`` counters are odd in number."""
+    run = np.zeros(len(g) + 1, np.int64)
+    np.bitwise_xor.accumulate(np.int64(1) << ((mix64(g + _K[54]) >> np.uint64(32)) * np.uint64(SKETCH) >> np.uint64(32)).astype(np.int64), out=run[1:])
+    return run[offs[1:]] ^ run[offs[:-1]]
 
 
 def link_rows(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,12 +226,16 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
                 k1 = sums(mix64(g + _K[60]), at).view(np.int64)
                 # copies inside the chunk meet once
                 _, first = np.unique(k1, return_index=True)
-                sig, doc = fingerprints(g, at, percent)
-                keep = np.isin(doc, first)
-                yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(k1[doc[keep]])], ["sig", "ref"])
+                sig, doc, most = fingerprints(g, at, percent)
+                keep = np.zeros(len(at), bool)
+                keep[first] = True
+                keep = keep[doc]
+                sig, doc, most = sig[keep], doc[keep], most[keep]
+                own = packed(np.zeros(len(doc), np.int64), most, np.where(most < SKETCH, sketches(g, at)[doc], 0))
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(k1[doc]), pa.array(own)], ["sig", "ref", "own"])
 
     docs = materialize(src.mapInArrow(describe, "doc_id long, text_hash long, n long, k1 long, k2 long"), "ng-docs")
-    met = materialize(stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long").withColumn("own", F.lit(SKETCH << SKETCH))), "ng-met")
+    met = materialize(stars(src.filter("doc_id is not null").mapInArrow(meet, "sig long, ref long, own long")), "ng-met", free=True)
 
     classes = materialize(docs.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n")), "ng-classes")

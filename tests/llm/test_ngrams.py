@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from util import documents, empty, frame, words
 
@@ -57,3 +58,33 @@ def test_components_equal_brute_force(spark, monkeypatch, n, percent, few):
 
 def test_empty_table(spark):
     assert ngram_join.join(empty(spark)).count() == 0
+
+
+def prints(sets, percent):
+    g = [np.sort(np.array(list(s), np.uint64)) for s in sets]
+    offs = np.concatenate(([0], np.cumsum([len(x) for x in g])))
+    flat = np.concatenate(g)
+    sig, own, most = ngram_join.fingerprints(flat, offs, percent)
+    sketch = ngram_join.sketches(flat, offs)
+    return [{int(x): (int(m), int(sketch[i])) for x, m in zip(sig[own == i], most[own == i])} for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_texts_that_just_link_share_a_fingerprint_and_their_sketches_fit(percent):
+    rng = random.Random(percent)
+    for n in [*range(3, 60), *range(60, 700, 9)]:
+        union = {rng.randrange(1 << 64) for _ in range(n)}
+        apart = n * (100 - percent) // 100
+        for share in (0, apart // 2):  # one holds the other, or both have their own
+            own = sorted(union)
+            rng.shuffle(own)
+            a, b = prints([union - set(own[:share]), union - set(own[share:apart])], percent)
+            assert all(a[x][0] == b[x][0] for x in a.keys() & b.keys())
+            assert apart == 0 or any((a[x][1] ^ b[x][1]).bit_count() <= a[x][0] for x in a.keys() & b.keys())
+
+
+def test_unrelated_texts_that_share_few_ngrams_do_not_meet():
+    rng = random.Random(4)
+    common = [rng.randrange(1 << 64) for _ in range(5)]
+    own = prints([{*common, *(rng.randrange(1 << 64) for _ in range(300))} for _ in range(300)], 80)
+    assert len(set().union(*own)) == sum(map(len, own))
